@@ -26,6 +26,30 @@ QUERIES = {
     "kmeans_sizes": Q.kmeans_sizes("q20"),
     "kmeans_cost": Q.kmeans_cost("q20"),
     "kmeans_native": Q.kmeans_native("q20"),
+    # Q28: text cleaning, hashed TF-IDF, Naive Bayes, report
+    "tokenize": Q.tokenize,
+    "stopword_filter": Q.stopword_filter,
+    "hash_tf": Q.hash_tf,
+    "idf": Q.idf,
+    "tfidf": Q.tfidf_weights,
+    "nb_train": Q.nb_train,
+    "nb_theta": Q.nb_theta,
+    "nb_score": Q.nb_score,
+    "nb_score_train_idf": Q.nb_score_train_idf,
+    "nb_summary": Q.nb_summary,
+    "nb_confusion": Q.nb_confusion,
+    "q28": Q.q28,
+    "nb_native": Q.nb_native,
+    # Q05: logistic regression
+    "logistic_train": Q.logistic_train,
+    "logistic_train_small_lambda": Q.logistic_train_small_lambda,
+    "logistic_train_with_label": Q.logistic_train_with_label,
+    "logistic_score": Q.logistic_score,
+    "logistic_accuracy": Q.logistic_accuracy,
+    "logistic_confusion": Q.logistic_confusion,
+    "logistic_auc": Q.logistic_auc,
+    "q05": Q.q05,
+    "logistic_native": Q.logistic_native,
 }
 
 
@@ -50,4 +74,22 @@ def oracle_sql() -> dict[str, str]:
     sql["kmeans_assign"] = _cluster_sql("q20", "assign")
     sql["kmeans_sizes"] = _cluster_sql("q20", "sizes")
     sql["kmeans_cost"] = _cluster_sql("q20", "cost")
+    sql["tokenize"] = O.TOKENIZE
+    sql["stopword_filter"] = O.stopword_filter_sql()
+    sql["hash_tf"] = O.hash_tf_sql()
+    sql["idf"] = O.idf_sql()
+    sql["tfidf"] = O.tfidf_sql()
+    for kind in ("train", "theta", "score", "summary", "confusion"):
+        sql[f"nb_{kind}"] = O.nb_sql(kind)
+    sql["nb_score_train_idf"] = O.nb_sql("score", idf_from="train")
+    sql["q28"] = O.nb_sql("report")
+
+    def lr(kind, lam=Q.Q05_LAMBDA, cols=Q.Q05_FEATURES):
+        return O.logistic_sql(kind, O.Q05_FEATURES, "c_customer_sk", cols, Q.Q05_PASSES, Q.Q05_RATE, lam)
+    sql["logistic_train"] = lr("train")
+    sql["logistic_train_small_lambda"] = lr("train", Q.Q05_SMALL_LAMBDA)
+    sql["logistic_train_with_label"] = lr("train", cols=Q.Q05_FEATURES + ["label"])
+    for kind in ("score", "accuracy", "confusion", "auc"):
+        sql[f"logistic_{kind}"] = lr(kind, Q.Q05_SMALL_LAMBDA)
+    sql["q05"] = lr("report")
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -142,3 +142,260 @@ def kmeans_sql(kind: str, features_sql: str, id_col: str, cols, k: int = 8,
     else:
         raise ValueError(kind)
     return ctes + "\n" + body
+
+
+# --------------------------------------------------------------------- text
+
+def stop_list_sql() -> str:
+    from ..functions.text import stop_words
+    return "[" + _in_list(stop_words()) + "]"
+
+
+def raw_tokens_sql(text: str) -> str:
+    return (f"list_filter(list_transform(regexp_split_to_array({text}, '[^a-zA-Z]'), "
+            f"lambda t: lower(t)), lambda t: t <> '')")
+
+
+def clean_tokens_sql(text: str) -> str:
+    return f"list_filter({raw_tokens_sql(text)}, lambda t: NOT list_contains({stop_list_sql()}, t))"
+
+
+BUCKET_OF_W = ("list_reduce(list_transform(string_split(w, ''), lambda c: ascii(c)::BIGINT), "
+               "lambda h, c: (h * 31 + c) & 1048575, 0::BIGINT)")
+
+
+def buckets_sql(text: str) -> str:
+    return (f"list_concat([0], list_transform({clean_tokens_sql(text)}, "
+            f"lambda w: CAST({BUCKET_OF_W} AS INTEGER)))")
+
+
+TOKENIZE = f"""
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(len(tk) AS BIGINT) AS n_tokens,
+       array_to_string(tk, ' ') AS tokens
+FROM (SELECT doc_id, {raw_tokens_sql('text')} AS tk FROM documents)
+"""
+
+
+def stopword_filter_sql() -> str:
+    return f"""
+SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(len(ck) AS BIGINT) AS n_kept,
+       CASE WHEN len(ck) = 0 THEN '' ELSE ' ' || array_to_string(ck, ' ') END AS cleaned
+FROM (SELECT doc_id, {clean_tokens_sql('text')} AS ck FROM documents)
+"""
+
+
+def _doc_tf_ctes() -> str:
+    return f"""
+WITH tok AS MATERIALIZED (
+  SELECT doc_id, unnest({buckets_sql('text')}) AS bucket FROM documents),
+tf AS MATERIALIZED (SELECT doc_id, bucket, count(*) AS tf FROM tok GROUP BY doc_id, bucket),
+idf AS MATERIALIZED (
+  SELECT bucket, count(*) AS df,
+         ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1.0)) AS idf
+  FROM tf GROUP BY bucket)
+"""
+
+
+def hash_tf_sql() -> str:
+    return _doc_tf_ctes() + ("SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(bucket AS INTEGER) AS bucket, "
+                             "CAST(tf AS BIGINT) AS tf FROM tf")
+
+
+def idf_sql() -> str:
+    return _doc_tf_ctes() + ("SELECT CAST(bucket AS INTEGER) AS bucket, CAST(df AS BIGINT) AS df, "
+                             "round(idf, 6) AS idf FROM idf")
+
+
+def tfidf_sql() -> str:
+    return _doc_tf_ctes() + ("SELECT CAST(tf.doc_id AS BIGINT) AS doc_id, CAST(tf.bucket AS INTEGER) AS bucket, "
+                             "round(tf.tf * idf.idf, 6) AS tfidf FROM tf JOIN idf ON tf.bucket = idf.bucket")
+
+
+# -------------------------------------------------------------- naive bayes
+
+def nb_ctes(labels=X.Q28_LABELS, idf_from: str = "test", smoothing: float = 1.0,
+            num_features: int = 1 << 20) -> str:
+    """TF-IDF per split, model sums, and per-class scores of the test documents,
+    computed the direct way: per document v = tf * idf, S = sum of v."""
+    lab = ", ".join(f"('{name}', {i})" for i, name in enumerate(labels))
+    a = f"CAST({smoothing!r} AS DOUBLE)"
+    if idf_from == "test":
+        test_v = "SELECT doc_id, bucket, v FROM v WHERE split = 'test'"
+    else:
+        test_v = ("SELECT tf.doc_id, tf.bucket, tf.tf * coalesce(i.idf, "
+                  "ln((SELECT n FROM nd WHERE split = 'train') + 1.0)) AS v "
+                  "FROM tf LEFT JOIN idf i ON i.split = 'train' AND i.bucket = tf.bucket "
+                  "WHERE tf.split = 'test'")
+    return f"""
+WITH docs AS MATERIALIZED ({Q28_DOCUMENTS}),
+lab AS (SELECT * FROM (VALUES {lab}) t(label, idx)),
+d AS MATERIALIZED (
+  SELECT docs.doc_id, lab.idx AS y, docs.split, {buckets_sql('docs.text')} AS buckets
+  FROM docs JOIN lab ON docs.label = lab.label),
+tok AS MATERIALIZED (SELECT doc_id, y, split, unnest(buckets) AS bucket FROM d),
+tf AS MATERIALIZED (SELECT doc_id, y, split, bucket, count(*) AS tf FROM tok GROUP BY doc_id, y, split, bucket),
+nd AS MATERIALIZED (SELECT split, count(*) AS n FROM d GROUP BY split),
+idf AS MATERIALIZED (
+  SELECT tf.split, tf.bucket, ln((nd.n + 1.0) / (count(*) + 1.0)) AS idf
+  FROM tf JOIN nd ON tf.split = nd.split GROUP BY tf.split, tf.bucket, nd.n),
+v AS MATERIALIZED (
+  SELECT tf.doc_id, tf.y, tf.split, tf.bucket, tf.tf * idf.idf AS v
+  FROM tf JOIN idf ON tf.split = idf.split AND tf.bucket = idf.bucket),
+cls AS MATERIALIZED (SELECT y, count(*) AS nc FROM d WHERE split = 'train' GROUP BY y),
+s AS MATERIALIZED (SELECT y, bucket, sum(v) AS s FROM v WHERE split = 'train' GROUP BY y, bucket),
+st AS MATERIALIZED (SELECT y, sum(s) AS st FROM s GROUP BY y),
+pri AS MATERIALIZED (
+  SELECT y, ln(nc + {a}) - ln((SELECT sum(nc) FROM cls) + (SELECT count(*) FROM cls) * {a}) AS pi FROM cls),
+tv AS MATERIALIZED ({test_v}),
+scores AS MATERIALIZED (
+  SELECT t.doc_id, t.y, c.y AS cls,
+         c.pi + coalesce(sum(tv.v * (ln(coalesce(s.s, 0.0) + {a}) - ln(st.st + {num_features} * {a}))), 0.0) AS score
+  FROM (SELECT doc_id, y FROM d WHERE split = 'test') t
+  CROSS JOIN pri c JOIN st ON st.y = c.y
+  LEFT JOIN tv ON tv.doc_id = t.doc_id
+  LEFT JOIN s ON s.y = c.y AND s.bucket = tv.bucket
+  GROUP BY t.doc_id, t.y, c.y, c.pi),
+pred AS MATERIALIZED (
+  SELECT doc_id, y, min({{'n': -score, 'c': cls}}).c AS prediction FROM scores GROUP BY doc_id, y)
+"""
+
+
+def nb_sql(kind: str, labels=X.Q28_LABELS, idf_from: str = "test") -> str:
+    ctes = nb_ctes(labels, idf_from)
+    if kind == "score":
+        return ctes + ("SELECT CAST(doc_id AS BIGINT) AS doc_id, CAST(y AS INTEGER) AS label, "
+                       "CAST(prediction AS INTEGER) AS prediction FROM pred")
+    if kind == "train":
+        return ctes + ("SELECT CAST(c.y AS INTEGER) AS label, lab.label AS label_name, "
+                       "CAST(c.nc AS BIGINT) AS n_docs, round(p.pi, 6) AS pi, round(st.st, 6) AS total "
+                       "FROM cls c JOIN pri p ON p.y = c.y JOIN st ON st.y = c.y JOIN lab ON lab.idx = c.y")
+    if kind == "theta":
+        return ctes + ("SELECT CAST(s.y AS INTEGER) AS label, CAST(s.bucket AS INTEGER) AS bucket, "
+                       "round(ln(s.s + 1.0) - ln(st.st + 1048576.0), 6) AS theta "
+                       "FROM s JOIN st ON st.y = s.y")
+    summary = """
+summary AS (
+  SELECT CAST(count_if(y = prediction) AS BIGINT) AS correct,
+         CAST(count(*) - count_if(y = prediction) AS BIGINT) AS incorrect,
+         CAST(count(*) AS BIGINT) AS total,
+         round_even(100.0 * count_if(y = prediction) / count(*), 4) AS pct_correct,
+         round_even(100.0 * (count(*) - count_if(y = prediction)) / count(*), 4) AS pct_incorrect
+  FROM pred)
+"""
+    cells = ", ".join(f"CAST(count_if(p.prediction = {i}) AS BIGINT) AS {name}"
+                      for i, name in enumerate(labels))
+    matrix = f"""
+matrix AS (
+  SELECT CAST(lab.idx AS INTEGER) AS label, lab.label AS label_name, {cells},
+         CAST(count(p.doc_id) AS BIGINT) AS total
+  FROM lab LEFT JOIN pred p ON p.y = lab.idx GROUP BY lab.idx, lab.label)
+"""
+    ctes = ctes + "," + summary + "," + matrix
+    if kind == "summary":
+        return ctes + "SELECT * FROM summary"
+    if kind == "confusion":
+        return ctes + "SELECT * FROM matrix"
+    if kind == "report":
+        from ..operators import report as R
+        codes = [R.letter_code(i) for i in range(len(labels))]
+        header = "".join(c.ljust(R.CELL_WIDTH) + "\t" for c in codes) + R.CAPTION_COLUMNS
+        fixed = [(0, ""), (1, R.RULE), (2, R.TITLE_SUMMARY), (3, R.THIN_RULE), (7, ""), (8, R.RULE),
+                 (9, R.TITLE_MATRIX), (10, R.THIN_RULE), (11, header)]
+
+        def q(text):
+            return "'" + text.replace("'", "''").replace("\t", "' || chr(9) || '") + "'"
+        fixed_sql = " UNION ALL ".join(f"SELECT {n} AS line_no, {q(t)} AS line" for n, t in fixed)
+
+        def pct(c):
+            return ("coalesce(regexp_replace(regexp_replace(CAST(CAST(" + c +
+                    " AS DECIMAL(20,4)) AS VARCHAR), '0+$', ''), '\\.$', ''), 'NaN')")
+
+        def cap(text):
+            return q(text.ljust(R.NAME_WIDTH) + ": ")
+        code = "[" + ", ".join(f"'{c}'" for c in codes) + "][label + 1]"
+        row_cells = " || ".join(f"rpad(CAST({name} AS VARCHAR), {R.CELL_WIDTH}, ' ') || chr(9)"
+                                for name in labels)
+        return ctes + f"""
+SELECT CAST(line_no AS INTEGER) AS line_no, line FROM (
+  {fixed_sql}
+  UNION ALL SELECT 4, {cap(R.CAPTION_CORRECT)} || lpad(CAST(correct AS VARCHAR), {R.COUNT_WIDTH}, ' ')
+         || chr(9) || lpad({pct('pct_correct')}, {R.COUNT_WIDTH}, ' ') || '%' FROM summary
+  UNION ALL SELECT 5, {cap(R.CAPTION_INCORRECT)} || lpad(CAST(incorrect AS VARCHAR), {R.COUNT_WIDTH}, ' ')
+         || chr(9) || lpad({pct('pct_incorrect')}, {R.COUNT_WIDTH}, ' ') || '%' FROM summary
+  UNION ALL SELECT 6, {cap(R.CAPTION_TOTAL)} || lpad(CAST(total AS VARCHAR), {R.COUNT_WIDTH}, ' ') FROM summary
+  UNION ALL SELECT label * 2 + 12, {row_cells} || ' |  ' || rpad(CAST(total AS VARCHAR), {R.TOTAL_WIDTH}, ' ')
+         || chr(9) || rpad({code}, {R.CELL_WIDTH}, ' ') || ' = ' || label_name FROM matrix
+  UNION ALL SELECT label * 2 + 13, '' FROM matrix)
+"""
+    raise ValueError(kind)
+
+
+# ----------------------------------------------------------------- logistic
+
+def _dbl(x: float) -> str:
+    return f"CAST('{x!r}' AS DOUBLE)"
+
+
+def logistic_ctes(features_sql: str, cols, label: str = "label", passes: int = 20,
+                  rate: float = 1.0, lam: float = 0.1) -> str:
+    """One CTE pair per pass: the mean gradient g{i}, then the L1 step w{i}."""
+    import math
+    cols = list(cols)
+    names = [f"w_{j}" for j in range(len(cols))] + ["b"]
+    init = ", ".join([f"CAST(0.0 AS DOUBLE) AS w_{j}" for j in range(len(cols))] + ["CAST(1.0 AS DOUBLE) AS b"])
+    parts = [f"d AS MATERIALIZED (SELECT {', '.join(cols)}, CAST({label} AS DOUBLE) AS y FROM ({features_sql}))",
+             f"w0 AS MATERIALIZED (SELECT {init})"]
+    for i in range(1, passes + 1):
+        z = " + ".join(f"w.w_{j} * d.{c}" for j, c in enumerate(cols)) + " + w.b"
+        err = f"(1.0 / (1.0 + exp(-({z}))) - d.y)"
+        grads = ", ".join([f"sum({err} * d.{c}) / count(*) AS w_{j}" for j, c in enumerate(cols)]
+                          + [f"sum({err}) / count(*) AS b"])
+        parts.append(f"g{i} AS MATERIALIZED (SELECT {grads} FROM d CROSS JOIN w{i - 1} w)")
+        step = rate / math.sqrt(i)
+        shrink = lam * step
+        upd = ", ".join(
+            f"sign(w.{n} - {_dbl(step)} * g.{n}) * greatest(abs(w.{n} - {_dbl(step)} * g.{n}) - {_dbl(shrink)}, 0.0) AS {n}"
+            for n in names)
+        parts.append(f"w{i} AS MATERIALIZED (SELECT {upd} FROM w{i - 1} w CROSS JOIN g{i} g)")
+    return "WITH " + ",\n".join(parts)
+
+
+def logistic_sql(kind: str, features_sql: str, key: str, cols, passes: int, rate: float,
+                 lam: float) -> str:
+    cols = list(cols)
+    ctes = logistic_ctes(features_sql, cols, "label", passes, rate, lam)
+    last = f"w{passes}"
+    if kind == "train":
+        terms = " UNION ALL ".join(
+            [f"SELECT '{c}' AS term, round(w_{j}, 6) AS weight FROM {last}" for j, c in enumerate(cols)]
+            + [f"SELECT 'intercept' AS term, round(b, 6) AS weight FROM {last}"])
+        return ctes + "\n" + terms
+    z = " + ".join(f"w.w_{j} * f.{c}" for j, c in enumerate(cols)) + " + w.b"
+    scored = (f", scored AS MATERIALIZED (SELECT f.{key}, CAST(f.label AS DOUBLE) AS label, "
+              f"1.0 / (1.0 + exp(-({z}))) AS probability, "
+              f"CASE WHEN 1.0 / (1.0 + exp(-({z}))) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction "
+              f"FROM ({features_sql}) f CROSS JOIN {last} w)\n")
+    if kind == "score":
+        return ctes + scored + (f"SELECT CAST({key} AS BIGINT) AS {key}, label, round(probability, 6) AS probability, "
+                                f"prediction FROM scored")
+    if kind == "accuracy":
+        return ctes + scored + "SELECT round(avg(CAST(prediction = label AS DOUBLE)), 6) AS accuracy FROM scored"
+    if kind == "confusion":
+        return ctes + scored + ("SELECT CAST(label AS INTEGER) AS actual, CAST(prediction AS INTEGER) AS predicted, "
+                                "CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY label, prediction")
+    if kind == "auc":
+        return ctes + scored + """,
+by_score AS (SELECT probability AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
+                    sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM scored GROUP BY probability),
+cum AS (SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+               AS neg_below FROM by_score)
+SELECT round(sum(pos * (neg_below + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auc FROM cum"""
+    if kind == "report":
+        return ctes + scored + """
+SELECT 'accuracy' AS metric, CAST(-1 AS INTEGER) AS actual, CAST(-1 AS INTEGER) AS predicted,
+       round(avg(CAST(prediction = label AS DOUBLE)), 6) AS value,
+       printf('%.2f', avg(CAST(prediction = label AS DOUBLE))) AS text FROM scored
+UNION ALL
+SELECT 'confusion', CAST(label AS INTEGER), CAST(prediction AS INTEGER), CAST(count(*) AS DOUBLE),
+       '' FROM scored GROUP BY label, prediction"""
+    raise ValueError(kind)

@@ -95,3 +95,199 @@ def kmeans_native(query: str, seed: int = 42):
                                                max_iter=KMEANS_ITERATIONS, seed=seed)
         return kmeans.cluster_sizes(predictions, KMEANS_K)
     return run
+
+
+# ------------------------------------------------------------- q28: text
+
+from ..functions import text as T  # noqa: E402
+from ..operators import bayes, evaluate, report, tfidf  # noqa: E402
+
+LABELS = list(extract.Q28_LABELS)
+
+
+def label_index(label, labels=LABELS):
+    """Position of the label in the label list, -1 when unknown."""
+    return (F.array_position(F.array(*[F.lit(x) for x in labels]), label) - 1).cast("int")
+
+
+def q28_sets(spark: SparkSession, sf_dir: str):
+    """(train, test) labelled documents with ``label_index``; unknown labels are
+    left out (D6) - with this extraction there are none."""
+    docs = extract.q28_documents(spark, sf_dir).withColumn("label_index", label_index(F.col("label")))
+    known = docs.where(F.col("label_index") >= 0)
+    return known.where(F.col("split") == "train"), known.where(F.col("split") == "test")
+
+
+def nb_fit_score(spark: SparkSession, sf_dir: str, idf_from: str = "test"):
+    train, test = q28_sets(spark, sf_dir)
+    model = bayes.fit(train)
+    scored = bayes.score(model, test, idf_from=idf_from)
+    return model, scored
+
+
+def nb_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class statistics of the fitted model: documents, log prior, TF-IDF total."""
+    model, _ = nb_fit_score(spark, sf_dir)
+    rows = [(c, LABELS[c], model.n_docs[c], model.pi[c], model.totals[c]) for c in model.classes]
+    return spark.createDataFrame(rows, "label int, label_name string, n_docs bigint, pi double, total double") \
+        .select("label", "label_name", "n_docs", F.round("pi", 6).alias("pi"),
+                F.round("total", 6).alias("total"))
+
+
+def nb_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """theta for every (class, bucket) seen in training."""
+    model, _ = nb_fit_score(spark, sf_dir)
+    return model.theta().select("label", "bucket", F.round("theta", 6).alias("theta"))
+
+
+def nb_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = nb_fit_score(spark, sf_dir)
+    return scored
+
+
+def nb_score_train_idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring with the training idf instead of one re-fitted on the test set."""
+    _, scored = nb_fit_score(spark, sf_dir, idf_from="train")
+    return scored
+
+
+def nb_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = nb_fit_score(spark, sf_dir)
+    return evaluate.summary(scored)
+
+
+def nb_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = nb_fit_score(spark, sf_dir)
+    return evaluate.confusion_matrix(scored, LABELS)
+
+
+def q28(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The q28 classification report as numbered text lines."""
+    _, scored = nb_fit_score(spark, sf_dir)
+    scored = materialize(scored)
+    return report.classification_report(evaluate.summary(scored),
+                                        evaluate.confusion_matrix(scored, LABELS), LABELS)
+
+
+def nb_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark ML Naive Bayes (Murmur3 hashing, training idf); rows only."""
+    train, test = q28_sets(spark, sf_dir)
+    model, _ = bayes.fit_native(train)
+    prepared = test.withColumn("tokens", T.clean_tokens(F.col("text")))
+    return model.transform(prepared).select(
+        "doc_id", F.col("label_index").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..sources.tables import table
+    return table(spark, sf_dir, "documents", "doc_id", "text")
+
+
+def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lower-cased letter runs of every document."""
+    toks = T.raw_tokens(F.col("text"))
+    return _documents(spark, sf_dir).select(
+        "doc_id", F.size(toks).cast("bigint").alias("n_tokens"),
+        F.concat_ws(" ", toks).alias("tokens"))
+
+
+def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned text after stop-word removal, as the reference's cleaning step returns it."""
+    return _documents(spark, sf_dir).select(
+        "doc_id", F.size(T.clean_tokens(F.col("text"))).cast("bigint").alias("n_kept"),
+        T.cleaned_text(F.col("text")).alias("cleaned"))
+
+
+def hash_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.term_frequency(_documents(spark, sf_dir))
+
+
+def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.idf_table(_documents(spark, sf_dir)).select(
+        "bucket", "df", F.round("idf", 6).alias("idf"))
+
+
+def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.tfidf(_documents(spark, sf_dir)).select(
+        "doc_id", "bucket", F.round("tfidf", 6).alias("tfidf"))
+
+
+# ---------------------------------------------------------- q05: logistic
+
+from ..operators import logistic  # noqa: E402
+
+# Fixed run settings of the reference's q05 job: passes, rate, L1 lambda.
+Q05_PASSES = 20
+Q05_RATE = 1.0
+Q05_LAMBDA = 0.1
+Q05_FEATURES = ["flag_balance", "flag_segment"]
+# A second, lightly penalised fit, so the weights are not all shrunk to zero.
+Q05_SMALL_LAMBDA = 0.001
+
+
+def logistic_fit_score(spark: SparkSession, sf_dir: str, lam: float = Q05_LAMBDA,
+                       feature_cols=None):
+    data = materialize(extract.q05_features(spark, sf_dir))
+    cols = list(feature_cols or Q05_FEATURES)
+    model = logistic.fit(data, cols, "label", passes=Q05_PASSES, rate=Q05_RATE, lam=lam)
+    return model, logistic.score(model, data, keep=("c_customer_sk",))
+
+
+def logistic_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = logistic_fit_score(spark, sf_dir)
+    return logistic.weights_frame(spark, model)
+
+
+def logistic_train_small_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, _ = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    return logistic.weights_frame(spark, model)
+
+
+def logistic_train_with_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parity fit with the label also fed in as a third feature, as the reference does."""
+    model, _ = logistic_fit_score(spark, sf_dir, feature_cols=Q05_FEATURES + ["label"])
+    return logistic.weights_frame(spark, model)
+
+
+def logistic_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    return scored.select("c_customer_sk", "label", F.round("probability", 6).alias("probability"),
+                         "prediction")
+
+
+def logistic_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    return evaluate.accuracy(scored).select(F.round("accuracy", 6).alias("accuracy"))
+
+
+def logistic_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    return evaluate.confusion_long(scored)
+
+
+def logistic_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, scored = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    return evaluate.auc(scored, "probability")
+
+
+def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The q05 result at the reference's settings, as metric rows: the accuracy
+    (which the reference prints as "AUC", two decimals; actual = predicted =
+    -1 on that row) and one row per (actual, predicted) confusion cell."""
+    _, scored = logistic_fit_score(spark, sf_dir)
+    scored = materialize(scored)
+    acc = evaluate.accuracy(scored).select(
+        F.lit("accuracy").alias("metric"), F.lit(-1).alias("actual"),
+        F.lit(-1).alias("predicted"), F.round("accuracy", 6).alias("value"),
+        F.format_string("%.2f", F.col("accuracy")).alias("text"))
+    cells = evaluate.confusion_long(scored).select(
+        F.lit("confusion").alias("metric"), "actual", "predicted",
+        F.col("n").cast("double").alias("value"), F.lit("").alias("text"))
+    return acc.unionByName(cells)
+
+
+def logistic_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spark ML logistic regression (L1, OWL-QN); predictions, rows only."""
+    data = extract.q05_features(spark, sf_dir)
+    model, vec = logistic.fit_native(data, Q05_FEATURES, "label", Q05_PASSES, Q05_LAMBDA)
+    return model.transform(vec).select("c_customer_sk", "label", "prediction")
