@@ -50,6 +50,13 @@ QUERIES = {
     "logistic_auc": Q.logistic_auc,
     "q05": Q.q05,
     "logistic_native": Q.logistic_native,
+    # S3-S5 readers over lines built from the tables
+    "parse_comma": Q.parse_comma,
+    "parse_comma_rejects": Q.parse_comma_rejects,
+    "parse_space": Q.parse_space,
+    "parse_space_drop": Q.parse_space_drop,
+    "parse_tab": Q.parse_tab,
+    "parse_tab_rejects": Q.parse_tab_rejects,
 }
 
 
@@ -92,4 +99,10 @@ def oracle_sql() -> dict[str, str]:
     for kind in ("score", "accuracy", "confusion", "auc"):
         sql[f"logistic_{kind}"] = lr(kind, Q.Q05_SMALL_LAMBDA)
     sql["q05"] = lr("report")
+    sql["parse_comma"] = O.parse_comma_sql("good")
+    sql["parse_comma_rejects"] = O.parse_comma_sql("rejects")
+    sql["parse_space"] = O.parse_space_sql(False)
+    sql["parse_space_drop"] = O.parse_space_sql(True)
+    sql["parse_tab"] = O.parse_tab_sql("good")
+    sql["parse_tab_rejects"] = O.parse_tab_sql("rejects")
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -399,3 +399,78 @@ UNION ALL
 SELECT 'confusion', CAST(label AS INTEGER), CAST(prediction AS INTEGER), CAST(count(*) AS DOUBLE),
        '' FROM scored GROUP BY label, prediction"""
     raise ValueError(kind)
+
+
+# ------------------------------------------------------------------ readers
+
+def comma_lines_sql() -> str:
+    return f"""
+WITH rows AS (SELECT f.*, c.c_acctbal, c.c_mktsegment FROM ({Q05_FEATURES}) f
+              JOIN customer c ON f.c_customer_sk = c.c_custkey),
+lines AS (
+  SELECT concat_ws(',', CAST(c_customer_sk AS VARCHAR),
+                   CASE WHEN c_mktsegment = 'FURNITURE' THEN ' ' || CAST(flag_balance AS VARCHAR) || ' '
+                        ELSE CAST(flag_balance AS VARCHAR) END,
+                   CAST(flag_segment AS VARCHAR), CAST(label AS VARCHAR)) AS value FROM rows
+  UNION ALL SELECT concat_ws(',', CAST(c_customer_sk AS VARCHAR), '', CAST(flag_segment AS VARCHAR),
+                   CAST(label AS VARCHAR)) FROM rows WHERE c_acctbal < 0
+  UNION ALL SELECT concat_ws(',', CAST(c_customer_sk AS VARCHAR), CAST(flag_balance AS VARCHAR),
+                   CAST(flag_segment AS VARCHAR)) FROM rows WHERE c_mktsegment = 'HOUSEHOLD'
+  UNION ALL SELECT 'c_customer_sk,college_education,male,label'),
+parsed AS (
+  SELECT string_split(value, ',')[1] AS c_customer_sk,
+         try_cast(string_split(value, ',')[2] AS DOUBLE) AS college_education,
+         try_cast(string_split(value, ',')[3] AS DOUBLE) AS male,
+         try_cast(string_split(value, ',')[4] AS DOUBLE) AS label
+  FROM lines)
+"""
+
+
+def parse_comma_sql(kind: str) -> str:
+    ok = "college_education IS NOT NULL AND male IS NOT NULL AND label IS NOT NULL"
+    if kind == "good":
+        return comma_lines_sql() + f"SELECT * FROM parsed WHERE {ok}"
+    return comma_lines_sql() + f"SELECT CAST(count(*) AS BIGINT) AS n_rejected FROM parsed WHERE NOT ({ok})"
+
+
+def parse_space_sql(with_bad: bool) -> str:
+    cols = ["order_ratio", "item_ratio", "amount_ratio", "returns"]
+    xs = ", ".join(f"try_cast(string_split(regexp_replace(value, ' +$', ''), ' ')[{i + 1}] AS DOUBLE) AS x{i}"
+                   for i in range(len(cols)))
+    bad = ""
+    if with_bad:
+        bad = ("UNION ALL SELECT array_to_string([" + ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+               + "], '  ') FROM f WHERE returns = 0")
+    vals = ", ".join(f"CAST({c} AS VARCHAR)" for c in cols)
+    return f"""
+WITH f AS ({Q20_FEATURES}),
+lines AS (
+  SELECT CASE WHEN returns = 0 THEN concat_ws(' ', {vals}) || ' ' ELSE concat_ws(' ', {vals}) END AS value FROM f
+  {bad})
+SELECT x0, x1, x2, x3 FROM (SELECT {xs},
+  len(string_split(regexp_replace(value, ' +$', ''), ' ')) AS n FROM lines)
+WHERE n = {len(cols)} AND x0 IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL AND x3 IS NOT NULL
+"""
+
+
+def parse_tab_sql(kind: str, labels=X.Q28_LABELS) -> str:
+    lab = "[" + _in_list(labels) + "]"
+    base = f"""
+WITH lines AS (
+  SELECT CASE WHEN d.lang = 'de' THEN line || chr(9) WHEN d.lang = 'es' THEN line || chr(9) || 'x' ELSE line END
+         AS value
+  FROM (SELECT d.lang, concat_ws(chr(9), CAST(d.doc_id AS VARCHAR),
+               CASE WHEN d.lang = 'fr' THEN lower(lb) ELSE lb END,
+               regexp_replace(d.text, '[\\t\\r\\n]+', ' ', 'g')) AS line
+        FROM documents d JOIN (SELECT doc_id, CASE WHEN toxic = 1 THEN 'NEG' WHEN quality = 1 THEN 'POS'
+                                                   ELSE 'NEU' END AS lb FROM labels) l
+          ON d.doc_id = l.doc_id) d),
+parsed AS (
+  SELECT f[1] AS review_id, f[2] AS label, CAST(list_position({lab}, f[2]) - 1 AS INTEGER) AS label_index,
+         f[3] AS text, len(f) AS n
+  FROM (SELECT string_split(regexp_replace(value, '\\t+$', ''), chr(9)) AS f FROM lines))
+"""
+    ok = "n = 3 AND text <> '' AND coalesce(label_index, -1) >= 0"
+    if kind == "good":
+        return base + f"SELECT review_id, label, label_index, text FROM parsed WHERE {ok}"
+    return base + f"SELECT CAST(count(*) AS BIGINT) AS n_rejected FROM parsed WHERE NOT ({ok})"

@@ -291,3 +291,97 @@ def logistic_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = extract.q05_features(spark, sf_dir)
     model, vec = logistic.fit_native(data, Q05_FEATURES, "label", Q05_PASSES, Q05_LAMBDA)
     return model.transform(vec).select("c_customer_sk", "label", "prediction")
+
+
+# ------------------------------------------------------ readers
+
+from ..sources import readers  # noqa: E402
+from ..sources.tables import table  # noqa: E402
+
+_HEADER = ",".join(readers.COMMA_FIELDS)
+
+
+def comma_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """q05 records as comma lines, plus variants driven by the data: a header
+    line, an extra line with an empty field for every customer with a negative
+    balance, an extra 3-field line for HOUSEHOLD customers, and blanks around
+    field 1 for FURNITURE customers."""
+    feats = extract.q05_features(spark, sf_dir)
+    cust = table(spark, sf_dir, "customer", "c_custkey", "c_acctbal", "c_mktsegment")
+    rows = feats.join(cust, F.col("c_customer_sk") == F.col("c_custkey"))
+    s = lambda c: F.col(c).cast("string")
+    f1 = F.when(F.col("c_mktsegment") == "FURNITURE", F.concat(F.lit(" "), s("flag_balance"), F.lit(" "))) \
+        .otherwise(s("flag_balance"))
+    main = rows.select(F.concat_ws(",", s("c_customer_sk"), f1, s("flag_segment"), s("label")).alias("value"))
+    empty = rows.where(F.col("c_acctbal") < 0).select(
+        F.concat_ws(",", s("c_customer_sk"), F.lit(""), s("flag_segment"), s("label")).alias("value"))
+    short = rows.where(F.col("c_mktsegment") == "HOUSEHOLD").select(
+        F.concat_ws(",", s("c_customer_sk"), s("flag_balance"), s("flag_segment")).alias("value"))
+    header = feats.limit(1).select(F.lit(_HEADER).alias("value"))
+    return main.unionByName(empty).unionByName(short).unionByName(header)
+
+
+def parse_comma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = readers.parse_comma(comma_lines(spark, sf_dir))
+    return good
+
+
+def parse_comma_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = readers.parse_comma(comma_lines(spark, sf_dir))
+    return rejected.agg(F.count("*").alias("n_rejected"))
+
+
+Q20_COLS = list(CLUSTER_SPECS["q20"].cols)
+
+
+def space_lines(spark: SparkSession, sf_dir: str, with_bad: bool = False) -> DataFrame:
+    """q20 vectors as blank-separated lines; customers without returns get a
+    trailing blank. With ``with_bad``, those customers also get a line with a
+    doubled blank (an empty token)."""
+    feats = extract.q20_features(spark, sf_dir)
+    vals = [F.col(c).cast("string") for c in Q20_COLS]
+    no_returns = F.col("returns") == 0
+    line = F.concat_ws(" ", *vals)
+    main = feats.select(F.when(no_returns, F.concat(line, F.lit(" "))).otherwise(line).alias("value"))
+    if not with_bad:
+        return main
+    bad = feats.where(no_returns).select(F.concat_ws("  ", *vals).alias("value"))
+    return main.unionByName(bad)
+
+
+def parse_space(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = readers.parse_space(space_lines(spark, sf_dir), mode="strict", width=len(Q20_COLS))
+    return readers.vector_columns(good, len(Q20_COLS))
+
+
+def parse_space_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, rejected = readers.parse_space(space_lines(spark, sf_dir, True), mode="drop",
+                                         width=len(Q20_COLS))
+    return readers.vector_columns(good, len(Q20_COLS))
+
+
+def tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents as tab lines; German ones get a trailing tab (kept),
+    French ones a lower-case label (rejected), Spanish ones a fourth field
+    (rejected)."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    label = (F.when(F.col("toxic") == 1, F.lit("NEG")).when(F.col("quality") == 1, F.lit("POS"))
+             .otherwise(F.lit("NEU")))
+    label = F.when(F.col("lang") == "fr", F.lower(label)).otherwise(label)
+    text = F.regexp_replace(F.col("text"), "[\t\r\n]+", " ")
+    line = F.concat_ws("\t", F.col("doc_id").cast("string"), label, text)
+    line = (F.when(F.col("lang") == "de", F.concat(line, F.lit("\t")))
+            .when(F.col("lang") == "es", F.concat(line, F.lit("\tx")))
+            .otherwise(line))
+    return docs.join(labels, "doc_id").select(line.alias("value"))
+
+
+def parse_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good, _ = readers.parse_tab(tab_lines(spark, sf_dir), LABELS)
+    return good
+
+
+def parse_tab_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = readers.parse_tab(tab_lines(spark, sf_dir), LABELS)
+    return rejected.agg(F.count("*").alias("n_rejected"))
