@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..functions.text import NUM_FEATURES, document_buckets
 from ..session import materialize
 from .sizing import broadcast_if_bounded, row_bytes
-from .tfidf import BUCKET, idf_table
+from .tfidf import BUCKET
 
 PREDICTION = "prediction"
 
@@ -104,8 +104,13 @@ def score(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
     a, classes = model.smoothing, model.classes
     wide = (model.weights.groupBy(BUCKET)
             .agg(*[F.max(F.when(F.col("label") == c, F.col("s"))).alias(f"s{c}") for c in classes]))
+    # Tokenise each scored document once; the idf and the token rows both read it.
+    bucketed = materialize(_labelled_buckets(docs, id_col, label_col, text_col, model.num_features))
     if idf_from == "test":
-        idf = idf_table(docs, text_col, model.num_features)
+        n_docs = bucketed.select(F.count("*")).scalar()
+        idf = (bucketed.select(F.explode(F.array_distinct("buckets")).alias(BUCKET))
+               .groupBy(BUCKET).agg(F.count("*").alias("df"))
+               .select(BUCKET, F.ln((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
         unseen_idf = 0.0            # not reached: every scored bucket has a test idf
     elif idf_from == "train":
         idf = model.idf
@@ -118,8 +123,7 @@ def score(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
                   for c in classes])
     per_bucket = broadcast_if_bounded(per_bucket, model.num_features, row_bytes(1 + len(classes)))
     unseen = {c: unseen_idf * (math.log(a) - model.log_denominator(c)) for c in classes}
-    tokens = docs.select(id_col, F.col(label_col).cast("int").alias("label"),
-                         F.explode(document_buckets(F.col(text_col), model.num_features)).alias(BUCKET))
+    tokens = bucketed.select(id_col, "label", F.explode("buckets").alias(BUCKET))
     sums = (tokens.join(per_bucket, BUCKET, "left")
             .groupBy(id_col, "label")
             .agg(*[F.sum(F.coalesce(F.col(f"w{c}"), F.lit(unseen[c]))).alias(f"z{c}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numeric import fixed
 from .sizing import broadcast_if_bounded
 
 
@@ -103,6 +104,6 @@ def auc(scored: DataFrame, score: str = "probability", label: str = "label",
     within = Window.partitionBy("part").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     cum = (ranged.join(offsets, "part")
            .withColumn("neg_below", F.col("offset") + F.coalesce(F.sum("neg").over(within), F.lit(0))))
-    return cum.agg(F.round(F.try_divide(
+    return cum.agg(fixed(F.try_divide(
         F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)),
         F.sum("pos").cast("double") * F.sum("neg")), digits).alias("auc"))

@@ -14,6 +14,11 @@ Lloyd's algorithm as DataFrame aggregations. Each round is one scan of the
 
 A cluster that receives no points keeps its previous centre, as in MLlib.
 
+With ``exact_scale`` (the number of decimals the features carry) the centre
+sums are fixed-point integers, so every round - and hence the result - is
+bit-identical however the points are partitioned and whichever order the
+partial sums merge in. Without it, plain double averages are used.
+
 Start: ``init="md5"`` takes the k points with the lowest ``md5(id)`` (a
 deterministic, checkable choice; the reference draws k random points, which
 ``init="random"`` does with a seed). The native ``pyspark.ml`` k-means is
@@ -101,9 +106,18 @@ def initial_centers(points: DataFrame, id_col: str, feature_cols: list[str], k:
     return [[float(r[f]) for f in feature_cols] for r in rows]
 
 
+def center_aggregates(feature_cols: list[str], exact_scale: int | None = None) -> list[Column]:
+    """Per-cluster mean of each feature (exact fixed-point sums when a scale is given)."""
+    if exact_scale is None:
+        return [F.avg(f).alias(f) for f in feature_cols]
+    factor = F.lit(float(10 ** exact_scale))
+    return [(F.sum(F.round(F.col(f) * factor).cast("bigint")).cast("double") / F.count("*") / factor)
+            .alias(f) for f in feature_cols]
+
+
 def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
         max_iter: int = 10, tol: float = 0.0, init: str = "md5", seed: int = 42,
-        materialized: bool = False) -> KMeansModel:
+        materialized: bool = False, exact_scale: int | None = None) -> KMeansModel:
     """Lloyd rounds; stops early only when no centre moved more than ``tol``."""
     feature_cols = list(feature_cols)
     pts = points.select(id_col, *[F.col(f).cast("double").alias(f) for f in feature_cols])
@@ -112,7 +126,7 @@ def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
     model = KMeansModel(feature_cols, initial_centers(pts, id_col, feature_cols, k, init, seed))
     for _ in range(max_iter):
         stats = (assign(pts, model).groupBy(CLUSTER)
-                 .agg(F.count("*").alias("n"), *[F.avg(f).alias(f) for f in feature_cols])
+                 .agg(F.count("*").alias("n"), *center_aggregates(feature_cols, exact_scale))
                  .collect())
         new_centers = [list(c) for c in model.centers]
         for row in stats:
@@ -136,22 +150,30 @@ def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
             .select(CLUSTER, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-def cost(assigned: DataFrame, digits: int = 3) -> DataFrame:
-    """Sum of squared distances to the nearest centre (A9), one row."""
-    return assigned.agg(F.round(F.sum(DIST2), digits).alias("cost"))
+def cost(assigned: DataFrame, digits: int | None = 3) -> DataFrame:
+    """Sum of squared distances to the nearest centre (A9), one row.
+
+    With ``digits``, each distance is first rounded to that many decimals and
+    the sum is exact (a 38-digit decimal), so the figure does not depend on
+    partitioning; ``digits=None`` gives the plain double sum.
+    """
+    if digits is None:
+        return assigned.agg(F.sum(DIST2).alias("cost"))
+    factor = F.lit(float(10 ** digits))
+    exact = F.sum(F.round(F.col(DIST2) * factor).cast("decimal(38,0)"))
+    return assigned.agg((exact.cast("double") / factor).alias("cost"))
 
 
-def centers_frame(spark, model: KMeansModel, digits: int = 6) -> DataFrame:
+def centers_frame(spark, model: KMeansModel) -> DataFrame:
     """The k x d centre matrix as rows (cluster_id, <feature cols>)."""
     rows = [(i, *c) for i, c in enumerate(model.centers)]
     schema = ", ".join([f"{CLUSTER} int"] + [f"`{f}` double" for f in model.feature_cols])
-    df = spark.createDataFrame(rows, schema)
-    return df.select(CLUSTER, *[F.round(f, digits).alias(f) for f in model.feature_cols])
+    return spark.createDataFrame(rows, schema)
 
 
-def report(assigned: DataFrame, model: KMeansModel, digits: int = 6) -> DataFrame:
+def report(assigned: DataFrame, model: KMeansModel) -> DataFrame:
     """Centres with their sizes (M5 + A8): cluster_id, <feature cols>, n."""
-    centers = centers_frame(assigned.sparkSession, model, digits)
+    centers = centers_frame(assigned.sparkSession, model)
     return F.broadcast(centers).join(cluster_sizes(assigned, model.k), CLUSTER)
 
 

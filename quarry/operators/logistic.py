@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import fixed
 from ..session import materialize
 
 # Defaults of the training job when no value is given: passes, lambda, rate.
@@ -96,7 +97,7 @@ def weights_frame(spark, model: LogisticModel, digits: int = 6) -> DataFrame:
     """(term, weight) rows; the intercept is the term ``intercept``."""
     rows = list(zip(model.feature_cols, model.weights)) + [("intercept", model.intercept)]
     return spark.createDataFrame(rows, "term string, weight double") \
-        .select("term", F.round("weight", digits).alias("weight"))
+        .select("term", fixed(F.col("weight"), digits).alias("weight"))
 
 
 def save(model: LogisticModel, path: str, mode: str = "overwrite") -> None:

@@ -57,13 +57,17 @@ QUERIES = {
     "parse_space_drop": Q.parse_space_drop,
     "parse_tab": Q.parse_tab,
     "parse_tab_rejects": Q.parse_tab_rejects,
+    # Model save and load
+    "logistic_roundtrip": Q.logistic_roundtrip,
+    "nb_roundtrip": Q.nb_roundtrip,
 }
 
 
 def _cluster_sql(query: str, kind: str) -> str:
     spec = Q.CLUSTER_SPECS[query]
     features = {"q20": O.Q20_FEATURES, "q25": O.Q25_FEATURES, "q26": O.q26_features_sql()}[query]
-    return O.kmeans_sql(kind, features, spec.id_col, spec.cols, Q.KMEANS_K, Q.KMEANS_ITERATIONS)
+    return O.kmeans_sql(kind, features, spec.id_col, spec.cols, Q.KMEANS_K, Q.KMEANS_ITERATIONS,
+                        spec.scale)
 
 
 def oracle_sql() -> dict[str, str]:
@@ -99,6 +103,8 @@ def oracle_sql() -> dict[str, str]:
     for kind in ("score", "accuracy", "confusion", "auc"):
         sql[f"logistic_{kind}"] = lr(kind, Q.Q05_SMALL_LAMBDA)
     sql["q05"] = lr("report")
+    sql["logistic_roundtrip"] = sql["logistic_score"]
+    sql["nb_roundtrip"] = sql["nb_score"]
     sql["parse_comma"] = O.parse_comma_sql("good")
     sql["parse_comma_rejects"] = O.parse_comma_sql("rejects")
     sql["parse_space"] = O.parse_space_sql(False)

@@ -10,13 +10,19 @@ from __future__ import annotations
 from ..sources import extract as X
 
 
+def _fx(expr: str, digits: int) -> str:
+    """``expr`` rounded to ``digits`` decimals as round(x * 10^d) / 10^d."""
+    f = f"CAST({10 ** digits} AS DOUBLE)"
+    return f"(round(({expr}) * {f}) / {f})"
+
+
 def _in_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
 # --------------------------------------------------------------- extraction
 
-Q20_FEATURES = """
+Q20_FEATURES = f"""
 WITH per_order AS (
   SELECT l_orderkey,
          count_if(l_returnflag = 'R') AS ret_lines,
@@ -31,19 +37,19 @@ per_customer AS (
          sum(ret_lines) AS ret_lines
   FROM per_order JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey)
 SELECT CAST(c_custkey AS BIGINT) AS c_custkey,
-       round(CAST(n_ret_orders AS DOUBLE) / n_orders, 6) AS order_ratio,
-       round(ret_qty / qty, 6) AS item_ratio,
-       round(ret_amt / amt, 6) AS amount_ratio,
+       {_fx("CAST(n_ret_orders AS DOUBLE) / n_orders", 6)} AS order_ratio,
+       {_fx("ret_qty / qty", 6)} AS item_ratio,
+       {_fx("ret_amt / amt", 6)} AS amount_ratio,
        CAST(ret_lines AS DOUBLE) AS returns
 FROM per_customer
 """
 
-Q25_FEATURES = """
+Q25_FEATURES = f"""
 SELECT CAST(o_custkey AS BIGINT) AS c_custkey,
        CAST(date_diff('day', CAST(max(o_orderdate) AS DATE),
                       CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) AS DOUBLE) AS recency,
        CAST(count(*) AS DOUBLE) AS frequency,
-       round(sum(o_totalprice) / 1000.0, 3) AS monetary
+       {_fx("sum(o_totalprice) / 1000.0", 3)} AS monetary
 FROM orders GROUP BY o_custkey
 """
 
@@ -92,9 +98,12 @@ def _dist(p: str, c: str, cols) -> str:
     return " + ".join(f"({p}.{f} - {c}.{f}) * ({p}.{f} - {c}.{f})" for f in cols)
 
 
-def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int = 10) -> str:
-    """CTEs ``pts``, ``c0`` .. ``c{rounds}`` and ``fin`` (final assignment)."""
+def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int = 10,
+                scale: int = 6) -> str:
+    """CTEs ``pts``, ``c0`` .. ``c{rounds}`` and ``fin`` (final assignment).
+    Centre means use exact integer sums of the features at ``scale`` decimals."""
     cols = list(cols)
+    factor = f"CAST({10 ** scale} AS DOUBLE)"
     fl = ", ".join(cols)
     parts = [f"pts AS MATERIALIZED ({features_sql})",
              f"""c0 AS MATERIALIZED (
@@ -110,7 +119,9 @@ def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int =
 
     for r in range(1, rounds + 1):
         parts.append(assign(f"c{r - 1}", f"a{r}"))
-        avgs = ", ".join(f"coalesce(avg(a.{f}), c.{f}) AS {f}" for f in cols)
+        avgs = ", ".join(
+            f"coalesce(CAST(sum(CAST(round(a.{f} * {factor}) AS BIGINT)) AS DOUBLE) / count(a.{f}) / {factor}, "
+            f"c.{f}) AS {f}" for f in cols)
         parts.append(f"""c{r} AS MATERIALIZED (
   SELECT c.cluster_id, {avgs}
   FROM c{r - 1} c LEFT JOIN a{r} a ON a.best.c = c.cluster_id
@@ -120,8 +131,8 @@ def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int =
 
 
 def kmeans_sql(kind: str, features_sql: str, id_col: str, cols, k: int = 8,
-               rounds: int = 10) -> str:
-    ctes = kmeans_ctes(features_sql, id_col, cols, k, rounds)
+               rounds: int = 10, scale: int = 6) -> str:
+    ctes = kmeans_ctes(features_sql, id_col, cols, k, rounds, scale)
     last = f"c{rounds}"
     if kind == "assign":
         body = f"SELECT CAST({id_col} AS BIGINT) AS {id_col}, CAST(best.c AS INTEGER) AS cluster_id FROM fin"
@@ -129,13 +140,13 @@ def kmeans_sql(kind: str, features_sql: str, id_col: str, cols, k: int = 8,
         body = (f"SELECT CAST(c.cluster_id AS INTEGER) AS cluster_id, CAST(count(f.best) AS BIGINT) AS n "
                 f"FROM {last} c LEFT JOIN fin f ON f.best.c = c.cluster_id GROUP BY c.cluster_id")
     elif kind == "cost":
-        body = "SELECT round(sum(best.d), 3) AS cost FROM fin"
+        body = ("SELECT CAST(sum(CAST(round(best.d * CAST(1000 AS DOUBLE)) AS DECIMAL(38,0))) AS DOUBLE) "
+                "/ CAST(1000 AS DOUBLE) AS cost FROM fin")
     elif kind == "centers":
-        rounded = ", ".join(f"round({f}, 6) AS {f}" for f in cols)
-        body = f"SELECT CAST(cluster_id AS INTEGER) AS cluster_id, {rounded} FROM {last}"
+        body = f"SELECT CAST(cluster_id AS INTEGER) AS cluster_id, {', '.join(cols)} FROM {last}"
     elif kind == "report":
-        rounded = ", ".join(f"round(c.{f}, 6) AS {f}" for f in cols)
-        body = (f"SELECT CAST(c.cluster_id AS INTEGER) AS cluster_id, {rounded}, "
+        plain = ", ".join(f"c.{f}" for f in cols)
+        body = (f"SELECT CAST(c.cluster_id AS INTEGER) AS cluster_id, {plain}, "
                 f"CAST(count(f.best) AS BIGINT) AS n "
                 f"FROM {last} c LEFT JOIN fin f ON f.best.c = c.cluster_id "
                 f"GROUP BY c.cluster_id, {', '.join('c.' + f for f in cols)}")
@@ -203,12 +214,12 @@ def hash_tf_sql() -> str:
 
 def idf_sql() -> str:
     return _doc_tf_ctes() + ("SELECT CAST(bucket AS INTEGER) AS bucket, CAST(df AS BIGINT) AS df, "
-                             "round(idf, 6) AS idf FROM idf")
+                             f"{_fx('idf', 6)} AS idf FROM idf")
 
 
 def tfidf_sql() -> str:
     return _doc_tf_ctes() + ("SELECT CAST(tf.doc_id AS BIGINT) AS doc_id, CAST(tf.bucket AS INTEGER) AS bucket, "
-                             "round(tf.tf * idf.idf, 6) AS tfidf FROM tf JOIN idf ON tf.bucket = idf.bucket")
+                             f"{_fx('tf.tf * idf.idf', 6)} AS tfidf FROM tf JOIN idf ON tf.bucket = idf.bucket")
 
 
 # -------------------------------------------------------------- naive bayes
@@ -267,11 +278,11 @@ def nb_sql(kind: str, labels=X.Q28_LABELS, idf_from: str = "test") -> str:
                        "CAST(prediction AS INTEGER) AS prediction FROM pred")
     if kind == "train":
         return ctes + ("SELECT CAST(c.y AS INTEGER) AS label, lab.label AS label_name, "
-                       "CAST(c.nc AS BIGINT) AS n_docs, round(p.pi, 6) AS pi, round(st.st, 6) AS total "
+                       f"CAST(c.nc AS BIGINT) AS n_docs, {_fx('p.pi', 6)} AS pi, {_fx('st.st', 6)} AS total "
                        "FROM cls c JOIN pri p ON p.y = c.y JOIN st ON st.y = c.y JOIN lab ON lab.idx = c.y")
     if kind == "theta":
         return ctes + ("SELECT CAST(s.y AS INTEGER) AS label, CAST(s.bucket AS INTEGER) AS bucket, "
-                       "round(ln(s.s + 1.0) - ln(st.st + 1048576.0), 6) AS theta "
+                       f"{_fx('ln(s.s + 1.0) - ln(st.st + 1048576.0)', 6)} AS theta "
                        "FROM s JOIN st ON st.y = s.y")
     summary = """
 summary AS (
@@ -367,8 +378,8 @@ def logistic_sql(kind: str, features_sql: str, key: str, cols, passes: int, rate
     last = f"w{passes}"
     if kind == "train":
         terms = " UNION ALL ".join(
-            [f"SELECT '{c}' AS term, round(w_{j}, 6) AS weight FROM {last}" for j, c in enumerate(cols)]
-            + [f"SELECT 'intercept' AS term, round(b, 6) AS weight FROM {last}"])
+            [f"SELECT '{c}' AS term, {_fx(f'w_{j}', 6)} AS weight FROM {last}" for j, c in enumerate(cols)]
+            + [f"SELECT 'intercept' AS term, {_fx('b', 6)} AS weight FROM {last}"])
         return ctes + "\n" + terms
     z = " + ".join(f"w.w_{j} * f.{c}" for j, c in enumerate(cols)) + " + w.b"
     scored = (f", scored AS MATERIALIZED (SELECT f.{key}, CAST(f.label AS DOUBLE) AS label, "
@@ -376,24 +387,24 @@ def logistic_sql(kind: str, features_sql: str, key: str, cols, passes: int, rate
               f"CASE WHEN 1.0 / (1.0 + exp(-({z}))) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction "
               f"FROM ({features_sql}) f CROSS JOIN {last} w)\n")
     if kind == "score":
-        return ctes + scored + (f"SELECT CAST({key} AS BIGINT) AS {key}, label, round(probability, 6) AS probability, "
+        return ctes + scored + (f"SELECT CAST({key} AS BIGINT) AS {key}, label, {_fx('probability', 6)} AS probability, "
                                 f"prediction FROM scored")
     if kind == "accuracy":
-        return ctes + scored + "SELECT round(avg(CAST(prediction = label AS DOUBLE)), 6) AS accuracy FROM scored"
+        return ctes + scored + f"SELECT {_fx('avg(CAST(prediction = label AS DOUBLE))', 6)} AS accuracy FROM scored"
     if kind == "confusion":
         return ctes + scored + ("SELECT CAST(label AS INTEGER) AS actual, CAST(prediction AS INTEGER) AS predicted, "
                                 "CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY label, prediction")
     if kind == "auc":
-        return ctes + scored + """,
+        return ctes + scored + f""",
 by_score AS (SELECT probability AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
                     sum(CASE WHEN label = 1 THEN 0 ELSE 1 END) AS neg FROM scored GROUP BY probability),
 cum AS (SELECT s, pos, neg, coalesce(sum(neg) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
                AS neg_below FROM by_score)
-SELECT round(sum(pos * (neg_below + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg)), 6) AS auc FROM cum"""
+SELECT {_fx("sum(pos * (neg_below + neg / 2.0)) / (CAST(sum(pos) AS DOUBLE) * sum(neg))", 6)} AS auc FROM cum"""
     if kind == "report":
-        return ctes + scored + """
+        return ctes + scored + f"""
 SELECT 'accuracy' AS metric, CAST(-1 AS INTEGER) AS actual, CAST(-1 AS INTEGER) AS predicted,
-       round(avg(CAST(prediction = label AS DOUBLE)), 6) AS value,
+       {_fx("avg(CAST(prediction = label AS DOUBLE))", 6)} AS value,
        printf('%.2f', avg(CAST(prediction = label AS DOUBLE))) AS text FROM scored
 UNION ALL
 SELECT 'confusion', CAST(label AS INTEGER), CAST(prediction AS INTEGER), CAST(count(*) AS DOUBLE),

@@ -14,6 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import fixed
 from ..operators import kmeans
 from ..session import materialize
 from ..sources import extract
@@ -29,14 +30,15 @@ class ClusterSpec:
     features: Callable[[SparkSession, str], DataFrame]
     id_col: str
     cols: tuple[str, ...]
+    scale: int          # decimals the features carry: centre sums are exact at this scale
 
 
 CLUSTER_SPECS = {
     "q20": ClusterSpec(extract.q20_features, "c_custkey",
-                       ("order_ratio", "item_ratio", "amount_ratio", "returns")),
-    "q25": ClusterSpec(extract.q25_features, "c_custkey", ("recency", "frequency", "monetary")),
+                       ("order_ratio", "item_ratio", "amount_ratio", "returns"), 6),
+    "q25": ClusterSpec(extract.q25_features, "c_custkey", ("recency", "frequency", "monetary"), 3),
     "q26": ClusterSpec(extract.q26_features, "c_custkey",
-                       tuple(f"n_{t.lower()}" for t in extract.Q26_TYPES)),
+                       tuple(f"n_{t.lower()}" for t in extract.Q26_TYPES), 0),
 }
 
 
@@ -46,7 +48,7 @@ def cluster_fit(spark: SparkSession, sf_dir: str, query: str, k: int = KMEANS_K,
     spec = CLUSTER_SPECS[query]
     pts = materialize(spec.features(spark, sf_dir).select(spec.id_col, *spec.cols))
     model = kmeans.fit(pts, spec.id_col, list(spec.cols), k=k, max_iter=iterations,
-                       materialized=True)
+                       materialized=True, exact_scale=spec.scale)
     return kmeans.assign(pts, model), model
 
 
@@ -130,14 +132,14 @@ def nb_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, _ = nb_fit_score(spark, sf_dir)
     rows = [(c, LABELS[c], model.n_docs[c], model.pi[c], model.totals[c]) for c in model.classes]
     return spark.createDataFrame(rows, "label int, label_name string, n_docs bigint, pi double, total double") \
-        .select("label", "label_name", "n_docs", F.round("pi", 6).alias("pi"),
-                F.round("total", 6).alias("total"))
+        .select("label", "label_name", "n_docs", fixed(F.col("pi"), 6).alias("pi"),
+                fixed(F.col("total"), 6).alias("total"))
 
 
 def nb_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """theta for every (class, bucket) seen in training."""
     model, _ = nb_fit_score(spark, sf_dir)
-    return model.theta().select("label", "bucket", F.round("theta", 6).alias("theta"))
+    return model.theta().select("label", "bucket", fixed(F.col("theta"), 6).alias("theta"))
 
 
 def nb_score(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,12 +206,12 @@ def hash_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def idf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.idf_table(_documents(spark, sf_dir)).select(
-        "bucket", "df", F.round("idf", 6).alias("idf"))
+        "bucket", "df", fixed(F.col("idf"), 6).alias("idf"))
 
 
 def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.tfidf(_documents(spark, sf_dir)).select(
-        "doc_id", "bucket", F.round("tfidf", 6).alias("tfidf"))
+        "doc_id", "bucket", fixed(F.col("tfidf"), 6).alias("tfidf"))
 
 
 # ---------------------------------------------------------- q05: logistic
@@ -251,13 +253,13 @@ def logistic_train_with_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logistic_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, scored = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
-    return scored.select("c_customer_sk", "label", F.round("probability", 6).alias("probability"),
+    return scored.select("c_customer_sk", "label", fixed(F.col("probability"), 6).alias("probability"),
                          "prediction")
 
 
 def logistic_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, scored = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
-    return evaluate.accuracy(scored).select(F.round("accuracy", 6).alias("accuracy"))
+    return evaluate.accuracy(scored).select(fixed(F.col("accuracy"), 6).alias("accuracy"))
 
 
 def logistic_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,7 +280,7 @@ def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = materialize(scored)
     acc = evaluate.accuracy(scored).select(
         F.lit("accuracy").alias("metric"), F.lit(-1).alias("actual"),
-        F.lit(-1).alias("predicted"), F.round("accuracy", 6).alias("value"),
+        F.lit(-1).alias("predicted"), fixed(F.col("accuracy"), 6).alias("value"),
         F.format_string("%.2f", F.col("accuracy")).alias("text"))
     cells = evaluate.confusion_long(scored).select(
         F.lit("confusion").alias("metric"), "actual", "predicted",
@@ -385,3 +387,29 @@ def parse_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parse_tab_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, rejected = readers.parse_tab(tab_lines(spark, sf_dir), LABELS)
     return rejected.agg(F.count("*").alias("n_rejected"))
+
+
+
+# ------------------------------------------------- model save / load
+
+from ..session import shared_path  # noqa: E402
+
+
+def logistic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, save, load, then score with the loaded model; equals logistic_score."""
+    model, _ = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    path = shared_path(spark, "models", "logistic")
+    logistic.save(model, path)
+    loaded = logistic.load(spark, path)
+    data = extract.q05_features(spark, sf_dir)
+    scored = logistic.score(loaded, data, keep=("c_customer_sk",))
+    return scored.select("c_customer_sk", "label", fixed(F.col("probability"), 6).alias("probability"),
+                         "prediction")
+
+
+def nb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, save, load, then score the test set with the loaded model; equals nb_score."""
+    train, test = q28_sets(spark, sf_dir)
+    path = shared_path(spark, "models", "naive_bayes")
+    bayes.save(bayes.fit(train), path)
+    return bayes.score(bayes.load(spark, path), test)

@@ -61,15 +61,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` before it is reused by an iterative fit.
 
-    With a shared checkpoint folder the rows are written there (reliable
-    checkpoint), so a lost executor re-reads them instead of re-running the
-    extraction joins. Without one, fall back to a disk-backed persist;
-    recomputation from lineage then covers executor loss.
+    With a shared checkpoint folder the rows are written there as a Parquet
+    table and read back: one job, compressed columnar files, and a lost
+    executor re-reads files instead of re-running the extraction joins.
+    Without one, fall back to a disk-backed persist; recomputation from
+    lineage then covers executor loss.
     """
     spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if folder:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(folder)
-        return df.checkpoint(eager=True)
+    if checkpoint_dir(spark):
+        path = shared_path(spark, "tables")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def shared_path(spark: SparkSession, *parts: str) -> str:
+    """A fresh path under the cluster's shared checkpoint folder (or, when
+    none is set, under the SQL warehouse folder) for intermediate tables and
+    models written by a query."""
+    import uuid
+
+    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return "/".join([base.rstrip("/"), "quarry", *parts, uuid.uuid4().hex])

@@ -29,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.numeric import fixed
+
 from .tables import table
 
 # Fixed values of our extraction queries (not taken from the reference).
@@ -79,9 +81,9 @@ def q20_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return per_customer.select(
         "c_custkey",
-        F.round(F.col("n_ret_orders") / F.col("n_orders"), 6).alias("order_ratio"),
-        F.round(F.col("ret_qty") / F.col("qty"), 6).alias("item_ratio"),
-        F.round(F.col("ret_amt") / F.col("amt"), 6).alias("amount_ratio"),
+        fixed(F.col("n_ret_orders") / F.col("n_orders"), 6).alias("order_ratio"),
+        fixed(F.col("ret_qty") / F.col("qty"), 6).alias("item_ratio"),
+        fixed(F.col("ret_amt") / F.col("amt"), 6).alias("amount_ratio"),
         F.col("ret_lines").cast("double").alias("returns"),
     )
 
@@ -102,7 +104,7 @@ def q25_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.datediff(last_overall.cast("date"), F.col("last_order").cast("date"))
         .cast("double").alias("recency"),
         F.col("n_orders").cast("double").alias("frequency"),
-        F.round(F.col("amount") / 1000.0, 3).alias("monetary"),
+        fixed(F.col("amount") / 1000.0, 3).alias("monetary"),
     )
 
 
