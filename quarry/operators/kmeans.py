@@ -141,6 +141,22 @@ def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
     return model
 
 
+def fit_best_of(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
+                max_iter: int = 10, runs: int = 1, seed: int = 42,
+                exact_scale: int | None = None) -> KMeansModel:
+    """``runs`` fits from random starts (seeds seed .. seed+runs-1); keeps the
+    one with the lowest cost (D11: the reference's ``runs`` argument)."""
+    pts = materialize(points.select(id_col, *[F.col(f).cast("double").alias(f) for f in feature_cols]))
+    best, best_cost = None, None
+    for r in range(max(1, runs)):
+        model = fit(pts, id_col, feature_cols, k=k, max_iter=max_iter, init="random",
+                    seed=seed + r, materialized=True, exact_scale=exact_scale)
+        c = assign(pts, model).agg(F.sum(DIST2)).first()[0]
+        if best_cost is None or c < best_cost:
+            best, best_cost = model, c
+    return best
+
+
 def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
     """Points per cluster for all k ids; empty clusters show 0."""
     counts = assigned.groupBy(CLUSTER).agg(F.count("*").alias("n"))
