@@ -75,7 +75,7 @@ WITH per_order AS (
 per_customer AS (
   SELECT o_custkey, sum(lines) AS lines, sum(cat_lines) AS cat_lines
   FROM per_order JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey),
-totals AS (SELECT sum(lines) AS all_lines, sum(cat_lines) AS all_cat FROM per_order)
+totals AS (SELECT sum(lines) AS all_lines, sum(cat_lines) AS all_cat FROM per_customer)
 SELECT CAST(c_custkey AS BIGINT) AS c_customer_sk,
        CAST(c_acctbal > {X.Q05_BALANCE_LIMIT} AS DOUBLE) AS flag_balance,
        CAST(c_mktsegment IN ({_in_list(X.Q05_SEGMENTS)}) AS DOUBLE) AS flag_segment,
