@@ -29,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import NUM_FEATURES, document_buckets
+from ..functions.text import NUM_FEATURES, with_buckets
 from ..session import materialize
 from .sizing import broadcast_if_bounded, row_bytes
 from .tfidf import BUCKET
@@ -63,8 +63,8 @@ class NaiveBayesModel:
 
 def _labelled_buckets(docs: DataFrame, id_col: str, label_col: str, text_col: str,
                       num_features: int) -> DataFrame:
-    return docs.select(id_col, F.col(label_col).cast("int").alias("label"),
-                       document_buckets(F.col(text_col), num_features).alias("buckets"))
+    labelled = docs.select(id_col, F.col(label_col).cast("int").alias("label"), text_col)
+    return with_buckets(labelled, text_col, [id_col, "label"], "buckets", num_features)
 
 
 def fit(train: DataFrame, id_col: str = "doc_id", label_col: str = "label_index",

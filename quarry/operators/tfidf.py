@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import NUM_FEATURES, document_buckets
+from ..functions.text import NUM_FEATURES, with_buckets
 from .sizing import broadcast_if_bounded, row_bytes
 
 BUCKET = "bucket"
@@ -28,8 +28,8 @@ BUCKET = "bucket"
 def token_buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   keep: tuple[str, ...] = (), num_features: int = NUM_FEATURES) -> DataFrame:
     """One row per token occurrence: ``(id, *keep, bucket)``."""
-    return docs.select(id_col, *keep,
-                       F.explode(document_buckets(F.col(text_col), num_features)).alias(BUCKET))
+    return (with_buckets(docs, text_col, [id_col, *keep], "_b", num_features)
+            .select(id_col, *keep, F.explode("_b").alias(BUCKET)))
 
 
 def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -42,8 +42,8 @@ def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def document_frequency(docs: DataFrame, text_col: str = "text",
                        num_features: int = NUM_FEATURES) -> DataFrame:
     """``(bucket, df)``: number of documents holding each bucket."""
-    return (docs.select(F.explode(F.array_distinct(
-                document_buckets(F.col(text_col), num_features))).alias(BUCKET))
+    return (with_buckets(docs, text_col, [], "_b", num_features)
+            .select(F.explode(F.array_distinct("_b")).alias(BUCKET))
             .groupBy(BUCKET).agg(F.count("*").alias("df")))
 
 

@@ -52,3 +52,23 @@ def test_bucket_matches_java_hash(spark, words):
     got = spark.createDataFrame([(w,) for w in words], "w string") \
         .select("w", T.bucket(F.col("w")).alias("b")).collect()
     assert [(r.w, r.b) for r in got] == [(w, java_bucket(w)) for w in words]
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.one_of(st.text(max_size=200),
+                          st.text(alphabet=string.ascii_letters + " ,.", min_size=0, max_size=3000)),
+                min_size=1, max_size=30),
+       st.sampled_from([1 << 20, 1 << 4]))
+def test_arrow_buckets_equal_column_expression(spark, texts, size):
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    fast = {r.id: r.buckets for r in T.with_buckets(df, "t", ["id"], num_features=size).collect()}
+    slow = {r.id: r.b for r in df.select("id", T.document_buckets(F.col("t"), size).alias("b")).collect()}
+    assert fast == slow
+
+
+def test_arrow_buckets_long_word_and_chunks(spark, monkeypatch):
+    words = ["a" * 5000, "zz", "b" * 70000, "word"]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, None), (3, "")], "id long, t string")
+    got = {r.id: r.buckets for r in T.with_buckets(df, "t", ["id"]).collect()}
+    assert got[1] == [0] + [java_bucket(w) for w in words]
+    assert got[2] == [0] and got[3] == [0]
