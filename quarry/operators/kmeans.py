@@ -36,9 +36,10 @@ from ..session import materialize
 
 CLUSTER = "cluster_id"
 DIST2 = "dist2"
-# Above this many k*d terms the assignment uses one array literal and
-# higher-order functions instead of an unrolled expression.
-_UNROLL_LIMIT = 4096
+# Above this many k*d terms an unrolled expression is costly to compile each
+# round (and higher-order functions run interpreted), so wide vectors are
+# assigned by a NumPy kernel per Arrow batch instead (``_assign_wide``).
+_UNROLL_LIMIT = 256
 
 
 @dataclass
@@ -82,8 +83,42 @@ def _nearest_hof(feature_cols: list[str], centers: list[list[float]]) -> Column:
     return F.array_min(dists)
 
 
+def _assign_wide(points: DataFrame, model: KMeansModel) -> DataFrame:
+    """Nearest centre per Arrow batch with NumPy: squared differences are added
+    dimension by dimension, left to right (the same order as the column
+    expression), and ties go to the lowest id, so results are identical."""
+    from pyspark.sql import types as T
+
+    cols = list(model.feature_cols)
+    centers = [list(map(float, c)) for c in model.centers]
+    schema = T.StructType(points.schema.fields + [
+        T.StructField(CLUSTER, T.IntegerType(), False), T.StructField(DIST2, T.DoubleType(), False)])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        C = np.asarray(centers, dtype=np.float64)
+        for batch in batches:
+            n = batch.num_rows
+            acc = np.zeros((n, len(C)), dtype=np.float64)
+            for j, name in enumerate(cols):
+                x = batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
+                diff = x[:, None] - C[None, :, j]
+                acc += diff * diff
+            best = acc.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
+            dist = acc[np.arange(n), best] if n else np.zeros(0)
+            yield pa.RecordBatch.from_arrays(
+                list(batch.columns) + [pa.array(best.astype(np.int32)), pa.array(dist)],
+                names=list(batch.schema.names) + [CLUSTER, DIST2])
+
+    return points.mapInArrow(run, schema)
+
+
 def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
     """Points with ``cluster_id`` (nearest centre) and ``dist2`` appended."""
+    if len(model.centers) * len(model.feature_cols) > _UNROLL_LIMIT:
+        return _assign_wide(points.select(*points.columns), model)
     best = nearest(model.feature_cols, model.centers)
     return (points.withColumn("_best", best)
             .withColumn(CLUSTER, F.col("_best.c"))

@@ -26,6 +26,9 @@ QUERIES = {
     "kmeans_sizes": Q.kmeans_sizes("q20"),
     "kmeans_cost": Q.kmeans_cost("q20"),
     "kmeans_native": Q.kmeans_native("q20"),
+    "embeddings_kmeans": Q.kmeans_report("embeddings"),
+    "embeddings_kmeans_cost": Q.kmeans_cost("embeddings"),
+    "parse_space_embeddings": Q.parse_space_embeddings,
     # Q28: text cleaning, hashed TF-IDF, Naive Bayes, report
     "tokenize": Q.tokenize,
     "stopword_filter": Q.stopword_filter,
@@ -65,7 +68,8 @@ QUERIES = {
 
 def _cluster_sql(query: str, kind: str) -> str:
     spec = Q.CLUSTER_SPECS[query]
-    features = {"q20": O.Q20_FEATURES, "q25": O.Q25_FEATURES, "q26": O.q26_features_sql()}[query]
+    features = {"q20": O.Q20_FEATURES, "q25": O.Q25_FEATURES, "q26": O.q26_features_sql(),
+                "embeddings": O.embedding_features_sql()}[query]
     return O.kmeans_sql(kind, features, spec.id_col, spec.cols, Q.KMEANS_K, Q.KMEANS_ITERATIONS,
                         spec.scale)
 
@@ -81,6 +85,9 @@ def oracle_sql() -> dict[str, str]:
     for q in ("q20", "q25", "q26"):
         sql[q] = _cluster_sql(q, "report")
         sql[f"{q}_cost"] = _cluster_sql(q, "cost")
+    sql["embeddings_kmeans"] = _cluster_sql("embeddings", "report")
+    sql["embeddings_kmeans_cost"] = _cluster_sql("embeddings", "cost")
+    sql["parse_space_embeddings"] = O.parse_space_embeddings_sql()
     sql["kmeans_centers"] = _cluster_sql("q20", "centers")
     sql["kmeans_assign"] = _cluster_sql("q20", "assign")
     sql["kmeans_sizes"] = _cluster_sql("q20", "sizes")

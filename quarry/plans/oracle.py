@@ -83,6 +83,16 @@ SELECT CAST(c_custkey AS BIGINT) AS c_customer_sk,
 FROM per_customer JOIN customer ON o_custkey = c_custkey CROSS JOIN totals
 """
 
+def embedding_features_sql(dims: int = X.EMBEDDING_DIMS) -> str:
+    xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(dims))
+    return f"SELECT CAST(vec_id AS BIGINT) AS vec_id, {xs} FROM embeddings"
+
+
+def parse_space_embeddings_sql(dims: int = X.EMBEDDING_DIMS) -> str:
+    xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(dims))
+    return f"SELECT {xs} FROM embeddings"
+
+
 Q28_DOCUMENTS = f"""
 SELECT CAST(d.doc_id AS BIGINT) AS doc_id,
        CASE WHEN l.toxic = 1 THEN 'NEG' WHEN l.quality = 1 THEN 'POS' ELSE 'NEU' END AS label,

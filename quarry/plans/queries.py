@@ -39,6 +39,8 @@ CLUSTER_SPECS = {
     "q25": ClusterSpec(extract.q25_features, "c_custkey", ("recency", "frequency", "monetary"), 3),
     "q26": ClusterSpec(extract.q26_features, "c_custkey",
                        tuple(f"n_{t.lower()}" for t in extract.Q26_TYPES), 0),
+    "embeddings": ClusterSpec(extract.embedding_features, "vec_id",
+                              tuple(f"x{i}" for i in range(extract.EMBEDDING_DIMS)), 9),
 }
 
 
@@ -362,6 +364,15 @@ def parse_space_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.vector_columns(good, len(Q20_COLS))
 
 
+def parse_space_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 64-wide embedding vectors written as blank-separated lines and parsed back."""
+    emb = table(spark, sf_dir, "embeddings", "embedding")
+    lines = emb.select(F.array_join(F.transform("embedding", lambda x: x.cast("double").cast("string")),
+                                    " ").alias("value"))
+    good, _ = readers.parse_space(lines, mode="strict", width=extract.EMBEDDING_DIMS)
+    return readers.vector_columns(good, extract.EMBEDDING_DIMS)
+
+
 def tab_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents as tab lines; German ones get a trailing tab (kept),
     French ones a lower-case label (rejected), Spanish ones a fourth field

@@ -160,6 +160,17 @@ def q05_features(spark: SparkSession, sf_dir: str, category: str = Q05_CATEGORY)
     )
 
 
+EMBEDDING_DIMS = 64
+
+
+def embedding_features(spark: SparkSession, sf_dir: str, dims: int = EMBEDDING_DIMS) -> DataFrame:
+    """The ``embeddings`` vectors as ``vec_id, x0 .. x{dims-1}`` double columns:
+    an all-numeric vector per row, the k-means input shape."""
+    emb = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return emb.select("vec_id", *[F.element_at("embedding", i + 1).cast("double").alias(f"x{i}")
+                                  for i in range(dims)])
+
+
 def q28_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: NEG if toxic, else POS if of quality, else NEU;
     ``split`` is 'train' for ``doc_id % 10 < 8`` and 'test' otherwise."""
