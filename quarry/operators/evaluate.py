@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed
+from ..session import materialize
 from .sizing import broadcast_if_bounded
 
 
@@ -87,14 +88,16 @@ def auc(scored: DataFrame, score: str = "probability", label: str = "label",
     count of negatives is computed in a distributed way: range-partition the
     distinct scores, total each partition, offset each partition by the
     totals of the partitions before it (one row per partition, broadcast),
-    and run the cumulative sum within each partition.
+    and run the cumulative sum within each partition. The distinct-score table
+    is materialized, so it is computed once.
     """
     spark = scored.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     by_score = (scored.groupBy(F.col(score).alias("s"))
                 .agg(F.sum((F.col(label) == 1).cast("long")).alias("pos"),
                      F.sum((F.col(label) != 1).cast("long")).alias("neg")))
-    ranged = by_score.repartitionByRange(parts, "s").withColumn("part", F.spark_partition_id())
+    # written once, so the partition totals and the running sums see the same partition ids
+    ranged = materialize(by_score.repartitionByRange(parts, "s").withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("part").agg(F.sum("neg").alias("part_neg"))
     offsets = totals.select(
         "part",
