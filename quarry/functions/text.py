@@ -19,9 +19,9 @@ NUM_FEATURES = 1 << 20
 
 @lru_cache(maxsize=1)
 def stop_words() -> tuple[str, ...]:
-    """The fixed 319-word stop list (resources/stop_words.txt), blank lines skipped."""
+    """The fixed 319-word stop list (resources/stop_words.txt); blank and '#' lines skipped."""
     text = resources.files("quarry.resources").joinpath("stop_words.txt").read_text("utf-8")
-    return tuple(w for w in text.splitlines() if w)
+    return tuple(w for w in text.splitlines() if w and not w.startswith("#"))
 
 
 def raw_tokens(text: Column) -> Column:

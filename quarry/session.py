@@ -24,6 +24,29 @@ RECOMMENDED_CONF = {
 }
 
 
+# Starting points for a ~100 TB run on ~1000 executors (set them in the cluster's
+# session config; the library itself never changes session settings).
+CLUSTER_CONF = {
+    **RECOMMENDED_CONF,
+    # fewer, larger scan tasks on the fact tables (~400k tasks for 100 TB)
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    # start shuffles wide and let AQE coalesce to ~128 MB partitions
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "200000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+    # a partition 5x the median and over 256 MB is split by the skew join
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    # runtime broadcast conversion for small measured join sides
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    # bound on hinted broadcasts of tables with a proven row bound (2^20 buckets)
+    "quarry.broadcast.maxBoundBytes": str(64 << 20),
+    # Arrow batches of documents handed to the token-hash kernel
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+    # overflow in exact fixed-point sums raises instead of wrapping
+    "spark.sql.ansi.enabled": "true",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "quarry") -> SparkSession:
     """A local session for tests and the bench.
