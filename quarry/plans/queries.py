@@ -14,10 +14,12 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from ..functions.numeric import fixed
-from ..operators import kmeans
-from ..session import materialize
-from ..sources import extract
+from ..operators import bayes, evaluate, kmeans, logistic, report, tfidf
+from ..session import materialize, shared_path
+from ..sources import extract, readers
+from ..sources.tables import table
 
 # Fixed run settings of the reference's k-means jobs: k, iterations, runs.
 KMEANS_K = 8
@@ -91,7 +93,7 @@ def kmeans_centers(query: str):
 
 
 def kmeans_native(query: str, seed: int = 42):
-    """MLlib k-means with a random start (the reference's own method); rows only."""
+    """Spark ML k-means with a random start (the original job's method); rows only."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spec = CLUSTER_SPECS[query]
         pts = materialize(spec.features(spark, sf_dir).select(spec.id_col, *spec.cols))
@@ -103,9 +105,6 @@ def kmeans_native(query: str, seed: int = 42):
 
 # ------------------------------------------------------------- q28: text
 
-from ..functions import text as T  # noqa: E402
-from ..operators import bayes, evaluate, report, tfidf  # noqa: E402
-
 LABELS = list(extract.Q28_LABELS)
 
 
@@ -129,9 +128,14 @@ def nb_fit_score(spark: SparkSession, sf_dir: str, idf_from: str = "test"):
     return model, scored
 
 
+def nb_fit(spark: SparkSession, sf_dir: str) -> bayes.NaiveBayesModel:
+    train, _ = q28_sets(spark, sf_dir)
+    return bayes.fit(train)
+
+
 def nb_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class statistics of the fitted model: documents, log prior, TF-IDF total."""
-    model, _ = nb_fit_score(spark, sf_dir)
+    model = nb_fit(spark, sf_dir)
     rows = [(c, LABELS[c], model.n_docs[c], model.pi[c], model.totals[c]) for c in model.classes]
     return spark.createDataFrame(rows, "label int, label_name string, n_docs bigint, pi double, total double") \
         .select("label", "label_name", "n_docs", fixed(F.col("pi"), 6).alias("pi"),
@@ -140,7 +144,7 @@ def nb_train(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nb_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """theta for every (class, bucket) seen in training."""
-    model, _ = nb_fit_score(spark, sf_dir)
+    model = nb_fit(spark, sf_dir)
     return model.theta().select("label", "bucket", fixed(F.col("theta"), 6).alias("theta"))
 
 
@@ -183,7 +187,6 @@ def nb_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..sources.tables import table
     return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
@@ -218,7 +221,6 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------- q05: logistic
 
-from ..operators import logistic  # noqa: E402
 
 # Fixed run settings of the reference's q05 job: passes, rate, L1 lambda.
 Q05_PASSES = 20
@@ -299,8 +301,6 @@ def logistic_native(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------ readers
 
-from ..sources import readers  # noqa: E402
-from ..sources.tables import table  # noqa: E402
 
 _HEADER = ",".join(readers.COMMA_FIELDS)
 
@@ -400,11 +400,8 @@ def parse_tab_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected.agg(F.count("*").alias("n_rejected"))
 
 
-
 # ------------------------------------------------- model save / load
 
-from ..session import shared_path  # noqa: E402
-
 
 def logistic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load, then score with the loaded model; equals logistic_score."""
