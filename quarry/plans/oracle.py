@@ -394,7 +394,7 @@ def logistic_sql(kind: str, features_sql: str, key: str, cols, passes: int, rate
     z = " + ".join(f"w.w_{j} * f.{c}" for j, c in enumerate(cols)) + " + w.b"
     scored = (f", scored AS MATERIALIZED (SELECT f.{key}, CAST(f.label AS DOUBLE) AS label, "
               f"1.0 / (1.0 + exp(-({z}))) AS probability, "
-              f"CASE WHEN 1.0 / (1.0 + exp(-({z}))) > 0.5 THEN 1.0 ELSE 0.0 END AS prediction "
+              f"CAST(CASE WHEN 1.0 / (1.0 + exp(-({z}))) > 0.5 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS prediction "
               f"FROM ({features_sql}) f CROSS JOIN {last} w)\n")
     if kind == "score":
         return ctes + scored + (f"SELECT CAST({key} AS BIGINT) AS {key}, label, {_fx('probability', 6)} AS probability, "

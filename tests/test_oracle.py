@@ -36,14 +36,22 @@ def duck():
     return con
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_against_oracle(spark, duck, name):
-    got = E.queries()[name](spark, SF_SMALL).toPandas()
+    result = E.queries()[name](spark, SF_SMALL)
+    got = result.toPandas()
     if name not in ORACLE:
         assert len(got) > 0
         return
     want = duck.execute(ORACLE[name]).df()
     assert _rows(got) == _rows(want)
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in result.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck.execute(f"DESCRIBE {ORACLE[name]}").fetchall()}
+    assert spark_types == duck_types
 
 
 def test_entry(spark):
