@@ -61,16 +61,26 @@ class NaiveBayesModel:
             (F.ln(F.col("s") + self.smoothing) - denom[F.col("label")]).alias("theta"))
 
 
-def _labelled_buckets(docs: DataFrame, id_col: str, label_col: str, text_col: str,
-                      num_features: int) -> DataFrame:
-    labelled = docs.select(id_col, F.col(label_col).cast("int").alias("label"), text_col)
-    return with_buckets(labelled, text_col, [id_col, "label"], "buckets", num_features)
+def labelled_buckets(docs: DataFrame, id_col: str = "doc_id", label_col: str = "label_index",
+                     text_col: str = "text", num_features: int = NUM_FEATURES,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(id, label, *keep, buckets)``: every document tokenised and hashed once."""
+    labelled = docs.select(id_col, F.col(label_col).cast("int").alias("label"), *keep, text_col)
+    return with_buckets(labelled, text_col, [id_col, "label", *keep], "buckets", num_features)
 
 
 def fit(train: DataFrame, id_col: str = "doc_id", label_col: str = "label_index",
         text_col: str = "text", smoothing: float = 1.0,
         num_features: int = NUM_FEATURES) -> NaiveBayesModel:
-    docs = materialize(_labelled_buckets(train, id_col, label_col, text_col, num_features))
+    """Fit on labelled texts (tokenised once, materialized, then ``fit_buckets``)."""
+    docs = materialize(labelled_buckets(train, id_col, label_col, text_col, num_features))
+    return fit_buckets(docs, smoothing, num_features)
+
+
+def fit_buckets(docs: DataFrame, smoothing: float = 1.0,
+                num_features: int = NUM_FEATURES) -> NaiveBayesModel:
+    """Fit on ``(label, buckets)`` rows, e.g. a filter of a materialized
+    ``labelled_buckets`` table."""
     counts = {r["label"]: r["n"] for r in
               docs.groupBy("label").agg(F.count("*").alias("n")).collect()}
     classes = sorted(counts)
@@ -95,17 +105,23 @@ def fit(train: DataFrame, id_col: str = "doc_id", label_col: str = "label_index"
 def score(model: NaiveBayesModel, docs: DataFrame, id_col: str = "doc_id",
           label_col: str = "label_index", text_col: str = "text",
           idf_from: str = "test") -> DataFrame:
-    """``(id, label, prediction)`` for every document in ``docs``.
+    """``(id, label, prediction)`` for every document in ``docs`` (texts are
+    tokenised once, materialized, then ``score_buckets``)."""
+    bucketed = materialize(labelled_buckets(docs, id_col, label_col, text_col, model.num_features))
+    return score_buckets(model, bucketed, id_col, idf_from)
+
+
+def score_buckets(model: NaiveBayesModel, bucketed: DataFrame, id_col: str = "doc_id",
+                  idf_from: str = "test") -> DataFrame:
+    """``(id, label, prediction)`` for ``(id, label, buckets)`` rows.
 
     ``idf_from="test"`` re-fits the idf on the scored documents, as the
-    reference does; ``"train"`` applies the training idf (buckets unseen in
+    original job does; ``"train"`` applies the training idf (buckets unseen in
     training then get ln(N_train + 1)).
     """
     a, classes = model.smoothing, model.classes
     wide = (model.weights.groupBy(BUCKET)
             .agg(*[F.max(F.when(F.col("label") == c, F.col("s"))).alias(f"s{c}") for c in classes]))
-    # Tokenise each scored document once; the idf and the token rows both read it.
-    bucketed = materialize(_labelled_buckets(docs, id_col, label_col, text_col, model.num_features))
     if idf_from == "test":
         n_docs = bucketed.select(F.count("*")).scalar()
         idf = (bucketed.select(F.explode(F.array_distinct("buckets")).alias(BUCKET))

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import NUM_FEATURES, with_buckets
+from ..session import materialize
 from .sizing import broadcast_if_bounded, row_bytes
 
 BUCKET = "bucket"
@@ -60,13 +61,20 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           unseen_idf=None) -> DataFrame:
     """``(id, bucket, tfidf)``; idf fitted on ``docs`` unless a table is given.
 
+    The documents are tokenised once into a materialized bucket table, from
+    which both the term counts and (when fitted here) the idf are computed.
     With a table fitted elsewhere, a bucket it lacks had df = 0 there, so its
     idf is ``ln(N_fit + 1)``: pass that as ``unseen_idf`` (value or Column).
     """
+    bucketed = materialize(with_buckets(docs, text_col, [id_col], "_b", num_features))
     if idf is None:
-        idf = idf_table(docs, text_col, num_features)
+        n_docs = bucketed.select(F.count("*")).scalar()
+        idf = (bucketed.select(F.explode(F.array_distinct("_b")).alias(BUCKET))
+               .groupBy(BUCKET).agg(F.count("*").alias("df"))
+               .select(BUCKET, F.ln((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
     idf = broadcast_if_bounded(idf.select(BUCKET, "idf"), num_features, row_bytes(2))
-    tf = term_frequency(docs, id_col, text_col, num_features)
+    tf = (bucketed.select(id_col, F.explode("_b").alias(BUCKET))
+          .groupBy(id_col, BUCKET).agg(F.count("*").alias("tf")))
     weight = F.col("idf") if unseen_idf is None else F.coalesce(F.col("idf"), F.lit(unseen_idf))
     return (tf.join(idf, BUCKET, "left")
             .select(id_col, BUCKET, (F.col("tf") * weight).alias("tfidf")))

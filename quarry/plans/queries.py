@@ -121,16 +121,25 @@ def q28_sets(spark: SparkSession, sf_dir: str):
     return known.where(F.col("split") == "train"), known.where(F.col("split") == "test")
 
 
-def nb_fit_score(spark: SparkSession, sf_dir: str, idf_from: str = "test"):
-    train, test = q28_sets(spark, sf_dir)
-    model = bayes.fit(train)
-    scored = bayes.score(model, test, idf_from=idf_from)
-    return model, scored
+def q28_buckets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(train, test) ``(doc_id, label, split, buckets)`` rows. The labelled
+    documents are read, joined and tokenised once into one materialized table;
+    the two sets are filters on it."""
+    docs = extract.q28_documents(spark, sf_dir).withColumn("label_index", label_index(F.col("label")))
+    known = docs.where(F.col("label_index") >= 0)
+    bucketed = materialize(bayes.labelled_buckets(known, keep=("split",)))
+    return bucketed.where(F.col("split") == "train"), bucketed.where(F.col("split") == "test")
 
 
 def nb_fit(spark: SparkSession, sf_dir: str) -> bayes.NaiveBayesModel:
-    train, _ = q28_sets(spark, sf_dir)
-    return bayes.fit(train)
+    train, _ = q28_buckets(spark, sf_dir)
+    return bayes.fit_buckets(train)
+
+
+def nb_fit_score(spark: SparkSession, sf_dir: str, idf_from: str = "test"):
+    train, test = q28_buckets(spark, sf_dir)
+    model = bayes.fit_buckets(train)
+    return model, bayes.score_buckets(model, test, idf_from=idf_from)
 
 
 def nb_train(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -417,7 +426,7 @@ def logistic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nb_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load, then score the test set with the loaded model; equals nb_score."""
-    train, test = q28_sets(spark, sf_dir)
+    train, test = q28_buckets(spark, sf_dir)
     path = shared_path(spark, "models", "naive_bayes")
-    bayes.save(bayes.fit(train), path)
-    return bayes.score(bayes.load(spark, path), test)
+    bayes.save(bayes.fit_buckets(train), path)
+    return bayes.score_buckets(bayes.load(spark, path), test)
