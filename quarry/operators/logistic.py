@@ -68,14 +68,14 @@ def fit(data: DataFrame, feature_cols: list[str], label_col: str = "label",
     rows = data.select(*[F.col(f).cast("double").alias(f) for f in feature_cols],
                        F.col(label_col).cast("double").alias("_y"))
     grouped = materialize(rows.groupBy(*feature_cols, "_y").agg(F.count("*").alias("_n")))
-    n_rows = grouped.agg(F.sum("_n")).first()[0] or 0
-    if n_rows == 0:
-        raise ValueError("no training rows")
     model = LogisticModel(feature_cols, [0.0] * len(feature_cols), 1.0)
     for i in range(1, passes + 1):
         err = (model.probability() - F.col("_y")) * F.col("_n")
         sums = grouped.agg(*[F.sum(err * F.col(f)).alias(f) for f in feature_cols],
-                           F.sum(err).alias("_b")).first()
+                           F.sum(err).alias("_b"), F.sum("_n").alias("_rows")).first()
+        n_rows = sums["_rows"] or 0
+        if n_rows == 0:
+            raise ValueError("no training rows")
         step = rate / math.sqrt(i)
         shrink = lam * step
         model.weights = [_soft(w - step * (sums[f] / n_rows), shrink)

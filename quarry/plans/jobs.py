@@ -57,7 +57,10 @@ def run_kmeans(spark: SparkSession, input_path: str, output: str | None, k: int,
     and return centres with sizes and the cost (M3-M5, A8, A9, T16, K3, K5)."""
     vectors, _ = readers.read_space(spark, input_path, mode=mode)
     vectors = materialize(vectors.withColumn("_id", F.monotonically_increasing_id()))
-    width = len(vectors.first()["features"])
+    first = vectors.first()
+    if first is None:
+        raise ValueError(f"no vectors in {input_path}")
+    width = len(first["features"])
     if mode == "strict":
         bad = vectors.where(F.size("features") != width).limit(1).collect()
         if bad:

@@ -100,3 +100,14 @@ def test_text_sink(spark, tmp_path):
     assert back == [r.line for r in lines.orderBy("line_no").collect()]
     with pytest.raises(RuntimeError):
         report.require_rows(df.limit(0))
+
+
+def test_drop_views(spark):
+    spark.range(3).createOrReplaceTempView("quarry_tmp_view")
+    report.drop_views(spark, "quarry_tmp_view", "quarry_absent_view")
+    assert "quarry_tmp_view" not in [t.name for t in spark.catalog.listTables()]
+
+
+def test_auc_without_negatives_is_null(spark):
+    df = spark.createDataFrame([(1.0, 0.2), (1.0, 0.7)], "label double, probability double")
+    assert evaluate.auc(df).first().auc is None

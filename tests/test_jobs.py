@@ -58,3 +58,9 @@ def test_naive_bayes_job_matches_query(spark, tmp_path):
     assert got == want
     text = [r.value for r in spark.read.text(str(tmp_path / "result")).collect()]
     assert text[2] == "Summary" and text[9] == "Confusion Matrix"
+
+
+def test_kmeans_job_rejects_empty_input(spark, tmp_path):
+    spark.createDataFrame([], "value string").write.text(str(tmp_path / "in"))
+    with pytest.raises(ValueError):
+        jobs.run_kmeans(spark, str(tmp_path / "in"), None, k=2, max_iteration=2)
