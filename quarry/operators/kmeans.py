@@ -6,7 +6,8 @@ Lloyd's algorithm as DataFrame aggregations. Each round is one scan of the
 * assignment is a column expression: the k centres are inlined as literals
   and the nearest one is ``least(struct(dist2_0, 0), ..., struct(dist2_k, k))``
   - ties go to the lowest cluster id. No join, no broadcast, and the plan
-  does not grow from round to round;
+  does not grow from round to round. Wide vectors (k*d above _UNROLL_LIMIT)
+  use a NumPy kernel per Arrow batch with the same arithmetic order;
 * the update is ``groupBy(cluster_id).agg(count, avg...)``: a partial
   aggregate per task, so the shuffle carries at most k rows per task no
   matter how unbalanced the clusters are;
@@ -66,23 +67,11 @@ def squared_distance(feature_cols: list[str], center: list[float]) -> Column:
 
 def nearest(feature_cols: list[str], centers: list[list[float]]) -> Column:
     """struct(d, c): squared distance to, and id of, the nearest centre."""
-    if len(centers) * len(feature_cols) > _UNROLL_LIMIT:
-        return _nearest_hof(feature_cols, centers)
     candidates = [F.struct(squared_distance(feature_cols, c).alias("d"), F.lit(i).alias("c"))
                   for i, c in enumerate(centers)]
     return candidates[0] if len(candidates) == 1 else F.least(*candidates)
 
 
-def _nearest_hof(feature_cols: list[str], centers: list[list[float]]) -> Column:
-    point = F.array(*[F.col(f).cast("double") for f in feature_cols])
-    table = F.array(*[F.array(*[F.lit(float(v)) for v in c]) for c in centers])
-    dists = F.transform(table, lambda c, i: F.struct(
-        F.aggregate(F.zip_with(c, point, lambda a, b: (b - a) * (b - a)), F.lit(0.0),
-                    lambda acc, x: acc + x).alias("d"),
-        i.alias("c")))
-    return F.array_min(dists)
-
-
 def _assign_wide(points: DataFrame, model: KMeansModel) -> DataFrame:
     """Nearest centre per Arrow batch with NumPy: squared differences are added
     dimension by dimension, left to right (the same order as the column
