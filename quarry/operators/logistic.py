@@ -15,7 +15,8 @@ Each pass is one Spark aggregation; only d + 1 numbers travel to the driver
 and back, inlined as double literals so the plan never grows. Rows with the
 same (features, label) are first grouped into weighted rows (partial
 aggregation), which shrinks 0/1-flag inputs to a handful of rows while giving
-the same gradient.
+the same gradient. When the weighted table is at most SINGLE_TASK_ROWS rows
+(checked with a count), each pass reads it in one task without a shuffle.
 """
 
 from __future__ import annotations
@@ -29,6 +30,10 @@ from pyspark.sql import functions as F
 from ..functions.numeric import fixed
 from ..session import materialize
 
+# Weighted rows up to this count are read by one task per pass (no shuffle);
+# above it every pass is a partial + final aggregation across partitions.
+SINGLE_TASK_ROWS = 100_000
+
 # Defaults of the training job when no value is given: passes, lambda, rate.
 DEFAULT_PASSES = 2
 DEFAULT_LAMBDA = 1e-4
@@ -68,6 +73,9 @@ def fit(data: DataFrame, feature_cols: list[str], label_col: str = "label",
     rows = data.select(*[F.col(f).cast("double").alias(f) for f in feature_cols],
                        F.col(label_col).cast("double").alias("_y"))
     grouped = materialize(rows.groupBy(*feature_cols, "_y").agg(F.count("*").alias("_n")))
+    if grouped.count() <= SINGLE_TASK_ROWS:
+        # checked bound: a few MB at most, so one task per pass beats a shuffle per pass
+        grouped = grouped.coalesce(1)
     model = LogisticModel(feature_cols, [0.0] * len(feature_cols), 1.0)
     for i in range(1, passes + 1):
         err = (model.probability() - F.col("_y")) * F.col("_n")
