@@ -58,6 +58,7 @@ QUERIES = {
     "parse_comma_rejects": Q.parse_comma_rejects,
     "parse_space": Q.parse_space,
     "parse_space_drop": Q.parse_space_drop,
+    "parse_space_rejects": Q.parse_space_rejects,
     "parse_tab": Q.parse_tab,
     "parse_tab_rejects": Q.parse_tab_rejects,
     # Model save and load
@@ -116,6 +117,7 @@ def oracle_sql() -> dict[str, str]:
     sql["parse_comma_rejects"] = O.parse_comma_sql("rejects")
     sql["parse_space"] = O.parse_space_sql(False)
     sql["parse_space_drop"] = O.parse_space_sql(True)
+    sql["parse_space_rejects"] = O.parse_space_rejects_sql()
     sql["parse_tab"] = O.parse_tab_sql("good")
     sql["parse_tab_rejects"] = O.parse_tab_sql("rejects")
     return {k: v for k, v in sql.items() if k in QUERIES}

@@ -474,6 +474,14 @@ WHERE n = {len(cols)} AND x0 IS NOT NULL AND x1 IS NOT NULL AND x2 IS NOT NULL A
 """
 
 
+def parse_space_rejects_sql() -> str:
+    good = parse_space_sql(True)
+    return f"""
+SELECT CAST((SELECT count(*) FROM ({Q20_FEATURES}) f) + (SELECT count(*) FROM ({Q20_FEATURES}) f WHERE returns = 0)
+            - (SELECT count(*) FROM ({good})) AS BIGINT) AS n_rejected
+"""
+
+
 def parse_tab_sql(kind: str, labels=X.Q28_LABELS) -> str:
     lab = "[" + _in_list(labels) + "]"
     base = f"""

@@ -368,11 +368,15 @@ def parse_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_space_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    good, rejected = readers.parse_space(space_lines(spark, sf_dir, True), mode="drop",
-                                         width=len(Q20_COLS))
+    good, _ = readers.parse_space(space_lines(spark, sf_dir, True), mode="drop", width=len(Q20_COLS))
     return readers.vector_columns(good, len(Q20_COLS))
 
 
+def parse_space_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = readers.parse_space(space_lines(spark, sf_dir, True), mode="drop", width=len(Q20_COLS))
+    return rejected.agg(F.count("*").alias("n_rejected"))
+
+
 def parse_space_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 64-wide embedding vectors written as blank-separated lines and parsed back."""
     emb = table(spark, sf_dir, "embeddings", "embedding")
