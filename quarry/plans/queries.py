@@ -116,18 +116,21 @@ def label_index(label, labels=LABELS):
 def q28_sets(spark: SparkSession, sf_dir: str):
     """(train, test) labelled documents with ``label_index``; unknown labels are
     left out (D6) - with this extraction there are none."""
-    docs = extract.q28_documents(spark, sf_dir).withColumn("label_index", label_index(F.col("label")))
-    known = docs.where(F.col("label_index") >= 0)
+    known = q28_labelled(spark, sf_dir)
     return known.where(F.col("split") == "train"), known.where(F.col("split") == "test")
 
 
+def q28_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All labelled documents with a known label: doc_id, label, label_index, text, split."""
+    docs = extract.q28_documents(spark, sf_dir).withColumn("label_index", label_index(F.col("label")))
+    return docs.where(F.col("label_index") >= 0)
+
+
 def q28_buckets(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(train, test) ``(doc_id, label, split, buckets)`` rows. The labelled
     documents are read, joined and tokenised once into one materialized table;
     the two sets are filters on it."""
-    docs = extract.q28_documents(spark, sf_dir).withColumn("label_index", label_index(F.col("label")))
-    known = docs.where(F.col("label_index") >= 0)
-    bucketed = materialize(bayes.labelled_buckets(known, keep=("split",)))
+    bucketed = materialize(bayes.labelled_buckets(q28_labelled(spark, sf_dir), keep=("split",)))
     return bucketed.where(F.col("split") == "train"), bucketed.where(F.col("split") == "test")
 
 
