@@ -8,7 +8,7 @@ from importlib import resources
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values that must equal the reference for identical results:
+# Fixed values that must equal the original's for identical results:
 #   token pattern   - split at every character that is not an ASCII letter
 #   hash buckets    - 2^20, the default size of the hashed term-frequency space
 #   bucket of word  - Java String.hashCode(word) mod 2^20; since 2^20 divides
@@ -60,7 +60,7 @@ def bucket(word: Column, num_features: int = NUM_FEATURES) -> Column:
 def document_buckets(text: Column, num_features: int = NUM_FEATURES) -> Column:
     """Bucket of every kept token, plus one leading bucket-0 entry per document.
 
-    The leading entry is the empty token the reference produces for every
+    The leading entry is the empty token the original produces for every
     document (its cleaned string starts with a blank). It sits in every
     document, so its idf is ln(1) = 0 and it never moves a score; it does
     guarantee each document at least one row once exploded.

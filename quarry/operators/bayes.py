@@ -1,6 +1,6 @@
 """Multinomial Naive Bayes on TF-IDF weights (M6, M7, K2, S8 use).
 
-Model, with smoothing a (1.0 in the reference), B hash buckets, N training
+Model, with smoothing a (1.0 in the original), B hash buckets, N training
 documents, C classes present, n_c documents and S_cb summed TF-IDF weight of
 bucket b in class c, S_c = sum_b S_cb:
 

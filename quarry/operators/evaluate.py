@@ -22,14 +22,14 @@ def _labels_frame(spark, labels: list[str]) -> DataFrame:
 
 
 def accuracy(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """Share of rows with prediction = label (A7; the reference prints it as "AUC")."""
+    """Share of rows with prediction = label (A7; the original prints it as "AUC")."""
     return scored.agg(F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"))
 
 
 def summary(scored: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """Correct, incorrect, total and percentages (A1-A3).
 
-    Percentages are rounded half-even to 4 places, as the reference's number
+    Percentages are rounded half-even to 4 places, as the original number
     format does; 0 rows give NULL percentages instead of NaN.
     """
     counts = scored.agg(F.count_if(F.col(prediction) == F.col(label)).alias("correct"),

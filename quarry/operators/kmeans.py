@@ -21,7 +21,7 @@ bit-identical however the points are partitioned and whichever order the
 partial sums merge in. Without it, plain double averages are used.
 
 Start: ``init="md5"`` takes the k points with the lowest ``md5(id)`` (a
-deterministic, checkable choice; the reference draws k random points, which
+deterministic, checkable choice; the original draws k random points, which
 ``init="random"`` does with a seed). The native ``pyspark.ml`` k-means is
 wrapped by ``fit_native`` for users who want MLlib's k-means|| start.
 """
@@ -169,7 +169,7 @@ def fit_best_of(points: DataFrame, id_col: str, feature_cols: list[str], k: int
                 max_iter: int = 10, runs: int = 1, seed: int = 42,
                 exact_scale: int | None = None) -> KMeansModel:
     """``runs`` fits from random starts (seeds seed .. seed+runs-1); keeps the
-    one with the lowest cost (D11: the reference's ``runs`` argument)."""
+    one with the lowest cost (D11: the original ``runs`` argument)."""
     pts = materialize(points.select(id_col, *[F.col(f).cast("double").alias(f) for f in feature_cols]))
     best, best_cost = None, None
     for r in range(max(1, runs)):

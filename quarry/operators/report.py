@@ -82,7 +82,7 @@ def cluster_lines(report: DataFrame, feature_cols: list[str]) -> DataFrame:
 
 
 def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
-    """Fail when a result is empty (A11; the reference only printed a warning)."""
+    """Fail when a result is empty (A11; the original only printed a warning)."""
     if df.isEmpty():
         raise RuntimeError(f"{what} is empty")
     return df

@@ -1,4 +1,4 @@
-"""File-based jobs with the parameters of the reference's command-line jobs (§2.9).
+"""File-based jobs with the parameters of the original command-line jobs (§2.9).
 
 For users whose feature extraction already writes the three text shapes:
 
@@ -9,7 +9,7 @@ For users whose feature extraction already writes the three text shapes:
   - tab records.
 
 Inputs may be files or directories of part files. Each job returns its
-result DataFrames and writes what the reference wrote (model, report text);
+result DataFrames and writes what the original wrote (model, report text);
 the text sinks overwrite their target and let errors surface.
 """
 
@@ -30,7 +30,7 @@ def train_logistic(spark: SparkSession, input_path: str, output: str,
                    passes: int = logistic.DEFAULT_PASSES, lam: float = logistic.DEFAULT_LAMBDA,
                    rate: float = logistic.DEFAULT_RATE, feature_cols=None) -> logistic.LogisticModel:
     """Fit on comma records and save the model (M1, K1). ``feature_cols`` may add
-    ``label`` to reproduce the reference's third feature (D1)."""
+    ``label`` to reproduce the original third feature (D1)."""
     good, _ = readers.read_comma(spark, input_path)
     model = logistic.fit(good, list(feature_cols or COMMA_FEATURES), "label", passes, rate, lam)
     logistic.save(model, output)

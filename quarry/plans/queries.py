@@ -21,7 +21,7 @@ from ..session import materialize, shared_path
 from ..sources import extract, readers
 from ..sources.tables import table
 
-# Fixed run settings of the reference's k-means jobs: k, iterations, runs.
+# Fixed run settings of the original k-means jobs: k, iterations, runs.
 KMEANS_K = 8
 KMEANS_ITERATIONS = 10
 KMEANS_RUNS = 1
@@ -211,7 +211,7 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cleaned text after stop-word removal, as the reference's cleaning step returns it."""
+    """Cleaned text after stop-word removal, as the original cleaning step returns it."""
     return _documents(spark, sf_dir).select(
         "doc_id", F.size(T.clean_tokens(F.col("text"))).cast("bigint").alias("n_kept"),
         T.cleaned_text(F.col("text")).alias("cleaned"))
@@ -234,7 +234,7 @@ def tfidf_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------- q05: logistic
 
 
-# Fixed run settings of the reference's q05 job: passes, rate, L1 lambda.
+# Fixed run settings of the original q05 job: passes, rate, L1 lambda.
 Q05_PASSES = 20
 Q05_RATE = 1.0
 Q05_LAMBDA = 0.1
@@ -262,7 +262,7 @@ def logistic_train_small_lambda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logistic_train_with_label(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parity fit with the label also fed in as a third feature, as the reference does."""
+    """Parity fit with the label also fed in as a third feature, as the original does."""
     model, _ = logistic_fit_score(spark, sf_dir, feature_cols=Q05_FEATURES + ["label"])
     return logistic.weights_frame(spark, model)
 
@@ -289,8 +289,8 @@ def logistic_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The q05 result at the reference's settings, as metric rows: the accuracy
-    (which the reference prints as "AUC", two decimals; actual = predicted =
+    """The q05 result at the original settings, as metric rows: the accuracy
+    (which the original prints as "AUC", two decimals; actual = predicted =
     -1 on that row) and one row per (actual, predicted) confusion cell."""
     _, scored = logistic_fit_score(spark, sf_dir)
     scored = materialize(scored)

@@ -1,6 +1,6 @@
 """Feature extraction queries (S9) over the star-schema tables.
 
-The reference runs these steps as SQL scripts that are not part of it; only
+The original runs these steps as SQL scripts that are not part of it; only
 their output shapes are known: a comma record ``key, flag, flag, label`` for
 q05, an all-numeric vector per line for q20/q25/q26 and ``id, label, text``
 for q28. The queries below are our own and return DataFrames with those
@@ -35,7 +35,7 @@ from ..functions.numeric import fixed
 from ..session import materialize
 from .tables import table
 
-# Fixed values of our extraction queries (not taken from the reference).
+# Fixed values of our extraction queries (not taken from the original).
 Q05_CATEGORY = "ECONOMY"                       # product type whose interest is predicted
 Q05_BALANCE_LIMIT = 5000.0                     # c_acctbal above this -> first flag
 Q05_SEGMENTS = ("AUTOMOBILE", "MACHINERY")     # c_mktsegment in these -> second flag

@@ -38,7 +38,7 @@ def parse_comma(lines: DataFrame, value: str = VALUE) -> tuple[DataFrame, DataFr
 
     Fields 1-3 must parse as doubles (surrounding blanks allowed); fields past
     the fourth are ignored; field 0 is kept as the string ``c_customer_sk``.
-    A row with a missing or non-numeric field 1-3 is rejected (the reference
+    A row with a missing or non-numeric field 1-3 is rejected (the original
     dropped the unparsable ones and failed on short rows).
     """
     f = F.split(F.col(value), ",")
@@ -59,7 +59,7 @@ def parse_space(lines: DataFrame, value: str = VALUE, mode: str = "strict",
     """All-numeric, single-blank-separated vectors (S4, T2) -> ``features array<double>``.
 
     ``mode="strict"`` fails the job on the first bad token (an empty token
-    from two blanks, a word) as the reference does, and on rows whose width
+    from two blanks, a word) as the original does, and on rows whose width
     differs from ``width``; ``mode="drop"`` moves such rows to ``rejected``.
     Trailing blanks are ignored.
     """
@@ -94,7 +94,7 @@ def parse_tab(lines: DataFrame, labels: list[str], value: str = VALUE) -> tuple[
     Kept: exactly three fields after trailing tabs are stripped, a non-empty
     text, and a label found in ``labels`` (matched exactly, case-sensitive);
     ``label_index`` is its position. Everything else is rejected (the
-    reference turned an unknown label into -1 and failed later).
+    original turned an unknown label into -1 and failed later).
     """
     f = F.split(F.regexp_replace(F.col(value), "\t+$", ""), "\t")
     index = (F.array_position(F.array(*[F.lit(x) for x in labels]), F.get(f, 1)) - 1).cast("int")

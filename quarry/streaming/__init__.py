@@ -1,6 +1,6 @@
 """Streaming use of the fitted models.
 
-The reference is batch-only (no watermarks, windows or state), so this
+The original is batch-only (no watermarks, windows or state), so this
 package adds no streaming operators. The stateless scoring steps are plain
 column expressions and therefore work unchanged on a streaming DataFrame:
 

@@ -15,7 +15,7 @@ B = 1 << 20
 
 
 def python_buckets(text):
-    """The reference's per-document cleaning, as plain Python."""
+    """The original per-document cleaning, as plain Python."""
     stop = set(stop_words())
     cleaned = "".join(" " + t.lower() for t in re.split("[^a-zA-Z]", text)
                       if t and t.lower() not in stop)

@@ -53,7 +53,7 @@ def test_auc_matches_binary_evaluator(spark):
 
 
 def _java_report(correct, total, matrix, labels):
-    """Expected text, following the reference's layout rules."""
+    """Expected text, following the original layout rules."""
     from decimal import ROUND_HALF_EVEN, Decimal
 
     def fmt(x):
