@@ -28,8 +28,8 @@ WITH per_order AS (
          count_if(l_returnflag = 'R') AS ret_lines,
          sum(l_quantity) AS qty,
          sum(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE 0.0 END) AS ret_qty,
-         sum(l_extendedprice) AS amt,
-         sum(CASE WHEN l_returnflag = 'R' THEN l_extendedprice ELSE 0.0 END) AS ret_amt
+         sum(CAST(round(l_extendedprice * 100.0) AS BIGINT)) AS amt,
+         sum(CASE WHEN l_returnflag = 'R' THEN CAST(round(l_extendedprice * 100.0) AS BIGINT) ELSE 0 END) AS ret_amt
   FROM lineitem GROUP BY l_orderkey),
 per_customer AS (
   SELECT o_custkey AS c_custkey, count(*) AS n_orders, count_if(ret_lines > 0) AS n_ret_orders,
@@ -39,7 +39,7 @@ per_customer AS (
 SELECT CAST(c_custkey AS BIGINT) AS c_custkey,
        {_fx("CAST(n_ret_orders AS DOUBLE) / n_orders", 6)} AS order_ratio,
        {_fx("ret_qty / qty", 6)} AS item_ratio,
-       {_fx("ret_amt / amt", 6)} AS amount_ratio,
+       {_fx("CAST(ret_amt AS DOUBLE) / CAST(amt AS DOUBLE)", 6)} AS amount_ratio,
        CAST(ret_lines AS DOUBLE) AS returns
 FROM per_customer
 """
@@ -49,7 +49,7 @@ SELECT CAST(o_custkey AS BIGINT) AS c_custkey,
        CAST(date_diff('day', CAST(max(o_orderdate) AS DATE),
                       CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) AS DOUBLE) AS recency,
        CAST(count(*) AS DOUBLE) AS frequency,
-       {_fx("sum(o_totalprice) / 1000.0", 3)} AS monetary
+       {_fx("CAST(sum(CAST(round(o_totalprice * 100.0) AS BIGINT)) AS DOUBLE) / 100000.0", 3)} AS monetary
 FROM orders GROUP BY o_custkey
 """
 
@@ -288,7 +288,7 @@ def nb_sql(kind: str, labels=X.Q28_LABELS, idf_from: str = "test") -> str:
                        "CAST(prediction AS INTEGER) AS prediction FROM pred")
     if kind == "train":
         return ctes + ("SELECT CAST(c.y AS INTEGER) AS label, lab.label AS label_name, "
-                       f"CAST(c.nc AS BIGINT) AS n_docs, {_fx('p.pi', 6)} AS pi, {_fx('st.st', 6)} AS total "
+                       f"CAST(c.nc AS BIGINT) AS n_docs, {_fx('p.pi', 6)} AS pi, {_fx('st.st', 2)} AS total "
                        "FROM cls c JOIN pri p ON p.y = c.y JOIN st ON st.y = c.y JOIN lab ON lab.idx = c.y")
     if kind == "theta":
         return ctes + ("SELECT CAST(s.y AS INTEGER) AS label, CAST(s.bucket AS INTEGER) AS bucket, "

@@ -53,9 +53,15 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders", "o_orderkey", "o_custkey")
 
 
+def _cents(x):
+    """Money with 2 decimals as exact integer cents (sums no longer depend on order)."""
+    return F.round(x * F.lit(100.0)).cast("bigint")
+
+
 def q20_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Return behaviour per customer: share of orders with a return, share of
-    returned quantity, share of returned money, and the number of returned lines."""
+    returned quantity, share of returned money, and the number of returned lines.
+    Money is summed in integer cents, so every ratio is exact before rounding."""
     returned = F.col("l_returnflag") == "R"
     per_order = (
         _order_lines(spark, sf_dir)
@@ -64,8 +70,9 @@ def q20_features(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.count_if(returned).alias("ret_lines"),
             F.sum("l_quantity").alias("qty"),
             F.sum(F.when(returned, F.col("l_quantity")).otherwise(0.0)).alias("ret_qty"),
-            F.sum("l_extendedprice").alias("amt"),
-            F.sum(F.when(returned, F.col("l_extendedprice")).otherwise(0.0)).alias("ret_amt"),
+            F.sum(_cents(F.col("l_extendedprice"))).alias("amt"),
+            F.sum(F.when(returned, _cents(F.col("l_extendedprice"))).otherwise(F.lit(0).cast("bigint")))
+            .alias("ret_amt"),
         )
     )
     per_customer = (
@@ -85,7 +92,7 @@ def q20_features(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey",
         fixed(F.col("n_ret_orders") / F.col("n_orders"), 6).alias("order_ratio"),
         fixed(F.col("ret_qty") / F.col("qty"), 6).alias("item_ratio"),
-        fixed(F.col("ret_amt") / F.col("amt"), 6).alias("amount_ratio"),
+        fixed(F.col("ret_amt").cast("double") / F.col("amt").cast("double"), 6).alias("amount_ratio"),
         F.col("ret_lines").cast("double").alias("returns"),
     )
 
@@ -93,20 +100,20 @@ def q20_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q25_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recency, frequency and money per customer: days from the customer's
     last order to the last order overall, number of orders, and total order
-    value in thousands."""
+    value in thousands (summed exactly in cents)."""
     orders = table(spark, sf_dir, "orders", "o_custkey", "o_orderdate", "o_totalprice")
     last_overall = orders.select(F.max("o_orderdate")).scalar()
     per_customer = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.max("o_orderdate").alias("last_order"),
         F.count("*").alias("n_orders"),
-        F.sum("o_totalprice").alias("amount"),
+        F.sum(_cents(F.col("o_totalprice"))).alias("amount_cents"),
     )
     return per_customer.select(
         "c_custkey",
         F.datediff(last_overall.cast("date"), F.col("last_order").cast("date"))
         .cast("double").alias("recency"),
         F.col("n_orders").cast("double").alias("frequency"),
-        fixed(F.col("amount") / 1000.0, 3).alias("monetary"),
+        fixed(F.col("amount_cents").cast("double") / 100000.0, 3).alias("monetary"),
     )
 
 
