@@ -1,6 +1,8 @@
 """A hot key holding a third of all rows: results stay exact and AQE splits the
 skewed join partition instead of sending it to one task."""
 
+import re
+
 import duckdb
 from pyspark.sql import functions as F
 
@@ -53,3 +55,27 @@ def test_hot_part_key(spark, tmp_path):
     want = sorted(tuple(r) for r in con.execute(O.q26_features_sql()).fetchall())
     assert got == want
     assert "SortMergeJoin" in plan and "skew=true" in plan, plan
+
+
+def test_hot_customer(spark, tmp_path):
+    """A third of all orders belong to one customer: the per-customer sums are
+    partial aggregates, so the hot key costs one row per map task in the shuffle."""
+    folder = str(tmp_path)
+    orders = table(spark, SF_CHECK, "orders")
+    hot = orders.select(F.min("o_custkey")).first()[0]
+    orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(hot))
+                      .otherwise(F.col("o_custkey"))).repartition(8).write.parquet(f"{folder}/orders.parquet")
+    table(spark, SF_CHECK, "lineitem").repartition(8).write.parquet(f"{folder}/lineitem.parquet")
+    result = extract.q20_features(spark, folder)
+    got = sorted(tuple(r) for r in result.collect())
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    con = duckdb.connect()
+    for name in ("lineitem", "orders"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{folder}/{name}.parquet/*.parquet')")
+    want = sorted(tuple(r) for r in con.execute(O.Q20_FEATURES).fetchall())
+    assert got == want
+    hot_row = [r for r in got if r[0] == hot][0]
+    assert hot_row[4] > 10 * sorted(r[4] for r in got)[len(got) // 2]   # returns of the hot customer
+    # a partial aggregate keyed on the customer feeds the exchange on the customer key
+    assert re.search(r"HashAggregate\(keys=\[o_custkey#\d+L\], functions=\[partial_", plan), plan
+    assert "hashpartitioning(o_custkey" in plan
