@@ -83,3 +83,14 @@ def test_native_cost_matches_relational_cost(spark, q20):
     ours = kmeans.KMeansModel(cols, [list(map(float, c)) for c in model.clusterCenters()])
     cost = kmeans.cost(kmeans.assign(pts, ours), digits=9).first().cost
     assert cost == pytest.approx(model.summary.trainingCost, rel=1e-9)
+
+
+def test_kernel_equals_column_expression(spark, q20):
+    spec, pdf = q20
+    cols = list(spec.cols)
+    pts = spark.createDataFrame(pdf)
+    model = kmeans.fit(pts, spec.id_col, cols, k=8, max_iter=3)
+    expr = pts.withColumn("_b", kmeans.nearest(cols, model.centers)).select(
+        spec.id_col, F.col("_b.c").alias("cluster_id"), F.col("_b.d").alias("dist2"))
+    kernel = kmeans._assign_wide(pts, model).select(spec.id_col, "cluster_id", "dist2")
+    assert sorted(expr.collect()) == sorted(kernel.collect())
