@@ -155,7 +155,8 @@ def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
         pts = materialize(pts)
     model = KMeansModel(feature_cols, initial_centers(pts, id_col, feature_cols, k, init, seed))
     for _ in range(max_iter):
-        stats = (assign(pts, model).groupBy(CLUSTER)
+        # the update needs only the features: the id stays out of the per-round transfer
+        stats = (assign(pts.select(*feature_cols), model).groupBy(CLUSTER)
                  .agg(F.count("*").alias("n"), *center_aggregates(feature_cols, exact_scale))
                  .collect())
         new_centers = [list(c) for c in model.centers]
