@@ -1,0 +1 @@
+"""Data files shipped with the package (the fixed stop-word list)."""
