@@ -35,3 +35,15 @@ def test_naive_bayes_scoring_shuffles_once_per_document(spark):
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
     # ... and are partially aggregated per document before the only exchange of token rows
     assert "partial_sum" in plan
+
+
+def test_naive_bayes_token_counts_are_partial_before_the_shuffle(spark):
+    from pyspark.sql import functions as F
+
+    train, _ = Q.q28_buckets(spark, SF_SMALL)
+    counts = (train.select("label", F.explode("buckets").alias("bucket"))
+              .groupBy("label", "bucket").count())
+    plan = _plan(counts)
+    assert re.search(r"HashAggregate\(keys=\[label#\d+, bucket#\d+\], functions=\[partial_count", plan), plan
+    # no per-document shuffle in training: no exchange keyed on doc_id
+    assert "hashpartitioning(doc_id" not in plan
