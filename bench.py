@@ -30,25 +30,31 @@ def main() -> None:
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="quarry-bench")
     match = re.search(r"sf([0-9.]+)$", sf_dir)
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
     rows: dict[str, int] = {}
+    errors: dict[str, str] = {}
     for name in HEADLINE:
         runs = []
-        for _ in range(repeats):
-            t0 = time.perf_counter()
-            rows[name] = len(QUERIES[name](spark, sf_dir).collect())
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 3)
+        try:
+            for _ in range(repeats):
+                t0 = time.perf_counter()
+                rows[name] = len(QUERIES[name](spark, sf_dir).collect())
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 3)
+        except Exception as exc:  # report and go on: one JSON line either way
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.stop()
     print(json.dumps({
         "metric": "sum_of_median_query_seconds",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "rows": rows,
         "sf": float(match.group(1)) if match else None,
         "cpus": cpus,
         "repeats": repeats,
+        **({"errors": errors} if errors else {}),
     }))
 
 
