@@ -29,8 +29,18 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+# The only spellings of NaN / infinity that Java's Double.valueOf
+# accepts (after trimming). Spark's cast also accepts case-insensitive
+# nan / inf / infinity, which Java rejects.
+JAVA_SPECIALS = ("NaN", "+NaN", "-NaN", "Infinity", "+Infinity", "-Infinity")
+SPARK_ONLY_SPECIAL = "^[+-]?(nan|inf|infinity)$"
+
+
 def _num(field: Column) -> Column:
-    return field.try_cast("double")
+    """String -> double with Java's Double.valueOf rules; NULL where it would throw."""
+    text = F.trim(field)
+    spark_only = F.lower(text).rlike(SPARK_ONLY_SPECIAL) & ~text.isin(*JAVA_SPECIALS)
+    return F.when(spark_only, F.lit(None).cast("double")).otherwise(field.try_cast("double"))
 
 
 def parse_comma(lines: DataFrame, value: str = VALUE) -> tuple[DataFrame, DataFrame]:

@@ -52,14 +52,16 @@ def test_text_round_trip(spark, tmp_path):
 
 
 def test_number_forms_follow_java_double_parsing(spark):
-    """Forms Java's Double.valueOf accepts are kept, quoted and \\N fields are
-    rejected. (Spark also accepts lower-case nan/inf, which Java rejects.)"""
+    """Forms Java's Double.valueOf accepts are kept; quoted, \\N and the
+    lower-case nan/inf spellings (which only Spark's cast would take) are rejected."""
     accepted = {"1d": 1.0, "1f": 1.0, "0x1p3": 8.0, " 2 ": 2.0, "1e3": 1000.0, "+5": 5.0,
                 "Infinity": float("inf")}
-    rows = [f"{i},{v},0,1" for i, v in enumerate(accepted)] + ['90,"1",0,1', "91,\\N,0,1", "92,NaN,0,1"]
+    rows = [f"{i},{v},0,1" for i, v in enumerate(accepted)] + ['90,"1",0,1', "91,\\N,0,1", "92,NaN,0,1",
+                                                              "93,nan,0,1", "94,inf,0,1", "95,-Infinity,0,1"]
     good, rejected = readers.parse_comma(lines(spark, *rows))
     got = {r.c_customer_sk: r.college_education for r in good.collect()}
     for i, v in enumerate(accepted.values()):
         assert got[str(i)] == v
     assert got["92"] != got["92"]          # NaN kept, as in Java
-    assert rejected.count() == 2
+    assert got["95"] == float("-inf")
+    assert rejected.count() == 4
