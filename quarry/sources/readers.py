@@ -76,7 +76,7 @@ def parse_space(lines: DataFrame, value: str = VALUE, mode: str = "strict",
     if mode not in ("strict", "drop"):
         raise ValueError("mode must be 'strict' or 'drop'")
     tokens = F.split(F.regexp_replace(F.col(value), " +$", ""), " ")
-    values = F.transform(tokens, lambda t: t.try_cast("double"))
+    values = F.transform(tokens, _num)
     parsed = lines.select(F.col(value), values.alias("features"))
     bad_token = F.exists("features", lambda x: x.isNull())
     if mode == "strict":

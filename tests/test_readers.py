@@ -20,7 +20,7 @@ def test_comma_edge_rows(spark):
 def test_space_strict_and_drop(spark):
     good, _ = readers.parse_space(lines(spark, "1.0 2.5 3e2", "1.0 2.0 "), mode="drop")
     assert [r.features for r in good.collect()] == [[1.0, 2.5, 300.0], [1.0, 2.0]]
-    for bad in ("1.0  2.0", "1.0 x"):
+    for bad in ("1.0  2.0", "1.0 x", "1.0 nan"):
         strict, _ = readers.parse_space(lines(spark, bad), mode="strict")
         with pytest.raises(PySparkException):
             strict.collect()
