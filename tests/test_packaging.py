@@ -27,3 +27,15 @@ def test_kernels_run_without_package_on_worker_path(tmp_path):
                          capture_output=True, text=True, timeout=600)
     lines = [line for line in out.stdout.splitlines() if line.startswith("RESULT")]
     assert lines and lines[0].split()[1:] == ["44193", "1"], out.stderr[-2000:]
+
+
+def test_cli_writes_report_and_table(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    for query, out in (("q28", "report"), ("q20", "table")):
+        done = subprocess.run([sys.executable, "-m", "quarry", query, "--tables", "/root/testdata/sf0.001",
+                               "--output", str(tmp_path / out), "--local", "2"],
+                              cwd=REPO, env=env, capture_output=True, text=True, timeout=600)
+        assert done.returncode == 0, done.stderr[-2000:]
+    text = "".join(p.read_text() for p in sorted((tmp_path / "report").glob("part-*")))
+    assert "Confusion Matrix" in text and "<--Classified as" in text
+    assert list((tmp_path / "table").glob("*.parquet"))
