@@ -94,3 +94,17 @@ def test_kernel_equals_column_expression(spark, q20):
         spec.id_col, F.col("_b.c").alias("cluster_id"), F.col("_b.d").alias("dist2"))
     kernel = kmeans._assign_wide(pts, model).select(spec.id_col, "cluster_id", "dist2")
     assert sorted(expr.collect()) == sorted(kernel.collect())
+
+
+def test_best_of_runs_keeps_the_lowest_cost(spark, q20):
+    spec, pdf = q20
+    cols = list(spec.cols)
+    pts = spark.createDataFrame(pdf)
+
+    def cost_of(model):
+        return kmeans.cost(kmeans.assign(pts, model), digits=None).first().cost
+
+    singles = [cost_of(kmeans.fit(pts, spec.id_col, cols, k=8, max_iter=5, init="random", seed=s))
+               for s in (11, 12, 13)]
+    best = kmeans.fit_best_of(pts, spec.id_col, cols, k=8, max_iter=5, runs=3, seed=11)
+    assert cost_of(best) == pytest.approx(min(singles), rel=1e-12)
