@@ -118,3 +118,19 @@ def test_partition_independent(spark, q28_data):
     a = sorted(bayes.score(bayes.fit(train.repartition(1)), test.repartition(1)).collect())
     b = sorted(bayes.score(bayes.fit(train.repartition(7)), test.repartition(5)).collect())
     assert a == b
+
+
+def test_hot_bucket_matches_python_reference(spark, q28_data):
+    """One word appended 200 times to every document: a single bucket then holds
+    a large share of all tokens, and results still equal the brute force."""
+    from pyspark.sql import functions as F
+
+    train, test, _, _ = q28_data
+    hot = " ".join(["zebra"] * 200)
+    train_h = train.withColumn("text", F.concat(F.col("text"), F.lit(" " + hot)))
+    test_h = test.withColumn("text", F.concat(F.col("text"), F.lit(" " + hot)))
+    rows = lambda df: [(r.doc_id, r.label_index, python_buckets(r.text))
+                       for r in df.select("doc_id", "label_index", "text").collect()]
+    expect = python_nb(python_tfidf(rows(train_h)), python_tfidf(rows(test_h)))
+    got = {r.doc_id: r.prediction for r in bayes.score(bayes.fit(train_h), test_h).collect()}
+    assert got == expect
