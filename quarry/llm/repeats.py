@@ -8,8 +8,8 @@ dealt out over the cluster is an occurrence of an anchor, not a window:
 1. An occurrence has a key (the anchor's surroundings that lie in all its windows) and a
    name (all that its windows cover). It goes to the part of its key. Occurrences with
    equal key and name are equal in all their windows: all but the earliest are repeats.
-   Those that a slice of text holds itself are settled there, so a hot passage
-   reaches its part once per slice.
+   Those that meet within a map task are settled there, so a hot passage
+   reaches its part about once per task.
 2. If a key has several names, their earliest occurrences may still share some windows.
    Only these are asked for details: the hash of each of their windows, dealt out alike.
 3. What repeats is sent to the parts of the documents, where the texts meet it.
@@ -39,6 +39,7 @@ POSTED, REPEATS, DETAILS, TEXT = 0, 1, 2, 9
 FIELDS = (("key", U64), ("name", U64), ("doc", np.int64), ("row", np.int64), ("begin", np.int32), ("count", np.int16))
 ROWS = "part int, kind int, " + ", ".join(f"{f} binary" for f, _ in FIELDS)
 SEND_BYTES = 64 << 20           # ids of documents that may be sent to every task
+HELD = 1 << 20                  # occurrences that a task gathers before it sends them
 
 
 class Sequence(NamedTuple):
@@ -163,14 +164,35 @@ def later(table: Table, name_new: np.ndarray) -> np.ndarray:
     return (table.doc != table.doc[lead]) | (table.begin != table.begin[lead])
 
 
-def _send(postings: Table, parts: int):
-    """Rows of a slice's occurrences: what repeats within it goes to the documents, the rest to the keys."""
-    table, name_new, _ = by_name(postings)
-    repeat = later(table, name_new)
-    for kind, some in ((POSTED, table.pick(~repeat)), (REPEATS, table.pick(repeat))):
-        part = (some.key % U64(parts)).astype(np.int64) if kind == POSTED else doc_part(some.doc, parts)
-        if (rows := packed(kind, part, some)) is not None:
-            yield rows
+class Outbox:
+    """What a task sends: gathered over slices and parts, so that each receiver gets few rows of it."""
+
+    def __init__(self, parts: int):
+        self.parts, self.held, self.size = parts, {}, 0
+
+    def add(self, kind: int, table: Table) -> None:
+        if len(table.doc):
+            self.held.setdefault(kind, []).append(table)
+            self.size += len(table.doc)
+
+    def rows(self, at_least: int = 0):
+        """Rows of all that is held, if it is ``at_least`` so much.
+
+        Occurrences that repeat others held here go to their documents, the rest to their keys.
+        """
+        if self.size < max(1, at_least):
+            return
+        held, self.held, self.size = self.held, {}, 0
+        if POSTED in held:
+            table, name_new, _ = by_name(joined(held[POSTED]))
+            repeat = later(table, name_new)
+            held[POSTED] = [table.pick(~repeat)]
+            held.setdefault(REPEATS, []).append(table.pick(repeat))
+        for kind, tables in held.items():
+            table = joined(tables)
+            part = (table.key % U64(self.parts)).astype(np.int64) if kind == POSTED else doc_part(table.doc, self.parts)
+            if (rows := packed(kind, part, table)) is not None:
+                yield rows
 
 
 def slice_rows(batch: pa.RecordBatch, sequence) :
@@ -185,11 +207,14 @@ def slice_rows(batch: pa.RecordBatch, sequence) :
 
 def _poster(sequence, how: Anchors, parts: int):
     def post(batches):
+        out = Outbox(parts)
         for batch in batches:
             for _, _, seq, ranges, doc, row in slice_rows(batch, sequence):
                 begin, count, key, name = occurrences(seq, how, ranges)
                 owner = np.searchsorted(seq.first, begin, "right") - 1
-                yield from _send(Table(key, name, doc[owner], row[owner], begin - seq.first[owner], count), parts)
+                out.add(POSTED, Table(key, name, doc[owner], row[owner], begin - seq.first[owner], count))
+                yield from out.rows(HELD)
+        yield from out.rows()
     return post
 
 
@@ -216,15 +241,17 @@ def parts_of(batches):
 def _settler(parts: int):
     """Per part of keys: occurrences that repeat an earlier one, and those asked for details."""
     def settle(batches):
-        for part, held in parts_of(batches):
+        out = Outbox(parts)
+        for _, held in parts_of(batches):
             table, name_new, key_new = by_name(joined(held.get(POSTED, [])))
             repeat = later(table, name_new)
             names = np.add.reduceat(name_new, np.flatnonzero(key_new)) if len(key_new) else key_new
             several = np.repeat(names > 1, np.diff(np.append(np.flatnonzero(key_new), len(key_new))))
-            for kind, some in ((REPEATS, table.pick(repeat)), (DETAILS, table.pick(~repeat & several)),
-                               (REPEATS, joined(held.get(REPEATS, [])))):
-                if (rows := packed(kind, doc_part(some.doc, parts), some)) is not None:
-                    yield rows
+            out.add(REPEATS, table.pick(repeat))
+            out.add(DETAILS, table.pick(~repeat & several))
+            out.add(REPEATS, joined(held.get(REPEATS, [])))
+            yield from out.rows(HELD)
+        yield from out.rows()
     return settle
 
 
@@ -284,6 +311,7 @@ def told_of(table: Table | None, doc: np.ndarray, row: np.ndarray):
 
 def _detailer(sequence, width: int, parts: int):
     def run(batches):
+        out = Outbox(parts)
         for batch, told in told_texts(batches):
             for _, _, seq, ranges, doc, row in slice_rows(batch, sequence):
                 which, begin, count = told_of(told.get(DETAILS), doc, row)
@@ -295,8 +323,10 @@ def _detailer(sequence, width: int, parts: int):
                 owner, start = pair
                 at = seq.first[owner] + start
                 second = RangeHash(mix(seq.elements ^ U64(0x5851F42D4C957F2D)))
-                yield from _send(Table(ranges(at, at + width), second(at, at + width), doc[owner], row[owner], start,
-                                       np.ones(len(at), np.int64)), parts)
+                out.add(POSTED, Table(ranges(at, at + width), second(at, at + width), doc[owner], row[owner], start,
+                                      np.ones(len(at), np.int64)))
+                yield from out.rows(HELD)
+        yield from out.rows()
     return run
 
 

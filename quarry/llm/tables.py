@@ -40,8 +40,8 @@ def drop_stored(df: DataFrame) -> None:
 
 
 def deal_count(spark: SparkSession) -> int:
-    """Number of hash-dealt parts: a few for each shuffle partition, so each is small."""
-    return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """Number of hash-dealt parts: two for each shuffle partition."""
+    return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def pieces(total, bound: int):
