@@ -111,7 +111,7 @@ def joined_words(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def _remover(width: int, with_text: bool):
     """Per row n_words, n_removed, digest of the kept words, and with_text the kept words."""
     def run(batches):
-        for batch, told in repeats.told_texts(batches):
+        for batch, told in (repeats.told_texts if with_text else repeats.packed_told_texts)(batches):
             for at, words, seq, _, doc, row in repeats.slice_rows(batch, words_of):
                 gone = repeats.covered(seq, told, doc, row, width)
                 text, begin = joined_words(words, ~gone)
@@ -125,8 +125,7 @@ def _remover(width: int, with_text: bool):
                     columns.append(pa.array([bytes(view[a:b]).decode() for a, b in zip(begin, end)], pa.string()))
                     names.append("_kept")
                 else:
-                    where = names.index("text")
-                    del columns[where], names[where]
+                    columns, names = [pa.array(doc, mask=doc == repeats.LAST)], ["doc_id"]
                     columns.append(pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(begin, end)], pa.string()))
                     names.append("kept_sha256")
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(words.counts), pa.array(removed)], names=[*names, "_n_words", "_n_removed"])
@@ -141,7 +140,7 @@ def _repeats(texts: DataFrame, width: int) -> DataFrame:
 def remove(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row."""
     texts = id_and_text(docs)
-    met = repeats.meet(_repeats(texts, width), texts)
+    met = repeats.meet_packed(_repeats(texts, width), texts)
     rows = met.mapInArrow(_remover(width, False), "doc_id bigint, kept_sha256 string, _n_words bigint, _n_removed bigint")
     return rows.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), "kept_sha256")
 

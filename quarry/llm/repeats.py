@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import U64, RangeHash, binary_column, column_slices, mix
+from .kernels import SLICE_BYTES, U64, RangeHash, binary_column, column_slices, mix
 from .tables import deal_count
 
 LAST = np.iinfo(np.int64).max   # stands for a null doc_id
 POSTED, REPEATS, DETAILS, TEXT = 0, 1, 2, 9
-FIELDS = (("key", U64), ("name", U64), ("doc", np.int64), ("row", np.int64), ("begin", np.int32), ("count", np.int16))
+FIELDS = (("key", U64), ("name", U64), ("doc", np.int64), ("row", np.int32), ("begin", np.int32), ("count", np.int16))
 ROWS = "part int, kind int, " + ", ".join(f"{f} binary" for f, _ in FIELDS)
 SEND_BYTES = 64 << 20           # ids of documents that may be sent to every task
 HELD = 1 << 20                  # occurrences that a task gathers before it sends them
@@ -202,7 +202,7 @@ def slice_rows(batch: pa.RecordBatch, sequence) :
     for row, offsets, data in column_slices(batch, "text"):
         view, seq = sequence(offsets, data)
         ranges = RangeHash(seq.elements)
-        yield row, view, seq, ranges, doc[row:row + len(offsets) - 1], ranges(seq.first[:-1], seq.first[1:]).view(np.int64)
+        yield row, view, seq, ranges, doc[row:row + len(offsets) - 1], ranges(seq.first[:-1], seq.first[1:]).astype(np.int32)
 
 
 def _poster(sequence, how: Anchors, parts: int):
@@ -261,6 +261,67 @@ def settle(posted: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_settler(deal_count(posted.sparkSession)), ROWS)
 
 
+def _packer(parts: int):
+    """Texts by document part: ids, lengths and one compressed run of bytes for each slice and part."""
+    def pack(batches):
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            doc = batch.column(0)
+            doc = (doc.fill_null(LAST) if doc.null_count else doc).to_numpy(zero_copy_only=False).astype(np.int64)
+            for row, offsets, data in column_slices(batch, "text", 4 * SLICE_BYTES):
+                ids = doc[row:row + len(offsets) - 1]
+                part = doc_part(ids, parts)
+                order = np.argsort(part, kind="stable")
+                size = np.diff(offsets)
+                view = memoryview(np.ascontiguousarray(data))
+                cut = np.flatnonzero(np.concatenate([[True], np.diff(part[order]) > 0, [True]]))
+                blobs = [press.compress(b"".join(view[offsets[i]:offsets[i + 1]] for i in order[a:b])) for a, b in zip(cut[:-1], cut[1:])]
+                many = np.diff(cut)
+                none = binary_column(np.zeros(0, np.int64), 0 * many)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[order][cut[:-1]].astype(np.int32)), pa.array(np.full(len(many), TEXT, np.int32)),
+                     binary_column(size[order], many), pa.array(blobs, pa.binary()), binary_column(ids[order], many), none, none, none],
+                    names=["part", "kind", *(f for f, _ in FIELDS)])
+    return pack
+
+
+def _unpacked_texts(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
+    import zstandard
+
+    size, doc = (np.frombuffer(batch.column(c)[i].as_py(), dtype=np.int64) for c in ("key", "doc"))
+    data = zstandard.ZstdDecompressor().decompress(batch.column("name")[i].as_py(), max_output_size=int(size.sum()) + 1)
+    return pa.RecordBatch.from_arrays([pa.array(doc), binary_column(np.frombuffer(data, dtype=np.uint8), size)], names=["doc_id", "text"])
+
+
+def meet_packed(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """``rows`` and ``texts`` (doc_id, text), dealt by document part, rows first in each part; texts travel compressed."""
+    packed_texts = texts.select("doc_id", "text").mapInArrow(_packer(deal_count(texts.sparkSession)), ROWS)
+    return rows.union(packed_texts).repartition("part").sortWithinPartitions("part", "kind")
+
+
+def packed_told_texts(batches):
+    """The same as ``told_texts``, from ``meet_packed``."""
+    now, held, sorted_ = None, {}, None
+    for batch in batches:
+        part, kind = batch.column("part").to_numpy(), batch.column("kind").to_numpy()
+        for i in range(batch.num_rows):
+            if part[i] != now:
+                now, held, sorted_ = part[i], {}, None
+            if kind[i] != TEXT:
+                held.setdefault(int(kind[i]), []).append(unpacked(batch, i, True))
+                continue
+            if sorted_ is None:
+                sorted_, held = _by_document(held), {}
+            yield _unpacked_texts(batch, i), sorted_
+
+
+def _by_document(held: dict[int, list[Table]]) -> dict[int, Table]:
+    tables = {k: joined(x) for k, x in held.items()}
+    return {k: x.pick(np.lexsort((x.begin, x.doc))) for k, x in tables.items()}
+
+
 def meet(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """``rows`` and ``docs`` (doc_id, text and others), dealt by document part, rows first in each part."""
     parts = deal_count(docs.sparkSession)
@@ -289,9 +350,7 @@ def told_texts(batches):
                     held.setdefault(int(kind[a + i]), []).append(unpacked(told, i, True))
                 continue
             if sorted_ is None:
-                sorted_ = {k: joined(x) for k, x in held.items()}
-                sorted_ = {k: x.pick(np.lexsort((x.begin, x.doc))) for k, x in sorted_.items()}
-                held = {}
+                sorted_, held = _by_document(held), {}
             keep = [i for i, c in enumerate(some.schema.names) if not c.startswith("_r_")]
             yield pa.RecordBatch.from_arrays([some.column(i) for i in keep], names=[some.schema.names[i] for i in keep]), sorted_
 
@@ -312,7 +371,7 @@ def told_of(table: Table | None, doc: np.ndarray, row: np.ndarray):
 def _detailer(sequence, width: int, parts: int):
     def run(batches):
         out = Outbox(parts)
-        for batch, told in told_texts(batches):
+        for batch, told in packed_told_texts(batches):
             for _, _, seq, ranges, doc, row in slice_rows(batch, sequence):
                 which, begin, count = told_of(told.get(DETAILS), doc, row)
                 if not len(which):
@@ -342,7 +401,7 @@ def details(told: DataFrame, texts: DataFrame, sequence, width: int) -> DataFram
     known = F.coalesce(texts["doc_id"], F.lit(LAST))
     few = ids.count() * 8 <= SEND_BYTES
     some = texts.join(F.broadcast(ids) if few else ids, known == ids["asked"], "left_semi")
-    return meet(asked, some).mapInArrow(_detailer(sequence, width, deal_count(texts.sparkSession)), ROWS)
+    return meet_packed(asked, some).mapInArrow(_detailer(sequence, width, deal_count(texts.sparkSession)), ROWS)
 
 
 def _ids(batches):
