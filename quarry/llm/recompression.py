@@ -133,7 +133,7 @@ def _remover(width: int, with_text: bool):
 
 
 def _repeats(texts: DataFrame, width: int) -> DataFrame:
-    told = stored(repeats.settle(repeats.post(texts, words_of, anchors(width))), "told")
+    told = stored(repeats.settle(repeats.post(texts, words_of, anchors(width)), anchors(width).middle), "told")
     return repeats.repeated(told, texts, words_of, width)
 
 

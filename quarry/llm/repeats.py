@@ -11,7 +11,9 @@ dealt out over the cluster is an occurrence of an anchor, not a window:
    Those that meet within a map task are settled there, so a hot passage
    reaches its part about once per task.
 2. If a key has several names, their earliest occurrences may still share some windows.
-   Only these are asked for details: the hash of each of their windows, dealt out alike.
+   Two that do agree on half a window before the anchor or after it, of which each
+   has a 16-bit mark. Those that share a mark are asked for details: the hash of each of
+   their windows on that side, dealt out alike.
 3. What repeats is sent to the parts of the documents, where the texts meet it.
 
 A window is found by 128 bits of hash. Parts hold bounded arrays: there are a few for
@@ -36,9 +38,12 @@ from .tables import deal_count
 
 LAST = np.iinfo(np.int64).max   # stands for a null doc_id
 POSTED, REPEATS, DETAILS, TEXT = 0, 1, 2, 9
-FIELDS = (("key", U64), ("name", U64), ("doc", np.int64), ("row", np.int32), ("begin", np.int32), ("count", np.int16))
+FIELDS = (("key", U64), ("name", U64), ("doc", np.int64), ("row", np.int32), ("begin", np.int32), ("count", np.int16),
+          ("offset", np.int16), ("left", np.uint16), ("right", np.uint16))
+POSTED_ONLY = ("key", "name", "offset", "left", "right")
 ROWS = "part int, kind int, " + ", ".join(f"{f} binary" for f, _ in FIELDS)
 SEND_BYTES = 64 << 20           # ids of documents that may be sent to every task
+SLICE = 1 << 20                 # bytes of text handled at once
 HELD = 1 << 20                  # occurrences that a task gathers before it sends them
 
 
@@ -55,6 +60,11 @@ class Anchors(NamedTuple):
     after: int
     priority: Callable[[Sequence, RangeHash], tuple[np.ndarray, np.ndarray]]  # (priority, eligible) of each position
 
+    @property
+    def middle(self) -> int:
+        """Windows that begin at least so far before their anchor are its left ones."""
+        return (self.before + self.width - self.after) // 2
+
 
 def sliding_min(x: np.ndarray, m: int) -> np.ndarray:
     """Minimum of each m consecutive values."""
@@ -66,13 +76,13 @@ def sliding_min(x: np.ndarray, m: int) -> np.ndarray:
 
 
 def occurrences(seq: Sequence, how: Anchors, ranges: RangeHash):
-    """(first window, windows, key, name) of the occurrences of a slice, in order."""
+    """Occurrences of a slice, in order: first window, windows, key, name, anchor's offset, left and right marks."""
     n, width = len(seq.elements), how.width
     ends = np.repeat(seq.first[1:], np.diff(seq.first))
     windows = np.flatnonzero(np.arange(n) + width <= ends)
     none = np.zeros(0, np.int64)
     if not len(windows):
-        return none, none, none.astype(U64), none.astype(U64)
+        return none, none, none.astype(U64), none.astype(U64), none, none, none
     priority, eligible = how.priority(seq, ranges)
     bits = U64(max(1, int(n).bit_length()))
     place = (U64(1) << bits) - U64(1)
@@ -89,9 +99,15 @@ def occurrences(seq: Sequence, how: Anchors, ranges: RangeHash):
     key = np.zeros(len(begin), dtype=U64)
     key[~lonely] = ranges(at[~lonely] - how.before, at[~lonely] + how.after)
     key[lonely] = mix(ranges(begin[lonely], begin[lonely] + width) ^ U64(0xA5A5A5A5))
-    offset = np.where(lonely, 0, at - begin).astype(U64)
-    name = mix(ranges(begin, begin + count - 1 + width) + offset * U64(0x9E3779B97F4A7C15) + count.astype(U64))
-    return begin, count, key, name
+    offset = np.where(lonely, 0, at - begin)
+    name = mix(ranges(begin, begin + count - 1 + width) + offset.astype(U64) * U64(0x9E3779B97F4A7C15) + count.astype(U64))
+    owner = np.searchsorted(seq.first, begin, "right") - 1
+    left, right = np.zeros(len(begin), np.uint16), np.zeros(len(begin), np.uint16)
+    # left windows reach at least ``middle`` before the anchor, right ones at least the rest of a window after
+    for mark, lo, hi in ((left, at - how.middle, at + how.after), (right, at - how.before, at + width - how.middle + 1)):
+        inside = ~lonely & (lo >= seq.first[owner]) & (hi <= seq.first[owner + 1])
+        mark[inside] = np.maximum(1, ranges(lo[inside], hi[inside]) & U64(0xFFFF))
+    return begin, count, key, name, offset, left, right
 
 
 def doc_part(doc: np.ndarray, parts: int) -> np.ndarray:
@@ -114,6 +130,9 @@ class Table(NamedTuple):
     row: np.ndarray
     begin: np.ndarray
     count: np.ndarray
+    offset: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
 
     def pick(self, which) -> Table:
         return Table(*(x[which] for x in self))
@@ -134,7 +153,7 @@ def packed(kind: int, part: np.ndarray, table: Table) -> pa.RecordBatch | None:
     bare = kind != POSTED
     return pa.RecordBatch.from_arrays(
         [pa.array(part[first].astype(np.int32)), pa.array(np.full(len(first), kind, np.int32)),
-         *(binary_column(np.zeros(0, t), 0 * size) if bare and f in ("key", "name") else binary_column(x.astype(t), size)
+         *(binary_column(np.zeros(0, t), 0 * size) if bare and f in POSTED_ONLY else binary_column(x.astype(t), size)
            for (f, t), x in zip(FIELDS, table))],
         names=["part", "kind", *(f for f, _ in FIELDS)])
 
@@ -142,7 +161,7 @@ def packed(kind: int, part: np.ndarray, table: Table) -> pa.RecordBatch | None:
 def unpacked(batch: pa.RecordBatch, i: int, bare: bool) -> Table:
     out = {f: np.frombuffer(batch.column(f)[i].as_py(), dtype=t) for f, t in FIELDS}
     if bare:
-        out["key"] = out["name"] = np.zeros(len(out["doc"]), U64)
+        out |= {f: np.zeros(len(out["doc"]), t) for f, t in FIELDS if f in POSTED_ONLY}
     return Table(**out)
 
 
@@ -164,6 +183,28 @@ def later(table: Table, name_new: np.ndarray) -> np.ndarray:
     return (table.doc != table.doc[lead]) | (table.begin != table.begin[lead])
 
 
+def _met(key: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Whether another occurrence has the same key and mark (0: no mark)."""
+    both = mix(key ^ (mark.astype(U64) * U64(0xD1B54A32D192ED03)))
+    order = np.argsort(both, kind="stable")
+    same = both[order][1:] == both[order][:-1]
+    out = np.zeros(len(key), dtype=bool)
+    out[order[1:]] |= same
+    out[order[:-1]] |= same
+    return out & (mark != 0)
+
+
+def ask(table: Table, middle: int) -> Table:
+    """Of the earliest occurrences of different names, the windows that may be shared."""
+    if not len(table.key):
+        return table
+    left, right = _met(table.key, table.left), _met(table.key, table.right)
+    lefts = np.clip(table.offset.astype(np.int64) - middle + 1, 0, table.count)
+    begin = table.begin + np.where(left, 0, lefts)
+    count = np.where(left, lefts, 0) + np.where(right, table.count - lefts, 0)
+    return table._replace(begin=begin, count=count).pick(count > 0)
+
+
 class Outbox:
     """What a task sends: gathered over slices and parts, so that each receiver gets few rows of it."""
 
@@ -199,7 +240,7 @@ def slice_rows(batch: pa.RecordBatch, sequence) :
     """(first row, slice's byte view, Sequence, its RangeHash, document and row hash of each row) of a batch with doc_id and text."""
     doc = batch.column(batch.schema.get_field_index("doc_id"))
     doc = (doc.fill_null(LAST) if doc.null_count else doc).to_numpy(zero_copy_only=False).astype(np.int64)
-    for row, offsets, data in column_slices(batch, "text"):
+    for row, offsets, data in column_slices(batch, "text", SLICE):
         view, seq = sequence(offsets, data)
         ranges = RangeHash(seq.elements)
         yield row, view, seq, ranges, doc[row:row + len(offsets) - 1], ranges(seq.first[:-1], seq.first[1:]).astype(np.int32)
@@ -210,9 +251,9 @@ def _poster(sequence, how: Anchors, parts: int):
         out = Outbox(parts)
         for batch in batches:
             for _, _, seq, ranges, doc, row in slice_rows(batch, sequence):
-                begin, count, key, name = occurrences(seq, how, ranges)
+                begin, count, key, name, *rest = occurrences(seq, how, ranges)
                 owner = np.searchsorted(seq.first, begin, "right") - 1
-                out.add(POSTED, Table(key, name, doc[owner], row[owner], begin - seq.first[owner], count))
+                out.add(POSTED, Table(key, name, doc[owner], row[owner], begin - seq.first[owner], count, *rest))
                 yield from out.rows(HELD)
         yield from out.rows()
     return post
@@ -238,7 +279,7 @@ def parts_of(batches):
         yield now, held
 
 
-def _settler(parts: int):
+def _settler(parts: int, middle: int):
     """Per part of keys: occurrences that repeat an earlier one, and those asked for details."""
     def settle(batches):
         out = Outbox(parts)
@@ -248,17 +289,17 @@ def _settler(parts: int):
             names = np.add.reduceat(name_new, np.flatnonzero(key_new)) if len(key_new) else key_new
             several = np.repeat(names > 1, np.diff(np.append(np.flatnonzero(key_new), len(key_new))))
             out.add(REPEATS, table.pick(repeat))
-            out.add(DETAILS, table.pick(~repeat & several))
+            out.add(DETAILS, ask(table.pick(~repeat & several), middle))
             out.add(REPEATS, joined(held.get(REPEATS, [])))
             yield from out.rows(HELD)
         yield from out.rows()
     return settle
 
 
-def settle(posted: DataFrame) -> DataFrame:
+def settle(posted: DataFrame, middle: int = 0) -> DataFrame:
     """Rows for the documents' parts: repeats and details."""
     dealt = posted.repartition("part").sortWithinPartitions("part")
-    return dealt.mapInArrow(_settler(deal_count(posted.sparkSession)), ROWS)
+    return dealt.mapInArrow(_settler(deal_count(posted.sparkSession), middle), ROWS)
 
 
 def _packer(parts: int):
@@ -282,7 +323,7 @@ def _packer(parts: int):
                 none = binary_column(np.zeros(0, np.int64), 0 * many)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part[order][cut[:-1]].astype(np.int32)), pa.array(np.full(len(many), TEXT, np.int32)),
-                     binary_column(size[order], many), pa.array(blobs, pa.binary()), binary_column(ids[order], many), none, none, none],
+                     binary_column(size[order], many), pa.array(blobs, pa.binary()), binary_column(ids[order], many), *[none] * (len(FIELDS) - 3)],
                     names=["part", "kind", *(f for f, _ in FIELDS)])
     return pack
 
@@ -382,8 +423,9 @@ def _detailer(sequence, width: int, parts: int):
                 owner, start = pair
                 at = seq.first[owner] + start
                 second = RangeHash(mix(seq.elements ^ U64(0x5851F42D4C957F2D)))
+                none = np.zeros(len(at), np.int64)
                 out.add(POSTED, Table(ranges(at, at + width), second(at, at + width), doc[owner], row[owner], start,
-                                      np.ones(len(at), np.int64)))
+                                      none + 1, none, none, none))
                 yield from out.rows(HELD)
         yield from out.rows()
     return run
