@@ -27,7 +27,7 @@ from .tables import pieces
 K = 10
 SHARD_ROWS = 4096
 BLOCK_ROWS = 2048
-LEAF = 48
+LEAF = 192
 
 
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -47,6 +47,14 @@ def distances(queries: np.ndarray, points: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Distance of each row of a to that of b, summed in the same order as ``distances``."""
+    total = np.zeros(len(a))
+    for d in (a - b).T:
+        total += d * d
+    return np.sqrt(total)
+
+
 class Tree:
     """Nodes in arrays: vantage point, children, range of points, and distance ranges of both children."""
 
@@ -80,6 +88,19 @@ def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarr
     best = np.full((len(queries), k), np.inf)
     best_id = np.full((len(queries), k), np.iinfo(np.int64).max)
 
+    square_q, square_p = (queries ** 2).sum(axis=1), (tree.points ** 2).sum(axis=1)
+
+    def meet_leaf(q: np.ndarray, rows: np.ndarray) -> None:
+        """Only pairs that can be among the best, by squared distances with a margin for rounding, are measured."""
+        scale = square_q[q][:, None] + square_p[rows][None, :]
+        open_ = scale * (1 - 1e-9) - 2 * (queries[q] @ tree.points[rows].T) <= best[q, -1][:, None] ** 2 * (1 + 1e-9)
+        some = np.flatnonzero(open_.any(axis=1))
+        if len(some):
+            a, b = np.nonzero(open_[some])
+            d = np.full((len(some), len(rows)), np.inf)
+            d[a, b] = _pairs(queries[q[some[a]]], tree.points[rows[b]])
+            meet(q[some], rows, d)
+
     def meet(q: np.ndarray, rows: np.ndarray, d: np.ndarray) -> None:
         them = np.broadcast_to(ids[rows], d.shape)
         d = np.where(them == query_ids[q][:, None], np.inf, d)
@@ -95,7 +116,7 @@ def search(tree: Tree, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarr
             return
         lo, hi, inner, outer, in_lo, in_hi, out_lo, out_hi = tree.nodes[number]
         if inner < 0:
-            meet(q, tree.order[lo:hi], distances(queries[q], tree.points[tree.order[lo:hi]]))
+            meet_leaf(q, tree.order[lo:hi])
             return
         d = distances(queries[q], tree.points[tree.order[lo:lo + 1]])
         meet(q, tree.order[lo:lo + 1], d)
