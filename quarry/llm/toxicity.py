@@ -17,6 +17,7 @@ table gives no rows; a null doc_id is scored and never learned from.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .kernels import ALNUM_SPLIT, RangeHash, U64, Words, binary_column, byte_symbols, column_slices, unpack
+from .kernels import ALNUM_SPLIT, RangeHash, U64, Words, binary_column, byte_symbols, column_slices
 from .tables import id_and_text
 
 SAMPLE_ROWS = 2500   # labelled rows of each class that the fit reads at most
@@ -88,11 +89,12 @@ def _features(batches):
                 names=["doc_id", "toxic", "buckets", "lengths"])
 
 
-def _odds(bucket: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Log odds of being in a toxic document, of features in at least three of them; else 0."""
-    pair = np.unique(doc.astype(np.int64) << BUCKET_BITS | bucket)
-    held = [np.bincount(pair[toxic[pair >> BUCKET_BITS] == y] & ((1 << BUCKET_BITS) - 1), minlength=1 << BUCKET_BITS) for y in (0, 1)]
-    clean, bad = (np.log((n + 0.5) / ((toxic == y).sum() + 1.0)) for y, n in enumerate(held))
+def _odds(held: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Log odds of being in a toxic document, of features in at least three of them; else 0.
+
+    ``held`` has the number of clean and of toxic documents with each feature, ``texts`` their totals.
+    """
+    clean, bad = np.log((held + 0.5) / (texts[:, None] + 1.0))
     return np.where(held[1] >= 3, np.clip(bad - clean, 0, 6), 0.0)
 
 
@@ -114,27 +116,39 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_
         known.where("toxic = 0").orderBy(order, "doc_id").limit(sample_rows))
     rows = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
     got = rows.mapInArrow(_features, "doc_id bigint, toxic int, buckets binary, lengths binary").toArrow()
-    # copies of a text say nothing new: the one with the smallest id stays
-    got = got.sort_by([("buckets", "ascending"), ("doc_id", "ascending")]).combine_chunks()
     model = NoisyOr(np.zeros(1 << BUCKET_BITS, np.float32), -20.0)
-    texts = got.column("buckets").to_pylist()
-    got = got.filter(pa.array([bool(x) and (i == 0 or x != texts[i - 1]) for i, x in enumerate(texts)], pa.bool_()))
-    toxic = got.column("toxic").to_numpy()
+    doc, label = got.column("doc_id").to_pylist(), got.column("toxic").to_numpy()
+    packed, spans = got.column("buckets"), got.column("lengths")
+    # copies of a text say nothing new: the one with the smallest id stays
+    once: dict[bytes, int] = {}
+    for i in sorted(range(len(doc)), key=lambda i: (doc[i], label[i])):
+        if len(features := packed[i].as_buffer()):
+            once.setdefault(hashlib.sha256(features).digest(), i)
+    rows_ = sorted(once.values(), key=lambda i: (doc[i], label[i]))
+    toxic = label[rows_]
     if not (0 < toxic.sum() < len(toxic)):
         return model
-    batch = got.combine_chunks().to_batches()[0]
-    bucket, _ = unpack(batch.column("buckets"), np.int32)
-    lengths, where = unpack(batch.column("lengths"), np.int32)
-    owner_counts = np.diff(where)
-    first = np.cumsum(lengths) - lengths
-    sentence = np.repeat(np.arange(len(lengths)), lengths)
-    doc_first = np.cumsum(owner_counts) - owner_counts
-    weights, bias = _odds(bucket, np.repeat(np.arange(len(toxic)), np.add.reduceat(lengths, doc_first)), toxic), -7.0
+    held = np.zeros((2, 1 << BUCKET_BITS))
+    for i in rows_:
+        held[int(label[i] == 1), np.unique(np.frombuffer(packed[i].as_buffer(), dtype=np.int32))] += 1
+    weights, bias = _odds(held, np.array([(toxic != 1).sum(), (toxic == 1).sum()])), -7.0
     open_ = weights > 1.0
+    # only features that can get a weight are held from here on, a row at a time
+    some, per_sentence, owner_counts = [], [], []
+    for i in rows_:
+        bucket = np.frombuffer(packed[i].as_buffer(), dtype=np.int32)
+        lengths = np.frombuffer(spans[i].as_buffer(), dtype=np.int32)
+        use = open_[bucket]
+        some.append(bucket[use])
+        per_sentence.append(np.add.reduceat(use, np.cumsum(lengths) - lengths, dtype=np.int64))
+        owner_counts.append(len(lengths))
+    bucket, per_sentence, owner_counts = np.concatenate(some), np.concatenate(per_sentence), np.array(owner_counts)
+    sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)
+    doc_first = np.cumsum(owner_counts) - owner_counts
     seen, seen_bias = np.full(1 << BUCKET_BITS, 1e-12), 1e-12
     floor = evidence / len(toxic)
     for _ in range(rounds):  # proximal full-batch AdaGrad on the noisy-or likelihood
-        z = bias + np.add.reduceat(weights[bucket], first)
+        z = bias + np.bincount(sentence, weights=weights[bucket], minlength=len(per_sentence))
         total = np.add.reduceat(np.logaddexp(0, z), doc_first)
         miss = np.exp(-total)
         slope = np.where(toxic == 1, -miss / np.maximum(1 - miss, 1e-9), 1.0) / len(toxic)
