@@ -14,11 +14,12 @@ tokens (partial aggregation; at most C * B output rows) times the idf table
 (at most B rows). The driver receives only C rows of class statistics.
 
 Scoring: sum_b v_b theta_cb = sum over the document's tokens of
-idf_b * theta_cb, so each token row meets one row of a per-bucket weight table
-``(bucket, w_0 .. w_C-1)`` - at most B rows, a bound fixed by the hashing,
-hence broadcast - and a partial aggregate per document follows. Every
-document keeps its leading bucket-0 token, so documents without words are
-scored by pi alone.
+idf_b * theta_cb. A row is a document, whatever its id: the weights of its
+buckets are summed where it is, without a shuffle. The weights of a class are B
+doubles, a bound fixed by the hashing; as many classes as fit
+``quarry.broadcast.maxBoundBytes`` are sent at once, and further classes follow in
+further steps. Every document keeps its leading bucket-0 token, so documents
+without words are scored by pi alone.
 """
 
 from __future__ import annotations
@@ -26,12 +27,15 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import NUM_FEATURES, with_buckets
 from ..session import materialize
-from .sizing import broadcast_if_bounded, row_bytes
+from .sizing import DEFAULT_BOUND_BYTES, broadcast_if_bounded, row_bytes
 from .tfidf import BUCKET
 
 PREDICTION = "prediction"
@@ -137,17 +141,45 @@ def score_buckets(model: NaiveBayesModel, bucketed: DataFrame, id_col: str = "do
         BUCKET, *[(F.col("idf") * (F.ln(F.coalesce(F.col(f"s{c}"), F.lit(0.0)) + a)
                                    - F.lit(model.log_denominator(c)))).alias(f"w{c}")
                   for c in classes])
-    per_bucket = broadcast_if_bounded(per_bucket, model.num_features, row_bytes(1 + len(classes)))
     unseen = {c: unseen_idf * (math.log(a) - model.log_denominator(c)) for c in classes}
-    tokens = bucketed.select(id_col, "label", F.explode("buckets").alias(BUCKET))
-    sums = (tokens.join(per_bucket, BUCKET, "left")
-            .groupBy(id_col, "label")
-            .agg(*[F.sum(F.coalesce(F.col(f"w{c}"), F.lit(unseen[c]))).alias(f"z{c}")
-                   for c in classes]))
-    best = F.least(*[F.struct((-(F.lit(model.pi[c]) + F.col(f"z{c}"))).alias("neg"),
-                              F.lit(c).alias("c")) for c in classes]) \
-        if len(classes) > 1 else F.struct(F.lit(0.0).alias("neg"), F.lit(classes[0]).alias("c"))
-    return sums.select(id_col, "label", best["c"].alias(PREDICTION))
+    shown = [F.col(c) for c in (id_col, "label")]
+    rows = bucketed.select(*shown, "buckets")
+    spark = bucketed.sparkSession
+    limit = int(spark.conf.get("quarry.broadcast.maxBoundBytes", str(DEFAULT_BOUND_BYTES)))
+    together = max(1, limit // (8 * model.num_features))   # classes whose weights are sent at once
+    schema = T.StructType([*rows.schema.fields, T.StructField("_z", T.DoubleType()), T.StructField("_c", T.IntegerType())])
+    rows = rows.withColumns({"_z": F.lit(None).cast("double"), "_c": F.lit(None).cast("int")})
+    per_bucket = materialize(per_bucket) if together < len(classes) else per_bucket
+    for i in range(0, len(classes), together):
+        some = classes[i:i + together]
+        weights = np.array([[unseen[c]] for c in some]) * np.ones(model.num_features)
+        table = per_bucket.select(BUCKET, *[f"w{c}" for c in some]).toArrow()   # at most num_features rows
+        at = table.column(BUCKET).to_numpy().astype(np.int64)
+        for j, c in enumerate(some):
+            weights[j, at] = table.column(f"w{c}").to_numpy()
+        rows = rows.mapInArrow(_best_class(spark.sparkContext.broadcast(weights), some, [model.pi[c] for c in some]), schema)
+    return rows.select(id_col, "label", F.col("_c").alias(PREDICTION))
+
+
+def _best_class(shared, classes: list[int], priors: list[float]):
+    """Sum the weights of each row's buckets and keep the best class so far; ties keep the lower class."""
+    def run(batches):
+        weights = shared.value
+        for batch in batches:
+            n = batch.num_rows
+            lists = batch.column(batch.schema.get_field_index("buckets"))
+            buckets = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(n), np.diff(lists.offsets.to_numpy()))
+            z = batch.column(batch.schema.get_field_index("_z")).to_numpy(zero_copy_only=False).astype(np.float64)
+            best = np.nan_to_num(batch.column(batch.schema.get_field_index("_c")).to_numpy(zero_copy_only=False).astype(np.float64)).astype(np.int32)
+            z = np.where(np.isnan(z), -np.inf, z)
+            for w, c, prior in zip(weights, classes, priors):
+                score = prior + np.bincount(row, weights=w[buckets], minlength=n)
+                better = score > z
+                z, best = np.where(better, score, z), np.where(better, np.int32(c), best)
+            kept = batch.columns[:-2]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(z), pa.array(best.astype(np.int32))], names=batch.schema.names)
+    return run
 
 
 def save(model: NaiveBayesModel, path: str, mode: str = "overwrite") -> None:

@@ -45,11 +45,15 @@ def summary(scored: DataFrame, label: str = "label", prediction: str = "predicti
 
 
 def confusion_long(scored: DataFrame, label: str = "label",
-                   prediction: str = "prediction") -> DataFrame:
-    """(actual, predicted, n) for every observed pair (A4/A6 long form)."""
-    return (scored.groupBy(F.col(label).cast("int").alias("actual"),
-                           F.col(prediction).cast("int").alias("predicted"))
-            .agg(F.count("*").alias("n")))
+                   prediction: str = "prediction", classes: tuple[int, ...] = (0, 1)) -> DataFrame:
+    """(actual, predicted, n) for every pair of ``classes``, zeros included (A4/A6 long form)."""
+    counts = (scored.groupBy(F.col(label).cast("int").alias("actual"),
+                             F.col(prediction).cast("int").alias("predicted"))
+              .agg(F.count("*").alias("n")))
+    cells = scored.sparkSession.createDataFrame([(a, p) for a in classes for p in classes], "actual int, predicted int")
+    counts = broadcast_if_bounded(counts, len(classes) ** 2, 32)
+    return cells.join(counts, ["actual", "predicted"], "left").select(
+        "actual", "predicted", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
 
 
 def confusion_matrix(scored: DataFrame, labels: list[str], label: str = "label",
@@ -62,8 +66,8 @@ def confusion_matrix(scored: DataFrame, labels: list[str], label: str = "label",
                            F.col(prediction).cast("int").alias("predicted"))
              .groupBy("label").pivot("predicted", list(range(len(names)))).count())
     pivot = pivot.select("label", *[F.col(str(i)).alias(n) for i, n in enumerate(names)])
-    dims = broadcast_if_bounded(_labels_frame(scored.sparkSession, names), len(names), 64)
-    out = dims.join(pivot, "label", "left").select(
+    dims = _labels_frame(scored.sparkSession, names)
+    out = dims.join(broadcast_if_bounded(pivot, len(names), 16 + 8 * len(names)), "label", "left").select(
         "label", "label_name",
         *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
     total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
@@ -73,8 +77,8 @@ def confusion_matrix(scored: DataFrame, labels: list[str], label: str = "label",
 def label_counts(scored: DataFrame, labels: list[str], label: str = "label") -> DataFrame:
     """Rows per actual class, zeros included (A5)."""
     counts = scored.groupBy(F.col(label).cast("int").alias("label")).agg(F.count("*").alias("n"))
-    dims = broadcast_if_bounded(_labels_frame(scored.sparkSession, list(labels)), len(labels), 64)
-    return dims.join(counts, "label", "left").select(
+    dims = _labels_frame(scored.sparkSession, list(labels))
+    return dims.join(broadcast_if_bounded(counts, len(labels), 32), "label", "left").select(
         "label", "label_name", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 

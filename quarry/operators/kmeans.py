@@ -3,12 +3,10 @@
 Lloyd's algorithm as DataFrame aggregations. Each round is one scan of the
 (materialized) points:
 
-* assignment is a column expression: the k centres are inlined as literals
-  and the nearest one is ``least(struct(dist2_0, 0), ..., struct(dist2_k, k))``
-  - ties go to the lowest cluster id. No join, no broadcast, and the plan
-  does not grow from round to round. Above _UNROLL_LIMIT terms (all the
-  registered queries) a NumPy kernel per Arrow batch does the same arithmetic
-  in the same order, which measured about 2x faster;
+* assignment is one NumPy kernel on Arrow batches, the same for every k and
+  width; ties go to the lowest cluster id. No join, no broadcast, and the plan
+  does not grow from round to round. Points with a null, NaN or infinite
+  coordinate are left out of the means and the cost, and counted;
 * the update is ``groupBy(cluster_id).agg(count, avg...)``: a partial
   aggregate per task, so the shuffle carries at most k rows per task no
   matter how unbalanced the clusters are;
@@ -30,25 +28,17 @@ wrapped by ``fit_native`` for users who want MLlib's k-means|| start.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialize
+from .sizing import broadcast_if_bounded
 
 CLUSTER = "cluster_id"
 DIST2 = "dist2"
-# Above this many k*d terms the nearest centre is found by a NumPy kernel per
-# Arrow batch (``_assign_wide``) instead of one unrolled column expression:
-# the unrolled form grows a generated method per k*d term (too large for the
-# JIT once k*d is more than a handful, and recompiled each round since the
-# centres are literals), while the kernel is a few vectorised operations.
-# Measured per round at sf0.1 (local[8]): q20 (k*d=32) 0.38-0.56 s unrolled
-# vs 0.21-0.24 s kernel; q25 (24) 0.31-0.56 vs 0.17-0.21; q26 (48) 0.39-0.65
-# vs 0.19-0.22. Both give bit-identical assignments and distances.
-_UNROLL_LIMIT = 16
-
-
 @dataclass
 class KMeansModel:
     feature_cols: list[str]
@@ -61,33 +51,23 @@ class KMeansModel:
         return len(self.centers)
 
 
-def squared_distance(feature_cols: list[str], center: list[float]) -> Column:
-    """Sum of squared differences, added left to right."""
-    terms = [(F.col(f) - F.lit(float(c))) * (F.col(f) - F.lit(float(c)))
-             for f, c in zip(feature_cols, center)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return total
-
-
-def nearest(feature_cols: list[str], centers: list[list[float]]) -> Column:
-    """struct(d, c): squared distance to, and id of, the nearest centre."""
-    candidates = [F.struct(squared_distance(feature_cols, c).alias("d"), F.lit(i).alias("c"))
-                  for i, c in enumerate(centers)]
-    return candidates[0] if len(candidates) == 1 else F.least(*candidates)
+def complete(feature_cols: list[str]) -> Column:
+    """Whether a point can be placed: no coordinate is null, NaN or infinite."""
+    usable = [F.col(f).isNotNull() & ~F.isnan(F.col(f)) & (F.abs(F.col(f)) < float("inf")) for f in feature_cols]
+    return reduce(lambda a, b: a & b, usable)
 
 
-def _assign_wide(points: DataFrame, model: KMeansModel) -> DataFrame:
-    """Nearest centre per Arrow batch with NumPy: squared differences are added
-    dimension by dimension, left to right (the same order as the column
-    expression), and ties go to the lowest id, so results are identical."""
-    from pyspark.sql import types as T
+def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
+    """Points with ``cluster_id`` (nearest centre) and ``dist2`` appended.
 
+    Squared differences are added dimension by dimension, left to right, by
+    NumPy on Arrow batches; ties go to the lowest id. A point with a null, NaN or infinite
+    coordinate has no nearest centre: both columns are null (``unplaced`` counts them).
+    """
+    points = points.select(*points.columns)
     cols = list(model.feature_cols)
     centers = [list(map(float, c)) for c in model.centers]
-    schema = T.StructType(points.schema.fields + [
-        T.StructField(CLUSTER, T.IntegerType(), False), T.StructField(DIST2, T.DoubleType(), False)])
+    schema = T.StructType(points.schema.fields + [T.StructField(CLUSTER, T.IntegerType()), T.StructField(DIST2, T.DoubleType())])
 
     def run(batches):
         import numpy as np
@@ -97,28 +77,24 @@ def _assign_wide(points: DataFrame, model: KMeansModel) -> DataFrame:
         for batch in batches:
             n = batch.num_rows
             acc = np.zeros((n, len(C)), dtype=np.float64)
+            gap = np.zeros(n, dtype=bool)
             for j, name in enumerate(cols):
                 x = batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
-                diff = x[:, None] - C[None, :, j]
+                gap |= ~np.isfinite(x)
+                diff = np.where(np.isfinite(x), x, 0.0)[:, None] - C[None, :, j]
                 acc += diff * diff
             best = acc.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
             dist = acc[np.arange(n), best] if n else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                list(batch.columns) + [pa.array(best.astype(np.int32)), pa.array(dist)],
+                list(batch.columns) + [pa.array(best.astype(np.int32), mask=gap), pa.array(dist, mask=gap)],
                 names=list(batch.schema.names) + [CLUSTER, DIST2])
 
     return points.mapInArrow(run, schema)
 
 
-def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
-    """Points with ``cluster_id`` (nearest centre) and ``dist2`` appended."""
-    if len(model.centers) * len(model.feature_cols) > _UNROLL_LIMIT:
-        return _assign_wide(points.select(*points.columns), model)
-    best = nearest(model.feature_cols, model.centers)
-    return (points.withColumn("_best", best)
-            .withColumn(CLUSTER, F.col("_best.c"))
-            .withColumn(DIST2, F.col("_best.d"))
-            .drop("_best"))
+def unplaced(assigned: DataFrame) -> DataFrame:
+    """Number of points without a cluster, one row."""
+    return assigned.agg(F.count_if(F.col(CLUSTER).isNull()).alias("n_unplaced"))
 
 
 def initial_centers(points: DataFrame, id_col: str, feature_cols: list[str], k: int,
@@ -130,7 +106,7 @@ def initial_centers(points: DataFrame, id_col: str, feature_cols: list[str], k:
         order = F.xxhash64(F.col(id_col), F.lit(seed))
     else:
         raise ValueError(f"unknown init {init!r}")
-    rows = points.select(order.alias("_o"), *feature_cols).orderBy("_o").limit(k).collect()
+    rows = points.where(complete(feature_cols)).select(order.alias("_o"), *feature_cols).orderBy("_o").limit(k).collect()
     if len(rows) < k:
         raise ValueError(f"need at least k={k} points, got {len(rows)}")
     return [[float(r[f]) for f in feature_cols] for r in rows]
@@ -156,7 +132,7 @@ def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
     model = KMeansModel(feature_cols, initial_centers(pts, id_col, feature_cols, k, init, seed))
     for _ in range(max_iter):
         # the update needs only the features: the id stays out of the per-round transfer
-        stats = (assign(pts.select(*feature_cols), model).groupBy(CLUSTER)
+        stats = (assign(pts.select(*feature_cols), model).where(F.col(CLUSTER).isNotNull()).groupBy(CLUSTER)
                  .agg(F.count("*").alias("n"), *center_aggregates(feature_cols, exact_scale))
                  .collect())
         new_centers = [list(c) for c in model.centers]
@@ -192,23 +168,23 @@ def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
     """Points per cluster for all k ids; empty clusters show 0."""
     counts = assigned.groupBy(CLUSTER).agg(F.count("*").alias("n"))
     ids = assigned.sparkSession.range(k).select(F.col("id").cast("int").alias(CLUSTER))
-    # ids has exactly k rows: a proven bound, so broadcasting it is safe.
-    return (F.broadcast(ids).join(counts, CLUSTER, "left")
+    # counts has at most k rows and one for the points without a cluster
+    return (ids.join(broadcast_if_bounded(counts, k + 1, 32), CLUSTER, "left")
             .select(CLUSTER, F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-def cost(assigned: DataFrame, digits: int | None = 3) -> DataFrame:
+def cost(assigned: DataFrame, digits: int | None = 10) -> DataFrame:
     """Sum of squared distances to the nearest centre (A9), one row.
 
-    With ``digits``, each distance is first rounded to that many decimals and
-    the sum is exact (a 38-digit decimal), so the figure does not depend on
-    partitioning; ``digits=None`` gives the plain double sum.
+    The distances are summed as they are; with ``digits`` the sum is rounded to so
+    many significant digits, beyond which it depends on the order of adding.
     """
+    total = F.sum(DIST2)
     if digits is None:
-        return assigned.agg(F.sum(DIST2).alias("cost"))
-    factor = F.lit(float(10 ** digits))
-    exact = F.sum(F.round(F.col(DIST2) * factor).cast("decimal(38,0)"))
-    return assigned.agg((exact.cast("double") / factor).alias("cost"))
+        return assigned.agg(total.alias("cost"))
+    factor = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10("cost")))
+    return assigned.agg(total.alias("cost")).select(
+        F.when(F.col("cost") == 0, F.lit(0.0)).otherwise(F.round(F.col("cost") * factor) / factor).alias("cost"))
 
 
 def centers_frame(spark, model: KMeansModel) -> DataFrame:
@@ -221,7 +197,7 @@ def centers_frame(spark, model: KMeansModel) -> DataFrame:
 def report(assigned: DataFrame, model: KMeansModel) -> DataFrame:
     """Centres with their sizes (M5 + A8): cluster_id, <feature cols>, n."""
     centers = centers_frame(assigned.sparkSession, model)
-    return F.broadcast(centers).join(cluster_sizes(assigned, model.k), CLUSTER)
+    return broadcast_if_bounded(centers, model.k, 8 * (len(model.feature_cols) + 2)).join(cluster_sizes(assigned, model.k), CLUSTER)
 
 
 def fit_native(points: DataFrame, feature_cols: list[str], k: int = 8, max_iter: int = 10,

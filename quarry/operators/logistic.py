@@ -12,11 +12,10 @@ the starting weights (0, ..., 0, 1):
 gradient descent with the L1 updater and mini-batch fraction 1.0.
 
 Each pass is one Spark aggregation; only d + 1 numbers travel to the driver
-and back, inlined as double literals so the plan never grows. Rows with the
+and back, so the plan never grows. Rows with the
 same (features, label) are first grouped into weighted rows (partial
 aggregation), which shrinks 0/1-flag inputs to a handful of rows while giving
-the same gradient. When the weighted table is at most SINGLE_TASK_ROWS rows
-(checked with a count), each pass reads it in one task without a shuffle.
+the same gradient.
 """
 
 from __future__ import annotations
@@ -30,10 +29,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import fixed
 from ..session import materialize
 
-# Weighted rows up to this count are read by one task per pass (no shuffle);
-# above it every pass is a partial + final aggregation across partitions.
-SINGLE_TASK_ROWS = 100_000
-
 # Defaults of the training job when no value is given: passes, lambda, rate.
 DEFAULT_PASSES = 2
 DEFAULT_LAMBDA = 1e-4
@@ -46,6 +41,7 @@ class LogisticModel:
     weights: list[float]
     intercept: float
     threshold: float = 0.5
+    n_rejected: int = 0             # input lines that the training job could not parse
     history: list[list[float]] = field(default_factory=list)
 
     def margin(self) -> Column:
@@ -73,9 +69,6 @@ def fit(data: DataFrame, feature_cols: list[str], label_col: str = "label",
     rows = data.select(*[F.col(f).cast("double").alias(f) for f in feature_cols],
                        F.col(label_col).cast("double").alias("_y"))
     grouped = materialize(rows.groupBy(*feature_cols, "_y").agg(F.count("*").alias("_n")))
-    if grouped.count() <= SINGLE_TASK_ROWS:
-        # checked bound: a few MB at most, so one task per pass beats a shuffle per pass
-        grouped = grouped.coalesce(1)
     model = LogisticModel(feature_cols, [0.0] * len(feature_cols), 1.0)
     for i in range(1, passes + 1):
         err = (model.probability() - F.col("_y")) * F.col("_n")
@@ -121,10 +114,10 @@ def save(model: LogisticModel, path: str, mode: str = "overwrite") -> None:
 def load(spark, path: str, feature_cols: list[str] | None = None) -> LogisticModel:
     """Read a model written by ``save``."""
     rows = spark.read.parquet(path).orderBy("pos").collect()   # d + 2 rows
-    terms = {r["term"]: r["weight"] for r in rows}
-    intercept = terms.pop("intercept")
-    threshold = terms.pop("threshold", 0.5)
-    cols = feature_cols or [r["term"] for r in rows if r["pos"] >= 0]
+    terms = {r["term"]: r["weight"] for r in rows if r["pos"] >= 0}   # features may have any name
+    own = {r["pos"]: r["weight"] for r in rows if r["pos"] < 0}
+    intercept, threshold = own[-1], own.get(-2, 0.5)
+    cols = feature_cols or list(terms)
     return LogisticModel(cols, [terms[c] for c in cols], intercept, threshold)
 
 

@@ -1,7 +1,7 @@
 """Report tables, their text form, and sinks.
 
 Reports are DataFrames of ``(line_no, line)`` built with column expressions
-(``lpad``/``rpad``/``concat``); the text sink writes them in line order.
+(``concat`` with blanks up to a width; longer values print whole); the text sink writes them in line order.
 """
 
 from __future__ import annotations
@@ -25,14 +25,19 @@ CAPTION_COLUMNS = "<--Classified as"
 NAME_WIDTH, COUNT_WIDTH, CELL_WIDTH, TOTAL_WIDTH = 40, 10, 5, 6
 
 
-def letter_code(i: int) -> str:
-    """Column code of class i: a, b, ..., z, ba, bb, ... (base 26, T14)."""
-    out = ""
-    while True:
-        out = chr(ord("a") + i % 26) + out
-        i //= 26
-        if i == 0:
-            return out
+def letter_code(i: Column) -> Column:
+    """Code of class i: a, b, ..., z, ba, bb, ... (base 26 with letters as digits, T14)."""
+    return F.translate(F.lower(F.conv(i.cast("string"), 10, 26)), "0123456789abcdefghijklmnop", "abcdefghijklmnopqrstuvwxyz")
+
+
+def pad_left(x: Column, width: int) -> Column:
+    """Blanks before a text up to ``width``; a longer text stays whole."""
+    return F.concat(F.repeat(F.lit(" "), F.greatest(F.lit(0), F.lit(width) - F.length(x))), x)
+
+
+def pad_right(x: Column, width: int) -> Column:
+    """Blanks after a text up to ``width``; a longer text stays whole."""
+    return F.concat(x, F.repeat(F.lit(" "), F.greatest(F.lit(0), F.lit(width) - F.length(x))))
 
 
 def decimal_text(x: Column) -> Column:
@@ -48,15 +53,15 @@ def _lines(df: DataFrame, *numbered: tuple[int, Column]) -> list[DataFrame]:
 
 def classification_report(summary: DataFrame, matrix: DataFrame, labels: list[str]) -> DataFrame:
     """The summary block and the letter-coded confusion matrix as text lines."""
-    codes = [letter_code(i) for i in range(len(labels))]
     fixed = [(0, ""), (1, RULE), (2, TITLE_SUMMARY), (3, THIN_RULE), (7, ""), (8, RULE),
-             (9, TITLE_MATRIX), (10, THIN_RULE),
-             (11, "".join(c.ljust(CELL_WIDTH) + "\t" for c in codes) + CAPTION_COLUMNS)]
+             (9, TITLE_MATRIX), (10, THIN_RULE)]
     spark = summary.sparkSession
     parts = [spark.createDataFrame(fixed, "line_no int, line string")]
+    heads = [F.concat(pad_right(letter_code(F.lit(i)), CELL_WIDTH), F.lit("\t")) for i in range(len(labels))]
+    parts += _lines(summary, (11, F.concat(*heads, F.lit(CAPTION_COLUMNS))))
     caption = lambda text: F.lit(text.ljust(NAME_WIDTH) + ": ")
-    count = lambda c: F.lpad(F.col(c).cast("string"), COUNT_WIDTH, " ")
-    pct = lambda c: F.lpad(decimal_text(F.col(c)), COUNT_WIDTH, " ")
+    count = lambda c: pad_left(F.col(c).cast("string"), COUNT_WIDTH)
+    pct = lambda c: pad_left(decimal_text(F.col(c)), COUNT_WIDTH)
     parts += _lines(
         summary,
         (4, F.concat(caption(CAPTION_CORRECT), count("correct"), F.lit("\t"), pct("pct_correct"), F.lit("%"))),
@@ -64,10 +69,9 @@ def classification_report(summary: DataFrame, matrix: DataFrame, labels: list[st
                      F.lit("%"))),
         (6, F.concat(caption(CAPTION_TOTAL), count("total"))),
     )
-    cells = [F.concat(F.rpad(F.col(name).cast("string"), CELL_WIDTH, " "), F.lit("\t")) for name in labels]
-    code = F.element_at(F.array(*[F.lit(c) for c in codes]), F.col("label") + 1)
-    row = F.concat(*cells, F.lit(" |  "), F.rpad(F.col("total").cast("string"), TOTAL_WIDTH, " "),
-                   F.lit("\t"), F.rpad(code, CELL_WIDTH, " "), F.lit(" = "), F.col("label_name"))
+    cells = [F.concat(pad_right(F.col(name).cast("string"), CELL_WIDTH), F.lit("\t")) for name in labels]
+    row = F.concat(*cells, F.lit(" |  "), pad_right(F.col("total").cast("string"), TOTAL_WIDTH),
+                   F.lit("\t"), pad_right(letter_code(F.col("label")), CELL_WIDTH), F.lit(" = "), F.col("label_name"))
     parts.append(matrix.select((F.col("label") * 2 + 12).alias("line_no"), row.alias("line")))
     parts.append(matrix.select((F.col("label") * 2 + 13).alias("line_no"), F.lit("").alias("line")))
     return reduce(DataFrame.unionByName, parts)

@@ -25,7 +25,8 @@ QUERIES = {
     "kmeans_assign": Q.kmeans_assign("q20"),
     "kmeans_sizes": Q.kmeans_sizes("q20"),
     "kmeans_cost": Q.kmeans_cost("q20"),
-    "kmeans_native": Q.kmeans_native("q20"),
+    "kmeans_gaps": Q.kmeans_gaps,
+    "kmeans_cost_small": Q.kmeans_cost("q20_small"),
     "embeddings_kmeans": Q.kmeans_report("embeddings"),
     "embeddings_kmeans_cost": Q.kmeans_cost("embeddings"),
     "parse_space_embeddings": Q.parse_space_embeddings,
@@ -42,7 +43,9 @@ QUERIES = {
     "nb_summary": Q.nb_summary,
     "nb_confusion": Q.nb_confusion,
     "q28": Q.q28,
-    "nb_native": Q.nb_native,
+    "nb_score_folded": Q.nb_score_folded,
+    "report_wide": Q.report_wide,
+    "report_text": Q.report_text,
     # Q05: logistic regression
     "logistic_train": Q.logistic_train,
     "logistic_train_small_lambda": Q.logistic_train_small_lambda,
@@ -52,13 +55,14 @@ QUERIES = {
     "logistic_confusion": Q.logistic_confusion,
     "logistic_auc": Q.logistic_auc,
     "q05": Q.q05,
-    "logistic_native": Q.logistic_native,
     # S3-S5 readers over lines built from the tables
     "parse_comma": Q.parse_comma,
     "parse_comma_rejects": Q.parse_comma_rejects,
     "parse_space": Q.parse_space,
     "parse_space_drop": Q.parse_space_drop,
     "parse_space_rejects": Q.parse_space_rejects,
+    "parse_space_totals": Q.parse_space_totals,
+    "read_vector_files": Q.read_vector_files,
     "parse_tab": Q.parse_tab,
     "parse_tab_rejects": Q.parse_tab_rejects,
     # Model save and load
@@ -69,7 +73,8 @@ QUERIES = {
 
 def _cluster_sql(query: str, kind: str) -> str:
     spec = Q.CLUSTER_SPECS[query]
-    features = {"q20": O.Q20_FEATURES, "q25": O.Q25_FEATURES, "q26": O.q26_features_sql(),
+    small = "SELECT c_custkey, " + ", ".join(f"{c} * 0.001::DOUBLE AS {c}" for c in Q.CLUSTER_SPECS["q20"].cols) + f" FROM ({O.Q20_FEATURES})"
+    features = {"q20": O.Q20_FEATURES, "q20_small": small, "q25": O.Q25_FEATURES, "q26": O.q26_features_sql(),
                 "embeddings": O.embedding_features_sql()}[query]
     return O.kmeans_sql(kind, features, spec.id_col, spec.cols, Q.KMEANS_K, Q.KMEANS_ITERATIONS,
                         spec.scale)
@@ -93,6 +98,14 @@ def oracle_sql() -> dict[str, str]:
     sql["kmeans_assign"] = _cluster_sql("q20", "assign")
     sql["kmeans_sizes"] = _cluster_sql("q20", "sizes")
     sql["kmeans_cost"] = _cluster_sql("q20", "cost")
+    sql["kmeans_cost_small"] = _cluster_sql("q20_small", "cost")
+    gaps = f"SELECT * FROM ({O.Q20_FEATURES}) WHERE c_custkey % 41 <> 0 AND c_custkey % 43 <> 0"
+    spec = Q.CLUSTER_SPECS["q20"]
+    sql["kmeans_gaps"] = O.kmeans_sql("sizes", gaps, spec.id_col, spec.cols, Q.KMEANS_K, Q.KMEANS_ITERATIONS, spec.scale) + (
+        f" UNION ALL SELECT -1, count(*) FROM ({O.Q20_FEATURES}) WHERE c_custkey % 41 = 0 OR c_custkey % 43 = 0")
+    sql["report_wide"] = O.wide_report_sql()
+    sql["report_text"] = f"SELECT line AS value FROM ({O.wide_report_sql()})"
+    sql["nb_score_folded"] = f"SELECT doc_id % 50 AS doc_id, label, prediction FROM ({O.nb_sql('score')})"
     sql["tokenize"] = O.TOKENIZE
     sql["stopword_filter"] = O.stopword_filter_sql()
     sql["hash_tf"] = O.hash_tf_sql()
@@ -118,6 +131,10 @@ def oracle_sql() -> dict[str, str]:
     sql["parse_space"] = O.parse_space_sql(False)
     sql["parse_space_drop"] = O.parse_space_sql(True)
     sql["parse_space_rejects"] = O.parse_space_rejects_sql()
+    sql["read_vector_files"] = O.parse_space_sql(False)
+    lines = f"(SELECT count(*) FROM ({O.Q20_FEATURES})) + (SELECT count(*) FROM ({O.Q20_FEATURES}) WHERE returns = 0)"
+    sql["parse_space_totals"] = (f"SELECT {lines} AS n_lines, (SELECT count(*) FROM ({O.parse_space_sql(True)})) AS n_kept, "
+                                 f"(SELECT n_rejected FROM ({O.parse_space_rejects_sql()})) AS n_rejected")
     sql["parse_tab"] = O.parse_tab_sql("good")
     sql["parse_tab_rejects"] = O.parse_tab_sql("rejects")
     return {k: v for k, v in sql.items() if k in QUERIES}

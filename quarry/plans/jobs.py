@@ -31,8 +31,9 @@ def train_logistic(spark: SparkSession, input_path: str, output: str,
                    rate: float = logistic.DEFAULT_RATE, feature_cols=None) -> logistic.LogisticModel:
     """Fit on comma records and save the model (M1, K1). ``feature_cols`` may add
     ``label`` to reproduce the original third feature (D1)."""
-    good, _ = readers.read_comma(spark, input_path)
+    good, rejected = readers.read_comma(spark, input_path)
     model = logistic.fit(good, list(feature_cols or COMMA_FEATURES), "label", passes, rate, lam)
+    model.n_rejected = rejected.count()
     logistic.save(model, output)
     return model
 
@@ -52,29 +53,29 @@ def run_logistic(spark: SparkSession, input_path: str, model_path: str) -> dict[
 
 def run_kmeans(spark: SparkSession, input_path: str, output: str | None, k: int,
                max_iteration: int, runs: int = 1, mode: str = "strict",
-               seed: int = 42) -> dict[str, DataFrame]:
+               seed: int = 42, width: int | None = None) -> dict[str, DataFrame]:
     """Cluster space records; write ``Cluster i [centre] n=size`` lines to ``output``
     and return centres with sizes and the cost (M3-M5, A8, A9, T16, K3, K5)."""
-    vectors, _ = readers.read_space(spark, input_path, mode=mode)
+    if mode == "drop" and width is None:
+        raise ValueError("mode 'drop' needs the width of the vectors: no row can say which rows are wrong")
+    vectors, rejected = readers.read_space(spark, input_path, mode=mode, width=width)
     vectors = materialize(vectors.withColumn("_id", F.monotonically_increasing_id()))
-    first = vectors.first()
-    if first is None:
-        raise ValueError(f"no vectors in {input_path}")
-    width = len(first["features"])
-    if mode == "strict":
-        bad = vectors.where(F.size("features") != width).limit(1).collect()
-        if bad:
+    report.require_rows(vectors, f"the vector input {input_path}")
+    if width is None:  # strict: all rows must agree
+        spread = vectors.agg(F.min(F.size("features")).alias("low"), F.max(F.size("features")).alias("high")).first()
+        if spread["low"] != spread["high"]:
             raise ValueError("rows of different widths in the k-means input")
-    else:
-        vectors = vectors.where(F.size("features") == width)
+        width = spread["low"]
     cols = [f"x{i}" for i in range(width)]
     points = vectors.select("_id", *[F.col("features")[i].alias(c) for i, c in enumerate(cols)])
     model = kmeans.fit_best_of(points, "_id", cols, k=k, max_iter=max_iteration, runs=runs, seed=seed)
     assigned = kmeans.assign(points, model)
-    result = kmeans.report(assigned, model)
+    result = report.require_rows(kmeans.report(assigned, model), "the cluster report")
     if output:
         report.write_text(report.cluster_lines(result, cols), output)
-    return {"clusters": result, "cost": kmeans.cost(assigned, digits=None)}
+    return {"clusters": result, "cost": kmeans.cost(assigned, digits=None), "unplaced": kmeans.unplaced(assigned),
+            "rejected": rejected.agg(F.count("*").alias("n_rejected")),
+            "rejected_train": rejected_train.agg(F.count("*").alias("n_rejected"))}
 
 
 def run_naive_bayes(spark: SparkSession, train_input: str, model_output: str | None,
@@ -83,7 +84,7 @@ def run_naive_bayes(spark: SparkSession, train_input: str, model_output: str | N
     """Train on tab records, save the model, score the test records and write the
     classification report (S5, T4-T11, M6, M7, A1-A5, R1, K2, K3)."""
     labels = list(labels)
-    train, _ = readers.read_tab(spark, train_input, labels)
+    train, rejected_train = readers.read_tab(spark, train_input, labels)
     test, rejected = readers.read_tab(spark, test_input, labels)
     model = bayes.fit(train, id_col="review_id")
     if model_output:
@@ -95,4 +96,5 @@ def run_naive_bayes(spark: SparkSession, train_input: str, model_output: str | N
     if result_output:
         report.write_text(lines, result_output)
     return {"scored": scored, "summary": summary, "confusion": matrix, "report": lines,
-            "rejected": rejected.agg(F.count("*").alias("n_rejected"))}
+            "rejected": rejected.agg(F.count("*").alias("n_rejected")),
+            "rejected_train": rejected_train.agg(F.count("*").alias("n_rejected"))}

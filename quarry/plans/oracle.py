@@ -79,7 +79,7 @@ totals AS (SELECT sum(lines) AS all_lines, sum(cat_lines) AS all_cat FROM per_cu
 SELECT CAST(c_custkey AS BIGINT) AS c_customer_sk,
        CAST(c_acctbal > {X.Q05_BALANCE_LIMIT} AS DOUBLE) AS flag_balance,
        CAST(c_mktsegment IN ({_in_list(X.Q05_SEGMENTS)}) AS DOUBLE) AS flag_segment,
-       CAST(cat_lines * all_lines > all_cat * lines AS DOUBLE) AS label
+       CAST(cat_lines::HUGEINT * all_lines > all_cat::HUGEINT * lines AS DOUBLE) AS label
 FROM per_customer JOIN customer ON o_custkey = c_custkey CROSS JOIN totals
 """
 
@@ -150,8 +150,8 @@ def kmeans_sql(kind: str, features_sql: str, id_col: str, cols, k: int = 8,
         body = (f"SELECT CAST(c.cluster_id AS INTEGER) AS cluster_id, CAST(count(f.best) AS BIGINT) AS n "
                 f"FROM {last} c LEFT JOIN fin f ON f.best.c = c.cluster_id GROUP BY c.cluster_id")
     elif kind == "cost":
-        body = ("SELECT CAST(sum(CAST(round(best.d * CAST(1000 AS DOUBLE)) AS DECIMAL(38,0))) AS DOUBLE) "
-                "/ CAST(1000 AS DOUBLE) AS cost FROM fin")
+        body = ("SELECT CASE WHEN c = 0 THEN 0.0::DOUBLE ELSE round(c * pow(10.0::DOUBLE, 9 - floor(log10(c)))) "
+                "/ pow(10.0::DOUBLE, 9 - floor(log10(c))) END AS cost FROM (SELECT sum(best.d) AS c FROM fin)")
     elif kind == "centers":
         body = f"SELECT CAST(cluster_id AS INTEGER) AS cluster_id, {', '.join(cols)} FROM {last}"
     elif kind == "report":
@@ -317,38 +317,65 @@ matrix AS (
     if kind == "confusion":
         return ctes + "SELECT * FROM matrix"
     if kind == "report":
-        from ..operators import report as R
-        codes = [R.letter_code(i) for i in range(len(labels))]
-        header = "".join(c.ljust(R.CELL_WIDTH) + "\t" for c in codes) + R.CAPTION_COLUMNS
-        fixed = [(0, ""), (1, R.RULE), (2, R.TITLE_SUMMARY), (3, R.THIN_RULE), (7, ""), (8, R.RULE),
-                 (9, R.TITLE_MATRIX), (10, R.THIN_RULE), (11, header)]
-
-        def q(text):
-            return "'" + text.replace("'", "''").replace("\t", "' || chr(9) || '") + "'"
-        fixed_sql = " UNION ALL ".join(f"SELECT {n} AS line_no, {q(t)} AS line" for n, t in fixed)
-
-        def pct(c):
-            return ("coalesce(regexp_replace(regexp_replace(CAST(CAST(" + c +
-                    " AS DECIMAL(20,4)) AS VARCHAR), '0+$', ''), '\\.$', ''), 'NaN')")
-
-        def cap(text):
-            return q(text.ljust(R.NAME_WIDTH) + ": ")
-        code = "[" + ", ".join(f"'{c}'" for c in codes) + "][label + 1]"
-        row_cells = " || ".join(f"rpad(CAST({name} AS VARCHAR), {R.CELL_WIDTH}, ' ') || chr(9)"
-                                for name in labels)
-        return ctes + f"""
+        return ctes + report_lines_sql(labels)
+    raise ValueError(kind)
+
+
+def report_lines_sql(labels) -> str:
+    """The report's lines from CTEs ``summary`` and ``matrix``. The layout is stated here again, on
+    purpose: nothing is shared with the operators."""
+    rule, thin = "=" * 55, "-" * 55
+
+    def left(x, width):
+        return f"repeat(' ', greatest(0, {width} - length({x}))::INT) || {x}"
+
+    def right(x, width):
+        return f"{x} || repeat(' ', greatest(0, {width} - length({x}))::INT)"
+
+    def pct(c):
+        return ("coalesce(regexp_replace(regexp_replace(CAST(CAST(" + c +
+                " AS DECIMAL(20,4)) AS VARCHAR), '0+$', ''), '\\.$', ''), 'NaN')")
+
+    def text(c):
+        return f"CAST({c} AS VARCHAR)"
+
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    codes = [letters[i] if i < 26 else letters[i // 26] + letters[i % 26] for i in range(len(labels))]  # up to 676 classes
+    header = " || ".join(f"'{c.ljust(5)}' || chr(9)" for c in codes) + " || '<--Classified as'"
+    fixed = [(0, ""), (1, rule), (2, "Summary"), (3, thin), (7, ""), (8, rule), (9, "Confusion Matrix"), (10, thin)]
+    fixed_sql = " UNION ALL ".join(f"SELECT {n} AS line_no, '{t}' AS line" for n, t in fixed)
+    code = "[" + ", ".join(f"'{c}'" for c in codes) + "][label + 1]"
+    cells = " || ".join(f"{right(text(name), 5)} || chr(9)" for name in labels)
+    caption = {c: f"'{c.ljust(40)}: '" for c in ("Correctly Classified Instances", "Incorrectly Classified Instances",
+                                                  "Total Classified Instances")}
+    good, bad, every = caption.values()
+    return f"""
 SELECT CAST(line_no AS INTEGER) AS line_no, line FROM (
   {fixed_sql}
-  UNION ALL SELECT 4, {cap(R.CAPTION_CORRECT)} || lpad(CAST(correct AS VARCHAR), {R.COUNT_WIDTH}, ' ')
-         || chr(9) || lpad({pct('pct_correct')}, {R.COUNT_WIDTH}, ' ') || '%' FROM summary
-  UNION ALL SELECT 5, {cap(R.CAPTION_INCORRECT)} || lpad(CAST(incorrect AS VARCHAR), {R.COUNT_WIDTH}, ' ')
-         || chr(9) || lpad({pct('pct_incorrect')}, {R.COUNT_WIDTH}, ' ') || '%' FROM summary
-  UNION ALL SELECT 6, {cap(R.CAPTION_TOTAL)} || lpad(CAST(total AS VARCHAR), {R.COUNT_WIDTH}, ' ') FROM summary
-  UNION ALL SELECT label * 2 + 12, {row_cells} || ' |  ' || rpad(CAST(total AS VARCHAR), {R.TOTAL_WIDTH}, ' ')
-         || chr(9) || rpad({code}, {R.CELL_WIDTH}, ' ') || ' = ' || label_name FROM matrix
+  UNION ALL SELECT 11, {header}
+  UNION ALL SELECT 4, {good} || {left(text('correct'), 10)} || chr(9) || {left(pct('pct_correct'), 10)} || '%' FROM summary
+  UNION ALL SELECT 5, {bad} || {left(text('incorrect'), 10)} || chr(9) || {left(pct('pct_incorrect'), 10)} || '%' FROM summary
+  UNION ALL SELECT 6, {every} || {left(text('total'), 10)} FROM summary
+  UNION ALL SELECT label * 2 + 12, {cells} || ' |  ' || {right(text('total'), 6)} || chr(9) || {right(code, 5)} || ' = ' || label_name FROM matrix
   UNION ALL SELECT label * 2 + 13, '' FROM matrix)
 """
-    raise ValueError(kind)
+
+
+def wide_report_sql() -> str:
+    """A report whose counts are quantities of order lines, in hundredths."""
+    cells = ", ".join(f"CAST(coalesce(sum(n) FILTER (p = {i}), 0) AS BIGINT) AS {c}" for i, c in enumerate("ANR"))
+    return f"""
+WITH cell AS (
+  SELECT CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS y, l_linenumber % 3 AS p,
+         sum(CAST(round(l_quantity * 100) AS BIGINT)) AS n FROM lineitem GROUP BY 1, 2
+), totals AS (
+  SELECT CAST(coalesce(sum(n) FILTER (y = p), 0) AS BIGINT) AS correct, CAST(sum(n) AS BIGINT) AS total FROM cell
+), summary AS (
+  SELECT correct, total - correct AS incorrect, total, round_even(100.0::DOUBLE * correct / total, 4) AS pct_correct,
+         round_even(100.0::DOUBLE * (total - correct) / total, 4) AS pct_incorrect FROM totals
+), matrix AS (
+  SELECT y AS label, ['A', 'N', 'R'][y + 1] AS label_name, {cells}, CAST(sum(n) AS BIGINT) AS total FROM cell GROUP BY y
+)""" + report_lines_sql(["A", "N", "R"])
 
 
 # ----------------------------------------------------------------- logistic
@@ -402,8 +429,9 @@ def logistic_sql(kind: str, features_sql: str, key: str, cols, passes: int, rate
     if kind == "accuracy":
         return ctes + scored + f"SELECT {_fx('avg(CAST(prediction = label AS DOUBLE))', 6)} AS accuracy FROM scored"
     if kind == "confusion":
-        return ctes + scored + ("SELECT CAST(label AS INTEGER) AS actual, CAST(prediction AS INTEGER) AS predicted, "
-                                "CAST(count(*) AS BIGINT) AS n FROM scored GROUP BY label, prediction")
+        return ctes + scored + ("SELECT CAST(a AS INTEGER) AS actual, CAST(p AS INTEGER) AS predicted, "
+                                "CAST(count(s.label) AS BIGINT) AS n FROM (SELECT unnest([0, 0, 1, 1]) AS a, unnest([0, 1, 0, 1]) AS p) "
+                                "LEFT JOIN scored s ON s.label = a AND s.prediction = p GROUP BY a, p")
     if kind == "auc":
         return ctes + scored + f""",
 by_score AS (SELECT probability AS s, sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS pos,
@@ -417,8 +445,9 @@ SELECT 'accuracy' AS metric, CAST(-1 AS INTEGER) AS actual, CAST(-1 AS INTEGER)
        {_fx("avg(CAST(prediction = label AS DOUBLE))", 6)} AS value,
        printf('%.2f', avg(CAST(prediction = label AS DOUBLE))) AS text FROM scored
 UNION ALL
-SELECT 'confusion', CAST(label AS INTEGER), CAST(prediction AS INTEGER), CAST(count(*) AS DOUBLE),
-       '' FROM scored GROUP BY label, prediction"""
+SELECT 'confusion', CAST(a AS INTEGER), CAST(p AS INTEGER), CAST(count(s.label) AS DOUBLE),
+       '' FROM (SELECT unnest([0, 0, 1, 1]) AS a, unnest([0, 1, 0, 1]) AS p)
+       LEFT JOIN scored s ON s.label = a AND s.prediction = p GROUP BY a, p"""
     raise ValueError(kind)
 
 

@@ -41,6 +41,8 @@ CLUSTER_SPECS = {
     "q25": ClusterSpec(extract.q25_features, "c_custkey", ("recency", "frequency", "monetary"), 3),
     "q26": ClusterSpec(extract.q26_features, "c_custkey",
                        tuple(f"n_{t.lower()}" for t in extract.Q26_TYPES), 0),
+    "q20_small": ClusterSpec(lambda s, d: q20_small_features(s, d), "c_custkey",
+                             ("order_ratio", "item_ratio", "amount_ratio", "returns"), 9),
     "embeddings": ClusterSpec(extract.embedding_features, "vec_id",
                               tuple(f"x{i}" for i in range(extract.EMBEDDING_DIMS)), 9),
 }
@@ -92,6 +94,24 @@ def kmeans_centers(query: str):
     return run
 
 
+def q20_small_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The q20 features a thousandth of their size: distances far below the third decimal."""
+    return extract.q20_features(spark, sf_dir).select(
+        "c_custkey", *[(F.col(c) * F.lit(0.001)).alias(c) for c in ("order_ratio", "item_ratio", "amount_ratio", "returns")])
+
+
+def kmeans_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster sizes of the q20 features when each 41st customer's amount ratio is NaN and each 43rd's is
+    null; these customers are counted under cluster -1."""
+    amount = F.when(F.col("c_custkey") % 41 == 0, F.lit(float("nan"))).when(F.col("c_custkey") % 43 == 0, None).otherwise(F.col("amount_ratio"))
+    spec = CLUSTER_SPECS["q20"]
+    pts = materialize(extract.q20_features(spark, sf_dir).select(spec.id_col, *spec.cols).withColumn("amount_ratio", amount))
+    model = kmeans.fit(pts, spec.id_col, list(spec.cols), k=KMEANS_K, max_iter=KMEANS_ITERATIONS, materialized=True, exact_scale=spec.scale)
+    assigned = kmeans.assign(pts, model)
+    return kmeans.cluster_sizes(assigned, model.k).unionByName(
+        kmeans.unplaced(assigned).select(F.lit(-1).alias(kmeans.CLUSTER), F.col("n_unplaced").alias("n")))
+
+
 def kmeans_native(query: str, seed: int = 42):
     """Spark ML k-means with a random start (the original job's method); rows only."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +213,55 @@ def q28(spark: SparkSession, sf_dir: str) -> DataFrame:
                                         evaluate.confusion_matrix(scored, LABELS), LABELS)
 
 
+def nb_score_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring when ids repeat: every row is a document of its own, whatever its id."""
+    train, test = q28_buckets(spark, sf_dir)
+    folded = test.withColumn("doc_id", F.col("doc_id") % 50)
+    return bayes.score_buckets(bayes.fit_buckets(train), folded)
+
+
+def report_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The classification report over order lines, weighted by quantity in hundredths: counts of any length."""
+    names = ["A", "N", "R"]
+    lines = table(spark, sf_dir, "lineitem", "l_returnflag", "l_linenumber", "l_quantity")
+    cells = lines.groupBy(label_index(F.col("l_returnflag"), names).alias("label"), (F.col("l_linenumber") % 3).alias("p")).agg(
+        F.sum(F.round(F.col("l_quantity") * 100).cast("bigint")).alias("n"))
+    right = F.sum(F.when(F.col("label") == F.col("p"), F.col("n")).otherwise(0))
+    totals = cells.agg(right.alias("correct"), F.sum("n").alias("total"))
+    summary = totals.select("correct", (F.col("total") - F.col("correct")).alias("incorrect"), "total",
+                            F.bround(100.0 * F.col("correct") / F.col("total"), 4).alias("pct_correct"),
+                            F.bround(100.0 * (F.col("total") - F.col("correct")) / F.col("total"), 4).alias("pct_incorrect"))
+    matrix = cells.groupBy("label").agg(
+        *[F.coalesce(F.sum(F.when(F.col("p") == i, F.col("n"))), F.lit(0)).alias(c) for i, c in enumerate(names)],
+        F.sum("n").alias("total")).withColumn("label_name", F.element_at(F.array(*map(F.lit, names)), F.col("label") + 1))
+    return report.classification_report(summary, matrix, names)
+
+
+def report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same report written as text and read back."""
+    path = shared_path(spark, "reports")
+    report.write_text(report.require_rows(report_wide(spark, sf_dir), "the report"), path)
+    return readers.read_lines(spark, path)
+
+
+def read_vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The q20 vectors written as a folder of part files and read back as vectors."""
+    path = shared_path(spark, "vectors")
+    readers.write_space(extract.q20_features(spark, sf_dir).repartition(3), path, Q20_COLS)
+    good, _ = readers.read_space(spark, path, width=len(Q20_COLS))
+    return readers.vector_columns(good, len(Q20_COLS))
+
+
+def parse_space_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nothing is lost: lines in, vectors kept and lines rejected."""
+    lines = space_lines(spark, sf_dir, True)
+    good, rejected = readers.parse_space(lines, mode="drop", width=len(Q20_COLS))
+    count = lambda df, name: df.agg(F.count("*").alias(name))
+    one = count(lines, "n_lines").withColumn("one", F.lit(1))
+    one = one.join(count(good, "n_kept").withColumn("one", F.lit(1)), "one").join(count(rejected, "n_rejected").withColumn("one", F.lit(1)), "one")
+    return one.select("n_lines", "n_kept", "n_rejected")
+
+
 def nb_native(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spark ML Naive Bayes (Murmur3 hashing, training idf); rows only."""
     train, test = q28_sets(spark, sf_dir)
@@ -249,7 +318,10 @@ Q05_SMALL_LAMBDA = 0.001
 
 def logistic_fit_score(spark: SparkSession, sf_dir: str, lam: float = Q05_LAMBDA,
                        feature_cols=None):
-    data = materialize(extract.q05_features(spark, sf_dir))
+    return _fit_score(materialize(extract.q05_features(spark, sf_dir)), lam, feature_cols)
+
+
+def _fit_score(data: DataFrame, lam: float, feature_cols=None):
     cols = list(feature_cols or Q05_FEATURES)
     model = logistic.fit(data, cols, "label", passes=Q05_PASSES, rate=Q05_RATE, lam=lam)
     return model, logistic.score(model, data, keep=("c_customer_sk",))
@@ -297,12 +369,13 @@ def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
     (which the original prints as "AUC", two decimals; actual = predicted =
     -1 on that row) and one row per (actual, predicted) confusion cell."""
     _, scored = logistic_fit_score(spark, sf_dir)
-    scored = materialize(scored)
-    acc = evaluate.accuracy(scored).select(
+    matrix = evaluate.confusion_long(scored)
+    right = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")).otherwise(0))
+    acc = matrix.agg(F.try_divide(right.cast("double"), F.sum("n")).alias("accuracy")).select(
         F.lit("accuracy").alias("metric"), F.lit(-1).alias("actual"),
         F.lit(-1).alias("predicted"), fixed(F.col("accuracy"), 6).alias("value"),
         F.format_string("%.2f", F.col("accuracy")).alias("text"))
-    cells = evaluate.confusion_long(scored).select(
+    cells = matrix.select(
         F.lit("confusion").alias("metric"), "actual", "predicted",
         F.col("n").cast("double").alias("value"), F.lit("").alias("text"))
     return acc.unionByName(cells)
@@ -425,11 +498,11 @@ def parse_tab_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logistic_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load, then score with the loaded model; equals logistic_score."""
-    model, _ = logistic_fit_score(spark, sf_dir, lam=Q05_SMALL_LAMBDA)
+    data = materialize(extract.q05_features(spark, sf_dir))
+    model, _ = _fit_score(data, Q05_SMALL_LAMBDA)
     path = shared_path(spark, "models", "logistic")
     logistic.save(model, path)
     loaded = logistic.load(spark, path)
-    data = extract.q05_features(spark, sf_dir)
     scored = logistic.score(loaded, data, keep=("c_customer_sk",))
     return scored.select("c_customer_sk", "label", fixed(F.col("probability"), 6).alias("probability"),
                          "prediction")

@@ -74,11 +74,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared checkpoint folder named by the session, if any."""
-    live = spark.sparkContext.getCheckpointDir()
-    if live:
-        return live
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    """The shared checkpoint folder named by the session, if any.
+
+    A session in one process (master ``local``), where every folder is shared, gets
+    a scratch folder if it names none; a cluster never does.
+    """
+    live = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not live and spark.sparkContext.master.split("[")[0] == "local":
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp"))
+        live = spark.sparkContext.getCheckpointDir()
+    return live or None
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -99,10 +104,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder (or, when
-    none is set, under the SQL warehouse folder) for intermediate tables and
-    models written by a query."""
+    """A fresh path under the cluster's shared checkpoint folder for intermediate
+    tables and models written by a query."""
     import uuid
 
-    base = checkpoint_dir(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    base = checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return "/".join([base.rstrip("/"), "quarry", *parts, uuid.uuid4().hex])

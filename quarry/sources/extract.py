@@ -162,7 +162,8 @@ def q05_features(spark: SparkSession, sf_dir: str, category: str = Q05_CATEGORY)
         F.col("c_custkey").alias("c_customer_sk"),
         (F.col("c_acctbal") > Q05_BALANCE_LIMIT).cast("double").alias("flag_balance"),
         F.col("c_mktsegment").isin(*Q05_SEGMENTS).cast("double").alias("flag_segment"),
-        (F.col("cat_lines") * totals["all_lines"] > totals["all_cat"] * F.col("lines"))
+        (F.col("cat_lines").cast("decimal(19,0)") * totals["all_lines"].cast("decimal(19,0)")
+         > totals["all_cat"].cast("decimal(19,0)") * F.col("lines").cast("decimal(19,0)"))
         .cast("double").alias("label"),
     )
 
