@@ -143,17 +143,41 @@ def _bucket_lists(lists, num_features: int):
     return pa.ListArray.from_arrays(pa.array(new_offsets.astype(np.int32)), pa.array(values, pa.int32()))
 
 
+def _counted_lists(lists):
+    """list<int> -> (distinct values, how often each occurs), list by list."""
+    import numpy as np
+    import pyarrow as pa
+
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    values = lists.flatten().to_numpy()
+    row = np.repeat(np.arange(len(lists)), np.diff(offsets))
+    order = np.lexsort((values, row))
+    values, row = values[order], row[order]
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = (values[1:] != values[:-1]) | (row[1:] != row[:-1])
+    first = np.flatnonzero(new)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(row[first], minlength=len(lists)))])
+    ends = pa.array(ends.astype(np.int32))
+    counts = np.diff(np.append(first, len(values)))
+    return (pa.ListArray.from_arrays(ends, pa.array(values[first], pa.int32())),
+            pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())))
+
+
 def with_buckets(df, text_col: str, keep: list[str], out_col: str = "buckets",
-                 num_features: int = NUM_FEATURES):
+                 num_features: int = NUM_FEATURES, counts_col: str | None = None):
     """``keep`` columns plus ``out_col``: the document's token buckets with the
-    leading bucket-0 entry - the same array as ``document_buckets(text)``."""
+    leading bucket-0 entry - the same array as ``document_buckets(text)``.
+    With ``counts_col``, ``out_col`` holds each bucket once and that column its count."""
     from pyspark.sql import types as T
 
     if num_features & (num_features - 1):
         raise ValueError("num_features must be a power of two")
     staged = df.select(*keep, clean_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens"))
     fields = [f for f in staged.schema.fields if f.name != "_tokens"]
-    schema = T.StructType(fields + [T.StructField(out_col, T.ArrayType(T.IntegerType(), False), False)])
+    added = [T.StructField(out_col, T.ArrayType(T.IntegerType(), False), False)]
+    if counts_col:
+        added.append(T.StructField(counts_col, T.ArrayType(T.LongType(), False), False))
+    schema = T.StructType(fields + added)
 
     def run(batches):
         import pyarrow as pa
@@ -161,8 +185,9 @@ def with_buckets(df, text_col: str, keep: list[str], out_col: str = "buckets",
         for batch in batches:
             idx = batch.schema.get_field_index("_tokens")
             buckets = _bucket_lists(batch.column(idx), num_features)
-            cols = [batch.column(i) for i in range(batch.num_columns) if i != idx] + [buckets]
-            names = [n for i, n in enumerate(batch.schema.names) if i != idx] + [out_col]
+            found = _counted_lists(buckets) if counts_col else (buckets,)
+            cols = [batch.column(i) for i in range(batch.num_columns) if i != idx] + list(found)
+            names = [n for i, n in enumerate(batch.schema.names) if i != idx] + [f.name for f in added]
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return staged.mapInArrow(run, schema)

@@ -3,10 +3,9 @@
 Long form throughout: a document's hashed term-frequency vector is the set of
 rows ``(doc_id, bucket, tf)`` instead of a 2^20-wide sparse vector.
 
-* ``term_frequency`` explodes the bucket array and groups by
-  ``(doc_id, bucket)``; all tokens of a document are in one task, so the
-  partial aggregate already emits one row per distinct (doc, bucket) and a
-  20,000-word document costs no more shuffle than its vocabulary.
+* ``term_frequency`` counts a document's buckets where its text is read, in
+  the Arrow step that hashes them, and explodes the counts: no shuffle. A row is a
+  document, whatever its id.
 * ``document_frequency`` explodes only the *distinct* buckets of each
   document and counts per bucket: at most 2^20 output rows, partial
   aggregation per task.
@@ -36,8 +35,13 @@ def token_buckets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 def term_frequency(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    num_features: int = NUM_FEATURES) -> DataFrame:
     """``(id, bucket, tf)``: hashed term counts per document."""
-    return (token_buckets(docs, id_col, text_col, (), num_features)
-            .groupBy(id_col, BUCKET).agg(F.count("*").alias("tf")))
+    counted = with_buckets(docs, text_col, [id_col], "_b", num_features, counts_col="_n")
+    return _long_form(counted, id_col)
+
+
+def _long_form(counted: DataFrame, id_col: str) -> DataFrame:
+    pairs = counted.select(id_col, F.explode(F.arrays_zip("_b", "_n")).alias("_p"))
+    return pairs.select(id_col, F.col("_p._b").alias(BUCKET), F.col("_p._n").alias("tf"))
 
 
 def document_frequency(docs: DataFrame, text_col: str = "text",
@@ -66,15 +70,14 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     With a table fitted elsewhere, a bucket it lacks had df = 0 there, so its
     idf is ``ln(N_fit + 1)``: pass that as ``unseen_idf`` (value or Column).
     """
-    bucketed = materialize(with_buckets(docs, text_col, [id_col], "_b", num_features))
+    bucketed = materialize(with_buckets(docs, text_col, [id_col], "_b", num_features, counts_col="_n"))
     if idf is None:
         n_docs = bucketed.select(F.count("*")).scalar()
-        idf = (bucketed.select(F.explode(F.array_distinct("_b")).alias(BUCKET))
+        idf = (bucketed.select(F.explode("_b").alias(BUCKET))
                .groupBy(BUCKET).agg(F.count("*").alias("df"))
                .select(BUCKET, F.ln((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
     idf = broadcast_if_bounded(idf.select(BUCKET, "idf"), num_features, row_bytes(2))
-    tf = (bucketed.select(id_col, F.explode("_b").alias(BUCKET))
-          .groupBy(id_col, BUCKET).agg(F.count("*").alias("tf")))
+    tf = _long_form(bucketed, id_col)
     weight = F.col("idf") if unseen_idf is None else F.coalesce(F.col("idf"), F.lit(unseen_idf))
     return (tf.join(idf, BUCKET, "left")
             .select(id_col, BUCKET, (F.col("tf") * weight).alias("tfidf")))

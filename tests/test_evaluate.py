@@ -21,7 +21,7 @@ def test_confusion_matches_multiclass_metrics(spark):
     pairs = [(float(i % 3), float((i * 7) % 3)) for i in range(50)]
     df = spark.createDataFrame(pairs, "label double, prediction double")
     ref = MulticlassMetrics(df.select("prediction", "label").rdd.map(tuple)).confusionMatrix().toArray()
-    got = {(r.actual, r.predicted): r.n for r in evaluate.confusion_long(df).collect()}
+    got = {(r.actual, r.predicted): r.n for r in evaluate.confusion_long(df, classes=(0, 1, 2)).collect()}
     for a in range(3):
         for p in range(3):
             assert got.get((a, p), 0) == ref[a][p]
@@ -69,10 +69,10 @@ def _java_report(correct, total, matrix, labels):
            + fmt(100.0 * inc / total).rjust(10) + "%",
            "Total Classified Instances".ljust(40) + ": " + str(total).rjust(10), "",
            "=" * 55, "Confusion Matrix", "-" * 55,
-           "".join(report.letter_code(i).ljust(5) + "\t" for i in range(len(labels))) + "<--Classified as"]
+           "".join("abcdef"[i].ljust(5) + "\t" for i in range(len(labels))) + "<--Classified as"]
     for i, name in enumerate(labels):
         out.append("".join(str(n).ljust(5) + "\t" for n in matrix[i]) + " |  " + str(sum(matrix[i])).ljust(6)
-                   + "\t" + report.letter_code(i).ljust(5) + " = " + name)
+                   + "\t" + "abcdef"[i].ljust(5) + " = " + name)
         out.append("")
     return out
 
@@ -86,8 +86,20 @@ def test_report_text(spark):
     assert got == _java_report(5, 7, [[1, 0, 1], [0, 1, 0], [1, 0, 3]], labels)
 
 
-def test_letter_codes():
-    assert [report.letter_code(i) for i in (0, 1, 25, 26, 27)] == ["a", "b", "z", "ba", "bb"]
+def test_letter_codes(spark):
+    df = spark.createDataFrame([(i,) for i in (0, 1, 25, 26, 27, 701)], "i int")
+    assert [r[0] for r in df.orderBy("i").select(report.letter_code(F.col("i"))).collect()] == ["a", "b", "z", "ba", "bb", "baz"]
+
+
+def test_report_never_cuts_counts(spark):
+    labels = ["NEG", "POS"]
+    summary = spark.createDataFrame([(12345678901, 1234569, 12346913470, 99.99, 0.01)],
+                                    "correct bigint, incorrect bigint, total bigint, pct_correct double, pct_incorrect double")
+    matrix = spark.createDataFrame([(0, "NEG", 1234567, 3, 1234570), (1, "POS", 0, 12, 12)],
+                                   "label int, label_name string, NEG bigint, POS bigint, total bigint")
+    text = [r.line for r in report.classification_report(summary, matrix, labels).orderBy("line_no").collect()]
+    assert text[4].split(": ")[1].startswith("12345678901\t") and text[6].endswith(": 12346913470")
+    assert text[12] == "1234567\t3    \t |  1234570\ta     = NEG" and text[14] == "0    \t12   \t |  12    \tb     = POS"
 
 
 def test_text_sink(spark, tmp_path):

@@ -62,5 +62,14 @@ def test_naive_bayes_job_matches_query(spark, tmp_path):
 
 def test_kmeans_job_rejects_empty_input(spark, tmp_path):
     spark.createDataFrame([], "value string").write.text(str(tmp_path / "in"))
-    with pytest.raises(ValueError):
+    with pytest.raises(RuntimeError, match="is empty"):
         jobs.run_kmeans(spark, str(tmp_path / "in"), None, k=2, max_iteration=2)
+
+
+def test_kmeans_job_counts_what_it_drops(spark, tmp_path):
+    lines = ["1.0 2.0 3.0"] + [f"{i}.0 {i % 7}.5" for i in range(50)] + ["a b", "1.0  2.0", "x"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="width"):
+        jobs.run_kmeans(spark, str(tmp_path / "in"), None, k=2, max_iteration=2, mode="drop")
+    out = jobs.run_kmeans(spark, str(tmp_path / "in"), None, k=2, max_iteration=2, mode="drop", width=2)
+    assert out["rejected"].first().n_rejected == 4 and sum(r.n for r in out["clusters"].collect()) == 50

@@ -38,7 +38,7 @@ def test_lloyd_matches_numpy(spark, q20):
     C, a, cost = numpy_lloyd(pdf[spec.id_col].tolist(), pdf[cols].to_numpy(float), 8, 10)
     assert np.allclose(np.array(model.centers), C, rtol=1e-9, atol=1e-9)
     assigned = kmeans.assign(pts, model)
-    got_cost = kmeans.cost(assigned, digits=9).first().cost
+    got_cost = kmeans.cost(assigned, digits=None).first().cost
     assert got_cost == pytest.approx(cost, rel=1e-9)
     sizes = {r.cluster_id: r.n for r in kmeans.cluster_sizes(assigned, 8).collect()}
     assert sizes == {j: int((a == j).sum()) for j in range(8)}
@@ -59,7 +59,7 @@ def test_invariants_and_partition_independence(spark, q20):
     costs = []
     for rounds in range(1, 6):
         m = kmeans.fit(pts, spec.id_col, cols, k=8, max_iter=rounds)
-        costs.append(kmeans.cost(kmeans.assign(pts, m), digits=9).first().cost)
+        costs.append(kmeans.cost(kmeans.assign(pts, m), digits=None).first().cost)
     assert all(b <= a + 1e-9 for a, b in zip(costs, costs[1:]))
 
 
@@ -81,19 +81,32 @@ def test_native_cost_matches_relational_cost(spark, q20):
     pts = spark.createDataFrame(pdf)
     model, _ = kmeans.fit_native(pts, cols, k=8, max_iter=10, seed=7)
     ours = kmeans.KMeansModel(cols, [list(map(float, c)) for c in model.clusterCenters()])
-    cost = kmeans.cost(kmeans.assign(pts, ours), digits=9).first().cost
+    cost = kmeans.cost(kmeans.assign(pts, ours), digits=None).first().cost
     assert cost == pytest.approx(model.summary.trainingCost, rel=1e-9)
 
 
-def test_kernel_equals_column_expression(spark, q20):
-    spec, pdf = q20
-    cols = list(spec.cols)
-    pts = spark.createDataFrame(pdf)
-    model = kmeans.fit(pts, spec.id_col, cols, k=8, max_iter=3)
-    expr = pts.withColumn("_b", kmeans.nearest(cols, model.centers)).select(
-        spec.id_col, F.col("_b.c").alias("cluster_id"), F.col("_b.d").alias("dist2"))
-    kernel = kmeans._assign_wide(pts, model).select(spec.id_col, "cluster_id", "dist2")
-    assert sorted(expr.collect()) == sorted(kernel.collect())
+@pytest.mark.parametrize("k,dims", [(4, 2), (9, 2), (8, 8)])
+def test_points_with_gaps_have_no_cluster(spark, k, dims):
+    """One path at every size: a NaN, null or infinite coordinate changes nobody else's cluster."""
+    cols = [f"x{i}" for i in range(dims)]
+    types = "id int, " + ", ".join(f"{c} double" for c in cols)
+    rows = [(i, *[float((i * (j + 3)) % 17) for j in range(dims)]) for i in range(40)]
+    gaps = [(100 + i, *[x] * (dims - 1), 1.0) for i, x in enumerate([float("nan"), None, float("inf")])]
+    clean, full = (spark.createDataFrame(r, types) for r in (rows, rows + gaps))
+    a, b = kmeans.fit(clean, "id", cols, k=k), kmeans.fit(full, "id", cols, k=k)
+    assert a.centers == b.centers
+    assigned = kmeans.assign(full, b)
+    placed = kmeans.assign(clean, a).select("id", "cluster_id", "dist2").collect()
+    assert sorted(placed) == sorted(assigned.where("id < 100").select("id", "cluster_id", "dist2").collect())
+    assert len({r.cluster_id for r in placed}) > 1
+    assert kmeans.unplaced(assigned).first().n_unplaced == 3
+    assert kmeans.cluster_sizes(assigned, k).agg(F.sum("n")).first()[0] == 40
+
+
+def test_small_distances_are_not_rounded_away(spark):
+    df = spark.createDataFrame([(0.01, 0), (0.03, 0)], "x double, cluster_id int")
+    model = kmeans.KMeansModel(["x"], [[0.015]])
+    assert kmeans.cost(kmeans.assign(df.select("x"), model)).first().cost == pytest.approx(0.00025, rel=1e-9)
 
 
 def test_best_of_runs_keeps_the_lowest_cost(spark, q20):

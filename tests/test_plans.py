@@ -28,13 +28,14 @@ def test_lineitem_is_aggregated_per_order_before_the_orders_join(spark):
     assert plan.index("HashAggregate(keys=[l_orderkey") < plan.index("FileScan parquet [l_orderkey")
 
 
-def test_naive_bayes_scoring_shuffles_once_per_document(spark):
+def test_naive_bayes_scoring_does_not_shuffle(spark):
     model, scored = Q.nb_fit_score(spark, SF_SMALL)
-    plan = _plan(scored)
-    # token rows meet the bounded weight table in a broadcast join ...
-    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
-    # ... and are partially aggregated per document before the only exchange of token rows
-    assert "partial_sum" in plan
+    assert "Exchange" not in _plan(scored)
+
+
+def test_term_counts_do_not_shuffle_by_document(spark):
+    assert "Exchange" not in _plan(Q.hash_tf(spark, SF_SMALL))
+    assert "hashpartitioning(doc_id" not in _plan(Q.tfidf_weights(spark, SF_SMALL))
 
 
 def test_naive_bayes_token_counts_are_partial_before_the_shuffle(spark):
