@@ -15,7 +15,7 @@ from .session import local_session
 def main(argv=None) -> None:
     parser = argparse.ArgumentParser(prog="quarry", description=__doc__)
     parser.add_argument("query", choices=sorted(QUERIES))
-    parser.add_argument("--tables", default="/root/testdata/sf0.01", help="folder of <table>.parquet files")
+    parser.add_argument("--tables", required=True, help="folder of <table>.parquet files")
     parser.add_argument("--output", help="where to write the result")
     parser.add_argument("--local", default="*", help="local cores when no cluster session exists")
     args = parser.parse_args(argv)
