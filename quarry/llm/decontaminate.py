@@ -183,12 +183,12 @@ def _windows(docs: DataFrame, items: DataFrame, window: int) -> tuple[Windows, l
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items of every document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, items (ids, comma-joined) of every document."""
     found = find_items(id_and_text(docs), benchmark)
     return found.select(
         "doc_id", "n_words", F.size("hit_words").cast("bigint").alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
-        (F.size("hit_words") > 0).alias("contaminated"), F.sort_array("items").alias("items"))
+        (F.size("hit_words") > 0).alias("contaminated"), F.concat_ws(",", F.sort_array("items")).alias("items"))
 
 
 ORACLE_SQL = r"""
@@ -214,6 +214,6 @@ WITH doc_words AS (
 )
 SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(len(items), 0)::BIGINT AS n_items,
   sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
-  coalesce(items, []::VARCHAR[]) AS items
+  coalesce(array_to_string(items, ','), '') AS items
 FROM doc_words d LEFT JOIN covered c USING (doc_id) LEFT JOIN found f USING (doc_id)
 """.replace("\\\\x", "\\x")
