@@ -256,10 +256,10 @@ def parse_space_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nothing is lost: lines in, vectors kept and lines rejected."""
     lines = space_lines(spark, sf_dir, True)
     good, rejected = readers.parse_space(lines, mode="drop", width=len(Q20_COLS))
-    count = lambda df, name: df.agg(F.count("*").alias(name))
-    one = count(lines, "n_lines").withColumn("one", F.lit(1))
-    one = one.join(count(good, "n_kept").withColumn("one", F.lit(1)), "one").join(count(rejected, "n_rejected").withColumn("one", F.lit(1)), "one")
-    return one.select("n_lines", "n_kept", "n_rejected")
+    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
+              for name, df in (("n_lines", lines), ("n_kept", good), ("n_rejected", rejected))]
+    return counts[0].union(counts[1]).union(counts[2]).agg(
+        *[F.sum(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in ("n_lines", "n_kept", "n_rejected")])
 
 
 def nb_native(spark: SparkSession, sf_dir: str) -> DataFrame:
