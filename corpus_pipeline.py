@@ -4,6 +4,9 @@ Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept a
 the columns of ``documents``; the last one returns how many words the mix takes of each
 document. ``run`` writes every stage's rows as Parquet in the shared folder and reads
 them again, so that a lost executor never reaches back into an earlier stage.
+
+Defined cases: other columns pass through unchanged, whatever they are called; empty tables
+give no rows; each operator's docstring tells how it takes nulls, empty texts and repeated rows.
 """
 
 from __future__ import annotations
@@ -11,27 +14,36 @@ from __future__ import annotations
 import os
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from quarry.llm import decontaminate, mixing, neardup, recompression, toxicity  # noqa: E402
-from quarry.llm.tables import documents, stored  # noqa: E402
+from quarry.llm.tables import documents, stored, unwrapped, wrapped  # noqa: E402
 from quarry.sources.tables import table  # noqa: E402
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold; learned from all labelled ones among ``docs``."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where(F.col("toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    scored = toxicity.score(wrapped(docs), model)
+    return unwrapped(scored.where(F.col("toxicity") < toxicity.THRESHOLD), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate group; of rows that repeat an id, one."""
-    kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"]).select(*docs.columns)
+    """The document with the smallest id of each near-duplicate group.
+
+    Of rows that repeat an id, the one whose text has the least hash stays. A row without an id
+    stands after all others, under an id made from its text, so that different texts
+    without an id are different documents.
+    """
+    made = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 3)
+    rows = wrapped(docs).withColumn("node", F.coalesce(F.col("row.doc_id").cast("bigint"), made))
+    kept = neardup.near_duplicates(rows, id_col="node").where("kept").select(F.col("doc_id").alias("stays")).distinct()
+    first = Window.partitionBy("node").orderBy(F.xxhash64("text"), F.to_json("row"))
+    left = rows.join(kept, rows["node"] == kept["stays"], "left_semi").withColumn("place", F.row_number().over(first))
+    return unwrapped(left.where("place = 1"), docs.columns)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +53,8 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.size("hit_words") == 0).select(*docs.columns)
+    found = decontaminate.find_items(wrapped(docs), table(spark, sf_dir, "benchmark"))
+    return unwrapped(found.where(F.size("hit_words") == 0), docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

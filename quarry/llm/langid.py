@@ -5,8 +5,8 @@ parsed greedily into the longest phrases that occur in a language's sample; the
 fewer phrases, normalised by the sample's length (a phrase costs log2 of the places
 it can point to), the closer the language.
 
-The sample is bounded: ``sample_rows`` documents and ``sample_bytes`` bytes a language,
-at most ``sample_bytes`` x 16 for all. Whole texts are parsed, in pieces of
+The sample is bounded: ``sample_rows`` documents, of each at most twice its share of ``sample_bytes``
+from the text's start, and ``sample_bytes`` bytes a language, at most ``sample_bytes`` x 16 for all. Whole texts are parsed, in pieces of
 ``piece`` symbols side by side, each starting a new phrase in every language alike.
 
 Letters are the bytes a-z (A-Z lower-cased) and those from 0x80 on; what lies between
@@ -14,7 +14,7 @@ them counts as one space.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is
 every text if nothing can be learned; equal costs go to the first language by code
-point; labels that are null are ignored; a null doc_id is scored and never learned from;
+point; labels that are null are ignored; of rows that repeat an id in a language the least text is learned from; a null doc_id is scored and never learned from;
 empty tables give no rows.
 """
 
@@ -103,7 +103,7 @@ class Languages:
 
 def learn(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Languages:
     """Suffix automata of a bounded sample of ``docs`` (doc_id, text, lang) that meet ``train``."""
-    rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang")
+    rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct()
     order = F.xxhash64("doc_id")
     # first within salts, so that no task ranks all documents of a language
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)))
@@ -111,8 +111,10 @@ def learn(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS, sample
     best = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("r") <= sample_rows)
     picked = best.select(F.col("doc_id").alias("picked"), F.col("lang").alias("_lang"))
     share = F.ceil(F.lit(2 * sample_bytes / sample_rows)).cast("int")
-    got = docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("picked")) & (F.col("lang") == F.col("_lang"))) \
-        .select("lang", "doc_id", F.substring("text", F.lit(1), share).alias("text")).where(F.length("text") > 0).toArrow()
+    found = docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("picked")) & (F.col("lang") == F.col("_lang"))) \
+        .select("lang", "doc_id", F.substring("text", F.lit(1), share).alias("text")).where(F.length("text") > 0)
+    # one text for each id and language, however often they are repeated
+    got = found.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).toArrow()
     texts: dict[str, list[bytes]] = {}
     for row in got.sort_by([("lang", "ascending"), ("doc_id", "ascending"), ("text", "ascending")]).to_pylist():
         texts.setdefault(row["lang"], []).append(row["text"].encode())

@@ -20,6 +20,16 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(docs[id_col].cast("bigint").alias("doc_id"), docs[text_col].alias("text"))
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns in one, ``row``: an operator's columns cannot clash with theirs."""
+    return docs.select(docs["text"], F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("row"))
+
+
+def unwrapped(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns that ``wrapped`` put away."""
+    return df.select(*[F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns])
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the cluster's shared folder and read it back.
 

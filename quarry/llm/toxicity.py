@@ -11,7 +11,7 @@ labelled rows (``sample_rows`` a class); scoring covers every word of every row.
 
 Defined cases: a null or empty text has no sentence and score 0; labels that
 are null are ignored, and a document labelled twice counts as toxic if either
-label says so; with no toxic or no clean example every score is 0; an empty
+label says so; of rows that repeat an id the least text is learned from; with no toxic or no clean example every score is 0; an empty
 table gives no rows; a null doc_id is scored and never learned from.
 """
 
@@ -114,7 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_
     # at most sample_rows rows of each class: the bound of this broadcast
     sample = known.where("toxic = 1").orderBy(order, "doc_id").limit(sample_rows).union(
         known.where("toxic = 0").orderBy(order, "doc_id").limit(sample_rows))
-    rows = id_and_text(docs).join(F.broadcast(sample), "doc_id").select("doc_id", "toxic", "text")
+    # one text for each id, however often the id is repeated
+    rows = id_and_text(docs).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
     got = rows.mapInArrow(_features, "doc_id bigint, toxic int, buckets binary, lengths binary").toArrow()
     model = NoisyOr(np.zeros(1 << BUCKET_BITS, np.float32), -20.0)
     doc, label = got.column("doc_id").to_pylist(), got.column("toxic").to_numpy()

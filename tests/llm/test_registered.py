@@ -4,6 +4,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__
 import corpus_pipeline
@@ -46,6 +47,31 @@ def test_pipeline(spark):
     assert sorted(map(repr, whole.collect())) == sorted(map(repr, mixed.collect()))
 
 
+def test_stages_take_any_rows(spark, docs):
+    """Nulls, repeated rows, rows without an id, and columns named as the operators name theirs."""
+    extra = {"toxicity": "a", "hit_words": "b", "items": "c", "node": "d", "row": "e", "component_id": "f", "doc": "g"}
+    more = spark.createDataFrame(
+        [(None, "a text without an id"), (None, "another text without an id"), (None, "a text without an id"), (None, None),
+         (20, "first text of this id"), (20, "second text of this id")], "doc_id bigint, text string")
+    rows = docs.unionByName(more, allowMissingColumns=True).withColumns({c: F.lit(x) for c, x in extra.items()})
+    rows = corpus_pipeline.stored(rows, "rows")
+    before = {(r.doc_id, r.text) for r in rows.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, rows, SF)
+        assert got.columns == rows.columns, name
+        found = got.collect()
+        assert all(r[c] == x for r in found for c, x in extra.items()), name
+        if name == "near_duplicates":
+            kept = [(r.doc_id, r.text) for r in found]
+            assert len(kept) == len(set(kept)) and set(kept) <= before
+            ids = [i for i, _ in kept if i is not None]
+            assert len(ids) == len(set(ids)) and {1, 6, 7, 8, 14, 20} <= set(ids) and not {2, 3} & set(ids)
+            # the row without an id that repeats document 1 goes, different texts stay
+            assert {t for i, t in kept if i is None} == {"a text without an id", "another text without an id", None}
+        if name in ("toxicity", "decontamination"):
+            assert len(found) == rows.count()
+
+
 def test_pipeline_on_no_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").where("1 = 0")
     for name, stage in corpus_pipeline.STAGES:
