@@ -1,8 +1,8 @@
 """Nearest neighbours with one vantage-point tree per shard.
 
-Vectors are dealt into shards of about ``shard_rows``; each shard is one row of the
-index: its vectors and a tree whose nodes keep the range of distances from their vantage
-point on either side of the median. Queries come in blocks of about ``block_rows``
+Vectors are dealt into shards of about ``shard_rows`` by a hash of id and vector; each shard is
+one row of the index: its vectors and a tree whose nodes keep the range of distances from their
+vantage point on either side of the median. It is built once, and read by every block. Queries come in blocks of about ``block_rows``
 and every block meets every shard. A subtree is left out if its least possible
 distance by the triangle inequality, times ``factor``, exceeds the query's k-th distance
 so far: factor 1 is exact, larger factors leave out more. The best k of each shard
@@ -11,8 +11,8 @@ are ranked per query in the end. Memory is bounded by a shard and a block.
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without an id; vectors of different lengths are
 not compared; a query is every distinct (id, vector), and its own id is no candidate
-of it; repeated candidate rows are ranked as rows; ties go to the smaller id; empty
-tables give no rows. Other columns are ignored.
+of it; repeated candidate rows are ranked as rows (an index keeps at most k of a row, as no more can be
+among k nearest); ties go to the smaller id; empty tables give no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,8 +58,12 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 class Tree:
     """Nodes in arrays: vantage point, children, range of points, and distance ranges of both children."""
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, order: np.ndarray | None = None, nodes: np.ndarray | None = None):
+        """Grown from ``points``, or as it was written: its order and its nodes (rows of 8 numbers)."""
         self.points = points
+        if nodes is not None:
+            self.order, self.nodes = order, [(*map(int, x[:4]), *x[4:]) for x in nodes.tolist()]
+            return
         self.order = np.arange(len(points))
         self.nodes: list[tuple] = []
         self._grow(0, len(points))
@@ -143,6 +147,15 @@ def _pack(table: pa.Table) -> pa.Table:
                      "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([flat.tobytes()], pa.binary())})
 
 
+def _pack_tree(table: pa.Table) -> pa.Table:
+    """The same, and the tree over them."""
+    packed = _pack(table)
+    points = np.frombuffer(packed.column("vectors")[0].as_py()).reshape(-1, packed.column("dims")[0].as_py())
+    tree = Tree(points)
+    return packed.append_column("tree_order", pa.array([tree.order.tobytes()], pa.binary())) \
+        .append_column("nodes", pa.array([np.array(tree.nodes, dtype=np.float64).tobytes()], pa.binary()))
+
+
 PACKED = "dims int, part int, ids binary, vectors binary"
 
 
@@ -154,28 +167,37 @@ def _searcher(k: int, factor: float):
                 dims = one.column("dims")[0].as_py()
                 ids, query_ids = (np.frombuffer(one.column(c)[0].as_py(), dtype=np.int64) for c in ("ids", "query_ids"))
                 points, queries = (np.frombuffer(one.column(c)[0].as_py()).reshape(-1, dims) for c in ("vectors", "queries"))
-                d, found = search(Tree(points), ids, queries, query_ids, k, factor)
+                order, nodes = np.frombuffer(one.column("tree_order")[0].as_py(), dtype=np.int64), np.frombuffer(one.column("nodes")[0].as_py())
+                d, found = search(Tree(points, order, nodes.reshape(-1, 8)), ids, queries, query_ids, k, factor)
                 real = np.isfinite(d)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, real.sum(axis=1))), pa.array(found[real]), pa.array(d[real])],
                                                  names=["query_id", "vec_id", "score"])
     return run
 
 
+def _dealt(rows: DataFrame, bound: int) -> DataFrame:
+    """dims, part, vec_id, v, parts of about ``bound`` rows."""
+    parts = rows.groupBy("dims").agg(F.count(F.lit(1)).alias("n")).select("dims", pieces(F.col("n"), bound).alias("parts"))
+    dealt = rows.join(F.broadcast(parts), "dims")  # one row for each vector length
+    part = F.pmod(F.xxhash64("vec_id", "v"), F.col("parts")).cast("int")
+    return dealt.select("dims", part.alias("part"), "vec_id", "v").repartition("dims", "part")
+
+
+def index(candidates: DataFrame, k: int = K, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """One row for each shard of ``candidates`` (as from ``usable``): ids, vectors and tree; of equal rows at most ``k``."""
+    equal = Window.partitionBy("dims", "part", "vec_id", "v").orderBy(F.lit(0))
+    rows = _dealt(candidates, shard_rows).withColumn("copy", F.row_number().over(equal)).where(F.col("copy") <= k).drop("copy")
+    return rows.groupBy("dims", "part").applyInArrow(_pack_tree, PACKED + ", tree_order binary, nodes binary")
+
+
 def nearest(candidates: DataFrame, queries: DataFrame, k: int = K, factor: float = 1.0,
             shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest ``candidates`` of each of ``queries`` (both as from ``usable``)."""
-    queries = queries.dropDuplicates(["vec_id", "v"])
-
-    def packed(rows: DataFrame, bound: int) -> DataFrame:
-        parts = rows.groupBy("dims").agg(F.count(F.lit(1)).alias("n")).select("dims", pieces(F.col("n"), bound).alias("parts"))
-        dealt = rows.join(F.broadcast(parts), "dims")  # one row for each vector length
-        dealt = dealt.select("dims", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"), "vec_id", "v")
-        return dealt.groupBy("dims", "part").applyInArrow(_pack, PACKED)
-
+    packed = _dealt(queries.dropDuplicates(["vec_id", "v"]), block_rows).groupBy("dims", "part").applyInArrow(_pack, PACKED)
     shards = candidates.groupBy("dims").agg(F.count(F.lit(1)).alias("n")).select("dims", pieces(F.col("n"), shard_rows).alias("shards"))
-    blocks = packed(queries, block_rows).join(F.broadcast(shards), "dims").select(
+    blocks = packed.join(F.broadcast(shards), "dims").select(
         "dims", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("part"), F.col("ids").alias("query_ids"), F.col("vectors").alias("queries"))
-    met = packed(candidates, shard_rows).join(blocks, ["dims", "part"]).mapInArrow(
+    met = index(candidates, k, shard_rows).join(blocks, ["dims", "part"]).mapInArrow(
         _searcher(k, factor), "query_id bigint, vec_id bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return met.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score").where(F.col("rank") <= k)

@@ -54,3 +54,21 @@ def test_repeated_rows_and_few_candidates(spark):
     df = spark.createDataFrame([(0, [1.0, 1.0]), (0, [1.0, 1.0]), (1, [1.0, 2.0]), (1, [1.0, 2.0]), (2, [1.0, 1.0])], "vec_id bigint, embedding array<float>")
     assert sorted(map(tuple, vptree.neighbours(df).collect())) == [(0, 1, 2, 0.0), (0, 2, 1, 1.0), (0, 3, 1, 1.0)]
     assert vptree.neighbours(df.where("1 = 0")).collect() == []
+
+
+def test_a_row_repeated_often(spark):
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors(300, 4))] + [(7, vectors(300, 4)[7].tolist())] * 200
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(5)
+    index = vptree.index(vptree.usable(df), k=10, shard_rows=64)
+    assert index.selectExpr("sum(length(ids) / 8) AS n").first().n == 310 - 1  # 10 of the 201 equal rows
+    want = brute(rows, [r for r in rows if r[0] % 100 == 0], 10)
+    assert sorted(map(tuple, vptree.neighbours(df).collect())) == want
+
+
+def test_a_tree_survives_its_writing():
+    points = vectors(2000, 8)
+    tree, q = vptree.Tree(points), np.arange(0, 2000, 50)
+    again = vptree.Tree(points, tree.order, np.array(tree.nodes, dtype=np.float64))
+    assert again.nodes == tree.nodes
+    for a, b in zip(vptree.search(tree, np.arange(2000), points[q], q, 10, 1.0), vptree.search(again, np.arange(2000), points[q], q, 10, 1.0)):
+        assert (a == b).all()
