@@ -177,6 +177,21 @@ def test_suffix_tree_distributions_sum_to_one(docs):
             assert math.isclose((10 ** suffix_tree.log_probability(levels, codes, length)).sum(), 1, rel_tol=1e-9)
 
 
+def test_suffix_tree_contexts_longer_than_a_first_round(spark):
+    """What follows a long word depends on the word's first letter, 12 symbols back; an earlier cap lost it."""
+    import numpy as np
+
+    rows = [(i, " ".join(f"{'ab'[(i + j * j) % 2]}{'n' * 12}{'yz'[(i + j * j) % 2]}" for j in range(40))) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tree, _ = suffix_tree.fit(df)
+    assert max(next(tree.pieces())[0]) > suffix_tree.FIRST
+    whole = suffix_tree.score(df).collect()
+    right = np.mean([r.score for r in whole]) / 40
+    assert right > -0.8  # two equally likely words: 0.3; a second guess at y or z would add 0.3, and a wrong end of the run more
+    pieces = suffix_tree.score(df, model_bytes=500).collect()
+    assert sorted(round(r.score, 6) for r in pieces) == sorted(round(r.score, 6) for r in whole)
+
+
 def test_languages(spark):
     text = {"en": "the cat and the dog with their house ", "de": "der hund und die katze mit ihrem haus ", "xx": "zqx vvk wqz "}
     rows = [(i, text[lang] * (1 + i % 4), lang) for i in range(60) for lang in [list(text)[i % 3]]]
