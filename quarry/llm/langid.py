@@ -5,16 +5,16 @@ parsed greedily into the longest phrases that occur in a language's sample; the
 fewer phrases, normalised by the sample's length (a phrase costs log2 of the places
 it can point to), the closer the language.
 
-The sample is bounded: ``sample_rows`` documents, of each at most twice its share of ``sample_bytes``
-from the text's start, and ``sample_bytes`` bytes a language, at most ``sample_bytes`` x 16 for all. Whole texts are parsed, in pieces of
-``piece`` symbols side by side, each starting a new phrase in every language alike.
+The sample is bounded by labelled rows alone: ``sample_rows`` documents a language, of different texts that have a
+letter. Their texts are learned from whole, whatever their length and however many languages there are. A text to be
+labelled is parsed whole too, in pieces of ``piece`` symbols side by side, each starting a new phrase in every language alike.
 
 Letters are the bytes a-z (A-Z lower-cased) and those from 0x80 on; what lies between
 them counts as one space.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; so is
 every text if nothing can be learned; equal costs go to the first language by code
-point; labels that are null are ignored; of rows that repeat an id in a language the least text is learned from; a null doc_id is scored and never learned from;
+point; labels that are null are ignored; of rows that repeat an id in a language the text of least hash is learned from; a null doc_id is scored and never learned from;
 empty tables give no rows.
 """
 
@@ -31,7 +31,6 @@ from pyspark.sql import types as T
 from .kernels import column_slices
 
 SAMPLE_ROWS = 60
-SAMPLE_BYTES = 48 << 10
 PIECE = 256
 SALTS = 64
 
@@ -100,30 +99,41 @@ class Languages:
     tables: list[np.ndarray]
     sizes: np.ndarray           # symbols in each sample
 
-
-def learn(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> Languages:
-    """Suffix automata of a bounded sample of ``docs`` (doc_id, text, lang) that meet ``train``."""
-    rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct()
+    def __getstate__(self):
+        """Only the moves there are: a few for each state."""
+        moves = [(t.shape, np.diff(np.flatnonzero(t), prepend=0).astype(np.uint32), t[t != 0]) for t in self.tables]
+        return self.names, self.symbol, moves, self.sizes
+
+    def __setstate__(self, state):
+        self.names, self.symbol, moves, self.sizes = state
+        self.tables = []
+        for shape, steps, to in moves:
+            table = np.zeros(shape, dtype=np.int32)
+            table.ravel()[np.cumsum(steps, dtype=np.int64)] = to
+            self.tables.append(table)
+
+
+def learn(docs: DataFrame, train: Column, sample_rows: int = SAMPLE_ROWS) -> Languages:
+    """Suffix automata of a sample of ``docs`` (doc_id, text, lang) that meet ``train``, bounded by rows."""
+    rows = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    # one text for each id and language, however often they are repeated, told by its hash; then copies once
+    rows = rows.select("doc_id", "lang", F.xxhash64("text").alias("h"))
+    rows = rows.groupBy("lang", "doc_id").agg(F.min("h").alias("h")).groupBy("lang", "h").agg(F.min("doc_id").alias("doc_id"))
     order = F.xxhash64("doc_id")
     # first within salts, so that no task ranks all documents of a language
     salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)))
     salted = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(order, "doc_id"))).where(F.col("r") <= sample_rows)
     best = salted.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(order, "doc_id"))).where(F.col("r") <= sample_rows)
-    picked = best.select(F.col("doc_id").alias("picked"), F.col("lang").alias("_lang"))
-    share = F.ceil(F.lit(2 * sample_bytes / sample_rows)).cast("int")
-    found = docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("picked")) & (F.col("lang") == F.col("_lang"))) \
-        .select("lang", "doc_id", F.substring("text", F.lit(1), share).alias("text")).where(F.length("text") > 0)
-    # one text for each id and language, however often they are repeated
+    picked = best.select(F.col("doc_id").alias("picked"), F.col("lang").alias("_lang"), "h")
+    found = docs.join(F.broadcast(picked), (F.col("doc_id") == F.col("picked")) & (F.col("lang") == F.col("_lang")) & (F.xxhash64("text") == F.col("h")))
     got = found.groupBy("lang", "doc_id").agg(F.min("text").alias("text")).toArrow()
     texts: dict[str, list[bytes]] = {}
     for row in got.sort_by([("lang", "ascending"), ("doc_id", "ascending"), ("text", "ascending")]).to_pylist():
         texts.setdefault(row["lang"], []).append(row["text"].encode())
-    sample_bytes = min(sample_bytes, 16 * sample_bytes // max(1, len(texts)))
     names, samples = sorted(texts), []
     for name in names:
-        joined = b" ".join(dict.fromkeys(texts[name]))  # copies once
-        data = np.frombuffer(joined, dtype=np.uint8)
-        samples.append(normalise(data, np.array([0]))[0][:sample_bytes])
+        data = np.frombuffer(b" ".join(texts[name]), dtype=np.uint8)
+        samples.append(normalise(data, np.array([0]))[0])
     symbol = np.zeros(256, dtype=np.uint8)  # 0: in no sample
     if samples:
         used = np.unique(np.concatenate(samples))
@@ -188,7 +198,7 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
     """doc_id, lang_pred, score of each row of ``docs`` (doc_id, text)."""
     rows = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    # at most 2 states for each sampled byte, a few dozen 4-byte moves each
+    # at most 3 moves of 8 bytes for each sampled byte, spread to tables in the tasks; grows with the length of the sampled texts
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return rows.mapInArrow(_predictor(shared), schema).select("doc_id", "lang_pred", "score")
 

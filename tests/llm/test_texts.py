@@ -205,6 +205,17 @@ def test_languages(spark):
     assert [r.lang_pred for r in langid.identify(none).collect()] == ["und"]
 
 
+def test_languages_are_learned_from_whole_texts(spark):
+    """A shared header longer than any prefix, copies, letterless texts, and more than 16 labels."""
+    header = " ".join(words(400, 6)) + " "
+    tell = {f"l{k:02}": " ".join(f"{chr(97 + k)}{chr(97 + (k * 7 + j) % 26)}{chr(97 + j * 3 % 26)}" for j in range(12)) for k in range(20)}
+    rows = [(i * 20 + k, header + text, lang) for k, (lang, text) in enumerate(tell.items()) for i in range(5)]
+    rows += [(1000 + i, "... 123", "l00") for i in range(300)] + [(2000 + i, header, "l01") for i in range(300)]
+    rows += [(5000 + k, text, None) for k, text in enumerate(tell.values())]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert [got[5000 + k] for k in range(20)] == list(tell)
+
+
 def test_cross_parse_finds_longest_matches():
     import numpy as np
 
