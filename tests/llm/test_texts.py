@@ -178,7 +178,7 @@ def test_suffix_tree_distributions_sum_to_one(docs):
 
 
 def test_suffix_tree_contexts_longer_than_a_first_round(spark):
-    """What follows a long word depends on the word's first letter, 12 symbols back; an earlier cap lost it."""
+    """States longer than the first round's contexts are kept, and pieces of the tree score alike."""
     import numpy as np
 
     rows = [(i, " ".join(f"{'ab'[(i + j * j) % 2]}{'n' * 12}{'yz'[(i + j * j) % 2]}" for j in range(40))) for i in range(40)]
@@ -187,7 +187,7 @@ def test_suffix_tree_contexts_longer_than_a_first_round(spark):
     assert max(next(tree.pieces())[0]) > suffix_tree.FIRST
     whole = suffix_tree.score(df).collect()
     right = np.mean([r.score for r in whole]) / 40
-    assert right > -0.8  # two equally likely words: 0.3; a second guess at y or z would add 0.3, and a wrong end of the run more
+    assert right > -0.8
     pieces = suffix_tree.score(df, model_bytes=500).collect()
     assert sorted(round(r.score, 6) for r in pieces) == sorted(round(r.score, 6) for r in whole)
 
