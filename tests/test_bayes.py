@@ -8,7 +8,7 @@ from quarry.functions.text import stop_words
 from quarry.operators import bayes
 from quarry.plans import queries as Q
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from test_text import java_bucket
 
 B = 1 << 20

@@ -9,7 +9,7 @@ from quarry.plans import jobs
 from quarry.plans import queries as Q
 from quarry.sources import extract, readers
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_logistic_jobs(spark, tmp_path):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry.operators import kmeans
 from quarry.plans import queries as Q
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def numpy_lloyd(ids, X, k, rounds):

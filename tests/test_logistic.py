@@ -6,7 +6,7 @@ import pytest
 from quarry.operators import logistic
 from quarry.sources import extract
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def numpy_sgd(X, y, passes, rate, lam):

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from quarry.sources.tables import TABLE_NAMES
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 ORACLE = E.oracle_sql()
 

@@ -6,7 +6,7 @@ import re
 from quarry.plans import queries as Q
 from quarry.sources import extract
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df):

@@ -10,7 +10,7 @@ from quarry.plans import oracle as O
 from quarry.sources import extract
 from quarry.sources.tables import table
 
-from conftest import SF_CHECK
+from paths import SF_CHECK
 
 SKEW_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",

@@ -3,7 +3,7 @@ from quarry.plans import queries as Q
 from quarry.sources import extract
 from quarry.streaming import score_batches
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_stateless_scoring_on_a_stream(spark, tmp_path):
