@@ -1,12 +1,6 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
-from conftest_llm import ROWS  # noqa: E402
+from conftest_llm import ROWS
 
 
 @pytest.fixture(scope="session")
