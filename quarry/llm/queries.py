@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import decontaminate, langid, mixing, neardup, recompression, suffix_index, suffix_tree, toxicity, vptree, warc
+from . import bytepair, decontaminate, langid, mixing, neardup, recompression, suffix_index, suffix_tree, toxicity, vptree, warc
 from .tables import documents
 
 
@@ -48,6 +48,13 @@ def op10_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = bytepair.read_ranks(public_tokenizers.path(bytepair.VOCABULARY))
+    return bytepair.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_warc": op2_warc,
@@ -59,6 +66,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_suffix_index": op9_suffix_index,
     "op10_mixing": op10_mixing,
+    "op12_byte_bpe": op12_byte_bpe,
 }
 
 ORACLE_SQL = {
