@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import bytepair, decontaminate, langid, mixing, neardup, recompression, suffix_index, suffix_tree, toxicity, vptree, warc
+from . import bytepair, decontaminate, langid, mixing, neardup, recompression, suffix_index, suffix_tree, toxicity, vptree, warc, whitening
 from .tables import documents
 
 
@@ -48,6 +48,10 @@ def op10_mixing(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op12_byte_bpe(spark, sf_dir):
     import public_tokenizers
 
@@ -66,6 +70,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_suffix_index": op9_suffix_index,
     "op10_mixing": op10_mixing,
+    "op11_whitening": op11_whitening,
     "op12_byte_bpe": op12_byte_bpe,
 }
 
