@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import table
-from . import bytepair, decontaminate, langid, mixing, neardup, recompression, suffix_index, suffix_tree, toxicity, vptree, warc, whitening
+from . import bytepair, decontaminate, hardneg, langid, mixing, neardup, recompression, suffix_index, suffix_tree, toxicity, vptree, warc, whitening
 from .tables import documents
 
 
@@ -59,6 +59,10 @@ def op12_byte_bpe(spark, sf_dir):
     return bytepair.round_trip(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
 
 
+def op13_hard_negatives(spark, sf_dir):
+    return hardneg.mine(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_warc": op2_warc,
@@ -72,6 +76,7 @@ QUERIES = {
     "op10_mixing": op10_mixing,
     "op11_whitening": op11_whitening,
     "op12_byte_bpe": op12_byte_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -79,4 +84,5 @@ ORACLE_SQL = {
     "op3_decontaminate": decontaminate.ORACLE_SQL,
     "op6_nearest": vptree.ORACLE_SQL,
     "op10_mixing": mixing.ORACLE_SQL,
+    "op13_hard_negatives": hardneg.ORACLE_SQL,
 }

@@ -30,7 +30,7 @@ def test_equals_sql(spark, tables, name):
 
 
 def test_one_query_for_each_operator():
-    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
     assert {*queries.QUERIES, "pipeline"} <= {*__spark_entry__.queries()}
 
 
