@@ -29,6 +29,9 @@ from __future__ import annotations
 
 import base64
 import gc
+import hashlib
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +42,9 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 WINDOW = 1 << 18        # characters or ids handled at once
 MARGIN = 4              # characters at the end of a window that may still change the match before them
-MAX_STATES = 150_000    # states kept by a transducer (about 600 bytes each)
-MAX_PIECES = 250_000    # pieces whose ids are kept (about 300 bytes each)
-MAX_KEPT = 64           # bytes of the longest piece whose ids are kept
+MAX_STATES = 200_000    # states kept by a transducer (about 600 bytes each)
+MAX_PIECES = 150_000    # pieces whose ids are kept, in each of two generations (about 300 bytes each)
+MAX_KEPT = 32           # characters of the longest piece whose ids are kept
 MAX_PAIRS = 250_000     # neighbours whose answer is kept
 OUT_BYTES = 8 << 20     # size of a result batch
 
@@ -59,7 +62,7 @@ class Merges:
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"the ranks lack the single bytes {missing[:5]}")
-        self.ranks, self._edges, self._pairs = ranks, {}, {}
+        self.ranks, self._edges = ranks, {}
 
     def steps(self, token: bytes) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
         """What is left of ``token`` after merging, and per merge its rank and the then first and last part."""
@@ -91,102 +94,113 @@ class Merges:
 
         Both merge on their own, always the lower rank next (the left one first if equal), until
         a merge across the boundary comes before the next merge of either side, or never does."""
-        key = (left, right)
-        found = self._pairs.get(key)
-        if found is None:
-            left_ranks, _, ends = self.edges(left)
-            right_ranks, begins, _ = self.edges(right) or ([], [], [])
-            i = j = 0
-            while begins:       # without, merging does not give ``right`` at all
-                across = self.ranks.get(ends[i] + begins[j], 1 << 62)
-                if across < left_ranks[i] and across <= right_ranks[j]:
-                    found = False
-                    break
-                if left_ranks[i] == right_ranks[j] == 1 << 62:
-                    found = True
-                    break
-                if left_ranks[i] <= right_ranks[j]:
-                    i += 1
-                else:
-                    j += 1
-            if len(self._pairs) >= MAX_PAIRS:
-                self._pairs.clear()
-            self._pairs[key] = found = bool(found)
-        return found
+        left_ranks, _, ends = self.edges(left)
+        right_ranks, begins, _ = self.edges(right) or ([], [], [])
+        i = j = 0
+        while begins:       # without, merging does not give ``right`` at all
+            across = self.ranks.get(ends[i] + begins[j], 1 << 62)
+            if across < left_ranks[i] and across <= right_ranks[j]:
+                return False
+            if left_ranks[i] == right_ranks[j] == 1 << 62:
+                return True
+            if left_ranks[i] <= right_ranks[j]:
+                i += 1
+            else:
+                j += 1
+        return False
 
 
 class Transducer:
     """Bytes of a piece to ids.
 
-    A state is a tuple of threads: each one's last token (None at the start), its node in the trie
+    A state is a tuple of threads: the id of each one's last token (-1 at the start), its node in the trie
     and the ids that it has yet to emit. ``moves`` has, by state * 256 + byte, twice the next state, plus 1 if ids are emitted."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.merges, self.ranks = Merges(ranks), ranks
+        self.merges, self.bytes_of = Merges(ranks), {number: token for token, number in ranks.items()}
         self.children: dict[int, int] = {}      # trie: node * 256 + byte -> node
-        self.token: dict[int, bytes] = {}       # node -> token that ends there
-        for token in ranks:
+        self.token: dict[int, int] = {}         # node -> id of the token that ends there
+        for token, number in ranks.items():
             node = 0
             for b in token:
                 node = self.children.setdefault(node << 8 | b, len(self.children) + 1)
-            self.token[node] = token
+            self.token[node] = number
+        self.follows: dict[int, bool] = {}      # left id * 2^32 + right id -> whether it may follow
         self.inner = {key >> 8 for key in self.children}    # nodes that something follows
         self._forget()
 
     def _forget(self) -> None:
         self.known: dict[tuple, int] = {}
         self.threads: list[tuple] = []
-        self.last: list[tuple[int, ...]] = []       # the ids to emit if the piece ends in a state
         self.moves: dict[int, int] = {}
         self.emitted: dict[int, tuple[int, ...]] = {}
-        self._state(((None, 0, ()),), ())
+        self._state(((-1, 0, ()),))
 
-    def _state(self, threads: tuple, last: tuple[int, ...]) -> int:
-        found = self.known.setdefault((threads, last), len(self.threads))
+    def _state(self, threads: tuple) -> int:
+        found = self.known.setdefault(threads, len(self.threads))
         if found == len(self.threads):
             self.threads.append(threads)
-            self.last.append(last)
+        return found
+
+    def _may_follow(self, left: int, right: int) -> bool:
+        """Whether the token ``right`` may come after ``left`` (-1: at the begin)."""
+        token = self.bytes_of[right]
+        found = self.merges.neighbours(self.bytes_of[left], token) if left >= 0 else self.merges.edges(token) is not None
+        if len(self.follows) >= MAX_PAIRS:
+            self.follows.clear()
+        self.follows[left << 32 | right] = found
         return found
 
     def _move(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """The next state and what is emitted on the way there; kept, unless all had to be forgotten."""
-        children, token_at, inner, edges, neighbours = self.children, self.token, self.inner, self.merges.edges, self.merges.neighbours
-        open_, ended, whole = [], None, None
+        """The next state if more bytes follow, and what is emitted on the way there; kept, unless all had to be forgotten."""
+        children, token_at, inner, follows = self.children, self.token, self.inner, self.follows
+        open_, ended = [], None
         for left, node, owed in self.threads[state]:    # in the order of their begin: the longest token is tried first
             node = children.get(node << 8 | byte)
             if node is None:
                 continue
             if node in inner:
                 open_.append((left, node, owed))
-            token = token_at.get(node)
-            if token is None:
-                continue
-            if left is None:
-                whole = (self.ranks[token],)            # the piece so far is a token itself
-            if ended is None and (neighbours(left, token) if left is not None else edges(token) is not None):
-                ended = (token, 0, owed + (self.ranks[token],))     # there is always exactly one
+            if ended is None:
+                token = token_at.get(node)
+                if token is not None:
+                    fits = follows.get(left << 32 | token)
+                    if self._may_follow(left, token) if fits is None else fits:
+                        ended = (token, 0, owed + (token,))     # there is always exactly one
         open_.append(ended)
-        last = ended[2] if whole is None else whole
-        first, shared = open_[0][2], 0
-        if whole is None:       # while the piece is a token itself, nothing is settled
+        out = first = open_[0][2]
+        if first:       # what all threads agree on is settled
+            shared = 0
             while all(len(owed) > shared and owed[shared] == first[shared] for _, _, owed in open_):
                 shared += 1
-        out = first[:shared]
-        if shared:
-            open_ = [(left, node, owed[shared:]) for left, node, owed in open_]
-            last = last[shared:]
+            out = first[:shared]
+            if shared:
+                open_ = [(left, node, owed[shared:]) for left, node, owed in open_]
         if len(self.threads) >= MAX_STATES:
             self._forget()
-            return self._state(tuple(open_), last), out
-        found = self._state(tuple(open_), last)
+            return self._state(tuple(open_)), out
+        found = self._state(tuple(open_))
         self.moves[state << 8 | byte] = found << 1 | bool(out)
         if out:
             self.emitted[state << 8 | byte] = out
         return found, out
 
+    def _end(self, state: int, byte: int) -> tuple[int, ...]:
+        """What is emitted if ``byte`` is the last one."""
+        children, token_at, follows = self.children, self.token, self.follows
+        for left, node, owed in self.threads[state]:
+            token = token_at.get(children.get(node << 8 | byte))
+            if token is not None:
+                if left < 0:        # the piece is a token itself
+                    return (token,)
+                fits = follows.get(left << 32 | token)
+                if self._may_follow(left, token) if fits is None else fits:
+                    return owed + (token,)
+        raise AssertionError("no token ends the piece")
+
     def __call__(self, piece: bytes) -> list[int]:
         state, out, moves = 0, [], self.moves
-        for byte in piece:
+        for byte in piece[:-1]:
             key = state << 8 | byte
             move = moves.get(key)
             if move is None:
@@ -197,7 +211,8 @@ class Transducer:
                 state = move >> 1
                 if move & 1:
                     out += self.emitted[key]
-        out += self.last[state]
+        if piece:
+            out += self._end(state, piece[-1])
         return out
 
 
@@ -208,7 +223,9 @@ class Encoder:
         import regex
 
         self.pattern, self.transducer = regex.compile(pattern), Transducer(ranks)
-        self.kept: dict[str, list[int]] = {}
+        # ids of pieces: when the new ones are full they become the old ones, and those not asked for again go
+        self.kept: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
 
     def pieces(self, text: str, window: int = WINDOW):
         """Lists of pieces. A match counts once ``MARGIN`` characters beyond it are in the window, or the text ends."""
@@ -232,22 +249,34 @@ class Encoder:
 
     def __call__(self, text: str, window: int = WINDOW):
         """Arrays of ids, one for each window."""
-        kept, run = self.kept, self.transducer
+        kept, old, run = self.kept, self.old, self.transducer
         for pieces in self.pieces(text, window):
             ids: list[int] = []
             for piece in pieces:
                 found = kept.get(piece)
                 if found is None:
-                    raw = piece.encode("utf-8", "surrogatepass")
-                    found = run(raw)
-                    if len(raw) <= MAX_KEPT:
+                    found = old.get(piece)
+                    if found is None:
+                        found = tuple(run(piece.encode("utf-8", "surrogatepass")))
+                    if len(piece) <= MAX_KEPT:
                         if len(kept) >= MAX_PIECES:
-                            kept.clear()
+                            old = self.old = kept
+                            kept = self.kept = {}
                         kept[piece] = found
                 ids += found
             yield np.array(ids, dtype="<u4")
 
 
+def worker_kept(key, make):
+    """What ``make`` returns, kept as long as the Python worker runs: its later tasks find it again.
+
+    Functions come to the workers by value, so variables of this module do not last."""
+    home = sys.modules.setdefault("_quarry_worker", types.ModuleType("_quarry_worker")).__dict__
+    if home.get("key") != key:      # one at a time: the memory stays bounded
+        home["key"], home["made"] = key, make()
+    return home["made"]
+
+
 # The UTF-8 state machine (fixed values of the encoding): a state is the range of the next byte, and the state after it.
 # 0 is "between characters"; 1, 2, 3 take one, two, three more bytes; 4 to 7 restrict the byte after E0, ED, F0, F4.
 _NEXT = {1: (0x80, 0xBF, 0), 2: (0x80, 0xBF, 1), 3: (0x80, 0xBF, 2),
@@ -374,10 +403,11 @@ def _batches(batch: pa.RecordBatch, made: dict[str, tuple[list, pa.DataType]], s
 
 
 def _encode_task(ranks: list[tuple[bytes, int]], pattern: str, text_at: int, names: tuple[str, str]):
+    key = hashlib.sha256(repr((ranks, pattern)).encode()).hexdigest()
+
     def run(batches):
-        encoder = None
         for batch in batches:
-            encoder = encoder or Encoder(dict(ranks), pattern)
+            encoder = worker_kept(key, lambda: Encoder(dict(ranks), pattern))
             ids, counts = [], []
             gc.disable()    # hundreds of thousands of small tuples without cycles: looking for cycles takes a third of the time
             try:
@@ -431,7 +461,14 @@ def decode(encoded: DataFrame, ranks: list[tuple[bytes, int]], ids_col: str = "i
 
 
 def round_trip(docs: DataFrame, ranks: list[tuple[bytes, int]], pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded again."""
-    encoded = encode(docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"]), ranks, pattern)
-    decoded = decode(encoded.select("doc_id", "n_tokens", "ids"), ranks)
-    return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every text, encoded and decoded again (in one task each)."""
+    rows = docs.select(docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].alias("text"))
+    encoding, decoding = _encode_task(ranks, pattern, 1, ("ids", "n_tokens")), _decode_task(ranks, 1, ("decoded", "decoded_text"))
+
+    def run(batches):
+        encoded = (batch.select(["doc_id", "ids", "n_tokens"]) for batch in encoding(batches))
+        for batch in decoding(encoded):
+            yield batch.select(["doc_id", "n_tokens", "ids", "decoded"])
+
+    return rows.mapInArrow(run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary").select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
