@@ -17,14 +17,3 @@ def fixed(x: Column, digits: int) -> Column:
     scale = float(10 ** digits)
     return F.round(x * F.lit(scale)) / F.lit(scale)
 
-
-def fixed_sum(x: Column, scale: int) -> Column:
-    """Exact sum of values that carry at most ``scale`` decimals, as a double.
-
-    The values are summed as 64-bit integers of ``round(x * 10^scale)``, so the
-    result does not depend on how rows are split across tasks or in which
-    order partial sums merge. Bound: ``sum(|x|) * 10^scale < 9.2e18`` (ANSI
-    mode raises on overflow instead of wrapping).
-    """
-    factor = float(10 ** scale)
-    return F.sum(F.round(x * F.lit(factor)).cast("bigint")).cast("double") / F.lit(factor)

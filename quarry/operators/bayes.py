@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exactsum import exact_sums
 from ..functions.text import NUM_FEATURES, with_buckets
 from ..session import materialize
 from .sizing import DEFAULT_BOUND_BYTES, broadcast_if_bounded, row_bytes
@@ -98,8 +99,7 @@ def fit_buckets(docs: DataFrame, smoothing: float = 1.0,
     bounded_idf = broadcast_if_bounded(idf.select(BUCKET, "idf"), num_features, row_bytes(2))
     weights = materialize(token_counts.join(bounded_idf, BUCKET)
                           .select("label", BUCKET, (F.col("n") * F.col("idf")).alias("s")))
-    totals = {r["label"]: float(r["s"]) for r in
-              weights.groupBy("label").agg(F.sum("s").alias("s")).collect()}
+    totals = {r["label"]: r["s"] for r in exact_sums(weights, ["s"], ["label"]).collect()}
     log_n = math.log(n_train + len(classes) * smoothing)
     pi = {c: math.log(counts[c] + smoothing) - log_n for c in classes}
     return NaiveBayesModel(classes, counts, pi, {c: totals.get(c, 0.0) for c in classes},

@@ -74,14 +74,6 @@ def confusion_matrix(scored: DataFrame, labels: list[str], label: str = "label",
     return out.withColumn("total", total)
 
 
-def label_counts(scored: DataFrame, labels: list[str], label: str = "label") -> DataFrame:
-    """Rows per actual class, zeros included (A5)."""
-    counts = scored.groupBy(F.col(label).cast("int").alias("label")).agg(F.count("*").alias("n"))
-    dims = _labels_frame(scored.sparkSession, list(labels))
-    return dims.join(broadcast_if_bounded(counts, len(labels), 32), "label", "left").select(
-        "label", "label_name", F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
-
-
 def auc(scored: DataFrame, score: str = "probability", label: str = "label",
         digits: int = 6) -> DataFrame:
     """Exact area under the ROC curve (D2), ties counted one half.

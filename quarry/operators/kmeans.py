@@ -7,17 +7,18 @@ Lloyd's algorithm as DataFrame aggregations. Each round is one scan of the
   width; ties go to the lowest cluster id. No join, no broadcast, and the plan
   does not grow from round to round. Points with a null, NaN or infinite
   coordinate are left out of the means and the cost, and counted;
-* the update is ``groupBy(cluster_id).agg(count, avg...)``: a partial
-  aggregate per task, so the shuffle carries at most k rows per task no
-  matter how unbalanced the clusters are;
-* only the k x d centre matrix comes back to the driver.
+* the update is in the same kernel: a task adds the points of each cluster and sends
+  one set of sums a cluster, no matter how many points it holds or how unbalanced the clusters are;
+* several runs share the scan: each round assigns every point under the centres of all runs
+  that have not ended yet, and each run ends by itself;
+* only model-sized sums (k x d for a run) come back to the driver.
 
 A cluster that receives no points keeps its previous centre, as in MLlib.
 
-With ``exact_scale`` (the number of decimals the features carry) the centre
-sums are fixed-point integers, so every round - and hence the result - is
-bit-identical however the points are partitioned and whichever order the
-partial sums merge in. Without it, plain double averages are used.
+Sums are exact (``functions.exactsum``), so every round - and hence the result - is
+bit-identical however the points are partitioned and whichever order the partial sums
+merge in. With ``exact_scale`` (the number of decimals the features carry) a mean is that of the
+decimal numbers, not of the doubles next to them.
 
 Start: ``init="md5"`` takes the k points with the lowest ``md5(id)`` (a
 deterministic, checkable choice; the original draws k random points, which
@@ -30,10 +31,11 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import exactsum
 from ..session import materialize
 from .sizing import broadcast_if_bounded
 
@@ -45,6 +47,7 @@ class KMeansModel:
     centers: list[list[float]]
     rounds: int = 0
     history: list[float] = field(default_factory=list)   # largest squared shift per round
+    run_costs: list[float] = field(default_factory=list)  # of all runs, if this is the best of several
 
     @property
     def k(self) -> int:
@@ -57,11 +60,23 @@ def complete(feature_cols: list[str]) -> Column:
     return reduce(lambda a, b: a & b, usable)
 
 
+def nearest(x, centers):
+    """(nearest centre, squared distance) of each row of ``x``. Squared differences are added
+    dimension by dimension, left to right; ties go to the lowest id."""
+    import numpy as np
+
+    acc = np.zeros((len(x), len(centers)), dtype=np.float64)
+    for j in range(centers.shape[1]):
+        diff = x[:, j][:, None] - centers[None, :, j]
+        acc += diff * diff
+    best = acc.argmin(axis=1) if len(x) else np.zeros(0, dtype=np.int64)
+    return best, acc[np.arange(len(x)), best]
+
+
 def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
     """Points with ``cluster_id`` (nearest centre) and ``dist2`` appended.
 
-    Squared differences are added dimension by dimension, left to right, by
-    NumPy on Arrow batches; ties go to the lowest id. A point with a null, NaN or infinite
+    One NumPy kernel on Arrow batches (``nearest``). A point with a null, NaN or infinite
     coordinate has no nearest centre: both columns are null (``unplaced`` counts them).
     """
     points = points.select(*points.columns)
@@ -75,16 +90,11 @@ def assign(points: DataFrame, model: KMeansModel) -> DataFrame:
 
         C = np.asarray(centers, dtype=np.float64)
         for batch in batches:
-            n = batch.num_rows
-            acc = np.zeros((n, len(C)), dtype=np.float64)
-            gap = np.zeros(n, dtype=bool)
+            x = np.empty((batch.num_rows, len(cols)))
             for j, name in enumerate(cols):
-                x = batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
-                gap |= ~np.isfinite(x)
-                diff = np.where(np.isfinite(x), x, 0.0)[:, None] - C[None, :, j]
-                acc += diff * diff
-            best = acc.argmin(axis=1) if n else np.zeros(0, dtype=np.int64)
-            dist = acc[np.arange(n), best] if n else np.zeros(0)
+                x[:, j] = batch.column(name).to_numpy(zero_copy_only=False).astype(np.float64)
+            gap = ~np.isfinite(x).all(axis=1)
+            best, dist = nearest(np.where(np.isfinite(x), x, 0.0), C)
             yield pa.RecordBatch.from_arrays(
                 list(batch.columns) + [pa.array(best.astype(np.int32), mask=gap), pa.array(dist, mask=gap)],
                 names=list(batch.schema.names) + [CLUSTER, DIST2])
@@ -97,28 +107,110 @@ def unplaced(assigned: DataFrame) -> DataFrame:
     return assigned.agg(F.count_if(F.col(CLUSTER).isNull()).alias("n_unplaced"))
 
 
+def _start_order(id_col: str, init: str, seed: int) -> Column:
+    if init == "md5":
+        return F.md5(F.col(id_col).cast("string"))
+    if init == "salted":
+        return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    if init == "random":
+        return F.xxhash64(F.col(id_col), F.lit(seed))
+    raise ValueError(f"unknown init {init!r}")
+
+
 def initial_centers(points: DataFrame, id_col: str, feature_cols: list[str], k: int,
                     init: str = "md5", seed: int = 42) -> list[list[float]]:
     """k starting centres, drawn by a distributed top-k (no full sort)."""
-    if init == "md5":
-        order = F.md5(F.col(id_col).cast("string"))
-    elif init == "random":
-        order = F.xxhash64(F.col(id_col), F.lit(seed))
+    return starts(points, id_col, feature_cols, k, init, [seed])[0]
+
+
+def starts(points: DataFrame, id_col: str, feature_cols: list[str], k: int, init: str, seeds: list[int]) -> list[list[list[float]]]:
+    """k starting centres for each seed. Several seeds take one scan: each task sends its k first points a seed."""
+    usable = points.where(complete(feature_cols))
+    if len(seeds) == 1:
+        rows = usable.select(F.lit(0).alias("_run"), _start_order(id_col, init, seeds[0]).alias("_o"), *feature_cols).orderBy("_o").limit(k)
     else:
-        raise ValueError(f"unknown init {init!r}")
-    rows = points.where(complete(feature_cols)).select(order.alias("_o"), *feature_cols).orderBy("_o").limit(k).collect()
-    if len(rows) < k:
-        raise ValueError(f"need at least k={k} points, got {len(rows)}")
-    return [[float(r[f]) for f in feature_cols] for r in rows]
+        order = F.posexplode(F.array(*[_start_order(id_col, init, s) for s in seeds]))
+        rank = F.row_number().over(Window.partitionBy("_run").orderBy("_o"))
+        rows = usable.select(order.alias("_run", "_o"), *feature_cols).withColumn("_rank", rank).where(F.col("_rank") <= k)
+    found: list[list] = [[] for _ in seeds]
+    for r in sorted(rows.collect(), key=lambda r: r["_o"]):     # k rows a seed
+        found[r["_run"]].append([float(r[f]) for f in feature_cols])
+    if len(found[0]) < k:
+        raise ValueError(f"need at least k={k} points, got {len(found[0])}")
+    return found
+
+
+def _scan(points: DataFrame, feature_cols: list[str], centers: dict[int, list[list[float]]], exact_scale: int | None, costs: bool = False):
+    """One scan for all runs: {(run, cluster): (n, [sum of each feature, in units of the scale])}, or with ``costs`` {run: sum of squared distances}; sums exact."""
+    d = len(feature_cols)
+    factor = None if exact_scale is None else float(10 ** exact_scale)
+
+    def run(batches):
+        from decimal import Decimal
 
+        import numpy as np
+        import pyarrow as pa
 
-def center_aggregates(feature_cols: list[str], exact_scale: int | None = None) -> list[Column]:
-    """Per-cluster mean of each feature (exact fixed-point sums when a scale is given)."""
-    if exact_scale is None:
-        return [F.avg(f).alias(f) for f in feature_cols]
-    factor = F.lit(float(10 ** exact_scale))
-    return [(F.sum(F.round(F.col(f) * factor).cast("bigint")).cast("double") / F.count("*") / factor)
-            .alias(f) for f in feature_cols]
+        spots = exactsum.DOWN + 1
+        totals: dict = {}
+        for batch in batches:
+            x = np.column_stack([batch.column(j).to_numpy(zero_copy_only=False).astype(np.float64) for j in range(d)])
+            x = x[np.isfinite(x).all(axis=1)]
+            if not len(x):
+                continue
+            cut = [] if costs else [exactsum.pieces(x[:, j] if factor is None else np.rint(x[:, j] * factor)) for j in range(d)]
+            for number, those in centers.items():
+                best, dist = nearest(x, np.asarray(those, dtype=np.float64))
+                k = len(those)
+                if costs:
+                    exactsum.add(totals, (number, 0, 0), dist)
+                    continue
+                for c, n in enumerate(np.bincount(best, minlength=k).tolist()):
+                    totals[(number, c, -1), 0] = totals.get(((number, c, -1), 0), 0) + n
+                for j, (index, position, part) in enumerate(cut):
+                    sums = np.zeros(k * spots, dtype=np.int64)
+                    np.add.at(sums, best[index] * spots + position, part)
+                    for at in np.flatnonzero(sums).tolist():
+                        key = (number, at // spots, j), at % spots
+                        totals[key] = totals.get(key, 0) + int(sums[at])
+        rows = [dict(zip(sent.names, (*key, position, Decimal(s)))) for (key, position), s in totals.items()]
+        yield pa.RecordBatch.from_pylist(rows, schema=exactsum.arrow_schema(sent))
+
+    sent = T.StructType([T.StructField(c, T.IntegerType()) for c in ("run", "cluster", "column", "position")] + [T.StructField("part", T.DecimalType(38, 0))])
+    found: dict = {}
+    for r in points.select(*feature_cols).mapInArrow(run, sent).groupBy("run", "cluster", "column", "position").agg(F.sum("part").alias("part")).collect():
+        found.setdefault((r["run"], r["cluster"], r["column"]), []).append((r["position"], int(r["part"])))
+    if costs:
+        return {number: exactsum.total(found.get((number, 0, 0), [])) for number in centers}
+    out = {}
+    for (number, c, column), parts in found.items():
+        if column == -1 and parts[0][1]:
+            sums = [exactsum.total(found.get((number, c, j), [])) for j in range(d)]
+            out[number, c] = (parts[0][1], sums)
+    return out
+
+
+def fit_runs(points: DataFrame, feature_cols: list[str], first: list[list[list[float]]], max_iter: int = 10,
+             tol: float = 0.0, exact_scale: int | None = None) -> list[KMeansModel]:
+    """Lloyd rounds from each of the starts ``first``, all in one scan a round; a run
+    ends after ``max_iter`` rounds, or when no centre of it moved more than ``tol``. ``points`` must be materialized."""
+    models = [KMeansModel(list(feature_cols), [list(c) for c in centers]) for centers in first]
+    unit = 1.0 if exact_scale is None else float(10 ** exact_scale)
+    active = dict(enumerate(models))
+    for _ in range(max_iter):
+        if not active:
+            break
+        stats = _scan(points, list(feature_cols), {r: m.centers for r, m in active.items()}, exact_scale)
+        for number, model in list(active.items()):
+            new = [[s / stats[number, c][0] / unit for s in stats[number, c][1]] if (number, c) in stats else list(old)
+                   for c, old in enumerate(model.centers)]
+            shift = max(sum((a - b) ** 2 for a, b in zip(old, moved)) for old, moved in zip(model.centers, new))
+            model.centers = new
+            model.rounds += 1
+            model.history.append(shift)
+            if shift <= tol * tol:
+                del active[number]
+    return models
 
 
 def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
@@ -129,38 +221,20 @@ def fit(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
     pts = points.select(id_col, *[F.col(f).cast("double").alias(f) for f in feature_cols])
     if not materialized:
         pts = materialize(pts)
-    model = KMeansModel(feature_cols, initial_centers(pts, id_col, feature_cols, k, init, seed))
-    for _ in range(max_iter):
-        # the update needs only the features: the id stays out of the per-round transfer
-        stats = (assign(pts.select(*feature_cols), model).where(F.col(CLUSTER).isNotNull()).groupBy(CLUSTER)
-                 .agg(F.count("*").alias("n"), *center_aggregates(feature_cols, exact_scale))
-                 .collect())
-        new_centers = [list(c) for c in model.centers]
-        for row in stats:
-            new_centers[row[CLUSTER]] = [float(row[f]) for f in feature_cols]
-        shift = max(sum((a - b) ** 2 for a, b in zip(old, new))
-                    for old, new in zip(model.centers, new_centers))
-        model.centers = new_centers
-        model.rounds += 1
-        model.history.append(shift)
-        if shift <= tol * tol:
-            break
-    return model
+    return fit_runs(pts, feature_cols, [initial_centers(pts, id_col, feature_cols, k, init, seed)], max_iter, tol, exact_scale)[0]
 
 
 def fit_best_of(points: DataFrame, id_col: str, feature_cols: list[str], k: int = 8,
-                max_iter: int = 10, runs: int = 1, seed: int = 42,
-                exact_scale: int | None = None) -> KMeansModel:
-    """``runs`` fits from random starts (seeds seed .. seed+runs-1); keeps the
-    one with the lowest cost (D11: the original ``runs`` argument)."""
-    pts = materialize(points.select(id_col, *[F.col(f).cast("double").alias(f) for f in feature_cols]))
-    best, best_cost = None, None
-    for r in range(max(1, runs)):
-        model = fit(pts, id_col, feature_cols, k=k, max_iter=max_iter, init="random",
-                    seed=seed + r, materialized=True, exact_scale=exact_scale)
-        c = assign(pts, model).agg(F.sum(DIST2)).first()[0]
-        if best_cost is None or c < best_cost:
-            best, best_cost = model, c
+                max_iter: int = 10, runs: int = 1, seed: int = 42, exact_scale: int | None = None,
+                init: str = "random", materialized: bool = False) -> KMeansModel:
+    """``runs`` fits (seeds seed .. seed+runs-1) in the scans of the longest one; keeps the one with the
+    lowest cost, the first of equal ones (D11: the original ``runs`` argument). ``run_costs`` has the cost of each."""
+    pts = points if materialized else materialize(points.select(id_col, *[F.col(f).cast("double").alias(f) for f in feature_cols]))
+    seeds = [seed + r for r in range(max(1, runs))]
+    models = fit_runs(pts, feature_cols, starts(pts, id_col, feature_cols, k, init, seeds), max_iter, exact_scale=exact_scale)
+    costs = _scan(pts, feature_cols, {r: m.centers for r, m in enumerate(models)}, None, costs=True)
+    best = models[min(costs, key=lambda r: (costs[r], r))]
+    best.run_costs = [costs[r] for r in range(len(models))]
     return best
 
 
@@ -176,15 +250,19 @@ def cluster_sizes(assigned: DataFrame, k: int) -> DataFrame:
 def cost(assigned: DataFrame, digits: int | None = 10) -> DataFrame:
     """Sum of squared distances to the nearest centre (A9), one row.
 
-    The distances are summed as they are; with ``digits`` the sum is rounded to so
-    many significant digits, beyond which it depends on the order of adding.
+    The sum is exact, then rounded to the nearest double; with ``digits``, to so many significant
+    digits, which an engine that adds doubles one by one gives as well.
     """
-    total = F.sum(DIST2)
+    total = exactsum.exact_sums(assigned, [DIST2]).withColumnRenamed(DIST2, "cost")
     if digits is None:
-        return assigned.agg(total.alias("cost"))
-    factor = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10("cost")))
-    return assigned.agg(total.alias("cost")).select(
-        F.when(F.col("cost") == 0, F.lit(0.0)).otherwise(F.round(F.col("cost") * factor) / factor).alias("cost"))
+        return total
+    return total.select(significant(F.col("cost"), digits).alias("cost"))
+
+
+def significant(x: Column, digits: int) -> Column:
+    """A value of at least 0, rounded to so many significant digits."""
+    factor = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(x)))
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x * factor) / factor)
 
 
 def centers_frame(spark, model: KMeansModel) -> DataFrame:

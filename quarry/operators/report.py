@@ -77,9 +77,11 @@ def classification_report(summary: DataFrame, matrix: DataFrame, labels: list[st
     return reduce(DataFrame.unionByName, parts)
 
 
-def cluster_lines(report: DataFrame, feature_cols: list[str]) -> DataFrame:
-    """``Cluster <id> [c1,c2,...] n=<size>`` per cluster, CRLF-terminated."""
-    center = F.concat_ws(",", *[F.col(f).cast("string") for f in feature_cols])
+def cluster_lines(report: DataFrame, feature_cols: list[str], decimals: int | None = None) -> DataFrame:
+    """``Cluster <id> [c1,c2,...] n=<size>`` per cluster, CRLF-terminated (T16). Centres as Spark
+    prints doubles, or with fixed ``decimals``."""
+    shown = [F.col(f).cast("string") if decimals is None else F.format_string(f"%.{decimals}f", F.col(f)) for f in feature_cols]
+    center = F.concat_ws(",", *shown)
     line = F.concat(F.lit("Cluster "), F.col(CLUSTER).cast("string"), F.lit(" ["), center,
                     F.lit("] n="), F.col("n").cast("string"), F.lit("\r"))
     return report.select(F.col(CLUSTER).alias("line_no"), line.alias("line"))
@@ -102,11 +104,6 @@ def write_text(lines: DataFrame, path: str) -> None:
      .write.mode("overwrite").text(path))
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with ``df`` as Parquet (model and metric tables)."""
-    df.write.mode("overwrite").parquet(path)
-
-
 def drop_views(spark, *names: str) -> None:
     """Drop temporary views if present (K6)."""
     for name in names:

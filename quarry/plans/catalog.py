@@ -27,7 +27,10 @@ QUERIES = {
     "kmeans_cost": Q.kmeans_cost("q20"),
     "kmeans_gaps": Q.kmeans_gaps,
     "kmeans_cost_small": Q.kmeans_cost("q20_small"),
-    "embeddings_kmeans": Q.kmeans_report("embeddings"),
+    "kmeans_best_of": Q.kmeans_best_of,
+    "kmeans_run_costs": Q.kmeans_run_costs,
+    "cluster_lines": Q.cluster_lines,
+    "embeddings_kmeans": Q.embeddings_kmeans,
     "embeddings_kmeans_cost": Q.kmeans_cost("embeddings"),
     "parse_space_embeddings": Q.parse_space_embeddings,
     # Q28: text cleaning, hashed TF-IDF, Naive Bayes, report
@@ -54,10 +57,14 @@ QUERIES = {
     "logistic_accuracy": Q.logistic_accuracy,
     "logistic_confusion": Q.logistic_confusion,
     "logistic_auc": Q.logistic_auc,
+    "logistic_train_embeddings": Q.logistic_train_embeddings,
+    "logistic_score_embeddings": Q.logistic_score_embeddings,
     "q05": Q.q05,
     # S3-S5 readers over lines built from the tables
     "parse_comma": Q.parse_comma,
     "parse_comma_rejects": Q.parse_comma_rejects,
+    "parse_observed": Q.parse_observed,
+    "read_rejects": Q.read_rejects,
     "parse_space": Q.parse_space,
     "parse_space_drop": Q.parse_space_drop,
     "parse_space_rejects": Q.parse_space_rejects,
@@ -91,7 +98,15 @@ def oracle_sql() -> dict[str, str]:
     for q in ("q20", "q25", "q26"):
         sql[q] = _cluster_sql(q, "report")
         sql[f"{q}_cost"] = _cluster_sql(q, "cost")
-    sql["embeddings_kmeans"] = _cluster_sql("embeddings", "report")
+    shown = ", ".join(f"round(x{i} * 1e9::DOUBLE) / 1e9::DOUBLE AS x{i}" for i in range(O.VECTOR_WIDTH))
+    sql["embeddings_kmeans"] = f"SELECT cluster_id, {shown}, n FROM ({_cluster_sql('embeddings', 'report')})"
+    spec = Q.CLUSTER_SPECS["q20"]
+    runs = (O.Q20_FEATURES, spec.id_col, spec.cols, 3)
+    sql["kmeans_best_of"] = O.kmeans_best_of_sql(*runs)
+    sql["kmeans_run_costs"] = O.kmeans_run_costs_sql(*runs)
+    sql["cluster_lines"] = O.cluster_lines_sql(_cluster_sql("q20", "report"), spec.cols)
+    for kind in ("train", "score"):
+        sql[f"logistic_{kind}_embeddings"] = O.vector_logistic_sql(kind, Q.Q05_PASSES, Q.Q05_RATE, 0.001)
     sql["embeddings_kmeans_cost"] = _cluster_sql("embeddings", "cost")
     sql["parse_space_embeddings"] = O.parse_space_embeddings_sql()
     sql["kmeans_centers"] = _cluster_sql("q20", "centers")
@@ -128,6 +143,8 @@ def oracle_sql() -> dict[str, str]:
     sql["nb_roundtrip"] = sql["nb_score"]
     sql["parse_comma"] = O.parse_comma_sql("good")
     sql["parse_comma_rejects"] = O.parse_comma_sql("rejects")
+    sql["parse_observed"] = O.parse_observed_sql()
+    sql["read_rejects"] = O.read_rejects_sql()
     sql["parse_space"] = O.parse_space_sql(False)
     sql["parse_space_drop"] = O.parse_space_sql(True)
     sql["parse_space_rejects"] = O.parse_space_rejects_sql()

@@ -8,9 +8,11 @@ For users whose feature extraction already writes the three text shapes:
 * ``run_naive_bayes(train_input, model_output, test_input, result_output)``
   - tab records.
 
-Inputs may be files or directories of part files. Each job returns its
+Inputs may be files or directories of part files; each is scanned once, and the rejected lines are
+counted by the job that reads the good ones. Each job fails if there is nothing to work on, returns its
 result DataFrames and writes what the original wrote (model, report text);
-the text sinks overwrite their target and let errors surface.
+the text sinks replace their target only once the new text is whole. The results are lazy and read tables in the
+shared folder: use a ``kept_tables`` scope to have these removed after use.
 """
 
 from __future__ import annotations
@@ -19,35 +21,41 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import bayes, evaluate, kmeans, logistic, report
-from ..session import materialize
+from ..session import kept_tables, materialize
 from ..sources import readers
 from ..sources.extract import Q28_LABELS
 
 COMMA_FEATURES = ["college_education", "male"]
 
 
+def _counted(spark: SparkSession, n: int) -> DataFrame:
+    return spark.createDataFrame([(n,)], "n_rejected bigint")
+
+
 def train_logistic(spark: SparkSession, input_path: str, output: str,
                    passes: int = logistic.DEFAULT_PASSES, lam: float = logistic.DEFAULT_LAMBDA,
                    rate: float = logistic.DEFAULT_RATE, feature_cols=None) -> logistic.LogisticModel:
     """Fit on comma records and save the model (M1, K1). ``feature_cols`` may add
-    ``label`` to reproduce the original third feature (D1)."""
-    good, rejected = readers.read_comma(spark, input_path)
-    model = logistic.fit(good, list(feature_cols or COMMA_FEATURES), "label", passes, rate, lam)
-    model.n_rejected = rejected.count()
+    ``label`` to reproduce the original third feature (D1). The input is read once: the
+    fit's first job also counts the rejected lines. Fails without a row to learn from."""
+    with kept_tables(spark):    # nothing lazy leaves this job
+        lines = readers.read_observed(spark, input_path, readers.observe_comma)
+        model = logistic.fit(lines.good, list(feature_cols or COMMA_FEATURES), "label", passes, rate, lam)
+    model.n_rejected = lines.n_rejected
     logistic.save(model, output)
     return model
 
 
 def run_logistic(spark: SparkSession, input_path: str, model_path: str) -> dict[str, DataFrame]:
-    """Load a model, score comma records, and evaluate."""
-    good, rejected = readers.read_comma(spark, input_path)
+    """Load a model, score comma records, and evaluate (S7, M2, A6, A7). Fails without a row to score."""
+    lines = readers.read_observed(spark, input_path, readers.observe_comma)
     model = logistic.load(spark, model_path)
-    scored = materialize(logistic.score(model, good))
+    scored = report.require_rows(materialize(logistic.score(model, lines.good)), f"the scored input {input_path}")
     return {
         "accuracy": evaluate.accuracy(scored),
         "auc": evaluate.auc(scored, "probability"),
         "confusion": evaluate.confusion_long(scored),
-        "rejected": rejected.agg(F.count("*").alias("n_rejected")),
+        "rejected": _counted(spark, lines.n_rejected),
     }
 
 
@@ -58,8 +66,8 @@ def run_kmeans(spark: SparkSession, input_path: str, output: str | None, k: int,
     and return centres with sizes and the cost (M3-M5, A8, A9, T16, K3, K5)."""
     if mode == "drop" and width is None:
         raise ValueError("mode 'drop' needs the width of the vectors: no row can say which rows are wrong")
-    vectors, rejected = readers.read_space(spark, input_path, mode=mode, width=width)
-    vectors = materialize(vectors.withColumn("_id", F.monotonically_increasing_id()))
+    lines = readers.read_observed(spark, input_path, readers.observe_space, mode=mode, width=width)
+    vectors = materialize(lines.good.withColumn("_id", F.monotonically_increasing_id()))
     report.require_rows(vectors, f"the vector input {input_path}")
     if width is None:  # strict: all rows must agree
         spread = vectors.agg(F.min(F.size("features")).alias("low"), F.max(F.size("features")).alias("high")).first()
@@ -74,7 +82,7 @@ def run_kmeans(spark: SparkSession, input_path: str, output: str | None, k: int,
     if output:
         report.write_text(report.cluster_lines(result, cols), output)
     return {"clusters": result, "cost": kmeans.cost(assigned, digits=None), "unplaced": kmeans.unplaced(assigned),
-            "rejected": rejected.agg(F.count("*").alias("n_rejected"))}
+            "rejected": _counted(spark, lines.n_rejected)}
 
 
 def run_naive_bayes(spark: SparkSession, train_input: str, model_output: str | None,
@@ -83,17 +91,19 @@ def run_naive_bayes(spark: SparkSession, train_input: str, model_output: str | N
     """Train on tab records, save the model, score the test records and write the
     classification report (S5, T4-T11, M6, M7, A1-A5, R1, K2, K3)."""
     labels = list(labels)
-    train, rejected_train = readers.read_tab(spark, train_input, labels)
-    test, rejected = readers.read_tab(spark, test_input, labels)
-    model = bayes.fit(train, id_col="review_id")
+    train = readers.read_observed(spark, train_input, readers.observe_tab, labels=labels)
+    test = readers.read_observed(spark, test_input, readers.observe_tab, labels=labels)
+    model = bayes.fit(train.good, id_col="review_id")
+    if not model.n_train:
+        raise RuntimeError(f"the training input {train_input} is empty")
     if model_output:
         bayes.save(model, model_output)
-    scored = materialize(bayes.score(model, test, id_col="review_id", idf_from=idf_from))
+    scored = report.require_rows(materialize(bayes.score(model, test.good, id_col="review_id", idf_from=idf_from)),
+                                 f"the test input {test_input}")
     summary = evaluate.summary(scored)
     matrix = evaluate.confusion_matrix(scored, labels)
     lines = report.classification_report(summary, matrix, labels)
     if result_output:
         report.write_text(lines, result_output)
     return {"scored": scored, "summary": summary, "confusion": matrix, "report": lines,
-            "rejected": rejected.agg(F.count("*").alias("n_rejected")),
-            "rejected_train": rejected_train.agg(F.count("*").alias("n_rejected"))}
+            "rejected": _counted(spark, test.n_rejected), "rejected_train": _counted(spark, train.n_rejected)}

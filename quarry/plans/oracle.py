@@ -9,6 +9,10 @@ from __future__ import annotations
 
 from ..sources import extract as X
 
+# The extraction's values, stated here again.
+PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+VECTOR_WIDTH = 64
+
 
 def _fx(expr: str, digits: int) -> str:
     """``expr`` rounded to ``digits`` decimals as round(x * 10^d) / 10^d."""
@@ -54,16 +58,18 @@ FROM orders GROUP BY o_custkey
 """
 
 
-def q26_features_sql(types=X.Q26_TYPES) -> str:
+def q26_features_sql(types=PART_TYPES) -> str:
     counts = ",\n         ".join(f"count_if(p_type = '{t}') AS n_{t.lower()}" for t in types)
     sums = ",\n       ".join(f"CAST(sum(n_{t.lower()}) AS DOUBLE) AS n_{t.lower()}" for t in types)
     return f"""
 WITH per_order AS (
   SELECT l_orderkey,
-         {counts}
+         {counts},
+         count(*) AS n_lines
   FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey)
 SELECT CAST(o_custkey AS BIGINT) AS c_custkey,
-       {sums}
+       {sums},
+       CAST(sum(n_lines) AS DOUBLE) - {" - ".join(f"CAST(sum(n_{t.lower()}) AS DOUBLE)" for t in types)} AS n_other
 FROM per_order JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey
 """
 
@@ -83,12 +89,12 @@ SELECT CAST(c_custkey AS BIGINT) AS c_customer_sk,
 FROM per_customer JOIN customer ON o_custkey = c_custkey CROSS JOIN totals
 """
 
-def embedding_features_sql(dims: int = X.EMBEDDING_DIMS) -> str:
+def embedding_features_sql(dims: int = VECTOR_WIDTH) -> str:
     xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(dims))
     return f"SELECT CAST(vec_id AS BIGINT) AS vec_id, {xs} FROM embeddings"
 
 
-def parse_space_embeddings_sql(dims: int = X.EMBEDDING_DIMS) -> str:
+def parse_space_embeddings_sql(dims: int = VECTOR_WIDTH) -> str:
     xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(dims))
     return f"SELECT {xs} FROM embeddings"
 
@@ -109,16 +115,17 @@ def _dist(p: str, c: str, cols) -> str:
 
 
 def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int = 10,
-                scale: int = 6) -> str:
+                scale: int | None = 6, salt: str = "") -> str:
     """CTEs ``pts``, ``c0`` .. ``c{rounds}`` and ``fin`` (final assignment).
-    Centre means use exact integer sums of the features at ``scale`` decimals."""
+    Centre means use exact integer sums of the features at ``scale`` decimals, or plain averages."""
     cols = list(cols)
-    factor = f"CAST({10 ** scale} AS DOUBLE)"
+    factor = f"CAST({10 ** (scale or 0)} AS DOUBLE)"
+    start = f"md5(CAST({id_col} AS VARCHAR) || '{salt}')"
     fl = ", ".join(cols)
     parts = [f"pts AS MATERIALIZED ({features_sql})",
              f"""c0 AS MATERIALIZED (
-  SELECT CAST(row_number() OVER (ORDER BY md5(CAST({id_col} AS VARCHAR))) - 1 AS INTEGER) AS cluster_id, {fl}
-  FROM pts ORDER BY md5(CAST({id_col} AS VARCHAR)) LIMIT {k})"""]
+  SELECT CAST(row_number() OVER (ORDER BY {start}) - 1 AS INTEGER) AS cluster_id, {fl}
+  FROM pts ORDER BY {start} LIMIT {k})"""]
 
     def assign(prev: str, name: str) -> str:
         return f"""{name} AS MATERIALIZED (
@@ -130,8 +137,9 @@ def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int =
     for r in range(1, rounds + 1):
         parts.append(assign(f"c{r - 1}", f"a{r}"))
         avgs = ", ".join(
-            f"coalesce(CAST(sum(CAST(round(a.{f} * {factor}) AS BIGINT)) AS DOUBLE) / count(a.{f}) / {factor}, "
-            f"c.{f}) AS {f}" for f in cols)
+            (f"coalesce(avg(a.{f}), c.{f}) AS {f}" if scale is None else
+             f"coalesce(CAST(sum(CAST(round(a.{f} * {factor}) AS BIGINT)) AS DOUBLE) / count(a.{f}) / {factor}, "
+             f"c.{f}) AS {f}") for f in cols)
         parts.append(f"""c{r} AS MATERIALIZED (
   SELECT c.cluster_id, {avgs}
   FROM c{r - 1} c LEFT JOIN a{r} a ON a.best.c = c.cluster_id
@@ -141,8 +149,8 @@ def kmeans_ctes(features_sql: str, id_col: str, cols, k: int = 8, rounds: int =
 
 
 def kmeans_sql(kind: str, features_sql: str, id_col: str, cols, k: int = 8,
-               rounds: int = 10, scale: int = 6) -> str:
-    ctes = kmeans_ctes(features_sql, id_col, cols, k, rounds, scale)
+               rounds: int = 10, scale: int | None = 6, salt: str = "") -> str:
+    ctes = kmeans_ctes(features_sql, id_col, cols, k, rounds, scale, salt)
     last = f"c{rounds}"
     if kind == "assign":
         body = f"SELECT CAST({id_col} AS BIGINT) AS {id_col}, CAST(best.c AS INTEGER) AS cluster_id FROM fin"
@@ -165,6 +173,23 @@ def kmeans_sql(kind: str, features_sql: str, id_col: str, cols, k: int = 8,
     return ctes + "\n" + body
 
 
+def kmeans_run_costs_sql(features_sql: str, id_col: str, cols, runs: int, **more) -> str:
+    """Run and cost (10 significant digits) of the runs from starts salted with ':1', ':2', ..."""
+    return " UNION ALL ".join(f"SELECT {r}::INT AS run, cost FROM ({kmeans_sql('cost', features_sql, id_col, cols, salt=f':{r + 1}', **more)})" for r in range(runs))
+
+
+def kmeans_best_of_sql(features_sql: str, id_col: str, cols, runs: int, **more) -> str:
+    """The report of the run with the least cost, the first of equal ones."""
+    reports = " UNION ALL ".join(f"SELECT {r} AS run, * FROM ({kmeans_sql('report', features_sql, id_col, cols, salt=f':{r + 1}', **more)})" for r in range(runs))
+    costs = kmeans_run_costs_sql(features_sql, id_col, cols, runs, **more)
+    return f"SELECT * EXCLUDE (run) FROM ({reports}) WHERE run = (SELECT run FROM ({costs}) ORDER BY cost, run LIMIT 1)"
+
+
+def cluster_lines_sql(report_sql: str, cols) -> str:
+    shown = " || ',' || ".join(f"printf('%.6f', {c})" for c in cols)
+    return f"SELECT cluster_id AS line_no, 'Cluster ' || cluster_id || ' [' || {shown} || '] n=' || n || chr(13) AS line FROM ({report_sql})"
+
+
 # --------------------------------------------------------------------- text
 
 def stop_list_sql() -> str:
@@ -453,6 +478,27 @@ SELECT 'confusion', CAST(a AS INTEGER), CAST(p AS INTEGER), CAST(count(s.label)
 
 # ------------------------------------------------------------------ readers
 
+
+def vector_logistic_sql(kind: str, passes: int, rate: float, lam: float) -> str:
+    """The fit on the entries of ``embeddings`` against label >= 5, in long form: a row for each vector and entry."""
+    import math
+    parts = ["v AS MATERIALIZED (SELECT vec_id, CAST(label >= 5 AS DOUBLE) AS y, [CAST(e AS DOUBLE) FOR e IN embedding] AS x FROM embeddings)",
+             f"""long AS MATERIALIZED (SELECT vec_id, y, j, x[j + 1] AS x FROM v CROSS JOIN (SELECT unnest(range({VECTOR_WIDTH})) AS j)
+      UNION ALL SELECT vec_id, y, {VECTOR_WIDTH}, 1.0 FROM v)""",
+             f"w0 AS MATERIALIZED (SELECT j, CAST(j = {VECTOR_WIDTH} AS DOUBLE) AS w FROM (SELECT unnest(range({VECTOR_WIDTH + 1})) AS j))"]
+    for i in range(1, passes + 1):
+        step = rate / math.sqrt(i)
+        moved = f"(w.w - {_dbl(step)} * g.g)"
+        parts += [f"e{i} AS MATERIALIZED (SELECT vec_id, 1.0 / (1.0 + exp(-sum(l.x * w.w))) - any_value(l.y) AS e FROM long l JOIN w{i - 1} w USING (j) GROUP BY vec_id)",
+                  f"g{i} AS MATERIALIZED (SELECT j, sum(e.e * l.x) / count(*) AS g FROM long l JOIN e{i} e USING (vec_id) GROUP BY j)",
+                  f"w{i} AS MATERIALIZED (SELECT j, sign({moved}) * greatest(abs({moved}) - {_dbl(lam * step)}, 0.0) AS w FROM w{i - 1} w JOIN g{i} g USING (j))"]
+    ctes = "WITH " + ",\n".join(parts)
+    if kind == "train":
+        return ctes + f"\nSELECT CASE WHEN j = {VECTOR_WIDTH} THEN 'intercept' ELSE 'x' || j END AS term, {_fx('w', 6)} AS weight FROM w{passes}"
+    scored = f"""\nSELECT vec_id, any_value(l.y) AS label, 1.0 / (1.0 + exp(-sum(l.x * w.w))) AS p FROM long l JOIN w{passes} w USING (j) GROUP BY vec_id"""
+    return f"SELECT CAST(vec_id AS BIGINT) AS vec_id, label, {_fx('p', 6)} AS probability, CAST(p > 0.5 AS DOUBLE) AS prediction FROM ({ctes + scored})"
+
+
 def comma_lines_sql() -> str:
     return f"""
 WITH rows AS (SELECT f.*, c.c_acctbal, c.c_mktsegment FROM ({Q05_FEATURES}) f
@@ -483,6 +529,21 @@ def parse_comma_sql(kind: str) -> str:
     return comma_lines_sql() + f"SELECT CAST(count(*) AS BIGINT) AS n_rejected FROM parsed WHERE NOT ({ok})"
 
 
+def parse_observed_sql() -> str:
+    ok = "college_education IS NOT NULL AND male IS NOT NULL AND label IS NOT NULL"
+    return comma_lines_sql() + (f"SELECT *, (SELECT CAST(count(*) AS BIGINT) FROM parsed) AS n_lines, "
+                                f"(SELECT CAST(count(*) AS BIGINT) FROM parsed WHERE NOT ({ok})) AS n_rejected FROM parsed WHERE {ok}")
+
+
+def read_rejects_sql() -> str:
+    field = "try_cast(string_split(value, ',')[{}] AS DOUBLE) IS NULL"
+    return comma_lines_sql() + f""", numbered AS (
+  SELECT value, right(string_split(value, ',')[1], 1) AS digit,
+         row_number() OVER (PARTITION BY right(string_split(value, ',')[1], 1) ORDER BY value) AS line_no FROM lines)
+SELECT digit, line_no, value AS line, line_no = 1 AND value = 'c_customer_sk,college_education,male,label' AS is_header
+FROM numbered WHERE {" OR ".join(field.format(i) for i in (2, 3, 4))}"""
+
+
 def parse_space_sql(with_bad: bool) -> str:
     cols = ["order_ratio", "item_ratio", "amount_ratio", "returns"]
     xs = ", ".join(f"try_cast(string_split(regexp_replace(value, ' +$', ''), ' ')[{i + 1}] AS DOUBLE) AS x{i}"

@@ -32,7 +32,7 @@ class ClusterSpec:
     features: Callable[[SparkSession, str], DataFrame]
     id_col: str
     cols: tuple[str, ...]
-    scale: int          # decimals the features carry: centre sums are exact at this scale
+    scale: int | None   # decimals the features carry; None: means of the doubles themselves
 
 
 CLUSTER_SPECS = {
@@ -44,8 +44,10 @@ CLUSTER_SPECS = {
     "q20_small": ClusterSpec(lambda s, d: q20_small_features(s, d), "c_custkey",
                              ("order_ratio", "item_ratio", "amount_ratio", "returns"), 9),
     "embeddings": ClusterSpec(extract.embedding_features, "vec_id",
-                              tuple(f"x{i}" for i in range(extract.EMBEDDING_DIMS)), 9),
+                              tuple(f"x{i}" for i in range(extract.EMBEDDING_DIMS)), None),
 }
+EMBEDDING_DIGITS = 9    # centres of ``embeddings`` are shown with so many decimals
+BEST_OF_RUNS = 3
 
 
 def cluster_fit(spark: SparkSession, sf_dir: str, query: str, k: int = KMEANS_K,
@@ -112,15 +114,37 @@ def kmeans_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         kmeans.unplaced(assigned).select(F.lit(-1).alias(kmeans.CLUSTER), F.col("n_unplaced").alias("n")))
 
 
-def kmeans_native(query: str, seed: int = 42):
-    """Spark ML k-means with a random start (the original job's method); rows only."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spec = CLUSTER_SPECS[query]
-        pts = materialize(spec.features(spark, sf_dir).select(spec.id_col, *spec.cols))
-        model, predictions = kmeans.fit_native(pts, list(spec.cols), k=KMEANS_K,
-                                               max_iter=KMEANS_ITERATIONS, seed=seed)
-        return kmeans.cluster_sizes(predictions, KMEANS_K)
-    return run
+def embeddings_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres and sizes of the embedding vectors; means of the values as they are, rounded only to be shown."""
+    assigned, model = cluster_fit(spark, sf_dir, "embeddings")
+    shown = kmeans.report(assigned, model)
+    return shown.select(kmeans.CLUSTER, *[fixed(F.col(c), EMBEDDING_DIGITS).alias(c) for c in model.feature_cols], "n")
+
+
+def best_of_fit(spark: SparkSession, sf_dir: str):
+    spec = CLUSTER_SPECS["q20"]
+    pts = materialize(spec.features(spark, sf_dir).select(spec.id_col, *spec.cols))
+    return pts, kmeans.fit_best_of(pts, spec.id_col, list(spec.cols), k=KMEANS_K, max_iter=KMEANS_ITERATIONS, runs=BEST_OF_RUNS,
+                                   seed=1, exact_scale=spec.scale, init="salted", materialized=True)
+
+
+def kmeans_best_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Centres and sizes of the best of three runs from salted starts (D11, the original's ``runs``)."""
+    pts, model = best_of_fit(spark, sf_dir)
+    return kmeans.report(kmeans.assign(pts, model), model)
+
+
+def kmeans_run_costs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cost of each of the three runs, to 10 significant digits."""
+    _, model = best_of_fit(spark, sf_dir)
+    rows = spark.createDataFrame(list(enumerate(model.run_costs)), "run int, cost double")
+    return rows.select("run", kmeans.significant(F.col("cost"), 10).alias("cost"))
+
+
+def cluster_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The q20 cluster report as text lines, centres with six decimals."""
+    assigned, model = cluster_fit(spark, sf_dir, "q20")
+    return report.cluster_lines(kmeans.report(assigned, model), model.feature_cols, decimals=6)
 
 
 # ------------------------------------------------------------- q28: text
@@ -253,22 +277,27 @@ def read_vector_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_space_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nothing is lost: lines in, vectors kept and lines rejected."""
-    lines = space_lines(spark, sf_dir, True)
-    good, rejected = readers.parse_space(lines, mode="drop", width=len(Q20_COLS))
-    counts = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("what"), "n")
-              for name, df in (("n_lines", lines), ("n_kept", good), ("n_rejected", rejected))]
-    return counts[0].union(counts[1]).union(counts[2]).agg(
-        *[F.sum(F.when(F.col("what") == name, F.col("n"))).alias(name) for name in ("n_lines", "n_kept", "n_rejected")])
+    """Nothing is lost: lines in, vectors kept and lines rejected, counted by one job over the lines."""
+    parsed = readers.observe_space(space_lines(spark, sf_dir, True), mode="drop", width=len(Q20_COLS))
+    n_kept = materialize(parsed.good).count()
+    return spark.createDataFrame([(parsed.n_lines, n_kept, parsed.n_rejected)], "n_lines bigint, n_kept bigint, n_rejected bigint")
+
 
+def parse_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept comma records with the number of lines and of rejected ones, all from the one job that wrote the records."""
+    parsed = readers.observe_comma(comma_lines(spark, sf_dir))
+    good = materialize(parsed.good)
+    return good.withColumns({"n_lines": F.lit(parsed.n_lines).cast("bigint"), "n_rejected": F.lit(parsed.n_rejected).cast("bigint")})
 
-def nb_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark ML Naive Bayes (Murmur3 hashing, training idf); rows only."""
-    train, test = q28_sets(spark, sf_dir)
-    model, _ = bayes.fit_native(train)
-    prepared = test.withColumn("tokens", T.clean_tokens(F.col("text")))
-    return model.transform(prepared).select(
-        "doc_id", F.col("label_index").alias("label"), F.col("prediction").cast("int").alias("prediction"))
+
+def read_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejected lines of a folder of files, found again by file and line number (S1, S2, S6). The files hold the
+    comma lines by the last character of their key, each in the order of its lines."""
+    path = shared_path(spark, "lines")
+    numbered = comma_lines(spark, sf_dir).select("value", F.substring(F.split("value", ",")[0], -1, 1).alias("digit"))
+    numbered.repartition(4, "digit").sortWithinPartitions("digit", "value").write.partitionBy("digit").text(path)
+    found = readers.located_rejects(spark, path, readers.flag_comma)
+    return found.select(F.regexp_extract("file", "digit=([^/]*)/", 1).alias("digit"), "line_no", "line", "is_header")
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,10 +306,8 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lower-cased letter runs of every document."""
-    toks = T.raw_tokens(F.col("text"))
-    return _documents(spark, sf_dir).select(
-        "doc_id", F.size(toks).cast("bigint").alias("n_tokens"),
-        F.concat_ws(" ", toks).alias("tokens"))
+    return _documents(spark, sf_dir).select("doc_id", T.raw_tokens(F.col("text")).alias("tokens")).select(
+        "doc_id", F.size("tokens").cast("bigint").alias("n_tokens"), F.concat_ws(" ", "tokens").alias("tokens"))
 
 
 def stopword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -323,7 +350,7 @@ def logistic_fit_score(spark: SparkSession, sf_dir: str, lam: float = Q05_LAMBDA
 
 def _fit_score(data: DataFrame, lam: float, feature_cols=None):
     cols = list(feature_cols or Q05_FEATURES)
-    model = logistic.fit(data, cols, "label", passes=Q05_PASSES, rate=Q05_RATE, lam=lam)
+    model = logistic.fit(data, cols, "label", passes=Q05_PASSES, rate=Q05_RATE, lam=lam, grouped=True)
     return model, logistic.score(model, data, keep=("c_customer_sk",))
 
 
@@ -364,6 +391,29 @@ def logistic_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.auc(scored, "probability")
 
 
+# Continuous features: the embedding vectors against a 0/1 label.
+EMBEDDING_LAMBDA = 0.001
+
+
+def embedding_fit(spark: SparkSession, sf_dir: str):
+    data = extract.embedding_labels(spark, sf_dir)
+    return data, logistic.fit_vectors(data, "features", "label", passes=Q05_PASSES, rate=Q05_RATE, lam=EMBEDDING_LAMBDA,
+                                      width=extract.EMBEDDING_DIMS)
+
+
+def logistic_train_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of a fit on 64 continuous features; no pass exchanges rows (M1)."""
+    _, model = embedding_fit(spark, sf_dir)
+    return logistic.weights_frame(spark, model)
+
+
+def logistic_score_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability and prediction of every vector under that fit (M2)."""
+    data, model = embedding_fit(spark, sf_dir)
+    return logistic.score(model, data, keep=("vec_id",)).select(
+        "vec_id", "label", fixed(F.col("probability"), 6).alias("probability"), "prediction")
+
+
 def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The q05 result at the original settings, as metric rows: the accuracy
     (which the original prints as "AUC", two decimals; actual = predicted =
@@ -381,13 +431,6 @@ def q05(spark: SparkSession, sf_dir: str) -> DataFrame:
     return acc.unionByName(cells)
 
 
-def logistic_native(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spark ML logistic regression (L1, OWL-QN); predictions, rows only."""
-    data = extract.q05_features(spark, sf_dir)
-    model, vec = logistic.fit_native(data, Q05_FEATURES, "label", Q05_PASSES, Q05_LAMBDA)
-    return model.transform(vec).select("c_customer_sk", "label", "prediction")
-
-
 # ------------------------------------------------------ readers
 
 
@@ -405,13 +448,11 @@ def comma_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = lambda c: F.col(c).cast("string")
     f1 = F.when(F.col("c_mktsegment") == "FURNITURE", F.concat(F.lit(" "), s("flag_balance"), F.lit(" "))) \
         .otherwise(s("flag_balance"))
-    main = rows.select(F.concat_ws(",", s("c_customer_sk"), f1, s("flag_segment"), s("label")).alias("value"))
-    empty = rows.where(F.col("c_acctbal") < 0).select(
-        F.concat_ws(",", s("c_customer_sk"), F.lit(""), s("flag_segment"), s("label")).alias("value"))
-    short = rows.where(F.col("c_mktsegment") == "HOUSEHOLD").select(
-        F.concat_ws(",", s("c_customer_sk"), s("flag_balance"), s("flag_segment")).alias("value"))
-    header = feats.limit(1).select(F.lit(_HEADER).alias("value"))
-    return main.unionByName(empty).unionByName(short).unionByName(header)
+    main = F.concat_ws(",", s("c_customer_sk"), f1, s("flag_segment"), s("label"))
+    empty = F.when(F.col("c_acctbal") < 0, F.concat_ws(",", s("c_customer_sk"), F.lit(""), s("flag_segment"), s("label")))
+    short = F.when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat_ws(",", s("c_customer_sk"), s("flag_balance"), s("flag_segment")))
+    lines = rows.select(F.explode(F.array_compact(F.array(main, empty, short))).alias("value"))     # one read of the rows
+    return lines.unionByName(spark.range(1).select(F.lit(_HEADER).alias("value")))
 
 
 def parse_comma(spark: SparkSession, sf_dir: str) -> DataFrame:

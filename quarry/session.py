@@ -7,10 +7,13 @@ configuration is present.
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
+import time
+import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query in this package is written for. AQE re-plans joins
@@ -89,26 +92,90 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage of ``df`` before it is reused by an iterative fit.
 
-    With a shared checkpoint folder the rows are written there as a Parquet
-    table and read back: one job, compressed columnar files, and a lost
-    executor re-reads files instead of re-running the extraction joins.
-    Without one, fall back to a disk-backed persist; recomputation from
-    lineage then covers executor loss.
+    The rows are written as a Parquet table under the shared checkpoint folder and read
+    back: one job, compressed columnar files, and a lost executor re-reads files instead
+    of re-running the extraction joins. A ``kept_tables`` scope removes the table at its end.
     """
     spark = df.sparkSession
-    if checkpoint_dir(spark):
-        path = shared_path(spark, "tables")
-        df.write.parquet(path)
-        return spark.read.parquet(path)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    path = shared_path(spark, "tables")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder for intermediate
-    tables and models written by a query."""
-    import uuid
-
+    tables and models written by a query: in the innermost open ``kept_tables`` scope, else in the application's folder."""
     base = checkpoint_dir(spark)
     if not base:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return "/".join([base.rstrip("/"), "quarry", *parts, uuid.uuid4().hex])
+    owner = _SCOPES.get()[-1:] or (_own_folder(spark),)
+    return "/".join([base.rstrip("/"), ROOT, *owner, *parts, uuid.uuid4().hex])
+
+
+# ------------------------------------------------------- lifetime of kept tables (M8)
+#
+# <checkpoint dir>/quarry/<owner>/...: an owner is a scope, or the application for tables
+# written outside of any scope (lazy results may read these as long as the session lives).
+
+ROOT = "quarry"
+_SCOPES: contextvars.ContextVar[tuple[str, ...]] = contextvars.ContextVar("quarry_scopes", default=())
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"app-{spark.sparkContext.applicationId}"
+
+
+def _folder(spark: SparkSession, *parts: str):
+    """(file system, path) of a folder below the library's own, in whichever store the checkpoint folder is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path("/".join([checkpoint_dir(spark).rstrip("/"), ROOT, *parts]))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+@contextlib.contextmanager
+def kept_tables(spark: SparkSession):
+    """A scope that owns every table which the library stores within it.
+
+    At the end, also when a job failed, the scope's folder goes as a whole. So results that
+    are read after it must have been written or collected inside. Scopes nest: the innermost owns.
+
+        with kept_tables(spark):
+            queries["q28"](spark, folder).write.parquet(target)
+    """
+    name = f"scope-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    token = _SCOPES.set((*_SCOPES.get(), name))
+    try:
+        yield name
+    finally:
+        _SCOPES.reset(token)
+        if checkpoint_dir(spark):
+            store, path = _folder(spark, name)
+            store.delete(path, True)
+
+
+def drop_own_tables(spark: SparkSession) -> None:
+    """Remove what this application stored outside of scopes, once no result reads it any more."""
+    if checkpoint_dir(spark):
+        store, path = _folder(spark, _own_folder(spark))
+        store.delete(path, True)
+
+
+def sweep_orphans(spark: SparkSession, older_than_hours: float = 72.0) -> list[str]:
+    """Remove the folders of owners that ended without doing so (a lost driver): those in which nothing
+    was written for ``older_than_hours``, except this application's. Returns their names.
+
+    Choose the age above the longest run: an owner is known only by the age of its newest file."""
+    store, root = _folder(spark)
+    if not store.exists(root):
+        return []
+    own, limit, gone = spark.sparkContext.applicationId, (time.time() - older_than_hours * 3600) * 1000, []
+    for status in store.listStatus(root):
+        name = status.getPath().getName()
+        if own in name:
+            continue
+        newest, files = status.getModificationTime(), store.listFiles(status.getPath(), True)
+        while newest <= limit and files.hasNext():      # one young file is enough
+            newest = max(newest, files.next().getModificationTime())
+        if newest <= limit:
+            store.delete(status.getPath(), True)
+            gone.append(name)
+    return sorted(gone)

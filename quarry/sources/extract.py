@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import fixed
 
 from ..session import materialize
+from . import prune
 from .tables import table
 
 # Fixed values of our extraction queries (not taken from the original).
@@ -118,14 +119,16 @@ def q25_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q26_features(spark: SparkSession, sf_dir: str, types=Q26_TYPES) -> DataFrame:
-    """Purchased lines per product type and customer, one column per type."""
+    """Purchased lines per product type and customer, one column per type, and ``n_other``
+    for lines of any other type (or of a part without one): no line is lost unseen."""
     parts = table(spark, sf_dir, "part", "p_partkey", "p_type")
     lines = table(spark, sf_dir, "lineitem", "l_orderkey", "l_partkey")
     typed = lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
     per_order = typed.groupBy("l_orderkey").agg(
-        *[F.count_if(F.col("p_type") == t).alias(f"n_{t.lower()}") for t in types]
+        *[F.count_if(F.col("p_type") == t).alias(f"n_{t.lower()}") for t in types],
+        F.count_if(~F.coalesce(F.col("p_type").isin(*types), F.lit(False))).alias("n_other"),
     )
-    counts = [f"n_{t.lower()}" for t in types]
+    counts = [*[f"n_{t.lower()}" for t in types], "n_other"]
     per_customer = (
         per_order.join(_orders(spark, sf_dir), F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy(F.col("o_custkey").alias("c_custkey"))
@@ -173,17 +176,32 @@ EMBEDDING_DIMS = 64
 
 def embedding_features(spark: SparkSession, sf_dir: str, dims: int = EMBEDDING_DIMS) -> DataFrame:
     """The ``embeddings`` vectors as ``vec_id, x0 .. x{dims-1}`` double columns:
-    an all-numeric vector per row, the k-means input shape."""
-    emb = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
-    return emb.select("vec_id", *[F.element_at("embedding", i + 1).cast("double").alias(f"x{i}")
-                                  for i in range(dims)])
+    an all-numeric vector per row, the k-means input shape. A vector of another width fails the
+    job, as it does in the space reader; a null one has null columns, which count as unplaced."""
+    vectors = of_width(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), "embedding", dims)
+    return vectors.select("vec_id", *[F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(dims)])
+
+
+def of_width(df: DataFrame, column: str, dims: int) -> DataFrame:
+    """``df``, which fails when a vector in ``column`` has not ``dims`` entries; null vectors pass."""
+    vector = F.col(column)
+    wrong = F.raise_error(F.concat(F.lit(f"a vector of {column} has not {dims} entries but "), F.size(vector).cast("string")))
+    return df.withColumn(column, F.when(vector.isNull() | (F.size(vector) == dims), vector).otherwise(wrong))
+
+
+def embedding_labels(spark: SparkSession, sf_dir: str, dims: int = EMBEDDING_DIMS) -> DataFrame:
+    """``vec_id, features, label``: the vectors as double arrays, and 1 for the upper half of their ten labels, else 0."""
+    vectors = of_width(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"), "embedding", dims)
+    return vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("features"),
+                          (F.col("label") >= 5).cast("double").alias("label"))
 
 
 def q28_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: NEG if toxic, else POS if of quality, else NEU;
-    ``split`` is 'train' for ``doc_id % 10 < 8`` and 'test' otherwise."""
-    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    ``split`` is 'train' for ``doc_id % 10 < 8`` and 'test' otherwise. Texts without
+    a label are left out where they are read (``prune``), so the join moves those with one only."""
     labels = table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    docs = prune.keep_possible(table(spark, sf_dir, "documents", "doc_id", "text"), labels, "doc_id")
     joined = docs.join(labels, "doc_id")
     label = (
         F.when(F.col("toxic") == 1, F.lit("NEG"))

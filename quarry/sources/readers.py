@@ -1,11 +1,13 @@
 """Typed readers for the three delimited text shapes.
 
 Each reader takes a one-column DataFrame of lines (``value``, as produced by
-``spark.read.text`` on a file or a directory of part files) and returns
-``(good, rejected)`` DataFrames. Parsing is column expressions only
+``spark.read.text`` on a file or a directory of part files). Parsing is column expressions only
 (``split``, ``get``, ``try_cast``), so it runs inside whole-stage codegen
-and partitions like the scan; rejected rows stay a DataFrame (count them
-with ``rejected.count()``) instead of failing the job.
+and partitions like the scan; a bad line never fails the job (but for ``strict`` vectors). Three ways to use a parse:
+
+* ``parse_*`` returns ``(good, rejected)`` DataFrames, each a scan of its own when it is read;
+* ``observe_*`` returns ``Parsed``: the good rows, whose one job also counts the lines and the rejected ones;
+* ``located_rejects`` finds the rejected lines again: file, line number, text, and whether it is a header.
 
 Java's ``String.split`` drops trailing empty fields, Spark's ``split`` keeps
 them: the readers strip trailing delimiters first, so field counts agree.
@@ -13,7 +15,9 @@ them: the readers strip trailing delimiters first, so field counts agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 VALUE = "value"
@@ -43,7 +47,45 @@ def _num(field: Column) -> Column:
     return F.when(spark_only, F.lit(None).cast("double")).otherwise(field.try_cast("double"))
 
 
+@dataclass
+class Parsed:
+    """Good rows, and counts that come from the job which reads them."""
+
+    good: DataFrame
+    seen: Observation
+
+    @property
+    def n_lines(self) -> int:
+        """Lines read. Waits for the first job on ``good``: run one (write or collect all of it) before."""
+        return self.seen.get["n_lines"]
+
+    @property
+    def n_rejected(self) -> int:
+        """Lines that are not in ``good``; from the same job."""
+        return self.seen.get["n_rejected"]
+
+
+def _observed(flagged: DataFrame, columns: list[str]) -> Parsed:
+    """The rows marked ``_ok``, with both counts taken as they pass."""
+    seen = Observation()
+    counted = flagged.observe(seen, F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("_ok")).alias("n_rejected"))
+    return Parsed(counted.where("_ok").select(*columns), seen)
+
+
+def _split_up(flagged: DataFrame, columns: list[str], value: str) -> tuple[DataFrame, DataFrame]:
+    return flagged.where("_ok").select(*columns), flagged.where(~F.col("_ok")).select(value)
+
+
 def parse_comma(lines: DataFrame, value: str = VALUE) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) of comma records, see ``flag_comma``."""
+    return _split_up(flag_comma(lines, value), list(COMMA_FIELDS), value)
+
+
+def observe_comma(lines: DataFrame, value: str = VALUE) -> Parsed:
+    return _observed(flag_comma(lines, value), list(COMMA_FIELDS))
+
+
+def flag_comma(lines: DataFrame, value: str = VALUE, keep: tuple[str, ...] = ()) -> DataFrame:
     """``key, f1, f2, label`` records.
 
     Fields 1-3 must parse as doubles (surrounding blanks allowed); fields past
@@ -57,15 +99,25 @@ def parse_comma(lines: DataFrame, value: str = VALUE) -> tuple[DataFrame, DataFr
         _num(F.get(f, 1)).alias("college_education"),
         _num(F.get(f, 2)).alias("male"),
         _num(F.get(f, 3)).alias("label"),
-        F.col(value),
+        F.col(value), *keep,
     )
-    ok = (F.col("college_education").isNotNull() & F.col("male").isNotNull()
-          & F.col("label").isNotNull())
-    return parsed.where(ok).drop(value), parsed.where(~ok).select(value)
+    return parsed.withColumn("_ok", F.col("college_education").isNotNull() & F.col("male").isNotNull()
+                             & F.col("label").isNotNull())
 
 
 def parse_space(lines: DataFrame, value: str = VALUE, mode: str = "strict",
                 width: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) of vectors, see ``flag_space``."""
+    good, rejected = _split_up(flag_space(lines, value, mode, width), ["features"], value)
+    return good, (rejected if mode == "drop" else lines.limit(0).select(value))
+
+
+def observe_space(lines: DataFrame, value: str = VALUE, mode: str = "strict", width: int | None = None) -> Parsed:
+    return _observed(flag_space(lines, value, mode, width), ["features"])
+
+
+def flag_space(lines: DataFrame, value: str = VALUE, mode: str = "strict", width: int | None = None,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """All-numeric, single-blank-separated vectors (S4, T2) -> ``features array<double>``.
 
     ``mode="strict"`` fails the job on the first bad token (an empty token
@@ -77,7 +129,7 @@ def parse_space(lines: DataFrame, value: str = VALUE, mode: str = "strict",
         raise ValueError("mode must be 'strict' or 'drop'")
     tokens = F.split(F.regexp_replace(F.col(value), " +$", ""), " ")
     values = F.transform(tokens, _num)
-    parsed = lines.select(F.col(value), values.alias("features"))
+    parsed = lines.select(F.col(value), values.alias("features"), *keep)
     bad_token = F.exists("features", lambda x: x.isNull())
     if mode == "strict":
         parsed = parsed.withColumn("features", F.when(
@@ -88,9 +140,9 @@ def parse_space(lines: DataFrame, value: str = VALUE, mode: str = "strict",
                 F.size("features") != width,
                 F.raise_error(F.concat(F.lit("vector width differs: "), F.col(value))))
                 .otherwise(F.col("features")))
-        return parsed.select("features"), parsed.limit(0).select(value)
+        return parsed.withColumn("_ok", F.col("features").isNotNull())
     ok = ~bad_token if width is None else (~bad_token & (F.size("features") == width))
-    return parsed.where(ok).select("features"), parsed.where(~ok).select(value)
+    return parsed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
 
 
 def vector_columns(parsed: DataFrame, width: int, prefix: str = "x") -> DataFrame:
@@ -98,7 +150,19 @@ def vector_columns(parsed: DataFrame, width: int, prefix: str = "x") -> DataFram
     return parsed.select(*[F.col("features")[i].alias(f"{prefix}{i}") for i in range(width)])
 
 
+TAB_COLUMNS = ["review_id", "label", "label_index", "text"]
+
+
 def parse_tab(lines: DataFrame, labels: list[str], value: str = VALUE) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected) of documents, see ``flag_tab``."""
+    return _split_up(flag_tab(lines, labels, value), TAB_COLUMNS, value)
+
+
+def observe_tab(lines: DataFrame, labels: list[str], value: str = VALUE) -> Parsed:
+    return _observed(flag_tab(lines, labels, value), TAB_COLUMNS)
+
+
+def flag_tab(lines: DataFrame, labels: list[str], value: str = VALUE, keep: tuple[str, ...] = ()) -> DataFrame:
     """``id <tab> label <tab> text`` records.
 
     Kept: exactly three fields after trailing tabs are stripped, a non-empty
@@ -110,17 +174,20 @@ def parse_tab(lines: DataFrame, labels: list[str], value: str = VALUE) -> tuple[
     index = (F.array_position(F.array(*[F.lit(x) for x in labels]), F.get(f, 1)) - 1).cast("int")
     parsed = lines.select(
         F.get(f, 0).alias("review_id"), F.get(f, 1).alias("label"), index.alias("label_index"),
-        F.get(f, 2).alias("text"), F.size(f).alias("_n"), F.col(value))
+        F.get(f, 2).alias("text"), F.size(f).alias("_n"), F.col(value), *keep)
     ok = (F.col("_n") == 3) & (F.col("text") != "") & (F.col("label_index") >= 0)
-    ok = F.coalesce(ok, F.lit(False))
-    return (parsed.where(ok).select("review_id", "label", "label_index", "text"),
-            parsed.where(~ok).select(value))
+    return parsed.withColumn("_ok", F.coalesce(ok, F.lit(False)))
 
 
 def read_comma(spark: SparkSession, path: str):
     return parse_comma(read_lines(spark, path))
 
 
+def read_observed(spark: SparkSession, path: str, observe, **options) -> Parsed:
+    """``observe_comma``, ``observe_space`` or ``observe_tab`` of a file or folder."""
+    return observe(read_lines(spark, path), **options)
+
+
 def read_space(spark: SparkSession, path: str, mode: str = "strict", width: int | None = None):
     return parse_space(read_lines(spark, path), mode=mode, width=width)
 
@@ -129,6 +196,25 @@ def read_tab(spark: SparkSession, path: str, labels: list[str]):
     return parse_tab(read_lines(spark, path), labels)
 
 
+def located_rejects(spark: SparkSession, path: str, flag) -> DataFrame:
+    """``file, line_no, line, is_header`` of the rejected lines of a file or folder.
+
+    ``flag`` is ``flag_comma``, or another flagging parse with its arguments bound (``functools.partial``). ``line_no`` counts from 1
+    in each file, however Spark splits it: lines are numbered within a split as it is read, and the splits before it
+    in the file are added from one row a split. Only rejected lines are joined with these. A
+    header is the first line of a file if it holds the comma record's field names."""
+    place = F.monotonically_increasing_id()     # goes up by one within a split
+    lines = read_lines(spark, path).select(VALUE, F.col("_metadata.file_path").alias("file"),
+                                           F.col("_metadata.file_block_start").alias("start"), place.alias("place"))
+    splits = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first"))
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)    # the splits of one file
+    splits = splits.select("file", "start", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    wrong = flag(lines, keep=("file", "start", "place")).where(~F.col("_ok")).select("file", "start", "place", VALUE)
+    line_no = (F.col("before") + F.col("place") - F.col("first") + 1).alias("line_no")
+    header = (line_no == 1) & (F.col(VALUE) == ",".join(COMMA_FIELDS))
+    return wrong.join(splits, ["file", "start"]).select("file", line_no, F.col(VALUE).alias("line"), header.alias("is_header"))
+
+
 def write_comma(df: DataFrame, path: str, cols=COMMA_FIELDS) -> None:
     """Write records in the comma shape (the extraction's output contract)."""
     df.select(F.concat_ws(",", *[F.col(c).cast("string") for c in cols]).alias(VALUE)) \

@@ -18,8 +18,3 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
 
-
-def register_views(spark: SparkSession, sf_dir: str, names=TABLE_NAMES) -> None:
-    """Expose the tables as temp views for ``spark.sql``."""
-    for name in names:
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
