@@ -36,6 +36,7 @@ from pyspark.sql import types as T
 from ..functions.exactsum import exact_sums
 from ..functions.text import NUM_FEATURES, with_buckets
 from ..session import materialize
+from . import manifest
 from .sizing import DEFAULT_BOUND_BYTES, broadcast_if_bounded, row_bytes
 from .tfidf import BUCKET
 
@@ -183,7 +184,7 @@ def _best_class(shared, classes: list[int], priors: list[float]):
 
 
 def save(model: NaiveBayesModel, path: str, mode: str = "overwrite") -> None:
-    """Write the model as Parquet tables (K2): class statistics and theta."""
+    """Write the model as Parquet tables (K2), class statistics and weights, and a manifest."""
     spark = model.weights.sparkSession
     classes = spark.createDataFrame(
         [(c, model.n_docs[c], model.pi[c], model.totals[c]) for c in model.classes],
@@ -194,10 +195,12 @@ def save(model: NaiveBayesModel, path: str, mode: str = "overwrite") -> None:
     meta.write.mode(mode).parquet(f"{path}/meta")
     model.weights.write.mode(mode).parquet(f"{path}/weights")
     model.idf.write.mode(mode).parquet(f"{path}/idf")
+    manifest.write(spark, path, "naive_bayes", {"classes": list(model.classes)}, ["classes", "meta", "weights", "idf"])
 
 
 def load(spark, path: str) -> NaiveBayesModel:
-    """Read a model written by ``save`` (S7 analogue for Naive Bayes)."""
+    """Read a model written by ``save`` (S7 analogue for Naive Bayes), checked against its manifest."""
+    manifest.read(spark, path, "naive_bayes")
     rows = spark.read.parquet(f"{path}/classes").orderBy("label").collect()
     meta = spark.read.parquet(f"{path}/meta").first()
     classes = [r["label"] for r in rows]

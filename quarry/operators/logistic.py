@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import fixed
 from ..session import materialize
+from . import manifest
 
 # Defaults of the training job when no value is given: passes, lambda, rate.
 DEFAULT_PASSES = 2
@@ -202,23 +203,31 @@ def weights_frame(spark, model: LogisticModel, digits: int = 6) -> DataFrame:
 
 
 def save(model: LogisticModel, path: str, mode: str = "overwrite") -> None:
-    """Write the model as one small Parquet table (K1)."""
+    """Write the model as one small Parquet table and a manifest (K1)."""
     spark = _active()
     rows = [(i, f, float(w)) for i, (f, w) in enumerate(zip(model.feature_cols, model.weights))]
     rows.append((-1, "intercept", float(model.intercept)))
-    rows.append((-2, "threshold", float(model.threshold)))
     spark.createDataFrame(rows, "pos int, term string, weight double").coalesce(1) \
-        .write.mode(mode).parquet(path)
+        .write.mode(mode).parquet(f"{path}/weights")
+    content = {"features": list(model.feature_cols), "threshold": model.threshold, "vector_col": model.vector_col,
+               "n_rejected": model.n_rejected, "n_incomplete": model.n_incomplete}
+    manifest.write(spark, path, "logistic", content, ["weights"])
 
 
 def load(spark, path: str, feature_cols: list[str] | None = None) -> LogisticModel:
-    """Read a model written by ``save``."""
-    rows = spark.read.parquet(path).orderBy("pos").collect()   # d + 2 rows
+    """Read a model written by ``save`` (S7), checked against its manifest. ``feature_cols`` are the features
+    that the caller has: the model's own, in any order; a missing or a further one fails with its name."""
+    found = manifest.read(spark, path, "logistic")
+    rows = spark.read.parquet(f"{path}/weights").orderBy("pos").collect()   # d + 1 rows
     terms = {r["term"]: r["weight"] for r in rows if r["pos"] >= 0}   # features may have any name
-    own = {r["pos"]: r["weight"] for r in rows if r["pos"] < 0}
-    intercept, threshold = own[-1], own.get(-2, 0.5)
-    cols = feature_cols or list(terms)
-    return LogisticModel(cols, [terms[c] for c in cols], intercept, threshold)
+    intercept = {r["pos"]: r["weight"] for r in rows}[-1]
+    if list(terms) != found["features"]:
+        raise manifest.ModelError(f"the terms of the model in {path} are {list(terms)}, saved were {found['features']}")
+    cols = list(feature_cols or terms)
+    for c in sorted({*cols} ^ {*terms}):
+        raise manifest.ModelError(f"feature {c!r} is " + (f"not in the model in {path}" if c in cols else f"missing: the model in {path} needs it"))
+    return LogisticModel(cols, [terms[c] for c in cols], intercept, found["threshold"], found["n_rejected"],
+                         vector_col=found["vector_col"], n_incomplete=found["n_incomplete"])
 
 
 def _active():

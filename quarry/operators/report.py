@@ -6,6 +6,7 @@ Reports are DataFrames of ``(line_no, line)`` built with column expressions
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -95,13 +96,43 @@ def require_rows(df: DataFrame, what: str = "result") -> DataFrame:
 
 
 def write_text(lines: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with the report lines in order, as one text file (K3).
+    """Put the report lines in order, as one text file, in the place of ``path`` (K3).
 
-    Reports are a few dozen lines (bounded by the class or cluster count), so
-    a single output partition is safe; write errors propagate.
+    They are written to a staging folder beside it first. Only a whole text is swapped in, by
+    two renames; so a write that fails leaves the former text as it was and removes its staging folder, and
+    a driver lost between the renames leaves the former text in ``<path>.former``, which the next write
+    puts back first. Reports are a few dozen lines (bounded by the class or cluster count), so
+    a single output partition is safe; errors propagate.
     """
-    (lines.repartition(1).sortWithinPartitions("line_no").select("line")
-     .write.mode("overwrite").text(path))
+    spark = lines.sparkSession
+    target = path.rstrip("/")
+    staging, former = f"{target}.staging-{uuid.uuid4().hex}", f"{target}.former"
+    store, at = _place(spark, target)
+    if not store.exists(at(target)) and store.exists(at(former)):
+        _renamed(store, at, former, target)
+    try:
+        (lines.repartition(1).sortWithinPartitions("line_no").select("line").write.text(staging))
+        store.delete(at(former), True)
+        if store.exists(at(target)):
+            _renamed(store, at, target, former)
+        _renamed(store, at, staging, target)
+        store.delete(at(former), True)
+    except BaseException:
+        store.delete(at(staging), True)
+        if not store.exists(at(target)) and store.exists(at(former)):
+            _renamed(store, at, former, target)
+        raise
+
+
+def _place(spark, path: str):
+    """The path's file system, and a function that makes its paths."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def _renamed(store, at, old: str, new: str) -> None:
+    if not store.rename(at(old), at(new)):
+        raise OSError(f"cannot rename {old} to {new}")
 
 
 def drop_views(spark, *names: str) -> None:
