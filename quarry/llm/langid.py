@@ -47,7 +47,8 @@ LETTERS = _letter_table()
 
 
 def normalise(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Letters with single spaces between, and the new places of ``edges``."""
+    """Letters with single spaces between, and the new places of ``edges``. Nothing is joined across an edge:
+    a row's letters are the same whatever stands before it."""
     out = LETTERS[data]
     latin = np.zeros(len(out), dtype=bool)  # capitals of Latin-1 follow 0xC3
     latin[1:] = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E)
@@ -55,6 +56,7 @@ def normalise(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarr
     space = out == 0x20
     keep = np.ones(len(out), dtype=bool)
     keep[1:] = ~(space[1:] & space[:-1])
+    keep[edges[edges < len(out)]] = True
     places = np.concatenate([[0], np.cumsum(keep)])
     return out[keep], places[edges]
 

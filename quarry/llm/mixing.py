@@ -12,9 +12,12 @@
 4. Quotas: a source's blocks go to its shards in the same way, by shard size.
    A source has about sqrt(documents) shards, so neither a hot source nor a
    shard is ever more than that many rows in one task.
-5. Selection: a shard lays its documents on a ring in seeded order and takes
-   its quota of consecutive blocks from a seeded start. A quota above the
-   ring's length goes round again, which repeats documents.
+5. Words: a shard holds at most ``max_repeat`` times its words. What its blocks are above that goes on
+   to the source's next shards with room, in their order, and so does one partial block: a
+   source takes its target to the word (rounded), however small it or its shards are.
+6. Selection: a shard lays its documents on a ring in seeded order and takes
+   its words, consecutive blocks, from a seeded start. More words than the
+   ring's length go round again, which repeats documents.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
 last in order; a null or repeated doc_id is a row like any other; an empty table
@@ -83,7 +86,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max_repeat
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, max_repeat: int = 2,
                 block_words: int = 8, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source") -> DataFrame:
-    """doc_id, size, source, source_size, target, shard, quota (the shard's blocks), taken."""
+    """doc_id, size, source, source_size, target, shard, quota (the shard's blocks), words (the shard's), taken."""
     sizes = stored(docs.select(
         docs[id_col].alias("doc_id"), docs[source_col].alias("source"),
         F.coalesce(F.regexp_count(docs[text_col], F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")), "sizes")
@@ -93,6 +96,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
     sources = sainte_lague(goal.select("source", "source_size", "n_docs", "rank", "target", seats.alias("seats")),
                            "target", "seats", [], [F.col("rank")])
     sources = stored(sources.select(F.col("source").alias("of"), "source_size", "target", F.col("quota").alias("blocks"),
+                                    F.coalesce(F.floor(F.col("target") + 0.5), F.lit(0)).cast("bigint").alias("wanted"),
                                     F.ceil(F.sqrt("n_docs")).cast("bigint").alias("n_shards")), "sources")
 
     seeded = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
@@ -100,14 +104,21 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
         "*", F.md5(F.concat_ws(":", F.lit(seed), seeded)).alias("key"),
         (_hash32(F.lit(seed), seeded) % F.col("n_shards")).alias("shard"))
 
-    shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("ring"), F.first("blocks").alias("blocks"))
+    shards = dealt.groupBy("source", "shard").agg(F.sum("size").alias("ring"), F.first("blocks").alias("blocks"), F.first("wanted").alias("wanted"))
     quotas = sainte_lague(shards, "ring", "blocks", ["source"], [F.col("shard")])
-    quotas = quotas.select(F.col("source").alias("of"), F.col("shard").alias("at"), "ring",
-                           F.least("quota", F.floor(F.col("ring") * max_repeat / block_words)).alias("quota"))
+    room = F.col("ring") * max_repeat
+    held = quotas.withColumn("held", F.least(F.col("quota") * block_words, room))
+    whole, ahead = Window.partitionBy("source"), Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.withColumns({"lacking": F.col("wanted") - F.sum("held").over(whole),      # below 0: the blocks are too many
+                             "room_before": F.coalesce(F.sum(room - F.col("held")).over(ahead), F.lit(0)),
+                             "held_before": F.coalesce(F.sum("held").over(ahead), F.lit(0))})
+    more = F.least(room - F.col("held"), F.greatest(F.lit(0), F.col("lacking") - F.col("room_before")))
+    less = F.least(F.col("held"), F.greatest(F.lit(0), -F.col("lacking") - F.col("held_before")))
+    quotas = held.select(F.col("source").alias("of"), F.col("shard").alias("at"), "ring", "quota", (F.col("held") + more - less).alias("words"))
 
     line = Window.partitionBy("source", "shard").orderBy("key", "doc_id", "size")
     placed = dealt.withColumn("stop", F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, 0)))
-    ring, words = F.nullif(F.col("ring"), F.lit(0)), F.col("quota") * block_words
+    ring, words = F.nullif(F.col("ring"), F.lit(0)), F.col("words")
     joined = placed.join(quotas, placed["source"].eqNullSafe(F.col("of")) & (placed["shard"] == F.col("at"))).select(
         "*", (F.col("stop") - F.col("size")).alias("begin"), F.floor(words / ring).alias("turns"), (words % ring).alias("part"),
         (_hash32(F.lit(seed), F.coalesce("source", F.lit("")), F.col("shard").cast("string")) % ring).alias("from"))
@@ -117,7 +128,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
 
     until = F.col("from") + F.col("part")
     taken = F.col("turns") * F.col("size") + overlap(F.col("from"), until) + overlap(F.lit(0), until - F.col("ring"))
-    return joined.select("doc_id", "size", "source", "source_size", "target", "shard", "quota",
+    return joined.select("doc_id", "size", "source", "source_size", "target", "shard", "quota", "words",
                          F.coalesce(taken, F.lit(0)).cast("bigint").alias("taken"))
 
 
@@ -153,13 +164,13 @@ WITH sizes AS (
   SELECT *, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS place FROM seat
 ), sources AS (
   SELECT source, source_size, n_docs, target, min(low) + count(*) FILTER (place <= seats_left AND target > 0) AS blocks,
-         ceil(sqrt(n_docs))::BIGINT AS n_shards FROM seat_rank GROUP BY source, source_size, n_docs, target
+         coalesce(floor(target + 0.5), 0)::BIGINT AS words_wanted, ceil(sqrt(n_docs))::BIGINT AS n_shards FROM seat_rank GROUP BY source, source_size, n_docs, target
 ), dealt AS (
-  SELECT s.*, source_size, target, blocks, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key,
+  SELECT s.*, source_size, target, blocks, words_wanted, md5('mix:' || coalesce(doc_id::VARCHAR, '')) AS key,
          ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT % n_shards AS shard
   FROM sizes s JOIN sources o ON s.source IS NOT DISTINCT FROM o.source
 ), shards AS (
-  SELECT source, shard, sum(size)::BIGINT AS ring, min(blocks) AS blocks FROM dealt GROUP BY source, shard
+  SELECT source, shard, sum(size)::BIGINT AS ring, min(blocks) AS blocks, min(words_wanted) AS words_wanted FROM dealt GROUP BY source, shard
 ), shard_bounds AS (
   SELECT *, greatest(0, coalesce(floor(ring * (blocks - (count(*) OVER w) / 2.0::DOUBLE) / nullif((sum(ring) OVER w)::DOUBLE, 0) + 0.5), 0)::BIGINT - 1) AS low,
          coalesce(floor(ring * (blocks + (count(*) OVER w) / 2.0::DOUBLE) / nullif((sum(ring) OVER w)::DOUBLE, 0) + 0.5), 0)::BIGINT + 1 AS high
@@ -170,13 +181,20 @@ WITH sizes AS (
   SELECT *, unnest(range(low, high + 1)) AS k FROM shard_left
 ), shard_rank AS (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY ring::DOUBLE / (2 * k + 1) DESC, shard, k) AS place FROM shard_seat
+), block_quotas AS (
+  SELECT source, shard, ring, words_wanted, least((min(low) + count(*) FILTER (place <= seats_left AND ring > 0)) * 8, ring * 2)::BIGINT AS words_held
+  FROM shard_rank GROUP BY source, shard, ring, words_wanted
+), handed AS (
+  SELECT *, words_wanted - sum(words_held) OVER (PARTITION BY source) AS lacking,
+         coalesce(sum(ring * 2 - words_held) OVER ahead, 0) AS room_before, coalesce(sum(words_held) OVER ahead, 0) AS held_before
+  FROM block_quotas WINDOW ahead AS (PARTITION BY source ORDER BY shard ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
 ), quotas AS (
-  SELECT source, shard, ring, least(min(low) + count(*) FILTER (place <= seats_left AND ring > 0), floor(ring * 2 / 8.0)::BIGINT)::BIGINT AS quota
-  FROM shard_rank GROUP BY source, shard, ring
+  SELECT source, shard, ring, (words_held + least(ring * 2 - words_held, greatest(0, lacking - room_before))
+         - least(words_held, greatest(0, -lacking - held_before)))::BIGINT AS words FROM handed
 ), placed AS (
   SELECT *, (sum(size) OVER (PARTITION BY source, shard ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))::BIGINT AS stop FROM dealt
 ), joined AS (
-  SELECT p.*, q.ring, stop - size AS start, (quota * 8) // nullif(ring, 0) AS turns, (quota * 8) % nullif(ring, 0) AS part,
+  SELECT p.*, q.ring, stop - size AS start, words // nullif(ring, 0) AS turns, words % nullif(ring, 0) AS part,
          ('0x' || substr(md5('mix:' || coalesce(p.source, '') || ':' || p.shard::VARCHAR), 1, 8))::BIGINT % nullif(ring, 0) AS origin
   FROM placed p JOIN quotas q ON p.source IS NOT DISTINCT FROM q.source AND p.shard = q.shard
 )

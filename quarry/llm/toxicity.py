@@ -2,7 +2,8 @@
 
 A sentence's probability is a logistic function of its words and of their
 first 4, 5 and 6 bytes (hashed into buckets); a document is toxic if any of its sentences is, so the sentence
-probabilities are combined by noisy-or, and the weights are fitted from the
+probabilities are combined by noisy-or, in which a sentence without any weighted feature adds nothing (so
+a text's length alone never makes it toxic), and the weights are fitted from the
 document labels alone. Scoring gives the document's probability and the
 sentence that offends most.
 
@@ -146,14 +147,15 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_
     bucket, per_sentence, owner_counts = np.concatenate(some), np.concatenate(per_sentence), np.array(owner_counts)
     sentence = np.repeat(np.arange(len(per_sentence)), per_sentence)
     doc_first = np.cumsum(owner_counts) - owner_counts
+    telling = per_sentence > 0      # a sentence without a feature that can get a weight says nothing, here as in the score
     seen, seen_bias = np.full(1 << BUCKET_BITS, 1e-12), 1e-12
     floor = evidence / len(toxic)
     for _ in range(rounds):  # proximal full-batch AdaGrad on the noisy-or likelihood
         z = bias + np.bincount(sentence, weights=weights[bucket], minlength=len(per_sentence))
-        total = np.add.reduceat(np.logaddexp(0, z), doc_first)
+        total = np.add.reduceat(np.logaddexp(0, z) * telling, doc_first)
         miss = np.exp(-total)
         slope = np.where(toxic == 1, -miss / np.maximum(1 - miss, 1e-9), 1.0) / len(toxic)
-        dz = np.repeat(slope, owner_counts) * _sigmoid(z)
+        dz = np.repeat(slope, owner_counts) * _sigmoid(z) * telling
         grad = np.bincount(bucket, weights=dz[sentence], minlength=len(weights))
         seen += grad * grad
         step = rate / np.sqrt(seen)
@@ -175,8 +177,10 @@ def _scorer(model):
                 bucket, first, number, owner = sentences(offsets, data)
                 total, worst, worst_p = np.zeros(n), np.full(n, -1, np.int64), np.zeros(n)
                 if len(first):
-                    z = bias + np.add.reduceat(weights[bucket].astype(np.float64), first)
-                    total = np.bincount(owner, weights=np.logaddexp(0, z), minlength=n)
+                    own = weights[bucket].astype(np.float64)
+                    z = bias + np.add.reduceat(own, first)
+                    telling = np.add.reduceat((own != 0).astype(np.int64), first) > 0
+                    total = np.bincount(owner, weights=np.logaddexp(0, z) * telling, minlength=n)
                     by = np.lexsort((-number, z, owner))  # the last of each row is its worst sentence
                     last = by[np.flatnonzero(np.append(np.diff(owner[by]) > 0, True))]
                     worst[owner[last]] = number[last]
