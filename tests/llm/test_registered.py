@@ -10,6 +10,8 @@ import __spark_entry__
 import corpus_pipeline
 from quarry.llm import queries
 
+from conftest_llm import words
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -52,7 +54,8 @@ def test_stages_take_any_rows(spark, docs):
     extra = {"toxicity": "a", "hit_words": "b", "items": "c", "node": "d", "row": "e", "component_id": "f", "doc": "g"}
     more = spark.createDataFrame(
         [(None, "a text without an id"), (None, "another text without an id"), (None, "a text without an id"), (None, None),
-         (20, "first text of this id"), (20, "second text of this id")], "doc_id bigint, text string")
+         (20, "first text of this id"), (20, "second text of this id"), (20, " ".join(words(60, 1))), (1, "a text that has nothing to do with the other of its id")],
+        "doc_id bigint, text string")
     rows = docs.unionByName(more, allowMissingColumns=True).withColumns({c: F.lit(x) for c, x in extra.items()})
     rows = corpus_pipeline.stored(rows, "rows")
     before = {(r.doc_id, r.text) for r in rows.collect()}
@@ -65,7 +68,11 @@ def test_stages_take_any_rows(spark, docs):
             kept = [(r.doc_id, r.text) for r in found]
             assert len(kept) == len(set(kept)) and set(kept) <= before
             ids = [i for i, _ in kept if i is not None]
-            assert len(ids) == len(set(ids)) and {1, 6, 7, 8, 14, 20} <= set(ids) and not {2, 3} & set(ids)
+            assert {1, 6, 7, 8, 14, 20} <= set(ids) and not {2, 3} & set(ids)
+            # different texts under one id stay, and none goes with the copies of the other; of copies one stays
+            assert {t for i, t in kept if i == 20} >= {"first text of this id", "second text of this id"}
+            assert (1, "a text that has nothing to do with the other of its id") in kept
+            assert sum(t == " ".join(words(60, 1)) for _, t in kept) == 1
             # the row without an id that repeats document 1 goes, different texts stay
             assert {t for i, t in kept if i is None} == {"a text without an id", "another text without an id", None}
         if name in ("toxicity", "decontamination"):
