@@ -34,14 +34,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate group.
 
-    Of rows that repeat an id, the one whose text has the least hash stays. A row without an id
-    stands after all others, under an id made from its text, so that different texts
-    without an id are different documents.
+    A document is a distinct id and text. Where rows share an id but not the text, the text with the
+    least hash goes under the id, and each other one stands after all ids, under one made from its id and text; so does
+    a row without an id, under one made from its text. So a text goes only if it is a copy or near copy.
     """
-    made = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 3)
-    rows = wrapped(docs).withColumn("node", F.coalesce(F.col("row.doc_id").cast("bigint"), made))
+    rows = wrapped(docs).withColumns({"id": F.col("row.doc_id").cast("bigint"), "h": F.xxhash64("text")})
+    # ids that several texts share: few or none; written first, so that its size is known to the join
+    shared = stored(rows.where("id IS NOT NULL").groupBy(F.col("id").alias("shared")).agg(F.min("h").alias("least"), F.max("h").alias("most"))
+                    .where("least != most").drop("most"), "shared_ids")
+    made = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("id", "h"), 3)
+    own = F.when(F.col("id").isNotNull() & (F.col("least").isNull() | (F.col("least") == F.col("h"))), F.col("id")).otherwise(made)
+    rows = rows.join(shared, rows["id"] == shared["shared"], "left").select("text", "row", own.alias("node"))
     kept = neardup.near_duplicates(rows, id_col="node").where("kept").select(F.col("doc_id").alias("stays")).distinct()
-    first = Window.partitionBy("node").orderBy(F.xxhash64("text"), F.to_json("row"))
+    first = Window.partitionBy("node").orderBy(F.to_json("row"))
     left = rows.join(kept, rows["node"] == kept["stays"], "left_semi").withColumn("place", F.row_number().over(first))
     return unwrapped(left.where("place = 1"), docs.columns)
 
