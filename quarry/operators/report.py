@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import fixed
 from .kmeans import CLUSTER
 
 # Fixed values of the classification report layout (must match for identical text).
@@ -80,8 +81,8 @@ def classification_report(summary: DataFrame, matrix: DataFrame, labels: list[st
 
 def cluster_lines(report: DataFrame, feature_cols: list[str], decimals: int | None = None) -> DataFrame:
     """``Cluster <id> [c1,c2,...] n=<size>`` per cluster, CRLF-terminated (T16). Centres as Spark
-    prints doubles, or with fixed ``decimals``."""
-    shown = [F.col(f).cast("string") if decimals is None else F.format_string(f"%.{decimals}f", F.col(f)) for f in feature_cols]
+    prints doubles, or rounded to fixed ``decimals`` (before they are printed: engines print halves differently)."""
+    shown = [F.col(f).cast("string") if decimals is None else F.format_string(f"%.{decimals}f", fixed(F.col(f), decimals)) for f in feature_cols]
     center = F.concat_ws(",", *shown)
     line = F.concat(F.lit("Cluster "), F.col(CLUSTER).cast("string"), F.lit(" ["), center,
                     F.lit("] n="), F.col("n").cast("string"), F.lit("\r"))

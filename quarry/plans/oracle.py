@@ -186,7 +186,7 @@ def kmeans_best_of_sql(features_sql: str, id_col: str, cols, runs: int, **more)
 
 
 def cluster_lines_sql(report_sql: str, cols) -> str:
-    shown = " || ',' || ".join(f"printf('%.6f', {c})" for c in cols)
+    shown = " || ',' || ".join(f"printf('%.6f', {_fx(c, 6)})" for c in cols)
     return f"SELECT cluster_id AS line_no, 'Cluster ' || cluster_id || ' [' || {shown} || '] n=' || n || chr(13) AS line FROM ({report_sql})"
 
 
