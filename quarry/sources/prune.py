@@ -8,6 +8,8 @@ filter is an array that a scalar subquery ships with the plan.
 Its size is set by a documented bound, ``quarry.prune.maxFilterBytes`` (1 MiB unless set), never by the data: with
 more keys than ``BITS_PER_KEY`` allows, the filter would let too much pass and is left out. The rows of
 the join are the same with or without it; only false positives differ, and the join itself removes them.
+Below ``quarry.prune.minBytes`` of the large side (64 MiB by Spark's own estimate, unless set) the two small jobs would
+cost more than they save, and the rows stay as they are.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_FILTER_BYTES = 1 << 20
+DEFAULT_MIN_BYTES = 64 << 20
 BITS = 4            # set by a key, in one word
 BITS_PER_KEY = 8    # at least; about 3 % of other keys pass then
 PLACES = 63         # the places of a word
@@ -57,6 +60,9 @@ def keep_possible(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     spark = rows.sparkSession
     if rows.schema[key].dataType != keys.schema[key].dataType:
         return rows     # equal values of different types hash apart
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size < int(spark.conf.get("quarry.prune.minBytes", str(DEFAULT_MIN_BYTES))):
+        return rows
     limit = int(spark.conf.get("quarry.prune.maxFilterBytes", str(DEFAULT_FILTER_BYTES)))
     words = filter_words(keys.count(), limit)
     if not words:

@@ -160,7 +160,20 @@ def test_rejects_are_found_by_file_and_line(spark, tmp_path, split):
 # ------------------------------------------------------------- Q28: pruning
 
 
-def test_pruning_loses_nothing(spark):
+@pytest.fixture
+def pruned(spark):
+    """Pruning however small the tables are."""
+    spark.conf.set("quarry.prune.minBytes", "0")
+    yield
+    spark.conf.unset("quarry.prune.minBytes")
+
+
+def test_small_tables_are_not_pruned(spark):
+    rows, keys = (spark.range(n).withColumnRenamed("id", "k") for n in (1000, 10))
+    assert prune.keep_possible(rows, keys, "k").count() == 1000
+
+
+def test_pruning_loses_nothing(spark, pruned):
     keys = spark.createDataFrame([(i * i,) for i in range(500)] + [(None,)] * 3 + [(4,)] * 5, "k bigint")
     rows = spark.range(-1000, 260000).select(F.when(F.col("id") != 7, F.col("id")).alias("k"), F.lit("x").alias("text"))
     kept = prune.keep_possible(rows, keys, "k")
@@ -170,7 +183,7 @@ def test_pruning_loses_nothing(spark):
     assert prune.filter_words(10 ** 9, 1 << 20) == 0 and prune.filter_words(10 ** 6, 1 << 20) * 8 <= 1 << 20
 
 
-def test_a_full_filter_is_left_out(spark):
+def test_a_full_filter_is_left_out(spark, pruned):
     keys = spark.range(100).withColumnRenamed("id", "k")
     rows = spark.range(1000).withColumnRenamed("id", "k")
     spark.conf.set("quarry.prune.maxFilterBytes", "64")
@@ -181,7 +194,7 @@ def test_a_full_filter_is_left_out(spark):
     assert prune.keep_possible(rows, keys.select(F.col("k").cast("int")), "k").count() == 1000     # other type: other hashes
 
 
-def test_shuffled_texts_grow_with_labels_not_documents(spark, tmp_path):
+def test_shuffled_texts_grow_with_labels_not_documents(spark, pruned, tmp_path):
     docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
     n = labels.count()
     moved = []
