@@ -9,7 +9,7 @@ from __future__ import annotations
 import argparse
 
 from .plans.catalog import QUERIES
-from .session import local_session
+from .session import kept_tables, local_session
 
 
 def main(argv=None) -> None:
@@ -23,15 +23,16 @@ def main(argv=None) -> None:
     from pyspark.sql import SparkSession
 
     spark = SparkSession.getActiveSession() or local_session(args.local)
-    result = QUERIES[args.query](spark, args.tables)
-    if not args.output:
-        ordered = result.orderBy("line_no") if "line_no" in result.columns else result
-        ordered.show(100, truncate=False)
-    elif "line" in result.columns and "line_no" in result.columns:
-        from .operators.report import write_text
-        write_text(result, args.output)
-    else:
-        result.write.mode("overwrite").parquet(args.output)
+    with kept_tables(spark):
+        result = QUERIES[args.query](spark, args.tables)
+        if not args.output:
+            ordered = result.orderBy("line_no") if "line_no" in result.columns else result
+            ordered.show(100, truncate=False)
+        elif "line" in result.columns and "line_no" in result.columns:
+            from .operators.report import write_text
+            write_text(result, args.output)
+        else:
+            result.write.mode("overwrite").parquet(args.output)
 
 
 if __name__ == "__main__":
