@@ -9,9 +9,9 @@ bucket b in class c, S_c = sum_b S_cb:
     predict  = argmax_c  pi_c + sum_b v_b theta_cb      (ties -> lowest class)
 
 Training without a per-document shuffle: S_cb = idf_b * (number of tokens of
-bucket b in class c), so it is one count per ``(class, bucket)`` over exploded
-tokens (partial aggregation; at most C * B output rows) times the idf table
-(at most B rows). The driver receives only C rows of class statistics.
+bucket b in class c), so it is one count per ``(class, bucket)`` (``tfidf.bucket_counts``:
+sparse vectors per task, merged by bucket range, in the pass that counts document
+frequency) times the idf table (at most B rows). The driver receives only C rows of class statistics.
 
 Scoring: sum_b v_b theta_cb = sum over the document's tokens of
 idf_b * theta_cb. A row is a document, whatever its id: the weights of its
@@ -38,7 +38,7 @@ from ..functions.text import NUM_FEATURES, with_buckets
 from ..session import materialize
 from . import manifest
 from .sizing import DEFAULT_BOUND_BYTES, broadcast_if_bounded, row_bytes
-from .tfidf import BUCKET
+from .tfidf import BUCKET, bucket_counts, frequencies
 
 PREDICTION = "prediction"
 
@@ -91,12 +91,11 @@ def fit_buckets(docs: DataFrame, smoothing: float = 1.0,
               docs.groupBy("label").agg(F.count("*").alias("n")).collect()}
     classes = sorted(counts)
     n_train = sum(counts.values())
-    df = (docs.select(F.explode(F.array_distinct("buckets")).alias(BUCKET))
-          .groupBy(BUCKET).agg(F.count("*").alias("df")))
+    found = materialize(bucket_counts(docs, "buckets", "label", num_features))      # one pass for both
+    df = found.where("label IS NULL").withColumnRenamed("n", "df")
     idf = materialize(df.select(BUCKET, "df", F.ln(F.lit(n_train + 1.0) / (F.col("df") + 1.0))
                                 .alias("idf")))
-    token_counts = (docs.select("label", F.explode("buckets").alias(BUCKET))
-                    .groupBy("label", BUCKET).agg(F.count("*").alias("n")))
+    token_counts = found.where("label IS NOT NULL")
     bounded_idf = broadcast_if_bounded(idf.select(BUCKET, "idf"), num_features, row_bytes(2))
     weights = materialize(token_counts.join(bounded_idf, BUCKET)
                           .select("label", BUCKET, (F.col("n") * F.col("idf")).alias("s")))
@@ -129,8 +128,7 @@ def score_buckets(model: NaiveBayesModel, bucketed: DataFrame, id_col: str = "do
             .agg(*[F.max(F.when(F.col("label") == c, F.col("s"))).alias(f"s{c}") for c in classes]))
     if idf_from == "test":
         n_docs = bucketed.select(F.count("*")).scalar()
-        idf = (bucketed.select(F.explode(F.array_distinct("buckets")).alias(BUCKET))
-               .groupBy(BUCKET).agg(F.count("*").alias("df"))
+        idf = (frequencies(bucketed, "buckets", model.num_features)
                .select(BUCKET, F.ln((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
         unseen_idf = 0.0            # not reached: every scored bucket has a test idf
     elif idf_from == "train":

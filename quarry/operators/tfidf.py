@@ -6,9 +6,10 @@ rows ``(doc_id, bucket, tf)`` instead of a 2^20-wide sparse vector.
 * ``term_frequency`` counts a document's buckets where its text is read, in
   the Arrow step that hashes them, and explodes the counts: no shuffle. A row is a
   document, whatever its id.
-* ``document_frequency`` explodes only the *distinct* buckets of each
-  document and counts per bucket: at most 2^20 output rows, partial
-  aggregation per task.
+* ``bucket_counts`` counts document frequency and the tokens of each class in one pass, without a row a token:
+  a task adds its batches' sparse count vectors, sends one vector for each range of buckets, and
+  the ranges are merged where they are dealt. What moves is at most (classes + 1) x 2^20 counts a task,
+  whatever the number of tokens.
 * the idf table has at most 2^20 rows (one per bucket), a bound fixed by the
   hashing, so joins against it may broadcast it (``broadcast_if_bounded``).
 """
@@ -44,12 +45,88 @@ def _long_form(counted: DataFrame, id_col: str) -> DataFrame:
     return pairs.select(id_col, F.col("_p._b").alias(BUCKET), F.col("_p._n").alias("tf"))
 
 
+RANGES = 64             # ranges of buckets that counts are merged by
+SQUEEZE = 1 << 22       # counts that a task gathers before it adds up equal ones
+
+
+def _added(held: list) -> None:
+    """Make one sorted (keys, counts) of several."""
+    import numpy as np
+
+    if len(held) > 1:
+        keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        held[:] = [(keys, np.bincount(where, weights=np.concatenate([c for _, c in held]), minlength=len(keys)).astype(np.int64))]
+
+
+def bucket_counts(rows: DataFrame, lists_col: str, label_col: str | None = None, num_features: int = NUM_FEATURES) -> DataFrame:
+    """``(label, bucket, n)``: with a null label, the number of rows whose list holds the bucket; with a label (an int of at least
+    0), how often the bucket occurs in the lists of its rows. One pass over ``rows``, no row for a token."""
+    own = rows.select(F.col(lists_col).alias("lists"), *([F.col(label_col).cast("int").alias("label")] if label_col else []))
+    bits = max(0, (num_features // RANGES).bit_length() - 1)
+    sent = "part int, keys array<bigint>, counts array<bigint>"
+
+    def count(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held: list = []     # keys: (label + 1) * num_features + bucket, 0 for document frequency
+        for batch in batches:
+            lists = batch.column(0)
+            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            held.append(np.unique(np.unique(row * num_features + values) % num_features, return_counts=True))
+            if label_col:
+                label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                held.append(np.unique((label[row] + 1) * num_features + values, return_counts=True))
+            if sum(len(k) for k, _ in held) > SQUEEZE:
+                _added(held)
+        _added(held)
+        for keys, counts in held:
+            part = (keys % num_features) >> bits
+            order = np.argsort(part, kind="stable")
+            edges = np.flatnonzero(np.append(True, np.diff(part[order]) > 0)) if len(order) else np.zeros(0, np.int64)
+            ends = pa.array(np.append(edges, len(order)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(part[order][edges].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(keys[order])),
+                                              pa.ListArray.from_arrays(ends, pa.array(counts[order].astype(np.int64)))], names=["part", "keys", "counts"])
+
+    def merge(batches):     # a range's vectors come one after the other
+        import numpy as np
+        import pyarrow as pa
+
+        held, now = [], None
+
+        def out():
+            _added(held)
+            for keys, counts in held:
+                label = keys // num_features - 1
+                yield pa.RecordBatch.from_arrays([pa.array(label.astype(np.int32), mask=label < 0), pa.array((keys % num_features).astype(np.int32)),
+                                                  pa.array(counts)], names=["label", BUCKET, "n"])
+            held.clear()
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                part = batch.column(0)[i].as_py()
+                if part != now:
+                    yield from out()
+                    now = part
+                held.append(tuple(batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (1, 2)))
+                if sum(len(k) for k, _ in held) > SQUEEZE:
+                    _added(held)
+        yield from out()
+
+    dealt = own.mapInArrow(count, sent).repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(merge, f"label int, {BUCKET} int, n bigint")
+
+
+def frequencies(rows: DataFrame, lists_col: str, num_features: int = NUM_FEATURES) -> DataFrame:
+    """``(bucket, df)`` of lists of buckets."""
+    return bucket_counts(rows, lists_col, None, num_features).select(BUCKET, F.col("n").alias("df"))
+
+
 def document_frequency(docs: DataFrame, text_col: str = "text",
                        num_features: int = NUM_FEATURES) -> DataFrame:
     """``(bucket, df)``: number of documents holding each bucket."""
-    return (with_buckets(docs, text_col, [], "_b", num_features)
-            .select(F.explode(F.array_distinct("_b")).alias(BUCKET))
-            .groupBy(BUCKET).agg(F.count("*").alias("df")))
+    return frequencies(with_buckets(docs, text_col, [], "_b", num_features), "_b", num_features)
 
 
 def idf_table(docs: DataFrame, text_col: str = "text",
@@ -73,8 +150,7 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bucketed = materialize(with_buckets(docs, text_col, [id_col], "_b", num_features, counts_col="_n"))
     if idf is None:
         n_docs = bucketed.select(F.count("*")).scalar()
-        idf = (bucketed.select(F.explode("_b").alias(BUCKET))
-               .groupBy(BUCKET).agg(F.count("*").alias("df"))
+        idf = (frequencies(bucketed, "_b", num_features)
                .select(BUCKET, F.ln((n_docs + 1.0) / (F.col("df") + 1.0)).alias("idf")))
     idf = broadcast_if_bounded(idf.select(BUCKET, "idf"), num_features, row_bytes(2))
     tf = _long_form(bucketed, id_col)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarry import session
-from quarry.operators import bayes, kmeans, logistic
+from quarry.operators import bayes, kmeans, logistic, tfidf
 from quarry.plans import queries as Q
 from quarry.sources import extract, prune, readers
 
@@ -285,3 +285,33 @@ def test_lines_of_other_part_types_are_counted(spark, tmp_path):
     lines = spark.read.parquet(str(tmp_path / "lineitem.parquet"))
     assert sum(total.values()) == lines.count()
     assert total["n_other"] == lines.where("l_partkey % 3 < 2").count() > 0
+
+
+# ------------------------------------------------------------- A10, M6: counts
+
+
+@pytest.mark.parametrize("features,squeeze", [(1 << 20, 1 << 22), (16, 10)])
+def test_counts_equal_those_of_exploded_tokens(spark, monkeypatch, features, squeeze):
+    monkeypatch.setattr(tfidf, "SQUEEZE", squeeze)
+    rows = [(i % 3, [(i * j * 7919) % features for j in range(i % 9)]) for i in range(400)] + [(5, []), (2, [features - 1] * 50)]
+    df = spark.createDataFrame(rows, "label int, buckets array<int>").repartition(6)
+    want = {}
+    for label, buckets in rows:
+        for b in buckets:
+            want[label, b] = want.get((label, b), 0) + 1
+        for b in set(buckets):
+            want[None, b] = want.get((None, b), 0) + 1
+    got = tfidf.bucket_counts(df, "buckets", "label", features).collect()
+    assert {(r.label, r.bucket): r.n for r in got} == want and len(got) == len(want)
+    assert {r.bucket: r.df for r in tfidf.frequencies(df, "buckets", features).collect()} == {b: n for (label, b), n in want.items() if label is None}
+    assert tfidf.bucket_counts(df.where("label > 9"), "buckets", "label", features).collect() == []
+
+
+def test_no_plan_holds_a_row_for_a_token(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plan = tfidf.idf_table(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    train, test = Q.q28_buckets(spark, SF_SMALL)
+    model = bayes.fit_buckets(train)
+    assert "Generate" not in tfidf.bucket_counts(train, "buckets", "label")._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in bayes.score_buckets(model, test)._jdf.queryExecution().executedPlan().toString()

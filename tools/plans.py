@@ -11,7 +11,7 @@ sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from quarry.operators import bayes, evaluate, kmeans, logistic  # noqa: E402
+from quarry.operators import bayes, evaluate, kmeans, logistic, tfidf  # noqa: E402
 from quarry.plans import queries as Q  # noqa: E402
 from quarry.session import local_session, materialize  # noqa: E402
 from quarry.sources import extract  # noqa: E402
@@ -37,7 +37,7 @@ def main() -> None:
         Q.q28_labelled(spark, sf), keep=("split",))
     train_b, test_b = Q.q28_buckets(spark, sf)
     stages["naive bayes: token counts per (class, bucket)"] = (
-        train_b.select("label", F.explode("buckets").alias("bucket")).groupBy("label", "bucket").count())
+        tfidf.bucket_counts(train_b, "buckets", "label"))
     nb = bayes.fit_buckets(train_b)
     stages["naive bayes: scoring"] = bayes.score_buckets(nb, test_b)
     data = extract.q05_features(spark, sf)
