@@ -114,7 +114,9 @@ def _lists(flat: pa.Array, lengths: np.ndarray) -> pa.Array:
 def _matcher(shared):
     """Append to each row its word count, the places of its hit words and the items found."""
     def match(batches):
-        windows, ids = shared.value
+        fields, ids = shared.value
+        windows = Windows.__new__(Windows)
+        vars(windows).update(fields)
         for batch in batches:
             for row, offsets, data in column_slices(batch, "text"):
                 n = len(offsets) - 1
@@ -147,8 +149,9 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, bloc
                            T.StructField("items", T.ArrayType(T.StringType()))])
     found = None
     for block in range(blocks):
-        windows = _windows(docs, items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block), window)
-        shared = docs.sparkSession.sparkContext.broadcast(windows)  # at most about 100 bytes for each of block_words words
+        windows, ids = _windows(docs, items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == block), window)
+        # as plain values, so that executors need no copy of this package
+        shared = docs.sparkSession.sparkContext.broadcast((vars(windows), ids))  # at most about 100 bytes for each of block_words words
         if found is None:
             found = out.mapInArrow(_matcher(shared), schema)
             continue

@@ -165,7 +165,8 @@ def phrases(pieces: np.ndarray, lengths: np.ndarray, table: np.ndarray) -> np.nd
 
 def _predictor(shared):
     def predict(batches):
-        model: Languages = shared.value
+        model = Languages.__new__(Languages)
+        model.__setstate__(shared.value)
         names = pa.array([*model.names, "und"], pa.string())
         for batch in batches:
             for row, offsets, data in column_slices(batch, "text"):
@@ -201,7 +202,8 @@ def predict(docs: DataFrame, model: Languages) -> DataFrame:
     rows = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("has_letter"))
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     # at most 3 moves of 8 bytes for each sampled byte, spread to tables in the tasks; grows with the length of the sampled texts
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # and sent as plain values, so that executors need no copy of this package
+    shared = docs.sparkSession.sparkContext.broadcast(model.__getstate__())
     return rows.mapInArrow(_predictor(shared), schema).select("doc_id", "lang_pred", "score")
 
 

@@ -168,9 +168,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column | None = None, sample_
 
 def _scorer(model):
     """Append score, worst sentence and its probability to each row of a batch with ``text``."""
-    weights, bias = model.value.weights, model.value.bias
-
     def score(batches):
+        weights, bias = model.value
         for batch in batches:
             for row, offsets, data in column_slices(batch, "text"):
                 n = len(offsets) - 1
@@ -200,8 +199,8 @@ def score(docs: DataFrame, model: NoisyOr) -> DataFrame:
     taken = docs.drop(*OUTPUTS)
     schema = T.StructType([*taken.schema.fields, T.StructField("toxicity", T.DoubleType()),
                            T.StructField("worst_sentence", T.LongType()), T.StructField("worst_score", T.DoubleType())])
-    # the model has 2^20 four-byte weights: 4 MB
-    return taken.mapInArrow(_scorer(docs.sparkSession.sparkContext.broadcast(model)), schema)
+    # 2^20 four-byte weights: 4 MB; sent as plain values, so that executors need no copy of this package
+    return taken.mapInArrow(_scorer(docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))), schema)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
