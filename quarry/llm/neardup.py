@@ -10,9 +10,10 @@
 4. Inside a list, classes with enough collisions are joined into trees, not into
    all pairs; long lists are cut into blocks and every pair of blocks is a group
    of its own. The trees' connected components are candidate groups.
-5. Inside a candidate group the full shingle sets decide. Pairs already connected
-   are skipped, so a group of near copies costs about as many set comparisons as it
-   has members; a component of the confirmed links is a component of all links.
+5. Inside a candidate group the full shingle sets decide. Trees grow over rows that share
+   a rare shingle, and a row in a tree is not met again, so a group of near copies costs about as many
+   set comparisons as it has members, and texts that share a template alone cost none; a component of the
+   confirmed links is a component of all links.
 
 Defined cases: a null text, an empty text or one without words has no shingles and
 links with nothing; a text shorter than a shingle is one shingle. Rows that repeat a
@@ -133,14 +134,9 @@ def _trees(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
         label[:] = deeper
 
 
-def _connected(table: pa.Table, columns: int, enough, numerator: int, denominator: int, matches: int):
-    """Label of each row: its tree in its group. Rows are compared at growing distance in the sorted group."""
+def _connected(table: pa.Table, group: np.ndarray, numerator: int, denominator: int, matches: int):
+    """Tree of each row in its group, by collisions of signatures. Rows are compared at growing distance in the sorted group."""
     n = table.num_rows
-    head = np.zeros(n, dtype=bool)
-    for c in range(columns):
-        x = table.column(c).to_numpy()
-        head[1:] |= x[1:] != x[:-1]
-    group = np.cumsum(head)
     size = table.column("n_shingles").to_numpy()
     keys = _whole(table, "keys").flatten().to_numpy().reshape(n, -1)
     label = np.arange(n)
@@ -153,16 +149,83 @@ def _connected(table: pa.Table, columns: int, enough, numerator: int, denominato
         for cut in range(0, len(a), 1 << 16):
             x, y = a[cut:cut + (1 << 16)], b[cut:cut + (1 << 16)]
             met = (keys[x] == keys[y]).sum(axis=1) >= matches
-            x, y = x[met], y[met]
-            if enough is not None:
-                linked = np.zeros(len(x), dtype=bool)
-                for i, (p, q) in enumerate(zip(x, y)):
-                    if label[p] != label[q]:
-                        linked[i] = enough(p, q)
-                        if linked[i]:
-                            _trees(label, x[i:i + 1], y[i:i + 1])
-            else:
-                _trees(label, x, y)
+            _trees(label, x[met], y[met])
+    return label
+
+
+def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def _runs(group: np.ndarray, where: np.ndarray):
+    """Row ranges of whole groups, each of at most about GROUP_BLOCK shingles or one group."""
+    ends = np.append(np.flatnonzero(group[1:] != group[:-1]) + 1, len(group)).tolist()
+    begin = last = 0
+    for end in ends:
+        if last > begin and where[end] - where[begin] > GROUP_BLOCK:
+            yield begin, last
+            begin = last
+        last = end
+    yield begin, last
+
+
+class _Postings:
+    """Rows by token, and how many of them are still open; closed ones are dropped when they are half."""
+
+    def __init__(self, token: np.ndarray, row: np.ndarray, tokens: int):
+        self.rows, self.live = row[np.argsort(token, kind="stable")], len(row)
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=tokens))])
+
+    def of(self, token: np.ndarray) -> np.ndarray:
+        return self.rows[_ranges(self.start[token], self.start[token + 1] - self.start[token])]
+
+    def close(self, n: int, open_: np.ndarray) -> None:
+        self.live -= n
+        if 2 * self.live < len(self.rows):
+            keep = open_[self.rows]
+            self.start = np.concatenate([[0], np.cumsum(keep)])[self.start]
+            self.rows = self.rows[keep]
+
+
+def _confirmed(group: np.ndarray, flat: np.ndarray, where: np.ndarray, numerator: int, denominator: int):
+    """Tree of each row in its group, by full sets (row i has flat[where[i]:where[i + 1]]).
+
+    A tree grows from its first row: each row reached meets the rows not yet in a tree that share one of
+    its rarest shingles (as many as a set at the similarity cannot lack), and their whole sets are counted.
+    So a group of near copies is compared once with its first row, and sets that only share a template do not meet.
+    """
+    n, size = len(group), np.diff(where)
+    row = np.repeat(np.arange(n), size)
+    _, token, times = np.unique(flat ^ mix(group)[row], return_inverse=True, return_counts=True)
+    rare = token[np.lexsort((token, times[token], row))]
+    place = np.arange(len(flat)) - where[:-1][row]
+    prefix = (place < (size + 1 + -numerator * size // denominator)[row]) & (times[rare] > 1)
+    rare, holder = rare[prefix], row[prefix]
+    first = np.searchsorted(holder, np.arange(n + 1))
+    postings = _Postings(rare, holder, len(times))
+    label, open_, mark = np.arange(n), np.ones(n, dtype=bool), np.zeros(len(times), dtype=bool)
+    for root in np.unique(holder).tolist():
+        if not open_[root]:
+            continue
+        open_[root] = False
+        postings.close(first[root + 1] - first[root], open_)
+        reached = [root]
+        while reached and postings.live:
+            p = reached.pop()
+            met = postings.of(rare[first[p]:first[p + 1]])
+            met = np.unique(met[open_[met]])
+            met = met[(group[met] == group[p]) & (np.minimum(size[met], size[p]) * denominator >= np.maximum(size[met], size[p]) * numerator)]
+            if not len(met):
+                continue
+            own = token[where[p]:where[p + 1]]
+            mark[own] = True
+            both = np.add.reduceat(mark[token[_ranges(where[met], size[met])]], np.cumsum(size[met]) - size[met], dtype=np.int64)
+            mark[own] = False
+            new = met[denominator * both >= numerator * (size[met] + size[p] - both)]
+            label[new], open_[new] = root, False
+            postings.close(int((first[new + 1] - first[new]).sum()), open_)
+            reached.extend(new.tolist())
     return label
 
 
@@ -171,27 +234,23 @@ def _edges(columns: int, sets: bool, numerator: int, denominator: int, matches:
     def link(batches):
         for table in _complete_groups(batches, columns):
             node = table.column("node").to_numpy()
-            enough = None
+            head = np.zeros(table.num_rows, dtype=bool)
+            for c in range(columns):
+                x = table.column(c).to_numpy()
+                head[1:] |= x[1:] != x[:-1]
+            group = np.cumsum(head)
             if sets:
                 flat, where = unpack(_whole(table, "shingles"), U64)
-
-                def enough(p, q):
-                    x, y = flat[where[p]:where[p + 1]], flat[where[q]:where[q + 1]]
-                    both = _common(x, y)
-                    return denominator * both >= numerator * (len(x) + len(y) - both)
-            label = _connected(table, columns, enough, numerator, denominator, matches)
+                label = np.concatenate([a + _confirmed(group[a:b], flat[where[a]:where[b]], where[a:b + 1] - where[a], numerator, denominator)
+                                        for a, b in _runs(group, where)])
+            else:
+                label = _connected(table, group, numerator, denominator, matches)
             other = node[label] != node
             if other.any():
                 yield pa.RecordBatch.from_arrays([pa.array(node[other]), pa.array(node[label][other])], names=["a", "b"])
     return link
 
 
-def _common(x: np.ndarray, y: np.ndarray) -> int:
-    at = np.searchsorted(x, y)
-    at[at == len(x)] = 0
-    return int((x[at] == y).sum())
-
-
 def _setter(shingle: int):
     """Shingle sets of the candidates' texts; only texts whose set is the class's."""
     def build(batches):

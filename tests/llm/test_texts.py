@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest_llm import ROWS, SHARED, blank_words, words
 
@@ -95,6 +96,49 @@ def test_near_duplicates_in_many_blocks(docs, monkeypatch):
     assert counted(neardup.near_duplicates(docs).collect()) == whole
 
 
+def grown(sets, group):
+    """Trees of rows by all pairs of a group."""
+    label = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if group[i] == group[j] and 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    return label
+
+
+def flat_sets(sets):
+    return (np.concatenate([np.sort(np.array(sorted(x), dtype=np.uint64)) for x in sets]),
+            np.concatenate([[0], np.cumsum([len(x) for x in sets])]))
+
+
+def partition(label):
+    out = {}
+    for i, x in enumerate(label):
+        out.setdefault(int(x), []).append(i)
+    return sorted(out.values())
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_sets_are_confirmed_as_by_all_pairs(seed):
+    rng = np.random.default_rng(seed)
+    pool = rng.integers(1, 1 << 62, 4 + seed % 9)
+    sets = [set(rng.choice(pool, rng.integers(1, len(pool) + 1), replace=False).tolist()) for _ in range(2 + seed % 23)]
+    group = np.sort(rng.integers(0, 3, len(sets)))
+    label = neardup._confirmed(group, *flat_sets(sets), 75, 100)
+    assert partition(label) == partition(grown(sets, group))
+
+
+def test_a_shared_template_costs_no_pairs(monkeypatch):
+    template = range(30)
+    sets = [set(template) | {1000 + 20 * i + j for j in range(20)} for i in range(20000)]
+    met = []
+    monkeypatch.setattr(neardup._Postings, "of", lambda self, token: met.append(1) or self.rows[:0])
+    assert len(set(neardup._confirmed(np.zeros(len(sets), int), *flat_sets(sets), 75, 100).tolist())) == len(sets)
+    assert not met
+
+
 def test_decontamination(spark, docs):
     items = [(1, SHARED), (2, "one two"), (2, "one two"), (3, None), (4, "..."), (None, "a a"), (10, " ".join(words(12, 4))), (5, "a a a")]
     benchmark = spark.createDataFrame(items, "item_id bigint, text string")
