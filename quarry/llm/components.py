@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 from .tables import drop_stored, stored
 
 
+def _with_least(edges: DataFrame, node: str, how: str) -> DataFrame:
+    """``edges`` (a, b; a is larger) with ``root``, the smallest neighbour of the node that column ``node`` names.
+
+    The key is negated, so that the aggregated side is dealt anew by it: both sides of the join are then plain
+    shuffles, and a node with very many edges is split as a skewed join.
+    """
+    least = edges.groupBy("a").agg(F.min("b").alias("root")).select(F.bitwise_not("a").alias("_key"), "root")
+    return edges.withColumn("_key", F.bitwise_not(node)).join(least, "_key", how).drop("_key")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
-    both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("root").alias("b")).distinct()
+    return _with_least(edges, "b", "left").select("a", F.coalesce("root", "b").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("root"))
-    smaller = edges.join(least, "a").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
-    return smaller.union(least.select("a", F.col("root").alias("b"))).distinct()
+    smaller = _with_least(edges, "a", "inner").where("b <> root").select(F.col("b").alias("a"), F.col("root").alias("b"))
+    return smaller.union(edges.groupBy("a").agg(F.min("b").alias("b"))).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
