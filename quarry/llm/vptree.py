@@ -10,7 +10,7 @@ are ranked per query in the end. Memory is bounded by a shard and a block.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without an id; vectors of different lengths are
-not compared; a query is every distinct (id, vector), and its own id is no candidate
+not compared; distances beyond the largest double are infinite, and then tie; a query is every distinct (id, vector), and its own id is no candidate
 of it; repeated candidate rows are ranked as rows (an index keeps at most k of a row, as no more can be
 among k nearest); ties go to the smaller id; empty tables give no rows. Other columns are ignored.
 """
@@ -55,6 +55,12 @@ def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(total)
 
 
+def exponent(*arrays: np.ndarray) -> int:
+    """The power of two by which these are divided, so that no square overflows: 0 unless a component exceeds 2^480."""
+    top = max((float(np.abs(x).max()) for x in arrays if x.size), default=0.0)
+    return max(0, int(np.frexp(top)[1]) - 480)
+
+
 class Tree:
     """Nodes in arrays: vantage point, children, range of points, and distance ranges of both children."""
 
@@ -151,7 +157,7 @@ def _pack_tree(table: pa.Table) -> pa.Table:
     """The same, and the tree over them."""
     packed = _pack(table)
     points = np.frombuffer(packed.column("vectors")[0].as_py()).reshape(-1, packed.column("dims")[0].as_py())
-    tree = Tree(points)
+    tree = Tree(np.ldexp(points, -exponent(points)))
     return packed.append_column("tree_order", pa.array([tree.order.tobytes()], pa.binary())) \
         .append_column("nodes", pa.array([np.array(tree.nodes, dtype=np.float64).tobytes()], pa.binary()))
 
@@ -168,8 +174,11 @@ def _searcher(k: int, factor: float):
                 ids, query_ids = (np.frombuffer(one.column(c)[0].as_py(), dtype=np.int64) for c in ("ids", "query_ids"))
                 points, queries = (np.frombuffer(one.column(c)[0].as_py()).reshape(-1, dims) for c in ("vectors", "queries"))
                 order, nodes = np.frombuffer(one.column("tree_order")[0].as_py(), dtype=np.int64), np.frombuffer(one.column("nodes")[0].as_py())
-                d, found = search(Tree(points, order, nodes.reshape(-1, 8)), ids, queries, query_ids, k, factor)
+                nodes, down = nodes.reshape(-1, 8).copy(), exponent(points, queries)
+                nodes[:, 4:] = np.ldexp(nodes[:, 4:], exponent(points) - down)
+                d, found = search(Tree(np.ldexp(points, -down), order, nodes), ids, np.ldexp(queries, -down), query_ids, k, factor)
                 real = np.isfinite(d)
+                d = np.ldexp(d, down)
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(query_ids, real.sum(axis=1))), pa.array(found[real]), pa.array(d[real])],
                                                  names=["query_id", "vec_id", "score"])
     return run

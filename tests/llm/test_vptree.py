@@ -72,3 +72,23 @@ def test_a_tree_survives_its_writing():
     assert again.nodes == tree.nodes
     for a, b in zip(vptree.search(tree, np.arange(2000), points[q], q, 10, 1.0), vptree.search(again, np.arange(2000), points[q], q, 10, 1.0)):
         assert (a == b).all()
+
+
+def test_squares_beyond_a_double(spark):
+    big = [(0, [1e200, 0.0]), (1, [0.0, 1e200]), (2, [2e200, 1e190]), (100, [1.0, 1.0])]
+    df = spark.createDataFrame(big, "vec_id bigint, embedding array<double>")
+    rows = vptree.neighbours(df).collect()
+    near = {q: [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 100)}
+    assert near == {0: [2, 100, 1], 100: [0, 1, 2]}
+    for r in rows:
+        assert math.isclose(r.score, math.dist(dict(big)[r.query_id], dict(big)[r.vec_id]), rel_tol=1e-12)
+
+
+def test_a_large_shard_of_large_vectors(spark):
+    rows = [(i, (v * 2.0 ** 600).tolist()) for i, v in enumerate(vectors(900, 4))]
+    small = [(i, [x * 2.0 ** -600 for x in v]) for i, v in rows]
+    both = []
+    for some, scale in ((rows, 2.0 ** -600), (small, 1.0)):
+        found = vptree.neighbours(spark.createDataFrame(some, "vec_id bigint, embedding array<double>")).collect()
+        both.append(sorted((r.query_id, r["rank"], r.vec_id, r.score * scale) for r in found))
+    assert both[0] == both[1]
