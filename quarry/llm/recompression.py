@@ -13,7 +13,8 @@ that share a name reveal repeats, which are verified on whole windows (see ``rep
 
 Defined cases: a null or empty text has no words; a text shorter than a window keeps
 all; of equal texts the one with the smallest id stays whole; rows that repeat a doc_id are one document (a window of
-one is not removed for the same start of the other); a null doc_id comes last; empty
+one is not removed for the same start of the other); each row without a doc_id is a document of its own,
+after those with one (see ``tables.placed``); empty
 tables give no rows; other columns are ignored, or kept by ``cut``.
 """
 
@@ -29,7 +30,7 @@ from pyspark.sql import types as T
 
 from . import repeats
 from .kernels import BLANK_SPLIT, U64, Words, mix
-from .tables import id_and_text, stored
+from .tables import id_and_text, placed, stored
 
 WIDTH = 20
 _FAR = 1 << 40
@@ -120,12 +121,13 @@ def _remover(width: int, with_text: bool):
                 removed = np.bincount(words.row(), weights=gone, minlength=n).astype(np.int64)
                 view = memoryview(text)
                 part = batch.slice(at, n)
-                columns, names = list(part.columns), list(part.schema.names)
+                names = [c for c in part.schema.names if c != "_place"]
+                columns = [part.column(c) for c in names]
                 if with_text:
                     columns.append(pa.array([bytes(view[a:b]).decode() for a, b in zip(begin, end)], pa.string()))
                     names.append("_kept")
                 else:
-                    columns, names = [pa.array(doc, mask=doc == repeats.LAST)], ["doc_id"]
+                    columns, names = [part.column(0)], ["doc_id"]
                     columns.append(pa.array([hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(begin, end)], pa.string()))
                     names.append("kept_sha256")
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(words.counts), pa.array(removed)], names=[*names, "_n_words", "_n_removed"])
@@ -139,7 +141,7 @@ def _repeats(texts: DataFrame, width: int) -> DataFrame:
 
 def remove(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row."""
-    texts = id_and_text(docs)
+    texts = placed(id_and_text(docs))
     met = repeats.meet_packed(_repeats(texts, width), texts)
     rows = met.mapInArrow(_remover(width, False), "doc_id bigint, kept_sha256 string, _n_words bigint, _n_removed bigint")
     return rows.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), "kept_sha256")
@@ -149,7 +151,8 @@ def cut(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` without their repeated words: changed texts are the kept words joined by one space, and
     n_chars is set anew; texts that lose nothing stay as they are, those that lose all are dropped."""
     plain = docs.withColumn("doc_id", docs["doc_id"].cast("bigint"))
-    met = repeats.meet(_repeats(id_and_text(docs), width), plain)
+    apart = placed(plain)
+    met = repeats.meet(_repeats(apart.select("doc_id", "text", "_place"), width), apart)
     schema = T.StructType([*plain.schema.fields, T.StructField("_kept", T.StringType()),
                            T.StructField("_n_words", T.LongType()), T.StructField("_n_removed", T.LongType())])
     rows = met.mapInArrow(_remover(width, True), schema)

@@ -20,8 +20,8 @@ A window is found by 128 bits of hash. Parts hold bounded arrays: there are a fe
 each shuffle partition.
 
 Rows that repeat a doc_id are one document: its windows are compared by start, and equal
-starts are not earlier; a null doc_id comes last. Each row is told apart by a hash
-of its elements as well.
+starts are not earlier. Each row is told apart by a hash of its elements as well. Each row without a doc_id
+is a document of its own (see ``tables.placed``).
 """
 
 from __future__ import annotations
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .kernels import SLICE_BYTES, U64, RangeHash, binary_column, column_slices, mix
 from .tables import deal_count
 
-LAST = np.iinfo(np.int64).max   # stands for a null doc_id
+LAST = np.iinfo(np.int64).max
 POSTED, REPEATS, DETAILS, TEXT = 0, 1, 2, 9
 FIELDS = (("key", U64), ("name", U64), ("doc", np.int64), ("row", np.int32), ("begin", np.int32), ("count", np.int16),
           ("offset", np.int16), ("left", np.uint16), ("right", np.uint16))
@@ -115,9 +115,8 @@ def doc_part(doc: np.ndarray, parts: int) -> np.ndarray:
     return ((x ^ (x >> U64(17)) ^ (x >> U64(33))) & U64(LAST)).astype(np.int64) % parts
 
 
-def doc_part_column(doc, parts: int):
+def doc_part_column(x, parts: int):
     """The same as ``doc_part``, as a column."""
-    x = F.coalesce(doc, F.lit(LAST))
     mixed = x.bitwiseXOR(F.shiftrightunsigned(x, 17)).bitwiseXOR(F.shiftrightunsigned(x, 33))
     return (mixed.bitwiseAND(F.lit(LAST)) % parts).cast("int")
 
@@ -237,9 +236,8 @@ class Outbox:
 
 
 def slice_rows(batch: pa.RecordBatch, sequence) :
-    """(first row, slice's byte view, Sequence, its RangeHash, document and row hash of each row) of a batch with doc_id and text."""
-    doc = batch.column(batch.schema.get_field_index("doc_id"))
-    doc = (doc.fill_null(LAST) if doc.null_count else doc).to_numpy(zero_copy_only=False).astype(np.int64)
+    """(first row, slice's byte view, Sequence, its RangeHash, place and row hash of each row) of a batch with _place and text."""
+    doc = batch.column(batch.schema.get_field_index("_place")).to_numpy()
     for row, offsets, data in column_slices(batch, "text", SLICE):
         view, seq = sequence(offsets, data)
         ranges = RangeHash(seq.elements)
@@ -260,8 +258,8 @@ def _poster(sequence, how: Anchors, parts: int):
 
 
 def post(texts: DataFrame, sequence, how: Anchors) -> DataFrame:
-    """Occurrences of ``texts`` (doc_id, text), packed by part."""
-    return texts.mapInArrow(_poster(sequence, how, deal_count(texts.sparkSession)), ROWS)
+    """Occurrences of ``texts`` (as from ``tables.placed``), packed by part."""
+    return texts.select("_place", "text").mapInArrow(_poster(sequence, how, deal_count(texts.sparkSession)), ROWS)
 
 
 def parts_of(batches):
@@ -303,14 +301,13 @@ def settle(posted: DataFrame, middle: int = 0) -> DataFrame:
 
 
 def _packer(parts: int):
-    """Texts by document part: ids, lengths and one compressed run of bytes for each slice and part."""
+    """Texts by document part: places, lengths, whether the id is null, and one compressed run of bytes for each slice and part."""
     def pack(batches):
         import zstandard
 
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            doc = batch.column(0)
-            doc = (doc.fill_null(LAST) if doc.null_count else doc).to_numpy(zero_copy_only=False).astype(np.int64)
+            doc, unnamed = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             for row, offsets, data in column_slices(batch, "text", 4 * SLICE_BYTES):
                 ids = doc[row:row + len(offsets) - 1]
                 part = doc_part(ids, parts)
@@ -323,7 +320,8 @@ def _packer(parts: int):
                 none = binary_column(np.zeros(0, np.int64), 0 * many)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part[order][cut[:-1]].astype(np.int32)), pa.array(np.full(len(many), TEXT, np.int32)),
-                     binary_column(size[order], many), pa.array(blobs, pa.binary()), binary_column(ids[order], many), *[none] * (len(FIELDS) - 3)],
+                     binary_column(size[order], many), pa.array(blobs, pa.binary()), binary_column(ids[order], many),
+                     binary_column(unnamed[row:row + len(ids)][order].astype(np.int32), many), *[none] * (len(FIELDS) - 4)],
                     names=["part", "kind", *(f for f, _ in FIELDS)])
     return pack
 
@@ -333,12 +331,14 @@ def _unpacked_texts(batch: pa.RecordBatch, i: int) -> pa.RecordBatch:
 
     size, doc = (np.frombuffer(batch.column(c)[i].as_py(), dtype=np.int64) for c in ("key", "doc"))
     data = zstandard.ZstdDecompressor().decompress(batch.column("name")[i].as_py(), max_output_size=int(size.sum()) + 1)
-    return pa.RecordBatch.from_arrays([pa.array(doc), binary_column(np.frombuffer(data, dtype=np.uint8), size)], names=["doc_id", "text"])
+    unnamed = np.frombuffer(batch.column("row")[i].as_py(), dtype=np.int32) != 0
+    return pa.RecordBatch.from_arrays([pa.array(doc, mask=unnamed), pa.array(doc), binary_column(np.frombuffer(data, dtype=np.uint8), size)],
+                                      names=["doc_id", "_place", "text"])
 
 
 def meet_packed(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """``rows`` and ``texts`` (doc_id, text), dealt by document part, rows first in each part; texts travel compressed."""
-    packed_texts = texts.select("doc_id", "text").mapInArrow(_packer(deal_count(texts.sparkSession)), ROWS)
+    """``rows`` and ``texts`` (as from ``tables.placed``), dealt by document part, rows first in each part; texts travel compressed."""
+    packed_texts = texts.select("_place", "text", texts["doc_id"].isNull().alias("unnamed")).mapInArrow(_packer(deal_count(texts.sparkSession)), ROWS)
     return rows.union(packed_texts).repartition("part").sortWithinPartitions("part", "kind")
 
 
@@ -364,11 +364,11 @@ def _by_document(held: dict[int, list[Table]]) -> dict[int, Table]:
 
 
 def meet(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    """``rows`` and ``docs`` (doc_id, text and others), dealt by document part, rows first in each part."""
+    """``rows`` and ``docs`` (as from ``tables.placed``, and other columns), dealt by document part, rows first in each part."""
     parts = deal_count(docs.sparkSession)
     names = rows.columns
     told = rows.select(*[F.col(c).alias(f"_r_{c}") for c in names])
-    texts = docs.withColumns({"_r_part": doc_part_column(docs["doc_id"].cast("bigint"), parts), "_r_kind": F.lit(TEXT)})
+    texts = docs.withColumns({"_r_part": doc_part_column(docs["_place"], parts), "_r_kind": F.lit(TEXT)})
     both = told.unionByName(texts, allowMissingColumns=True)
     return both.repartition("_r_part").sortWithinPartitions("_r_part", "_r_kind")
 
@@ -439,10 +439,8 @@ def details(told: DataFrame, texts: DataFrame, sequence, width: int) -> DataFram
     """
     asked = told.where(F.col("kind") == DETAILS)
     ids = asked.select("doc").mapInArrow(_ids, "asked bigint").distinct()
-    texts = texts.select("doc_id", "text")
-    known = F.coalesce(texts["doc_id"], F.lit(LAST))
     few = ids.count() * 8 <= SEND_BYTES
-    some = texts.join(F.broadcast(ids) if few else ids, known == ids["asked"], "left_semi")
+    some = texts.join(F.broadcast(ids) if few else ids, texts["_place"] == ids["asked"], "left_semi")
     return meet_packed(asked, some).mapInArrow(_detailer(sequence, width, deal_count(texts.sparkSession)), ROWS)
 
 

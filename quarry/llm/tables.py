@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..session import shared_path
 from ..sources.tables import table
 
+UNNAMED = 1 << 62  # rows without a doc_id are placed from here on
+
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents", *(columns or ("doc_id", "text")))
@@ -49,6 +51,24 @@ def drop_stored(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_place``, by which documents are ordered and dealt: the doc_id if there is one.
+
+    A row without one gets a place beyond UNNAMED from a hash of its text, so that such rows are dealt
+    evenly and reruns agree. Of those with equal texts, one comes before the others, which lose every window
+    to it and may share a place. Ids beyond UNNAMED are ordered among these places.
+    """
+    unnamed = docs.where(docs["doc_id"].isNull())
+    if unnamed.isEmpty():
+        return docs.withColumn("_place", docs["doc_id"])
+    unnamed = stored(unnamed.withColumn("_number", F.monotonically_increasing_id()), "unnamed")
+    text = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 60) - 1))
+    leads = unnamed.groupBy(text.alias("_text")).agg(F.min("_number").alias("_number")).select("_number", F.lit(0).alias("_follows"))
+    place = F.lit(UNNAMED) + 2 * text + F.coalesce("_follows", F.lit(1))
+    apart = unnamed.join(leads, "_number", "left").withColumn("_place", place).drop("_number", "_follows")
+    return docs.where(docs["doc_id"].isNotNull()).withColumn("_place", F.col("doc_id")).unionByName(apart)
+
+
 def deal_count(spark: SparkSession) -> int:
     """Number of hash-dealt parts: two for each shuffle partition."""
     return 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -62,6 +62,24 @@ def test_suffix_index(docs, batches):
     assert counted(suffix_index.remove(docs, batches=batches).collect()) == counted(want)
 
 
+def test_rows_without_an_id_are_documents(spark):
+    same, other = " ".join(words(60, 21)), [" ".join(words(30, 22 + i) + [f"z{i}"] + words(30, 40)) for i in range(2)]
+    rows = [(None, same)] * 3 + [(None, x) for x in other] + [(7, "a b"), (None, None), (None, "")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, source string")
+    want = sorted([0, 60, 60, 0, 30, 0, 0, 0])
+    found = recompression.remove(docs).collect()
+    assert sorted(r.n_removed for r in found) == want and sum(r.doc_id is None for r in found) == 7
+    assert counted(found) == counted(recompression.remove(docs.repartition(5)).collect())
+    kept = recompression.cut(docs)
+    assert kept.columns == docs.columns and sorted(len((r.text or "").split()) for r in kept.collect()) == [0, 0, 2, 31, 60, 61]
+    n = {x: len(x.encode()) for x in (same, *other)}
+    for batches in (1, 3):
+        by_bytes = suffix_index.remove(docs, batches=batches).collect()
+        assert sorted(r.n_removed for r in by_bytes if r.n_bytes == n[same])[1:] == [n[same]] * 2
+        assert sum(r.doc_id is None for r in by_bytes) == 7
+        assert sum(r.n_removed > 0 for r in by_bytes) == 3
+
+
 def test_levels_merge_geometrically(docs, monkeypatch):
     made = []
     add = suffix_index.Levels.add
