@@ -78,9 +78,23 @@ def document_buckets(text: Column, num_features: int = NUM_FEATURES) -> Column:
 # documents and runs the tokeniser JVM-side; each Arrow batch of token lists
 # is hashed with a handful of NumPy operations over its flat byte buffer
 # (about 10x faster). Batches are bounded by spark.sql.execution.arrow.maxBytesPerBatch,
-# and the NumPy temporaries by _CHUNK_BYTES.
+# and the NumPy temporaries, many times the size of what they are made from, by LIST_ITEMS and
+# _CHUNK_BYTES, whatever a batch or a partition holds.
 
-_CHUNK_BYTES = 1 << 22
+_CHUNK_BYTES = 1 << 20
+LIST_ITEMS = 1 << 17    # items of lists that a kernel works on at once (or one row's)
+
+
+def list_slices(batch, column: str, most: int = LIST_ITEMS):
+    """The rows of a batch in slices, each of at most ``most`` items of its list column, or of one row."""
+    import numpy as np
+
+    offsets = batch.column(batch.schema.get_field_index(column)).offsets.to_numpy().astype(np.int64)
+    start = 0
+    while start < batch.num_rows:
+        end = max(start + 1, int(np.searchsorted(offsets, offsets[start] + most, side="right")) - 1)
+        yield batch.slice(start, end - start)
+        start = end
 
 
 def _pow31(n: int, mask: int):
@@ -184,10 +198,11 @@ def with_buckets(df, text_col: str, keep: list[str], out_col: str = "buckets",
 
         for batch in batches:
             idx = batch.schema.get_field_index("_tokens")
-            buckets = _bucket_lists(batch.column(idx), num_features)
-            found = _counted_lists(buckets) if counts_col else (buckets,)
-            cols = [batch.column(i) for i in range(batch.num_columns) if i != idx] + list(found)
             names = [n for i, n in enumerate(batch.schema.names) if i != idx] + [f.name for f in added]
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+            for rows in list_slices(batch, "_tokens"):
+                buckets = _bucket_lists(rows.column(idx), num_features)
+                found = _counted_lists(buckets) if counts_col else (buckets,)
+                cols = [rows.column(i) for i in range(rows.num_columns) if i != idx] + list(found)
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     return staged.mapInArrow(run, schema)
