@@ -7,19 +7,21 @@ rows ``(doc_id, bucket, tf)`` instead of a 2^20-wide sparse vector.
   the Arrow step that hashes them, and explodes the counts: no shuffle. A row is a
   document, whatever its id.
 * ``bucket_counts`` counts document frequency and the tokens of each class in one pass, without a row a token:
-  a task adds its batches' sparse count vectors, sends one vector for each range of buckets, and
-  the ranges are merged where they are dealt. What moves is at most (classes + 1) x 2^20 counts a task,
-  whatever the number of tokens.
+  a task adds the sparse count vectors of small slices of its rows, sends one vector for each class and range of buckets, and
+  the ranges are merged where they are dealt. What moves is at most (classes + 1) x 2^20 counts a task with up to three
+  classes, whatever the number of tokens; with more, a task sends its counts whenever it holds ``MOST_HELD``.
 * the idf table has at most 2^20 rows (one per bucket), a bound fixed by the
   hashing, so joins against it may broadcast it (``broadcast_if_bounded``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import NUM_FEATURES, with_buckets
+from ..functions.text import NUM_FEATURES, list_slices, with_buckets
 from ..session import materialize
 from .sizing import broadcast_if_bounded, row_bytes
 
@@ -46,16 +48,43 @@ def _long_form(counted: DataFrame, id_col: str) -> DataFrame:
 
 
 RANGES = 64             # ranges of buckets that counts are merged by
-SQUEEZE = 1 << 22       # counts that a task gathers before it adds up equal ones
-
-
-def _added(held: list) -> None:
-    """Make one sorted (keys, counts) of several."""
-    import numpy as np
-
-    if len(held) > 1:
-        keys, where = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        held[:] = [(keys, np.bincount(where, weights=np.concatenate([c for _, c in held]), minlength=len(keys)).astype(np.int64))]
+SQUEEZE = 1 << 18       # counts that a task gathers before it adds up equal ones
+MOST_HELD = 1 << 22     # different counts that a task holds before it sends them on: three classes' at most
+
+
+class _Tally:
+    """Sorted keys and their counts. New ones wait until there are ``SQUEEZE``, so that little is held beside the sums."""
+
+    def __init__(self):
+        self.keys, self.counts, self.waiting = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+
+    def add(self, keys, counts) -> None:
+        self.waiting.append((keys, counts))
+        if sum(len(k) for k, _ in self.waiting) > SQUEEZE:
+            self.settle()
+
+    def settle(self) -> None:
+        """Add what waits."""
+        if not self.waiting:
+            return
+        keys, where = np.unique(np.concatenate([k for k, _ in self.waiting]), return_inverse=True)
+        counts = np.bincount(where, weights=np.concatenate([c for _, c in self.waiting]), minlength=len(keys)).astype(np.int64)
+        self.waiting.clear()
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        self.counts[at[known]] += counts[known]
+        if not known.all():
+            self.keys = np.insert(self.keys, at[~known], keys[~known])
+            self.counts = np.insert(self.counts, at[~known], counts[~known])
+
+    def taken(self) -> tuple:
+        """All keys and counts; none are left."""
+        self.settle()
+        out = self.keys, self.counts
+        self.__init__()
+        return out
 
 
 def bucket_counts(rows: DataFrame, lists_col: str, label_col: str | None = None, num_features: int = NUM_FEATURES) -> DataFrame:
@@ -66,42 +95,42 @@ def bucket_counts(rows: DataFrame, lists_col: str, label_col: str | None = None,
     sent = "part int, keys array<bigint>, counts array<bigint>"
 
     def count(batches):
-        import numpy as np
-        import pyarrow as pa
+        tally = _Tally()    # keys: (label + 1) * num_features + bucket, 0 for document frequency
+
+        def out():      # one label after the other: its keys are sorted by bucket, so by range
+            (all_keys, all_counts), start = tally.taken(), 0
+            while start < len(all_keys):
+                label = int(all_keys[start]) // num_features
+                end = int(np.searchsorted(all_keys, (label + 1) * num_features))
+                keys, counts = all_keys[start:end], all_counts[start:end]
+                part = (keys % num_features) >> bits
+                edges = np.flatnonzero(np.append(True, np.diff(part) > 0))
+                ends = pa.array(np.append(edges, len(part)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([pa.array(part[edges].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(keys)),
+                                                  pa.ListArray.from_arrays(ends, pa.array(counts))], names=["part", "keys", "counts"])
+                start = end
 
-        held: list = []     # keys: (label + 1) * num_features + bucket, 0 for document frequency
         for batch in batches:
-            lists = batch.column(0)
-            values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            held.append(np.unique(np.unique(row * num_features + values) % num_features, return_counts=True))
-            if label_col:
-                label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
-                held.append(np.unique((label[row] + 1) * num_features + values, return_counts=True))
-            if sum(len(k) for k, _ in held) > SQUEEZE:
-                _added(held)
-        _added(held)
-        for keys, counts in held:
-            part = (keys % num_features) >> bits
-            order = np.argsort(part, kind="stable")
-            edges = np.flatnonzero(np.append(True, np.diff(part[order]) > 0)) if len(order) else np.zeros(0, np.int64)
-            ends = pa.array(np.append(edges, len(order)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(part[order][edges].astype(np.int32)), pa.ListArray.from_arrays(ends, pa.array(keys[order])),
-                                              pa.ListArray.from_arrays(ends, pa.array(counts[order].astype(np.int64)))], names=["part", "keys", "counts"])
+            for rows_ in list_slices(batch, "lists"):
+                lists = rows_.column(0)
+                values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+                tally.add(*np.unique(np.unique(row * num_features + values) % num_features, return_counts=True))
+                if label_col:
+                    label = rows_.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+                    tally.add(*np.unique((label[row] + 1) * num_features + values, return_counts=True))
+                if len(tally.keys) > MOST_HELD:
+                    yield from out()
+        yield from out()
 
     def merge(batches):     # a range's vectors come one after the other
-        import numpy as np
-        import pyarrow as pa
-
-        held, now = [], None
+        tally, now = _Tally(), None
 
         def out():
-            _added(held)
-            for keys, counts in held:
-                label = keys // num_features - 1
-                yield pa.RecordBatch.from_arrays([pa.array(label.astype(np.int32), mask=label < 0), pa.array((keys % num_features).astype(np.int32)),
-                                                  pa.array(counts)], names=["label", BUCKET, "n"])
-            held.clear()
+            keys, counts = tally.taken()
+            label = keys // num_features - 1
+            yield pa.RecordBatch.from_arrays([pa.array(label.astype(np.int32), mask=label < 0), pa.array((keys % num_features).astype(np.int32)),
+                                              pa.array(counts)], names=["label", BUCKET, "n"])
 
         for batch in batches:
             for i in range(batch.num_rows):
@@ -109,9 +138,7 @@ def bucket_counts(rows: DataFrame, lists_col: str, label_col: str | None = None,
                 if part != now:
                     yield from out()
                     now = part
-                held.append(tuple(batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (1, 2)))
-                if sum(len(k) for k, _ in held) > SQUEEZE:
-                    _added(held)
+                tally.add(*(batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in (1, 2)))
         yield from out()
 
     dealt = own.mapInArrow(count, sent).repartition("part").sortWithinPartitions("part")

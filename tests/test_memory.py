@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 
 from quarry.functions import text as T
+from quarry.operators import tfidf
 
 
 def kernel(monkeypatch, make):
@@ -47,3 +48,28 @@ def test_memory_of_the_hashing_kernel_does_not_grow_with_the_batch(spark, monkey
     batch = pa.RecordBatch.from_arrays([pa.array(range(10000)), lists], names=["id", "_tokens"])
     peak, rows = peak_mb(run, batch)
     assert rows == 10000 and peak < 40
+
+
+def test_memory_of_the_counting_kernel_does_not_grow_with_the_batch(spark, monkeypatch):
+    import pyarrow as pa
+    df = spark.createDataFrame([(1, [1])], "label int, buckets array<int>")
+    count = kernel(monkeypatch, lambda: tfidf.bucket_counts(df, "buckets", "label"))
+    lists = pa.array([[(i * j) % 5000 for j in range(100)] for i in range(10000)], pa.list_(pa.int32()))
+    label = pa.array(np.arange(10000) % 3, pa.int32())
+    peak, _ = peak_mb(count, pa.RecordBatch.from_arrays([lists, label], names=["lists", "label"]))
+    assert peak < 20
+
+
+def test_counts_added_in_steps_equal_those_of_one():
+
+    rng, tally = np.random.default_rng(3), tfidf._Tally()
+    want = np.zeros(300, np.int64)
+    for n in (0, 5, 200, 40, 300):
+        keys = np.sort(rng.choice(300, n, replace=False))
+        counts = rng.integers(1, 9, n)
+        want[keys] += counts
+        tally.add(keys, counts)
+        tally.settle()
+    keys, counts = tally.taken()
+    assert np.array_equal(keys, np.flatnonzero(want)) and np.array_equal(counts, want[keys])
+    assert len(tally.taken()[0]) == 0
