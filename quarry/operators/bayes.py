@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exactsum import exact_sums
-from ..functions.text import NUM_FEATURES, with_buckets
+from ..functions.text import NUM_FEATURES, list_slices, with_buckets
 from ..session import materialize
 from . import manifest
 from .sizing import DEFAULT_BOUND_BYTES, broadcast_if_bounded, row_bytes
@@ -164,7 +164,7 @@ def _best_class(shared, classes: list[int], priors: list[float]):
     """Sum the weights of each row's buckets and keep the best class so far; ties keep the lower class."""
     def run(batches):
         weights = shared.value
-        for batch in batches:
+        for batch in (rows for whole in batches for rows in list_slices(whole, "buckets")):
             n = batch.num_rows
             lists = batch.column(batch.schema.get_field_index("buckets"))
             buckets = lists.flatten().to_numpy()

@@ -1,6 +1,7 @@
 """Memory of the Arrow kernels of q28: bounded by slices of a batch, not by the batch."""
 
 import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql.classic.dataframe import DataFrame
 
 from quarry.functions import text as T
-from quarry.operators import tfidf
+from quarry.operators import bayes, tfidf
 
 
 def kernel(monkeypatch, make):
@@ -73,3 +74,12 @@ def test_counts_added_in_steps_equal_those_of_one():
     keys, counts = tally.taken()
     assert np.array_equal(keys, np.flatnonzero(want)) and np.array_equal(counts, want[keys])
     assert len(tally.taken()[0]) == 0
+
+
+def test_memory_of_the_scoring_kernel_does_not_grow_with_the_batch():
+    lists = pa.array([[(i * j) % 5000 for j in range(100)] for i in range(10000)], pa.list_(pa.int32()))
+    label = pa.array(np.arange(10000) % 3, pa.int32())
+    empty = pa.nulls(10000, pa.float64()), pa.nulls(10000, pa.int32())
+    batch = pa.RecordBatch.from_arrays([label, lists, *empty], names=["label", "buckets", "_z", "_c"])
+    peak, rows = peak_mb(bayes._best_class(SimpleNamespace(value=np.ones((3, 1 << 20))), [0, 1, 2], [0.0, 1.0, 0.0]), batch)
+    assert rows == 10000 and peak < 6
